@@ -193,3 +193,114 @@ per AS (SELECT source, split, shard_idx, count(*) AS docs FROM s GROUP BY 1, 2,
 SELECT source, split, CAST(sum(docs) AS BIGINT) AS docs, count(*) AS shards FROM per GROUP BY ROLLUP (source, split)""")
 ORACLE["split_assignment"] = W(SHARDS, f"SELECT shard_id, {sha256_mod('shard_id')} AS bucket, {split_of('shard_id')} AS split FROM shards")
 ORACLE["split_counts"] = W(SHARDS, f"SELECT {split_of('shard_id')} AS split, count(*) AS shards FROM shards GROUP BY 1")
+
+# ----------------------------------------------------------------------------- ledger / integrity
+LEDGER = SHARDS + """,
+lk AS (SELECT *, n * 10 + shard_idx AS k FROM shards),
+led0 AS (SELECT source AS stage, shard_id, k, n,
+  CASE WHEN n % 4 = 0 OR k % 10 < 6 THEN 'done' WHEN k % 10 = 6 THEN 'verified' WHEN k % 10 = 7 THEN 'processing'
+       WHEN k % 10 = 8 THEN 'failed' ELSE 'pending' END AS state FROM lk),
+ledk AS (SELECT stage, shard_id, state, 'out/' || shard_id || '.bin' AS output_path, sha256(shard_id) AS checksum,
+  CAST(k * 100 AS BIGINT) AS token_count, CAST(1700000000 + k * 60 AS DOUBLE) AS updated_at,
+  CASE WHEN state = 'failed' THEN 'error in ' || shard_id ELSE '' END AS error, k, n FROM led0),
+led AS (SELECT stage, shard_id, state, output_path, checksum, token_count, updated_at, error FROM ledk),
+files AS (SELECT output_path AS path,
+  CASE WHEN k % 19 = 0 THEN sha256(shard_id || '#altered') ELSE checksum END AS file_checksum,
+  CAST(k * 64 AS BIGINT) AS length FROM ledk WHERE k % 17 <> 0),
+listing AS (SELECT stage, 'data/raw/shards/' || stage || '/' ||
+  CASE WHEN k % 7 = 0 THEN 'logs/' WHEN k % 11 = 0 THEN 'tokenizer/' WHEN k % 13 = 0 THEN 'blogs/' ELSE '' END
+  || shard_id || '.txt' AS path, CAST(k * 64 AS BIGINT) AS length FROM ledk)"""
+
+PROT = " OR ".join(f"contains(path, '{p}')" for p in __import__("shardloom.operators.integrity", fromlist=["x"]).PROTECTED_PATTERNS)
+PROT_DIR = " OR ".join(f"contains(artifact_dir, '{p.rstrip('/')}')" for p in __import__("shardloom.operators.integrity", fromlist=["x"]).PROTECTED_PATTERNS)
+
+
+def validate_sql(length: str, exists: str, seq_len: int = 512) -> tuple[str, str]:
+    n = f"CAST(floor({length} / 2) AS BIGINT)"
+    msg = (f"(CASE WHEN NOT ({exists}) THEN 'file does not exist' WHEN {length} = 0 THEN 'file is empty' "
+           f"WHEN {length} % 2 <> 0 THEN printf('size %d not multiple of dtype_bytes 2', {length}) "
+           f"WHEN {n} < {seq_len + 1} THEN printf('only %d tokens, need at least {seq_len + 1}', {n}) ELSE '' END)")
+    return msg, n
+
+
+_vmsg, _vn = validate_sql("length", "length IS NOT NULL")
+ORACLE["ledger_load"] = W(LEDGER, "SELECT * FROM led")
+ORACLE["ledger_pending"] = W(LEDGER, "SELECT stage, shard_id, state FROM led WHERE state <> 'done'")
+ORACLE["ledger_done"] = W(LEDGER, "SELECT stage, shard_id, state FROM led WHERE state = 'done'")
+ORACLE["ledger_verified"] = W(LEDGER, "SELECT stage, shard_id, state FROM led WHERE state IN ('verified', 'done')")
+ORACLE["reset_stale"] = W(LEDGER, """
+SELECT stage, shard_id, CASE WHEN state = 'processing' AND 1700010000.0 - updated_at > 3600.0 THEN 'pending' ELSE state END AS state,
+       CASE WHEN state = 'processing' AND 1700010000.0 - updated_at > 3600.0 THEN 1700010000.0 ELSE updated_at END AS updated_at FROM led""")
+ORACLE["resume_pending"] = W(LEDGER, """
+SELECT source AS stage, shard_id FROM shards s
+WHERE NOT EXISTS (SELECT 1 FROM led WHERE led.stage = s.source AND led.shard_id = s.shard_id AND led.state = 'done')""")
+ORACLE["register_shards"] = W(LEDGER, """
+SELECT stage, shard_id, state, output_path, checksum, token_count, updated_at, error FROM ledk WHERE k % 3 <> 0
+UNION ALL
+SELECT source, shard_id, 'pending', '', '', CAST(0 AS BIGINT), 1700010000.0, '' FROM lk WHERE k % 3 = 0""")
+ORACLE["ledger_apply"] = W(LEDGER, """,
+upd AS (
+  SELECT stage, shard_id, 'processing' AS op, 1700010000.0 + k AS ts FROM ledk WHERE state = 'pending'
+  UNION ALL SELECT stage, shard_id, 'verified', 1700010000.0 + k FROM ledk WHERE state = 'failed'
+  UNION ALL SELECT stage, shard_id, 'done', 1700010000.0 + k + 1 FROM ledk WHERE state = 'failed'
+  UNION ALL SELECT stage, shard_id, 'failed', 1700010000.0 + k FROM ledk WHERE state = 'processing'),
+per AS (SELECT stage, shard_id, arg_max(op, ts) AS n_state, max(ts) AS n_ts,
+  max(CASE WHEN op = 'verified' THEN 'redo/' || shard_id || '.bin' END) AS n_path,
+  max(CASE WHEN op = 'verified' THEN sha256('redo/' || shard_id) END) AS n_checksum,
+  max(CASE WHEN op = 'verified' THEN CAST(7 AS BIGINT) END) AS n_tokens,
+  max(CASE WHEN op = 'failed' THEN 'timeout' END) AS n_error FROM upd GROUP BY 1, 2)
+SELECT l.stage, l.shard_id, coalesce(n_state, state) AS state, coalesce(n_path, output_path, '') AS output_path,
+  coalesce(n_checksum, checksum, '') AS checksum, CAST(coalesce(n_tokens, token_count, 0) AS BIGINT) AS token_count,
+  CAST(coalesce(n_ts, updated_at) AS DOUBLE) AS updated_at, coalesce(n_error, error, '') AS error
+FROM led l LEFT JOIN per p ON l.stage = p.stage AND l.shard_id = p.shard_id""")
+ORACLE["ledger_summary"] = W(LEDGER, """
+SELECT stage, count(*) FILTER (WHERE state = 'pending') AS pending, count(*) FILTER (WHERE state = 'processing') AS processing,
+  count(*) FILTER (WHERE state = 'verified') AS verified, count(*) FILTER (WHERE state = 'done') AS done,
+  count(*) FILTER (WHERE state = 'failed') AS failed, count(*) AS total FROM led GROUP BY stage""")
+ORACLE["stage_complete"] = W(LEDGER, "SELECT stage, count(*) > 0 AND bool_and(state = 'done') AS complete FROM led GROUP BY stage")
+ORACLE["ledger_tokens"] = W(LEDGER, """
+SELECT stage, CAST(coalesce(sum(token_count) FILTER (WHERE state = 'done'), 0) AS BIGINT) AS total_tokens FROM led GROUP BY stage""")
+ORACLE["validate_packed"] = W(LEDGER, f""", lf AS (SELECT l.output_path AS path, f.length FROM led l LEFT JOIN files f ON l.output_path = f.path)
+SELECT path, {_vmsg} = '' AS valid, CASE WHEN {_vmsg} = '' THEN {_vn} ELSE CAST(0 AS BIGINT) END AS num_tokens, {_vmsg} AS message FROM lf""")
+
+_vm2, _ = validate_sql("f.length", "f.length IS NOT NULL")
+VERIFY = f""",
+ver AS (
+  SELECT l.stage, l.shard_id, l.output_path,
+    CASE WHEN f.length IS NULL THEN 'missing'
+         WHEN l.checksum <> '' AND f.file_checksum <> l.checksum THEN 'checksum_mismatch'
+         WHEN ends_with(l.output_path, '.bin') AND {_vm2} <> '' THEN 'bad_bin' ELSE 'ok' END AS verdict,
+    CASE WHEN f.length IS NULL THEN printf('downstream output missing: %s (shard %s)', l.output_path, l.shard_id)
+         WHEN l.checksum <> '' AND f.file_checksum <> l.checksum THEN
+              printf('checksum mismatch for %s: expected %s… got %s…', l.output_path, substr(l.checksum, 1, 12), substr(f.file_checksum, 1, 12))
+         WHEN ends_with(l.output_path, '.bin') AND {_vm2} <> '' THEN printf('invalid .bin file %s: %s', l.output_path, {_vm2})
+         ELSE '' END AS message
+  FROM led l LEFT JOIN files f ON l.output_path = f.path WHERE l.state IN ('verified', 'done'))"""
+ORACLE["verify_outputs"] = W(LEDGER + VERIFY, "SELECT * FROM ver")
+ORACLE["deletable_files"] = W(LEDGER, f"SELECT path, length FROM listing WHERE NOT ({PROT})")
+ORACLE["cleanup_bytes"] = W(LEDGER, f"""
+SELECT stage, CAST(coalesce(sum(length), 0) AS BIGINT) AS deleted_bytes, count(*) AS deleted_files FROM listing WHERE NOT ({PROT}) GROUP BY stage""")
+ORACLE["cleanup_report"] = W(LEDGER + VERIFY, f""",
+ad AS (SELECT DISTINCT stage, CASE WHEN stage = 'src4' THEN 'data/manifests/src4/' ELSE 'data/raw/shards/' || stage || '/' END AS artifact_dir FROM led),
+summ AS (SELECT stage, printf('downstream manifest not complete: {{''pending'': %d, ''processing'': %d, ''verified'': %d, ''done'': %d, ''failed'': %d, ''total'': %d}}',
+    count(*) FILTER (WHERE state = 'pending'), count(*) FILTER (WHERE state = 'processing'), count(*) FILTER (WHERE state = 'verified'),
+    count(*) FILTER (WHERE state = 'done'), count(*) FILTER (WHERE state = 'failed'), count(*)) AS e1,
+    count(*) FILTER (WHERE state = 'done') = count(*) AS complete FROM led GROUP BY stage),
+fb AS (SELECT stage, arg_min(message, shard_id) AS e2 FROM ver WHERE verdict <> 'ok' GROUP BY stage),
+nv AS (SELECT stage, count(*) AS n_verified FROM led WHERE state IN ('verified', 'done') GROUP BY stage),
+ps AS (SELECT stage, CAST(sum(length) AS BIGINT) AS bytes, count(*) AS files FROM listing WHERE NOT ({PROT}) GROUP BY stage),
+r AS (SELECT ad.stage, ad.artifact_dir,
+  CASE WHEN NOT coalesce(complete, false) THEN e1
+       WHEN coalesce(n_verified, 0) = 0 THEN 'downstream manifest has no verified entries'
+       WHEN e2 IS NOT NULL THEN e2
+       WHEN {PROT_DIR} THEN printf('Refusing to delete protected path: %s', artifact_dir) ELSE '' END AS error, files, bytes
+  FROM ad LEFT JOIN summ USING (stage) LEFT JOIN fb USING (stage) LEFT JOIN nv USING (stage) LEFT JOIN ps USING (stage))
+SELECT stage, artifact_dir, error <> '' AS skipped, error,
+  CAST(CASE WHEN error = '' THEN coalesce(files, 0) ELSE 0 END AS BIGINT) AS deleted_files,
+  CAST(CASE WHEN error = '' THEN coalesce(bytes, 0) ELSE 0 END AS BIGINT) AS deleted_bytes, true AS dry_run FROM r""")
+ORACLE["stage_plan"] = W(LEDGER, """,
+pl AS (SELECT (['download', 'clean', 'train_tokenizer', 'tokenize', 'pack'])[n % 5 + 1] AS stage, state FROM ledk),
+comp AS (SELECT stage, count(*) > 0 AND bool_and(state = 'done') AS complete FROM pl GROUP BY stage),
+st AS (SELECT * FROM (VALUES (0, 'download'), (1, 'clean'), (2, 'train_tokenizer'), (3, 'tokenize'), (4, 'pack')) t(ord, stage))
+SELECT st.stage, CAST(st.ord AS INTEGER) AS ord, coalesce(complete, false) AS complete,
+       st.ord >= 1 AND NOT coalesce(complete, false) AS will_run FROM st LEFT JOIN comp USING (stage)""")

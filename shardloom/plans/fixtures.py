@@ -112,3 +112,48 @@ def train_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.when(is_eval, F.lit("eval")).otherwise(F.lit("train")).alias("type"),
                      F.when(~is_eval, F.col("value")).alias("loss"),
                      F.when(is_eval, F.col("value")).alias("val_loss"))
+
+
+def derived_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files under each stage's artifact folder: some in protected-looking sub-folders."""
+    led = derived_ledger(spark, sf_dir)
+    k = F.col("k")
+    sub = (F.when(F.pmod(k, F.lit(7)) == 0, F.lit("logs/")).when(F.pmod(k, F.lit(11)) == 0, F.lit("tokenizer/"))
+           .when(F.pmod(k, F.lit(13)) == 0, F.lit("blogs/")).otherwise(F.lit("")))
+    path = F.concat(F.lit("data/raw/shards/"), F.col("stage"), F.lit("/"), sub, F.col("shard_id"), F.lit(".txt"))
+    return led.select("stage", path.alias("path"), (k * 64).cast("long").alias("length"))
+
+
+def artifact_dirs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One artifact folder per stage; stage src4 points into a protected folder."""
+    st = derived_ledger(spark, sf_dir).select("stage").distinct()
+    d = (F.when(F.col("stage") == "src4", F.lit("data/manifests/src4/"))
+         .otherwise(F.concat(F.lit("data/raw/shards/"), F.col("stage"), F.lit("/"))))
+    return st.select("stage", d.alias("artifact_dir"))
+
+
+def ledger_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transition batch: pending -> processing; failed -> verified -> done; processing -> failed."""
+    led = derived_ledger(spark, sf_dir)
+    r = F.pmod(F.col("k"), F.lit(10))
+    ts = F.lit(LEDGER_NOW) + F.col("k")
+    base = led.filter(F.col("state").isin("pending", "failed", "processing"))
+    proc = base.filter(F.col("state") == "pending").select("stage", "shard_id", F.lit("processing").alias("op"), ts.alias("ts"))
+    ver = base.filter(F.col("state") == "failed").select("stage", "shard_id", F.lit("verified").alias("op"), ts.alias("ts"))
+    dn = base.filter(F.col("state") == "failed").select("stage", "shard_id", F.lit("done").alias("op"), (ts + 1).alias("ts"))
+    fl = base.filter(F.col("state") == "processing").select("stage", "shard_id", F.lit("failed").alias("op"), ts.alias("ts"))
+    u = proc.unionByName(ver).unionByName(dn).unionByName(fl)
+    del r
+    return u.select("stage", "shard_id", "op", F.col("ts").cast("double").alias("ts"),
+                    F.when(F.col("op") == "verified", F.concat(F.lit("redo/"), F.col("shard_id"), F.lit(".bin"))).alias("output_path"),
+                    F.when(F.col("op") == "verified", T.sha256_hex(F.concat(F.lit("redo/"), F.col("shard_id")))).alias("checksum"),
+                    F.when(F.col("op") == "verified", F.lit(7)).cast("long").alias("token_count"),
+                    F.when(F.col("op") == "failed", F.lit("timeout")).alias("error"))
+
+
+def pipeline_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The derived ledger re-labelled onto the five pipeline stages (stage = STAGES[n % 5])."""
+    led = derived_ledger(spark, sf_dir)
+    n = F.regexp_extract("stage", "([0-9]+)$", 1).cast("long")
+    st = F.element_at(F.array(*[F.lit(s) for s in STAGES]), (F.pmod(n, F.lit(5)) + 1).cast("int"))
+    return led.withColumn("stage", st)

@@ -196,3 +196,110 @@ def split_counts(spark, sf_dir):
     sh = X.shard_table(spark, sf_dir)
     sp = T.split_of_shard(F.col("shard_id"), X.FIXTURE_TEST_FRAC, X.FIXTURE_VAL_FRAC)
     return sh.groupBy(sp.alias("split")).agg(F.count(F.lit(1)).alias("shards"))
+
+
+# ----------------------------------------------------------------------------- ledger / integrity
+
+from ..operators import integrity as I  # noqa: E402
+from ..operators import ledger as L  # noqa: E402
+
+
+def _ledger(spark, sf_dir):
+    return X.derived_ledger(spark, sf_dir).drop("k")
+
+
+@query
+def ledger_load(spark, sf_dir):
+    """The ledger written as JSON rows and read back with a fixed schema."""
+    from ..session import scratch_path
+    from ..sources import ledger_io
+    path = scratch_path(spark, "ledger")
+    ledger_io.write_ledger(_ledger(spark, sf_dir), path)
+    return ledger_io.read_ledger(spark, path)
+
+
+@query
+def ledger_pending(spark, sf_dir):
+    return L.pending(_ledger(spark, sf_dir)).select("stage", "shard_id", "state")
+
+
+@query
+def ledger_done(spark, sf_dir):
+    return L.done(_ledger(spark, sf_dir)).select("stage", "shard_id", "state")
+
+
+@query
+def ledger_verified(spark, sf_dir):
+    return L.verified(_ledger(spark, sf_dir)).select("stage", "shard_id", "state")
+
+
+@query
+def reset_stale(spark, sf_dir):
+    return L.reset_stale(_ledger(spark, sf_dir), X.LEDGER_NOW).select("stage", "shard_id", "state", "updated_at")
+
+
+@query
+def resume_pending(spark, sf_dir):
+    up = X.shard_table(spark, sf_dir).select(F.col("source").alias("stage"), "shard_id")
+    return L.resume_pending(up, _ledger(spark, sf_dir))
+
+
+@query
+def register_shards(spark, sf_dir):
+    led = X.derived_ledger(spark, sf_dir)
+    existing = led.filter(F.pmod("k", F.lit(3)) != 0).drop("k")
+    ids = X.shard_table(spark, sf_dir).select(F.col("source").alias("stage"), "shard_id")
+    return L.register(existing, ids, X.LEDGER_NOW)
+
+
+@query
+def ledger_apply(spark, sf_dir):
+    return L.apply_updates(_ledger(spark, sf_dir), X.ledger_updates(spark, sf_dir))
+
+
+@query
+def ledger_summary(spark, sf_dir):
+    return L.summary(_ledger(spark, sf_dir))
+
+
+@query
+def stage_complete(spark, sf_dir):
+    return L.complete(_ledger(spark, sf_dir))
+
+
+@query
+def ledger_tokens(spark, sf_dir):
+    return L.total_tokens(_ledger(spark, sf_dir))
+
+
+@query
+def validate_packed(spark, sf_dir):
+    paths = _ledger(spark, sf_dir).select(F.col("output_path").alias("path"))
+    files = paths.join(X.derived_files(spark, sf_dir).select("path", "length"), "path", "left")
+    return I.validate_files(files)
+
+
+@query
+def verify_outputs(spark, sf_dir):
+    return I.verify_outputs(_ledger(spark, sf_dir), X.derived_files(spark, sf_dir))
+
+
+@query
+def deletable_files(spark, sf_dir):
+    return I.deletable(X.derived_listing(spark, sf_dir)).select("path", "length")
+
+
+@query
+def cleanup_bytes(spark, sf_dir):
+    return I.cleanup_bytes(X.derived_listing(spark, sf_dir), ["stage"])
+
+
+@query
+def cleanup_report(spark, sf_dir):
+    return I.cleanup_report(_ledger(spark, sf_dir), X.derived_files(spark, sf_dir),
+                            X.derived_listing(spark, sf_dir), X.artifact_dirs(spark, sf_dir))
+
+
+@query
+def stage_plan(spark, sf_dir):
+    return L.stage_plan(spark, X.STAGES, X.pipeline_ledger(spark, sf_dir).drop("k"), "clean")
