@@ -304,3 +304,37 @@ comp AS (SELECT stage, count(*) > 0 AND bool_and(state = 'done') AS complete FRO
 st AS (SELECT * FROM (VALUES (0, 'download'), (1, 'clean'), (2, 'train_tokenizer'), (3, 'tokenize'), (4, 'pack')) t(ord, stage))
 SELECT st.stage, CAST(st.ord AS INTEGER) AS ord, coalesce(complete, false) AS complete,
        st.ord >= 1 AND NOT coalesce(complete, false) AS will_run FROM st LEFT JOIN comp USING (stage)""")
+
+# ----------------------------------------------------------------------------- split / pack
+TOK = CLEANED + f""",
+tok AS (SELECT {split_of('shard_id')} AS split, shard_id, doc_id, line_idx,
+  list_concat([1], list_transform(list_filter(string_split(cleaned, ' '), lambda w: w <> ''),
+              lambda w: CAST(CAST(('0x' || substr(md5(w), 1, 7)) AS BIGINT) % 32000 AS INTEGER)), [2]) AS tokens FROM dedup),
+tokn AS (SELECT *, len(tokens) AS n_tokens FROM tok),
+offs AS (SELECT *, CAST(coalesce(sum(n_tokens) OVER (PARTITION BY split ORDER BY shard_id, doc_id, line_idx
+                                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS "offset" FROM tokn)"""
+FLAT = TOK + """,
+flat AS (SELECT split, "offset" + i - 1 AS pos, tokens[i] AS t FROM (SELECT *, unnest(generate_series(1, n_tokens)) AS i FROM offs) z),
+"""
+PACK = FLAT + """seqs AS (SELECT split, pos // 64 AS seq_id, list(t ORDER BY pos) AS toks FROM flat GROUP BY 1, 2),
+packed AS (SELECT * FROM seqs WHERE len(toks) = 64)"""
+ORACLE["shard_tokens"] = W(TOK, """
+SELECT split, shard_id, CAST(sum(n_tokens) AS BIGINT) AS tokens,
+       CAST(sum(sum(n_tokens)) OVER (PARTITION BY split ORDER BY shard_id) AS BIGINT) AS running_tokens FROM tokn GROUP BY 1, 2""")
+ORACLE["token_offsets"] = W(TOK, """
+SELECT split, shard_id, doc_id, line_idx, CAST(n_tokens AS INTEGER) AS n_tokens, "offset" FROM offs""")
+ORACLE["pack_sequences"] = W(PACK, """
+SELECT split, seq_id, CAST(len(toks) AS INTEGER) AS n, md5(array_to_string(toks, ',')) AS digest FROM packed""")
+ORACLE["pack_stats"] = W(PACK, """
+SELECT split, count(*) AS sequences, CAST(count(*) * 64 AS BIGINT) AS tokens, count(*) * 64 * 2 / 1e9 AS size_gb FROM packed GROUP BY split""")
+ORACLE["next_token_pairs"] = W(FLAT + """tot AS (SELECT split, max(pos) + 1 AS total FROM flat GROUP BY split),
+ex AS (SELECT f.split, s.seq_id, list(t ORDER BY pos) AS w FROM flat f JOIN tot USING (split),
+       LATERAL (SELECT unnest([pos // 64, pos // 64 - 1]) AS seq_id) s
+       WHERE s.seq_id >= 0 AND pos - s.seq_id * 64 <= 64 AND s.seq_id < total // 64 - 1 GROUP BY 1, 2)""", """
+SELECT split, seq_id, md5(array_to_string(w[1:64], ',')) AS x_digest, md5(array_to_string(w[2:65], ',')) AS y_digest,
+       w[2:64] = w[2:64] AS shifted FROM ex WHERE len(w) = 65""")
+ORACLE["training_batches"] = W(PACK + """,
+o AS (SELECT split, seq_id, CAST(row_number() OVER (PARTITION BY split ORDER BY
+        CASE WHEN split = 'train' THEN md5('7:0:' || CAST(seq_id AS VARCHAR)) ELSE '' END, seq_id) - 1 AS BIGINT) AS ordinal FROM packed),
+b AS (SELECT *, CAST(ordinal // 8 AS BIGINT) AS batch_id, count(*) OVER (PARTITION BY split) // 8 AS nfull FROM o)""", """
+SELECT split, seq_id, ordinal, batch_id FROM b WHERE split <> 'train' OR batch_id < nfull""")

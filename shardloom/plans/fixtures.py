@@ -157,3 +157,17 @@ def pipeline_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = F.regexp_extract("stage", "([0-9]+)$", 1).cast("long")
     st = F.element_at(F.array(*[F.lit(s) for s in STAGES]), (F.pmod(n, F.lit(5)) + 1).cast("int"))
     return led.withColumn("stage", st)
+
+
+FIXTURE_SEQ_LEN = 64
+FIXTURE_BATCH = 8
+
+
+def hash_token_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deduplicated cleaned lines with hash token ids and the fixture split per shard."""
+    from ..functions import tokens as TK
+    from ..operators.dedup import dedup_shard
+    dd = dedup_shard(cleaned_lines(spark, sf_dir))
+    ids = TK.with_template(TK.hash_ids(F.col("cleaned")))
+    return dd.select(T.split_of_shard(F.col("shard_id"), FIXTURE_TEST_FRAC, FIXTURE_VAL_FRAC).alias("split"),
+                     "shard_id", "doc_id", "line_idx", ids.alias("tokens")).withColumn("n_tokens", F.size("tokens"))

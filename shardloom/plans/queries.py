@@ -303,3 +303,49 @@ def cleanup_report(spark, sf_dir):
 @query
 def stage_plan(spark, sf_dir):
     return L.stage_plan(spark, X.STAGES, X.pipeline_ledger(spark, sf_dir).drop("k"), "clean")
+
+
+# ----------------------------------------------------------------------------- split / pack
+
+from ..functions import tokens as TK  # noqa: E402
+from ..operators import pack as P  # noqa: E402
+
+
+def _offsets(spark, sf_dir):
+    return P.token_offsets(X.hash_token_table(spark, sf_dir))
+
+
+@query
+def shard_tokens(spark, sf_dir):
+    return P.shard_tokens(X.hash_token_table(spark, sf_dir))
+
+
+@query
+def token_offsets(spark, sf_dir):
+    return _offsets(spark, sf_dir).select("split", "shard_id", "doc_id", "line_idx", "n_tokens", "offset")
+
+
+@query
+def pack_sequences(spark, sf_dir):
+    packed = P.pack_sequences(_offsets(spark, sf_dir), X.FIXTURE_SEQ_LEN)
+    return packed.select("split", "seq_id", F.size("tokens").alias("n"), TK.array_digest(F.col("tokens")).alias("digest"))
+
+
+@query
+def pack_stats(spark, sf_dir):
+    return P.pack_stats(P.pack_sequences(_offsets(spark, sf_dir), X.FIXTURE_SEQ_LEN), X.FIXTURE_SEQ_LEN)
+
+
+@query
+def next_token_pairs(spark, sf_dir):
+    ex = P.next_token_pairs(_offsets(spark, sf_dir), X.FIXTURE_SEQ_LEN)
+    return ex.select("split", "seq_id", TK.array_digest(F.col("x")).alias("x_digest"),
+                     TK.array_digest(F.col("y")).alias("y_digest"),
+                     (F.slice("x", 2, X.FIXTURE_SEQ_LEN - 1) == F.slice("y", 1, X.FIXTURE_SEQ_LEN - 1)).alias("shifted"))
+
+
+@query
+def training_batches(spark, sf_dir):
+    packed = P.pack_sequences(_offsets(spark, sf_dir), X.FIXTURE_SEQ_LEN)
+    key = F.md5(F.concat_ws(":", F.lit("7"), F.lit("0"), F.col("seq_id").cast("string")))
+    return P.training_batches(packed, X.FIXTURE_BATCH, order_key=key)
