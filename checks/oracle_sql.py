@@ -338,3 +338,63 @@ o AS (SELECT split, seq_id, CAST(row_number() OVER (PARTITION BY split ORDER BY
         CASE WHEN split = 'train' THEN md5('7:0:' || CAST(seq_id AS VARCHAR)) ELSE '' END, seq_id) - 1 AS BIGINT) AS ordinal FROM packed),
 b AS (SELECT *, CAST(ordinal // 8 AS BIGINT) AS batch_id, count(*) OVER (PARTITION BY split) // 8 AS nfull FROM o)""", """
 SELECT split, seq_id, ordinal, batch_id FROM b WHERE split <> 'train' OR batch_id < nfull""")
+
+# ----------------------------------------------------------------------------- metrics
+EVENTS = """sm AS (SELECT user_id AS run_id, (['download', 'clean', 'train_tokenizer', 'tokenize', 'pack'])[event_id % 5 + 1] AS stage,
+  CASE event_type WHEN 'signup' THEN 'start' WHEN 'view' THEN 'progress' WHEN 'click' THEN 'progress'
+       WHEN 'purchase' THEN 'end' WHEN 'error' THEN 'error' END AS event, ts, event_id, value FROM events),
+tm0 AS (SELECT user_id AS run_id, ts, event_id, value, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS step FROM events),
+tm AS (SELECT run_id, step, ts, event_id, CASE WHEN step % 5 = 0 THEN 'eval' ELSE 'train' END AS type,
+  CASE WHEN step % 5 <> 0 THEN value END AS loss, CASE WHEN step % 5 = 0 THEN value END AS val_loss FROM tm0)"""
+ORACLE["metric_sampling"] = W(EVENTS, """
+SELECT run_id, CAST(step AS INTEGER) AS step, step % 10 = 0 AS logged, step % 25 = 0 AND step <> 0 AS evaluated FROM tm
+WHERE step % 10 = 0 OR (step % 25 = 0 AND step <> 0)""")
+ORACLE["metric_serialise"] = W(EVENTS, """SELECT run_id, event_id, '{"value":"' || CAST(value AS VARCHAR) || '"}' AS metrics_json FROM sm""")
+ORACLE["throughput"] = W(EVENTS, """, d AS (SELECT run_id, step,
+  (epoch_us(ts) - lag(epoch_us(ts)) OVER (PARTITION BY run_id ORDER BY ts, step)) / 1e6 AS dt,
+  count(*) OVER (PARTITION BY run_id ORDER BY ts, step ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS c FROM tm)
+SELECT run_id, CAST(step AS INTEGER) AS step, CAST(floor(16384.0 / greatest(dt, 1e-9)) AS BIGINT) AS tokens_per_sec,
+       CAST(c * 16384 AS BIGINT) AS tokens_seen FROM d""")
+BEST = EVENTS + """, best AS (SELECT run_id, step, val_loss,
+  min(val_loss) OVER (PARTITION BY run_id ORDER BY step ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev FROM tm WHERE type = 'eval')"""
+ORACLE["best_checkpoints"] = W(BEST, """
+SELECT run_id, CAST(step AS INTEGER) AS step, val_loss, prev IS NULL OR val_loss < prev AS is_best FROM best""")
+ORACLE["latest_checkpoint"] = W(BEST, """
+SELECT run_id, arg_max(printf('checkpoints/best/best_%d.pt', step), step) AS path, CAST(max(step) AS INTEGER) AS step
+FROM best WHERE prev IS NULL OR val_loss < prev GROUP BY run_id""")
+ORACLE["stage_elapsed"] = W(EVENTS, """, e AS (SELECT run_id, stage, event, event_id,
+  epoch_us(ts) - last(CASE WHEN event = 'start' THEN epoch_us(ts) END IGNORE NULLS) OVER (PARTITION BY run_id, stage ORDER BY ts, event_id
+     ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS elapsed_us FROM sm)
+SELECT run_id, stage, event_id, elapsed_us, elapsed_us / 1e6 AS elapsed_s FROM e WHERE event = 'end'""")
+ORACLE["stage_outcomes"] = W(EVENTS, """
+SELECT run_id, stage, count(*) FILTER (WHERE event = 'start') AS starts, count(*) FILTER (WHERE event = 'end') AS ends,
+  count(*) FILTER (WHERE event = 'progress') AS progress, count(*) FILTER (WHERE event = 'error') AS errors,
+  arg_max(CAST(value AS VARCHAR), event_id) FILTER (WHERE event = 'error') AS last_error,
+  (max(epoch_us(ts)) FILTER (WHERE event = 'end') - min(epoch_us(ts)) FILTER (WHERE event = 'start')) / 1e6 AS span_s
+FROM sm GROUP BY run_id, stage""")
+UNI = TOK + """,
+trc AS (SELECT t AS id, count(*) AS c FROM (SELECT unnest(tokens) AS t FROM tokn WHERE split = 'train') GROUP BY 1),
+trn AS (SELECT sum(c) AS n FROM trc),
+model AS (SELECT id, -ln((c + 1) / (n + 32000.0)) AS nll FROM trc, trn),
+unseen AS (SELECT -ln(1.0 / (n + 32000.0)) AS u FROM trn)"""
+ORACLE["unigram_perplexity"] = W(UNI + """,
+vc AS (SELECT t AS id, count(*) AS c FROM (SELECT unnest(tokens) AS t FROM tokn WHERE split = 'validation') GROUP BY 1),
+s AS (SELECT sum(c) AS tokens, sum(c * coalesce(nll, u)) AS nll_sum FROM vc LEFT JOIN model USING (id), unseen)""", """
+SELECT tokens, round(nll_sum, 4) AS nll_sum, round(exp(nll_sum / tokens), 4) AS perplexity FROM s""")
+ORACLE["batch_mean_loss"] = W(UNI + """,
+flat AS (SELECT split, "offset" + i - 1 AS pos, tokens[i] AS t FROM (SELECT *, unnest(generate_series(1, n_tokens)) AS i FROM offs) z),
+tot AS (SELECT split, max(pos) + 1 AS total FROM flat GROUP BY split),
+ex AS (SELECT f.split, s.seq_id, list(t ORDER BY pos) AS w FROM flat f JOIN tot USING (split),
+       LATERAL (SELECT unnest([pos // 64, pos // 64 - 1]) AS seq_id) s
+       WHERE s.seq_id >= 0 AND pos - s.seq_id * 64 <= 64 AND s.seq_id < total // 64 - 1 GROUP BY 1, 2),
+y AS (SELECT seq_id // 8 AS batch, unnest(w[2:65]) AS id FROM ex WHERE len(w) = 65 AND split = 'validation'),
+b AS (SELECT batch, avg(coalesce(nll, u)) AS loss FROM y LEFT JOIN model USING (id), unseen GROUP BY batch)""", """
+SELECT count(*) AS batches, round(avg(loss), 6) AS mean_loss FROM b""")
+ORACLE["topk_softmax"] = """WITH sc AS (SELECT vec_id, CAST(unnest(range(len(embedding))) AS BIGINT) AS pos, CAST(unnest(embedding) AS DOUBLE) AS score FROM embeddings),
+r AS (SELECT *, rank() OVER (PARTITION BY vec_id ORDER BY score DESC) AS rank FROM sc),
+k AS (SELECT *, exp((score - max(score) OVER (PARTITION BY vec_id)) / 0.7) AS z FROM r WHERE rank <= 5)
+SELECT vec_id, pos, CAST(rank AS INTEGER) AS rank, round(z / sum(z) OVER (PARTITION BY vec_id), 6) AS prob FROM k"""
+ORACLE["stage_event_windows"] = W(EVENTS, """
+SELECT strftime(time_bucket(INTERVAL 1 day, ts), '%Y-%m-%d %H:%M:%S') AS window_start,
+       strftime(time_bucket(INTERVAL 1 day, ts) + INTERVAL 1 day, '%Y-%m-%d %H:%M:%S') AS window_end, stage, event, count(*) AS n
+FROM sm GROUP BY 1, 2, 3, 4""")

@@ -349,3 +349,86 @@ def training_batches(spark, sf_dir):
     packed = P.pack_sequences(_offsets(spark, sf_dir), X.FIXTURE_SEQ_LEN)
     key = F.md5(F.concat_ws(":", F.lit("7"), F.lit("0"), F.col("seq_id").cast("string")))
     return P.training_batches(packed, X.FIXTURE_BATCH, order_key=key)
+
+
+# ----------------------------------------------------------------------------- metrics
+
+from ..operators import metrics as M  # noqa: E402
+
+LOG_EVERY, EVAL_EVERY = 10, 25
+TP_SEQ, TP_BATCH = 512, 32
+TOPK, TEMPERATURE = 5, 0.7
+
+
+@query
+def metric_sampling(spark, sf_dir):
+    return M.sample_steps(X.train_metrics(spark, sf_dir), LOG_EVERY, EVAL_EVERY)
+
+
+@query
+def metric_serialise(spark, sf_dir):
+    return M.serialise_metrics(X.stage_metrics(spark, sf_dir)).select("run_id", "event_id", "metrics_json")
+
+
+@query
+def throughput(spark, sf_dir):
+    return M.throughput(X.train_metrics(spark, sf_dir), TP_SEQ, TP_BATCH)
+
+
+@query
+def best_checkpoints(spark, sf_dir):
+    return M.best_checkpoints(X.train_metrics(spark, sf_dir)).select("run_id", "step", "val_loss", "is_best")
+
+
+@query
+def latest_checkpoint(spark, sf_dir):
+    return M.latest_checkpoint(M.best_checkpoints(X.train_metrics(spark, sf_dir)))
+
+
+@query
+def stage_elapsed(spark, sf_dir):
+    return M.stage_elapsed(X.stage_metrics(spark, sf_dir))
+
+
+@query
+def stage_outcomes(spark, sf_dir):
+    return M.stage_outcomes(X.stage_metrics(spark, sf_dir))
+
+
+def _unigram(spark, sf_dir):
+    tok = X.hash_token_table(spark, sf_dir)
+    model = M.unigram_nll(tok.filter(F.col("split") == "train"), 32000)
+    return tok, model
+
+
+@query
+def unigram_perplexity(spark, sf_dir):
+    tok, model = _unigram(spark, sf_dir)
+    r = M.perplexity(tok.filter(F.col("split") == "validation"), model)
+    return r.select("tokens", F.round("nll_sum", 4).alias("nll_sum"), F.round("perplexity", 4).alias("perplexity"))
+
+
+@query
+def batch_mean_loss(spark, sf_dir):
+    tok, model = _unigram(spark, sf_dir)
+    ex = P.next_token_pairs(P.token_offsets(tok), X.FIXTURE_SEQ_LEN).filter(F.col("split") == "validation")
+    r = M.batch_mean_loss(ex, model, X.FIXTURE_BATCH)
+    return r.select("batches", F.round("mean_loss", 6).alias("mean_loss"))
+
+
+@query
+def topk_softmax(spark, sf_dir):
+    emb = read_table(spark, sf_dir, "embeddings")
+    sc = emb.select("vec_id", F.posexplode("embedding").alias("pos", "score")).withColumn(
+        "score", F.col("score").cast("double"))
+    r = M.topk_softmax(sc, "vec_id", "score", TOPK, TEMPERATURE)
+    return r.select("vec_id", F.col("pos").cast("long").alias("pos"), "rank", F.round("prob", 6).alias("prob"))
+
+
+@query
+def stage_event_windows(spark, sf_dir):
+    """R3 batch twin: daily counts per stage and event (the streaming form is in streaming/)."""
+    ev = X.stage_metrics(spark, sf_dir)
+    g = ev.groupBy(F.window("ts", "1 day").alias("w"), "stage", "event").agg(F.count(F.lit(1)).alias("n"))
+    return g.select(F.date_format("w.start", "yyyy-MM-dd HH:mm:ss").alias("window_start"),
+                    F.date_format("w.end", "yyyy-MM-dd HH:mm:ss").alias("window_end"), "stage", "event", "n")
