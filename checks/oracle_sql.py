@@ -398,3 +398,30 @@ ORACLE["stage_event_windows"] = W(EVENTS, """
 SELECT strftime(time_bucket(INTERVAL 1 day, ts), '%Y-%m-%d %H:%M:%S') AS window_start,
        strftime(time_bucket(INTERVAL 1 day, ts) + INTERVAL 1 day, '%Y-%m-%d %H:%M:%S') AS window_end, stage, event, count(*) AS n
 FROM sm GROUP BY 1, 2, 3, 4""")
+
+# ----------------------------------------------------------------------------- tokenizer
+from shardloom.functions import pretok as _PT  # noqa: E402
+
+PRE = _PT.PRETOKEN_RE_NO_LOOKAHEAD.replace("'", "''")
+CORPUS = CLEANED + f""",
+corpus AS (SELECT shard_id, doc_id, line_idx, cleaned AS text FROM dedup),
+ptf AS (SELECT unnest(regexp_extract_all(CASE WHEN starts_with(text, ' ') THEN text ELSE ' ' || text END || chr(10), '{PRE}')) AS pretoken FROM corpus),
+freq AS (SELECT pretoken, count(*) AS freq FROM ptf GROUP BY pretoken),
+fb AS (SELECT pretoken, freq, hex(encode(pretoken)) AS h FROM freq),
+bytes AS (SELECT DISTINCT CAST(('0x' || substr(h, 2 * i + 1, 2)) AS INTEGER) AS byte
+          FROM (SELECT h, unnest(range(CAST(length(h) / 2 AS BIGINT))) AS i FROM fb)),
+alpha AS (SELECT byte, char_code, CAST(row_number() OVER (ORDER BY char_code) - 1 + 4 AS INTEGER) AS id FROM (
+  SELECT byte, CASE WHEN (byte BETWEEN 33 AND 126) OR (byte BETWEEN 161 AND 172) OR (byte BETWEEN 174 AND 255) THEN byte
+                    WHEN byte <= 32 THEN 256 + byte WHEN byte <= 160 THEN 289 + (byte - 127) ELSE 323 END AS char_code FROM bytes)),
+pairs AS (SELECT a.id AS left_id, b.id AS right_id, CAST(sum(freq) AS BIGINT) AS count FROM (
+    SELECT freq, CAST(('0x' || substr(h, 2 * i + 1, 2)) AS INTEGER) AS x, CAST(('0x' || substr(h, 2 * i + 3, 2)) AS INTEGER) AS y
+    FROM (SELECT h, freq, unnest(range(CAST(length(h) / 2 AS BIGINT) - 1)) AS i FROM fb)) p
+  JOIN alpha a ON a.byte = p.x JOIN alpha b ON b.byte = p.y GROUP BY 1, 2 HAVING sum(freq) >= 2)"""
+ORACLE["pretokenize"] = W(CORPUS, f""", pl AS (SELECT shard_id, doc_id, line_idx,
+  regexp_extract_all(CASE WHEN starts_with(text, ' ') THEN text ELSE ' ' || text END, '{PRE}') AS p FROM corpus)
+SELECT shard_id, doc_id, line_idx, CAST(len(p) AS INTEGER) AS n_pretokens, md5(array_to_string(p, chr(1))) AS digest FROM pl""")
+ORACLE["pretoken_freq"] = W(CORPUS, "SELECT pretoken, freq FROM freq")
+ORACLE["bpe_alphabet"] = W(CORPUS, "SELECT byte, char_code, id FROM alpha")
+ORACLE["bpe_pair_counts"] = W(CORPUS, "SELECT left_id, right_id, count FROM pairs")
+ORACLE["bpe_top_pairs"] = W(CORPUS, "SELECT left_id, right_id, count FROM pairs ORDER BY count DESC, left_id, right_id LIMIT 20")
+ORACLE["eval_sample"] = W(CORPUS, "SELECT shard_id, doc_id, line_idx FROM corpus ORDER BY shard_id, doc_id, line_idx LIMIT 50000")

@@ -171,3 +171,28 @@ def hash_token_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     ids = TK.with_template(TK.hash_ids(F.col("cleaned")))
     return dd.select(T.split_of_shard(F.col("shard_id"), FIXTURE_TEST_FRAC, FIXTURE_VAL_FRAC).alias("split"),
                      "shard_id", "doc_id", "line_idx", ids.alias("tokens")).withColumn("n_tokens", F.size("tokens"))
+
+
+FIXTURE_VOCAB = 400
+
+
+def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cleaned, per-shard deduplicated corpus (the tokenizer's training lines)."""
+    from ..operators.dedup import dedup_shard
+    from ..session import materialize
+    dd = dedup_shard(cleaned_lines(spark, sf_dir))
+    return materialize(dd.select("shard_id", "doc_id", "line_idx", F.col("cleaned").alias("text")))
+
+
+_MODELS: dict = {}
+
+
+def trained_model(spark: SparkSession, sf_dir: str, vocab_size: int = FIXTURE_VOCAB):
+    """Train once per (application, data, size); the model is driver-side and vocabulary-bounded."""
+    from ..operators import bpe as B
+    from ..session import materialize
+    key = (spark.sparkContext.applicationId, sf_dir, vocab_size)
+    if key not in _MODELS:
+        freq = materialize(B.pretoken_freq(corpus(spark, sf_dir), "text"))
+        _MODELS[key] = B.train_bpe(spark, freq, vocab_size=vocab_size)
+    return _MODELS[key]

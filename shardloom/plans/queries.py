@@ -432,3 +432,96 @@ def stage_event_windows(spark, sf_dir):
     g = ev.groupBy(F.window("ts", "1 day").alias("w"), "stage", "event").agg(F.count(F.lit(1)).alias("n"))
     return g.select(F.date_format("w.start", "yyyy-MM-dd HH:mm:ss").alias("window_start"),
                     F.date_format("w.end", "yyyy-MM-dd HH:mm:ss").alias("window_end"), "stage", "event", "n")
+
+
+# ----------------------------------------------------------------------------- tokenizer
+
+from ..functions import pretok as PT  # noqa: E402
+from ..operators import bpe as B  # noqa: E402
+from ..operators import tokenize as TZ  # noqa: E402
+from ..session import materialize  # noqa: E402
+
+KEY = ["shard_id", "doc_id", "line_idx"]
+TOP_PAIRS = 20
+
+
+def _freq(spark, sf_dir):
+    return materialize(B.pretoken_freq(X.corpus(spark, sf_dir), "text"))
+
+
+@query
+def pretokenize(spark, sf_dir):
+    c = X.corpus(spark, sf_dir)
+    p = PT.pretokens(F.col("text"))
+    return c.select(*KEY, F.size(p).alias("n_pretokens"), F.md5(F.array_join(p, "\u0001")).alias("digest"))
+
+
+@query
+def pretoken_freq(spark, sf_dir):
+    return B.pretoken_freq(X.corpus(spark, sf_dir), "text")
+
+
+@query
+def bpe_alphabet(spark, sf_dir):
+    return B.alphabet(_freq(spark, sf_dir)).select("byte", "char_code", "id")
+
+
+def _initial_pairs(spark, sf_dir):
+    freq = _freq(spark, sf_dir)
+    ids = {r["byte"]: r["id"] for r in B.alphabet(freq).collect()}     # <= 256 rows
+    return B.pair_counts(B.initial_words(freq, ids))
+
+
+@query
+def bpe_pair_counts(spark, sf_dir):
+    return B.with_pair_ids(_initial_pairs(spark, sf_dir)).select("left_id", "right_id", "count")
+
+
+@query
+def bpe_top_pairs(spark, sf_dir):
+    return B.with_pair_ids(B.top_pairs(_initial_pairs(spark, sf_dir), TOP_PAIRS)).select("left_id", "right_id", "count")
+
+
+@query
+def bpe_train(spark, sf_dir):
+    return X.trained_model(spark, sf_dir).merges_frame(spark)
+
+
+def _tokenized(spark, sf_dir):
+    model = X.trained_model(spark, sf_dir)
+    c = X.corpus(spark, sf_dir)
+    return c, model, TZ.tokenize_lines(spark, c, model, KEY, "text")
+
+
+@query
+def tokenize_documents(spark, sf_dir):
+    _, _, tok = _tokenized(spark, sf_dir)
+    return tok.select(*KEY, "n_tokens", TK.array_digest(F.col("tokens")).alias("digest"))
+
+
+@query
+def decode_roundtrip(spark, sf_dir):
+    c, model, tok = _tokenized(spark, sf_dir)
+    dec = TZ.decode(spark, tok, model, KEY)
+    j = c.join(dec, KEY, "left")
+    ok = F.coalesce(F.col("decoded") == PT.with_prefix_space(F.col("text")), F.lit(False))
+    return j.agg(F.count(F.lit(1)).alias("lines"), F.count_if(ok).alias("roundtrip_ok"))
+
+
+@query
+def tokenizer_stats(spark, sf_dir):
+    c, model, tok = _tokenized(spark, sf_dir)
+    sample = TZ.eval_sample(c, KEY)
+    return TZ.tokenizer_stats(tok.join(sample, KEY, "left_semi").join(c, KEY), "text")
+
+
+@query
+def example_tokens(spark, sf_dir):
+    c, model, tok = _tokenized(spark, sf_dir)
+    first = TZ.eval_sample(c, KEY, 1)
+    return TZ.example(spark, tok.join(first, KEY), model, "text")
+
+
+@query
+def eval_sample(spark, sf_dir):
+    return TZ.eval_sample(X.corpus(spark, sf_dir), KEY).select(*KEY)

@@ -33,9 +33,32 @@ def build_session(master: str | None = None, app: str = "shardloom",
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``shardloom`` importable in Python workers (Arrow UDFs pickle by reference).
+
+    The package is zipped once per SparkContext and added with ``addPyFile``, which
+    distributes it to every executor, as a cluster deployment would.
+    """
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    import shutil
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    out = tempfile.mkdtemp(prefix="shardloom-pkg-", dir="/tmp")
+    archive = shutil.make_archive(os.path.join(out, "shardloom"), "zip",
+                                  root_dir=os.path.dirname(pkg_dir), base_dir="shardloom")
+    sc.addPyFile(archive)
+    _SHIPPED.add(key)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
