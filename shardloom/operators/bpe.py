@@ -76,6 +76,50 @@ def initial_words(freq: DataFrame, byte_ids: dict[int, int]) -> DataFrame:
     return freq.select(syms.alias("symbols"), F.col("freq").cast("long").alias("freq"))
 
 
+# Training state: a word is a string with one code point per symbol, U+10000 + id. A merge
+# is then a native left-to-right, non-overlapping ``replace`` of a two-code-point string
+# (UTF-8 is self-synchronising, so matches fall on symbol boundaries), and pairs are the
+# overlapping two-code-point windows of the string.
+SYMBOL_BASE = 0x10000
+_PAIR_WINDOWS = "(?=(..))"
+
+
+def sym(i: int) -> str:
+    return chr(SYMBOL_BASE + i)
+
+
+def symbol_words(freq: DataFrame, byte_ids: dict[int, int]) -> DataFrame:
+    """(w STRING, freq) with one code point per symbol; built JVM-side through UTF-32 (big-endian)."""
+    m = _map_literal(byte_ids)
+    codes = F.transform(PT.utf8_bytes(F.col("pretoken")),
+                        lambda b: F.lpad(F.hex(F.coalesce(m[b], F.lit(UNK_ID)) + SYMBOL_BASE), 8, "0"))
+    w = F.decode(F.unhex(F.array_join(codes, "")), "UTF-32")
+    return freq.select(w.alias("w"), F.col("freq").cast("long").alias("freq"))
+
+
+def symbol_pair_counts(words: DataFrame, min_frequency: int = MIN_FREQUENCY) -> DataFrame:
+    """T3 on the string state: (pair STRING of two symbols, count)."""
+    pairs = words.select(F.explode(F.regexp_extract_all("w", F.lit(_PAIR_WINDOWS), 1)).alias("pair"), "freq")
+    # Java regex steps one UTF-16 unit after an empty match, so every other window starts
+    # inside a surrogate pair and comes back as '?'+symbol; real pairs start at U+10000.
+    pairs = pairs.filter(F.col("pair") >= F.lit(sym(0)))
+    pc = pairs.groupBy("pair").agg(F.sum("freq").alias("count"))
+    return pc.filter(F.col("count") >= min_frequency)
+
+
+def symbol_top_pairs(pc: DataFrame, k: int) -> DataFrame:
+    """Ranking (count desc, left asc, right asc): symbol order equals id order."""
+    return pc.orderBy(F.col("count").desc(), F.col("pair").asc()).limit(k)
+
+
+def _apply_symbol_merges(words: DataFrame, batch: list[tuple[int, int, int]]) -> DataFrame:
+    """Apply a batch (disjoint pairs, fresh outputs) as chained native replaces."""
+    w = F.col("w")
+    for left, right, new in batch:
+        w = F.replace(w, F.lit(sym(left) + sym(right)), F.lit(sym(new)))
+    return words.select(w.alias("w"), "freq").filter(F.length("w") >= 2)
+
+
 # ----------------------------------------------------------------------------- T3 / T4
 
 def pair_counts(words: DataFrame, min_frequency: int = MIN_FREQUENCY) -> DataFrame:
@@ -192,20 +236,20 @@ def train_bpe(spark: SparkSession, freq: DataFrame, vocab_size: int = VOCAB_SIZE
     known = {v: k for k, v in vocab.items() if k >= len(SPECIAL_TOKENS)}
     model = BpeModel(byte_ids, vocab)
 
-    words = initial_words(freq, byte_ids).filter(F.size("symbols") >= 2)
+    words = symbol_words(freq, byte_ids).filter(F.length("w") >= 2)
     words = materialize(words)
     stale: list[DataFrame] = []
     rnd = 0
     while len(vocab) < vocab_size and (max_rounds is None or rnd < max_rounds):
-        top = top_pairs(pair_counts(words, min_frequency), candidates + 1).collect()
+        top = symbol_top_pairs(symbol_pair_counts(words, min_frequency), candidates + 1).collect()
         for old in stale:                       # ``words`` is now computed; drop its parents
             old.unpersist()
         stale = []
         if not top:
             break
-        cands = [(int(r["pair"]) // PAIR_BASE, int(r["pair"]) % PAIR_BASE, int(r["count"])) for r in top]
+        cands = [(ord(r["pair"][0]) - SYMBOL_BASE, ord(r["pair"][1]) - SYMBOL_BASE, int(r["count"])) for r in top]
         batch = select_batch(cands, vocab, known, vocab_size - len(vocab), candidates)
-        merges: dict[int, int] = {}
+        applied: list[tuple[int, int, int]] = []
         for left, right, reuse in batch:
             text = vocab[left] + vocab[right]
             if reuse:
@@ -215,9 +259,9 @@ def train_bpe(spark: SparkSession, freq: DataFrame, vocab_size: int = VOCAB_SIZE
                 vocab[new_id] = text
                 known[text] = new_id
             model.merges.append((left, right, new_id))
-            merges[left * PAIR_BASE + right] = new_id
+            applied.append((left, right, new_id))
         rnd += 1
-        nxt = _apply_merges(words, merges)
+        nxt = _apply_symbol_merges(words, applied)
         if rnd % checkpoint_every == 0:
             nxt = materialize(nxt)              # reliable checkpoint: bounded lineage
         else:
