@@ -425,3 +425,16 @@ ORACLE["bpe_alphabet"] = W(CORPUS, "SELECT byte, char_code, id FROM alpha")
 ORACLE["bpe_pair_counts"] = W(CORPUS, "SELECT left_id, right_id, count FROM pairs")
 ORACLE["bpe_top_pairs"] = W(CORPUS, "SELECT left_id, right_id, count FROM pairs ORDER BY count DESC, left_id, right_id LIMIT 20")
 ORACLE["eval_sample"] = W(CORPUS, "SELECT shard_id, doc_id, line_idx FROM corpus ORDER BY shard_id, doc_id, line_idx LIMIT 50000")
+
+# ----------------------------------------------------------------------------- files and streams
+ORACLE["text_shards"] = W(SHARDS, f""", dl AS (SELECT shard_id, doc_id, string_split_regex(text, '\\r\\n|\\r|\\n') AS lst FROM sh2),
+dl2 AS (SELECT *, coalesce(sum(len(lst)) OVER (PARTITION BY shard_id ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM dl),
+x AS (SELECT shard_id, before, unnest(range(len(lst))) AS i, unnest(lst) AS line FROM dl2)
+SELECT shard_id, CAST(before + i AS BIGINT) AS line_no, line FROM x WHERE {not_blank('line')}""")
+ORACLE["packed_binary"] = W(PACK, "SELECT seq_id, md5(array_to_string(toks, ',')) AS digest FROM packed WHERE split = 'train'")
+ORACLE["incremental_clean"] = W(CLEANED, """, ph AS (
+  SELECT shard_id, CASE WHEN reject_reason IS NULL THEN sha1(cleaned) END AS sha1, count(*) AS n FROM cleaned GROUP BY 1, 2)
+SELECT shard_id, CAST(sum(n) AS BIGINT) AS docs_in, count(sha1) AS docs_out FROM ph GROUP BY shard_id""")
+ORACLE["stream_dedup"] = W(CLEANED, """
+SELECT shard_id, count(DISTINCT sha1(cleaned)) AS docs_out FROM cleaned WHERE reject_reason IS NULL GROUP BY shard_id""")
+ORACLE["stage_event_stream"] = ORACLE["stage_event_windows"]

@@ -525,3 +525,73 @@ def example_tokens(spark, sf_dir):
 @query
 def eval_sample(spark, sf_dir):
     return TZ.eval_sample(X.corpus(spark, sf_dir), KEY).select(*KEY)
+
+
+# ----------------------------------------------------------------------------- files and streams
+
+def _text_shards_dir(spark, sf_dir):
+    from ..session import scratch_path
+    from ..sources import textshards as TS
+    path = scratch_path(spark, "raw-shards")
+    TS.write_text_shards(X.sharded_documents(spark, sf_dir), path)
+    return path
+
+
+@query
+def text_shards(spark, sf_dir):
+    """S5 + S8: shards written as text files and scanned back with exact line numbers."""
+    from ..sources import textshards as TS
+    return TS.read_text_shards(spark, _text_shards_dir(spark, sf_dir)).select("shard_id", "line_no", "line")
+
+
+@query
+def packed_binary(spark, sf_dir):
+    """S9 + S10: train sequences written as uint16 files and read back."""
+    from ..session import scratch_path
+    from ..sources import tokenbin
+    packed = P.pack_sequences(_offsets(spark, sf_dir), X.FIXTURE_SEQ_LEN).filter(F.col("split") == "train")
+    path = scratch_path(spark, "packed-train")
+    tokenbin.write_packed(packed, path)
+    back = spark.read.format("tokenbin").option("seq_len", X.FIXTURE_SEQ_LEN).load(path)
+    return back.select("seq_id", TK.array_digest(F.col("tokens")).alias("digest"))
+
+
+@query
+def incremental_clean(spark, sf_dir):
+    """The streaming clean stage's ledger yields (equal to the batch clean_yield)."""
+    from ..session import scratch_path
+    from ..streaming.incremental import incremental_clean as run
+    shards = _text_shards_dir(spark, sf_dir)
+    out, led, ck = (scratch_path(spark, n) for n in ("clean-out", "clean-ledger", "clean-ckpt"))
+    run(spark, shards, out, led, ck, T.policy_by_number(F.col("source")))
+    return spark.read.parquet(led).select("shard_id", F.col("docs_in").cast("long").alias("docs_in"),
+                                          F.col("docs_out").cast("long").alias("docs_out"))
+
+
+@query
+def stream_dedup(spark, sf_dir):
+    """R2: stateful streaming dedup; distinct kept texts per shard."""
+    from ..session import scratch_path
+    from ..sources import textshards as TS
+    from ..streaming.incremental import stateful_dedup
+    shards = _text_shards_dir(spark, sf_dir)
+    lines = TS.stream_text_shards(spark, shards).withColumnRenamed("line_no", "line_idx")
+    cleaned = C.clean_lines(lines, T.policy_by_number(F.col("source")))
+    out, ck = scratch_path(spark, "dedup-out"), scratch_path(spark, "dedup-ckpt")
+    q = (stateful_dedup(cleaned).select("shard_id", "sha1").writeStream.format("parquet")
+         .option("path", out).option("checkpointLocation", ck).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(out).groupBy("shard_id").agg(F.count(F.lit(1)).alias("docs_out"))
+
+
+@query
+def stage_event_stream(spark, sf_dir):
+    """The watermarked event-time rollup run as a stream; equals the batch twin."""
+    from ..session import scratch_path
+    from ..streaming import events as EV
+    schema = read_table(spark, sf_dir, "events").schema
+    out, ck = scratch_path(spark, "event-windows"), scratch_path(spark, "event-ckpt")
+    EV.run_stage_event_windows(spark, f"{sf_dir.rstrip('/')}/events*.parquet", schema, out, ck)
+    r = EV.latest_windows(spark.read.parquet(out))
+    return r.select(F.date_format("w.start", "yyyy-MM-dd HH:mm:ss").alias("window_start"),
+                    F.date_format("w.end", "yyyy-MM-dd HH:mm:ss").alias("window_end"), "stage", "event", "n")
