@@ -438,3 +438,10 @@ SELECT shard_id, CAST(sum(n) AS BIGINT) AS docs_in, count(sha1) AS docs_out FROM
 ORACLE["stream_dedup"] = W(CLEANED, """
 SELECT shard_id, count(DISTINCT sha1(cleaned)) AS docs_out FROM cleaned WHERE reject_reason IS NULL GROUP BY shard_id""")
 ORACLE["stage_event_stream"] = ORACLE["stage_event_windows"]
+FILEB = SHARDS + """, fb AS (SELECT shard_id, source, split, CAST(sum(octet_length(encode(text)) + 1) AS BIGINT) AS length,
+  sha256(string_agg(text || chr(10), '' ORDER BY doc_id)) AS file_checksum FROM sh2 GROUP BY shard_id, source, split)"""
+ORACLE["storage_summary"] = W(FILEB, """
+SELECT 'all' AS label, CAST(sum(length) AS BIGINT) AS bytes, count(*) AS files FROM fb
+UNION ALL SELECT 'src1', CAST(sum(length) AS BIGINT), count(*) FROM fb WHERE source = 'src1'
+UNION ALL SELECT 'train', CAST(sum(length) AS BIGINT), count(*) FROM fb WHERE split = 'train'""")
+ORACLE["file_checksums"] = W(FILEB, "SELECT shard_id, length, file_checksum FROM fb")

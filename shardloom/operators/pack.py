@@ -121,3 +121,14 @@ def training_batches(packed: DataFrame, batch_size: int, seed: int = 0, epoch: i
 def check_uint16(tok: DataFrame) -> DataFrame:
     """Rows whose ids do not fit the uint16 binary format (must be empty before S9)."""
     return tok.filter(F.exists("tokens", lambda t: (t < 0) | (t > UINT16_MAX)))
+
+
+def splits_to_pack(splits: DataFrame, existing: DataFrame, seq_len: int = SEQ_LEN) -> DataFrame:
+    """Splits whose packed output does not already validate (K3) still need packing.
+
+    ``splits``: (split); ``existing``: (split, length) of packed outputs already on disk.
+    """
+    from .integrity import validate_bin
+    valid, _, _ = validate_bin(F.col("length"), F.col("length").isNotNull(), seq_len)
+    ok = existing.filter(valid).select("split")
+    return splits.join(ok, "split", "left_anti")

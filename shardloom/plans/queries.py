@@ -595,3 +595,22 @@ def stage_event_stream(spark, sf_dir):
     r = EV.latest_windows(spark.read.parquet(out))
     return r.select(F.date_format("w.start", "yyyy-MM-dd HH:mm:ss").alias("window_start"),
                     F.date_format("w.end", "yyyy-MM-dd HH:mm:ss").alias("window_end"), "stage", "event", "n")
+
+
+@query
+def storage_summary(spark, sf_dir):
+    """Bytes and files per labelled folder of the written raw shards (labels nest)."""
+    from ..operators.integrity import list_files, storage_summary as summ
+    listing = list_files(spark, _text_shards_dir(spark, sf_dir), "*.txt")
+    return summ(listing, [("all", "source="), ("src1", "source=src1/"), ("train", "split=train/")])
+
+
+@query
+def file_checksums(spark, sf_dir):
+    """SHA-256 of every shard file's bytes, read through binaryFile."""
+    from ..operators.integrity import file_checksums as fc
+    from ..sources.textshards import SHARD_DIR_RE
+    c = fc(spark, _text_shards_dir(spark, sf_dir), "*.txt")
+    sid = T.shard_id_expr(F.regexp_extract("path", SHARD_DIR_RE, 1), F.regexp_extract("path", SHARD_DIR_RE, 2),
+                          F.regexp_extract("path", SHARD_DIR_RE, 3).cast("int"))
+    return c.select(sid.alias("shard_id"), "length", "file_checksum")
