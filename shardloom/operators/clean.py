@@ -15,13 +15,24 @@ def clean_lines(lines: DataFrame, policy: Column, text_col: str = "line",
     Adds ``policy``, ``cleaned`` (rule chain output), ``reject_reason`` (NULL when kept),
     ``kept`` and ``sha1`` (of ``cleaned``, only for kept rows). Narrow: no shuffle.
     """
-    src = F.col(text_col)
-    df = lines.withColumn("policy", policy)
-    chained = T.policy_chain(src, F.col("policy"))
-    df = df.withColumn("cleaned", chained)
-    reason = F.coalesce(T.rule_reason(T.normalize_text(src), F.col("policy")),
-                        T.quality_reason(F.col("cleaned"), rules))
-    df = df.withColumn("reject_reason", reason)
+    # Staged columns: each rule runs once per row (they are referenced several times, so
+    # the optimizer keeps them as separate projections instead of re-inlining them).
+    pol = F.col("policy")
+    wiki = pol == "wikitext"
+    df = (lines.withColumn("policy", policy)
+          .withColumn("_n", T.normalize_text(F.col(text_col)))
+          .withColumn("_w", F.when(wiki, T.fix_wiki_artifacts(F.col("_n"))))
+          .withColumn("_rule", F.when(wiki & T.is_heading(F.col("_w")), F.lit("heading"))
+                      .when(wiki & T.is_symbols_only(F.col("_w")), F.lit("symbols_only"))
+                      .when(~wiki & T.is_boilerplate(F.col("_n")), F.lit("boilerplate"))))
+    emptied = F.col("_rule").isNotNull()
+    cleaned = (F.when(emptied, F.lit(""))
+               .when(wiki, F.col("_w"))
+               .when(pol == "bookcorpus", T.remove_citations(F.col("_n")))
+               .otherwise(F.col("_n")))
+    df = df.withColumn("cleaned", cleaned)
+    reason = F.coalesce(F.col("_rule"), T.quality_reason(F.col("cleaned"), rules))
+    df = df.withColumn("reject_reason", reason).drop("_n", "_w", "_rule")
     kept = F.col("reject_reason").isNull()
     return (df.withColumn("kept", kept)
             .withColumn("sha1", F.when(kept, T.sha1_hex(F.col("cleaned")))))

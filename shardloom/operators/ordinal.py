@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import broadcast_if_small, materialize
+from ..session import materialize
 
 
 def global_ordinal(df: DataFrame, group_cols: list[str], order_cols: list[str],
@@ -37,11 +37,11 @@ def global_ordinal(df: DataFrame, group_cols: list[str], order_cols: list[str],
         F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"))
     w = (Window.partitionBy(*group_cols).orderBy("_pid")
          .rowsBetween(Window.unboundedPreceding, -1))
+    # At most (partitions + groups) rows. No broadcast hint: AQE turns the join into a
+    # broadcast from the measured size of this side at runtime.
     offsets = per_part.select(
         "_pid", *group_cols, "_first",
         F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_before"))
-    if checkpoint:
-        offsets = broadcast_if_small(materialize(offsets))
     out = ranged.join(offsets, ["_pid", *group_cols], "inner")
     return (out.withColumn(out_col, F.col("_before") + F.col("_mid") - F.col("_first"))
             .drop("_pid", "_mid", "_first", "_before"))

@@ -14,7 +14,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import broadcast_if_small, materialize
 from .ordinal import global_ordinal
 
 SEQ_LEN = 512
@@ -39,8 +38,8 @@ def token_offsets(tok: DataFrame) -> DataFrame:
     """
     per = tok.groupBy("split", "shard_id").agg(F.sum("n_tokens").cast("long").alias("_st"))
     w = Window.partitionBy("split").orderBy("shard_id").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per shard; AQE broadcasts it at runtime when its measured size allows.
     shard_off = per.select("split", "shard_id", F.coalesce(F.sum("_st").over(w), F.lit(0)).cast("long").alias("_so"))
-    shard_off = broadcast_if_small(materialize(shard_off))
     wl = Window.partitionBy("shard_id").orderBy("doc_id", "line_idx").rowsBetween(Window.unboundedPreceding, -1)
     inner = F.coalesce(F.sum("n_tokens").over(wl), F.lit(0)).cast("long")
     return (tok.join(shard_off, ["split", "shard_id"], "inner")
@@ -111,8 +110,9 @@ def training_batches(packed: DataFrame, batch_size: int, seed: int = 0, epoch: i
                        F.when(shuffled, key.cast("string")).otherwise(F.lit("")).alias("_k"))
     ordd = global_ordinal(df, ["split"], ["_k", "seq_id"], "ordinal")
     ordd = ordd.withColumn("batch_id", F.floor(F.col("ordinal") / batch_size).cast("long"))
-    # One row per split (train / validation / test): the broadcast side is bounded.
-    full = packed.groupBy("split").agg(F.floor(F.count(F.lit(1)) / batch_size).cast("long").alias("_full"))
+    # One row per split (train / validation / test): the broadcast side is bounded. Counted
+    # from the ordinal table, whose input is already materialised.
+    full = ordd.groupBy("split").agg(F.floor(F.count(F.lit(1)) / batch_size).cast("long").alias("_full"))
     out = ordd.join(F.broadcast(full), "split")
     keep = ~F.col("split").isin(list(shuffle_splits)) | (F.col("batch_id") < F.col("_full"))
     return out.filter(keep).select("split", "seq_id", "ordinal", "batch_id")

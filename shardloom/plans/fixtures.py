@@ -167,10 +167,13 @@ def hash_token_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Deduplicated cleaned lines with hash token ids and the fixture split per shard."""
     from ..functions import tokens as TK
     from ..operators.dedup import dedup_shard
+    from ..session import materialize
     dd = dedup_shard(cleaned_lines(spark, sf_dir))
     ids = TK.with_template(TK.hash_ids(F.col("cleaned")))
-    return dd.select(T.split_of_shard(F.col("shard_id"), FIXTURE_TEST_FRAC, FIXTURE_VAL_FRAC).alias("split"),
-                     "shard_id", "doc_id", "line_idx", ids.alias("tokens")).withColumn("n_tokens", F.size("tokens"))
+    tok = dd.select(T.split_of_shard(F.col("shard_id"), FIXTURE_TEST_FRAC, FIXTURE_VAL_FRAC).alias("split"),
+                    "shard_id", "doc_id", "line_idx", ids.alias("tokens")).withColumn("n_tokens", F.size("tokens"))
+    # Stage boundary: the tokenized shards are written once and read by every later step.
+    return materialize(tok, "tokenized")
 
 
 FIXTURE_VOCAB = 400
