@@ -445,3 +445,19 @@ SELECT 'all' AS label, CAST(sum(length) AS BIGINT) AS bytes, count(*) AS files F
 UNION ALL SELECT 'src1', CAST(sum(length) AS BIGINT), count(*) FROM fb WHERE source = 'src1'
 UNION ALL SELECT 'train', CAST(sum(length) AS BIGINT), count(*) FROM fb WHERE split = 'train'""")
 ORACLE["file_checksums"] = W(FILEB, "SELECT shard_id, length, file_checksum FROM fb")
+ORACLE["stage_gate"] = W(LEDGER, """,
+pl AS (SELECT (['download', 'clean', 'train_tokenizer', 'tokenize', 'pack'])[n % 5 + 1] AS stage, state FROM ledk),
+s AS (SELECT stage AS upstream, count(*) > 0 AND count(*) FILTER (WHERE state = 'done') = count(*) AS c,
+  printf('{''pending'': %d, ''processing'': %d, ''verified'': %d, ''done'': %d, ''failed'': %d, ''total'': %d}',
+    count(*) FILTER (WHERE state = 'pending'), count(*) FILTER (WHERE state = 'processing'), count(*) FILTER (WHERE state = 'verified'),
+    count(*) FILTER (WHERE state = 'done'), count(*) FILTER (WHERE state = 'failed'), count(*)) AS summ FROM pl GROUP BY stage),
+g AS (SELECT * FROM (VALUES ('clean', 'download'), ('train_tokenizer', 'clean'), ('tokenize', 'train_tokenizer'), ('pack', 'tokenize')) t(stage, upstream))
+SELECT g.stage, g.upstream, coalesce(c, false) AS may_run,
+  CASE WHEN coalesce(c, false) THEN '' ELSE g.upstream || ' stage not complete: ' ||
+    coalesce(summ, '{''pending'': 0, ''processing'': 0, ''verified'': 0, ''done'': 0, ''failed'': 0, ''total'': 0}') END AS error
+FROM g LEFT JOIN s USING (upstream)""")
+ORACLE["cleanup_audit"] = ORACLE["cleanup_report"].replace(
+    "true AS dry_run FROM r", "true AS dry_run, run FROM r, (VALUES (1), (2)) t(run)")
+ORACLE["metric_events"] = W(EVENTS, "SELECT stage, event, count(*) AS n, round(sum(value), 4) AS value_sum FROM sm GROUP BY 1, 2")
+ORACLE["pack_skip"] = W(PACK, """SELECT DISTINCT split FROM packed
+WHERE split <> 'train' OR (SELECT count(*) FROM packed WHERE split = 'train') * 64 < 65""")

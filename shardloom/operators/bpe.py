@@ -221,12 +221,14 @@ def _apply_merges(words: DataFrame, merges: dict[int, int]) -> DataFrame:
 
 def train_bpe(spark: SparkSession, freq: DataFrame, vocab_size: int = VOCAB_SIZE,
               min_frequency: int = MIN_FREQUENCY, candidates: int = CANDIDATES,
-              checkpoint_every: int = CHECKPOINT_EVERY, max_rounds: int | None = None) -> BpeModel:
+              checkpoint_every: int = CHECKPOINT_EVERY, max_rounds: int | None = None,
+              progress=None) -> BpeModel:
     """T5: learn merges until the vocabulary reaches ``vocab_size`` or no pair is frequent.
 
     ``freq`` should be materialised (it is read once for the alphabet and once for the
     words). Words are cached per round and checkpointed to the shared checkpoint folder
     every ``checkpoint_every`` rounds, so lost executors recompute a bounded lineage.
+    ``progress(round, merges_so_far, vocab_size)`` is called after every round.
     """
     alpha = alphabet(freq).select("byte", "id").collect()            # <= 256 rows
     byte_ids = {r["byte"]: r["id"] for r in alpha}
@@ -269,6 +271,8 @@ def train_bpe(spark: SparkSession, freq: DataFrame, vocab_size: int = VOCAB_SIZE
         if words.is_cached:
             stale.append(words)
         words = nxt
+        if progress is not None:
+            progress(rnd, len(model.merges), len(vocab))
     model.rounds = rnd
     return model
 

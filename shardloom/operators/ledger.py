@@ -130,3 +130,18 @@ def stage_plan(spark, stage_order: list[str], ledger: DataFrame, start_from: str
     comp = complete(ledger)
     board = stages.join(comp, "stage", "left").withColumn("complete", F.coalesce("complete", F.lit(False)))
     return board.withColumn("will_run", (F.col("ord") >= F.lit(start)) & ~F.col("complete"))
+
+
+def gate_report(ledger: DataFrame, upstream_of: dict[str, str]) -> DataFrame:
+    """R4 as a table: for every stage, whether its upstream is complete, and the error the
+    gate raises otherwise (``<upstream> stage not complete: {summary}``)."""
+    summ = summary(ledger).select("stage", (F.col("total") > 0) & (F.col("done") == F.col("total")),
+                                  summary_text())
+    summ = summ.toDF("upstream", "up_complete", "up_summary")
+    pairs = ledger.sparkSession.createDataFrame(sorted(upstream_of.items()), "stage string, upstream string")
+    j = pairs.join(summ, "upstream", "left")
+    empty = "{'pending': 0, 'processing': 0, 'verified': 0, 'done': 0, 'failed': 0, 'total': 0}"
+    ok = F.coalesce("up_complete", F.lit(False))
+    return j.select("stage", "upstream", ok.alias("may_run"),
+                    F.when(ok, F.lit("")).otherwise(F.concat(F.col("upstream"), F.lit(" stage not complete: "),
+                                                             F.coalesce("up_summary", F.lit(empty)))).alias("error"))

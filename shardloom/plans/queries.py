@@ -614,3 +614,56 @@ def file_checksums(spark, sf_dir):
     sid = T.shard_id_expr(F.regexp_extract("path", SHARD_DIR_RE, 1), F.regexp_extract("path", SHARD_DIR_RE, 2),
                           F.regexp_extract("path", SHARD_DIR_RE, 3).cast("int"))
     return c.select(sid.alias("shard_id"), "length", "file_checksum")
+
+
+@query
+def stage_gate(spark, sf_dir):
+    """Each pipeline stage may run only when its upstream stage is complete."""
+    up = {X.STAGES[i]: X.STAGES[i - 1] for i in range(1, len(X.STAGES))}
+    return L.gate_report(X.pipeline_ledger(spark, sf_dir).drop("k"), up)
+
+
+@query
+def cleanup_audit(spark, sf_dir):
+    """Cleanup reports appended twice to a JSON-lines audit log and read back."""
+    from ..session import scratch_path
+    from ..sources.ledger_io import append_jsonl
+    rep = I.cleanup_report(_ledger(spark, sf_dir), X.derived_files(spark, sf_dir),
+                           X.derived_listing(spark, sf_dir), X.artifact_dirs(spark, sf_dir))
+    path = scratch_path(spark, "deletion-log")
+    for run in (1, 2):
+        append_jsonl(rep.withColumn("run", F.lit(run)), path)
+    schema = ("stage string, artifact_dir string, skipped boolean, error string, deleted_files long, "
+              "deleted_bytes long, dry_run boolean, run int")
+    return spark.read.schema(schema).json(path)
+
+
+@query
+def metric_events(spark, sf_dir):
+    """Stage events appended to the metrics table in two batches and read back."""
+    from ..session import scratch_path
+    ev = X.stage_metrics(spark, sf_dir)
+    path = scratch_path(spark, "stage-metrics")
+    M.append_events(ev.filter(F.col("event_id") % 2 == 0), path)
+    M.append_events(ev.filter(F.col("event_id") % 2 == 1), path)
+    got = spark.read.parquet(path)
+    return got.groupBy("stage", "event").agg(F.count(F.lit(1)).alias("n"),
+                                             F.round(F.sum("value"), 4).alias("value_sum"))
+
+
+@query
+def pack_skip(spark, sf_dir):
+    """Only splits whose packed output does not already validate are packed again.
+
+    The train split is written through ``tokenbin`` first; file lengths come from a
+    binaryFile listing (metadata only)."""
+    from ..session import scratch_path
+    from ..sources import tokenbin
+    packed = P.pack_sequences(_offsets(spark, sf_dir), X.FIXTURE_SEQ_LEN)
+    base = scratch_path(spark, "packed")
+    tokenbin.write_packed(packed.filter(F.col("split") == "train"), f"{base}/train")
+    listing = I.list_files(spark, base, "*.bin")
+    existing = (listing.select(F.regexp_extract("path", "/(train|validation|test)/", 1).alias("split"), "length")
+                .groupBy("split").agg(F.sum("length").alias("length")))
+    splits = packed.select("split").distinct()
+    return P.splits_to_pack(splits, existing, X.FIXTURE_SEQ_LEN)
