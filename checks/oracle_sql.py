@@ -380,7 +380,7 @@ unseen AS (SELECT -ln(1.0 / (n + 32000.0)) AS u FROM trn)"""
 ORACLE["unigram_perplexity"] = W(UNI + """,
 vc AS (SELECT t AS id, count(*) AS c FROM (SELECT unnest(tokens) AS t FROM tokn WHERE split = 'validation') GROUP BY 1),
 s AS (SELECT sum(c) AS tokens, sum(c * coalesce(nll, u)) AS nll_sum FROM vc LEFT JOIN model USING (id), unseen)""", """
-SELECT tokens, round(nll_sum, 4) AS nll_sum, round(exp(nll_sum / tokens), 4) AS perplexity FROM s""")
+SELECT CAST(tokens AS BIGINT) AS tokens, round(nll_sum, 4) AS nll_sum, round(exp(nll_sum / tokens), 4) AS perplexity FROM s""")
 ORACLE["batch_mean_loss"] = W(UNI + """,
 flat AS (SELECT split, "offset" + i - 1 AS pos, tokens[i] AS t FROM (SELECT *, unnest(generate_series(1, n_tokens)) AS i FROM offs) z),
 tot AS (SELECT split, max(pos) + 1 AS total FROM flat GROUP BY split),
