@@ -4,8 +4,8 @@ The corpus is reduced once to the pre-token frequency table (T1, vocabulary-boun
 map-side combined). Training works on that table of distinct words:
 every round counts adjacent symbol pairs weighted by word frequency (one aggregation),
 brings only the top candidates to the driver (``orderBy().limit()``, a distributed
-top-k) and rewrites the words with a JVM higher-order function. The merge list lives on
-the driver; it is bounded by the vocabulary size.
+top-k) and rewrites the words with native string replaces (one code point per symbol).
+The merge list lives on the driver; it is bounded by the vocabulary size.
 
 Selection order: count desc, left id asc, right id asc. Several merges are accepted in
 one round when that provably gives the same result as one merge per round:
@@ -198,27 +198,6 @@ def select_batch(cands: list[tuple[int, int, int]], vocab: dict[int, bytes], kno
     return [(a, b, r) for a, b, _, r in batch]
 
 
-def _apply_merges(words: DataFrame, merges: dict[int, int]) -> DataFrame:
-    """One left-to-right pass merging every adjacent pair found in ``merges`` (key -> new id).
-
-    Exact for a batch from ``select_batch``: pairs are symbol-disjoint and new ids are
-    never inputs of the same batch. Only words holding a left symbol are rewritten.
-    """
-    m = _map_literal(merges)
-    lefts = F.array(*[F.lit(k // PAIR_BASE) for k in sorted(merges)])
-
-    def step(acc, s):
-        last = F.element_at(acc, -1)
-        key = last.cast("long") * PAIR_BASE + s.cast("long")
-        hit = (F.size(acc) > 0) & F.map_contains_key(m, key)
-        return F.when(hit, F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(m[key]))) \
-                .otherwise(F.concat(acc, F.array(s)))
-
-    merged = F.aggregate(F.col("symbols"), F.array().cast("array<int>"), step)
-    new = F.when(F.arrays_overlap(F.col("symbols"), lefts), merged).otherwise(F.col("symbols"))
-    return words.select(new.alias("symbols"), "freq").filter(F.size("symbols") >= 2)
-
-
 def train_bpe(spark: SparkSession, freq: DataFrame, vocab_size: int = VOCAB_SIZE,
               min_frequency: int = MIN_FREQUENCY, candidates: int = CANDIDATES,
               checkpoint_every: int = CHECKPOINT_EVERY, max_rounds: int | None = None,

@@ -80,3 +80,15 @@ def test_select_batch_rules():
     assert B.select_batch([(1, 2, 10), (3, 4, 9), (5, 6, 9)], vocab, known, 100, 2) == [(1, 2, False)]
     # self pair ends the batch
     assert B.select_batch([(1, 1, 10), (3, 4, 9), (5, 6, 2)], vocab, known, 100, 2) == [(1, 1, False)]
+
+
+def test_artifacts_roundtrip(spark):
+    from shardloom.session import scratch_path
+    model = B.BpeModel({ord("a"): 4, ord("b"): 5}, {0: b"<pad>", 1: b"<bos>", 2: b"<eos>", 3: b"<unk>", 4: b"a",
+                                                     5: b"b", 6: b"ab"}, [(4, 5, 6)])
+    path = scratch_path(spark, "tok-artifacts")
+    B.save_artifacts(spark, model, path)
+    back = B.load_artifacts(spark, path)
+    assert back.vocab == model.vocab and back.merges == model.merges and back.byte_ids == model.byte_ids
+    cfg = json.loads(spark.read.json(f"{path}/config").first()["config"])
+    assert cfg["vocab_size"] == 7 and cfg["special_tokens"] == ["<pad>", "<bos>", "<eos>", "<unk>"]
