@@ -291,6 +291,42 @@ def encoder_udf(spark: SparkSession, model: BpeModel):
     return encode
 
 
+_WORKER_CACHE: dict = {}
+CACHE_ENTRIES = 1_000_000       # per Python worker; cleared when full (memory bound, not a data cap)
+
+
+def line_encoder_udf(spark: SparkSession, model: BpeModel):
+    """Arrow UDF: array of a line's pre-tokens -> the line's ids, with a per-worker cache.
+
+    Narrow (no shuffle): frequent pre-tokens are cache hits, so a hot word is no skew.
+    The merge table is broadcast once (vocabulary-bounded).
+    """
+    import uuid
+    ranks = {(a, b): (k, c) for k, (a, b, c) in enumerate(model.merges)}
+    bc = spark.sparkContext.broadcast((ranks, model.byte_ids))
+    key = uuid.uuid4().hex            # one cache per model per worker
+
+    @F.pandas_udf(Ty.ArrayType(Ty.IntegerType()))
+    def encode_lines(s: pd.Series) -> pd.Series:
+        rk, byte_ids = bc.value
+        cache = _WORKER_CACHE.setdefault(key, {})
+        out = []
+        for pretokens in s:
+            ids: list[int] = []
+            for p in pretokens:
+                e = cache.get(p)
+                if e is None:
+                    if len(cache) >= CACHE_ENTRIES:
+                        cache.clear()
+                    e = encode_word([byte_ids.get(b, UNK_ID) for b in p.encode("utf-8")], rk)
+                    cache[p] = e
+                ids.extend(e)
+            out.append(ids)
+        return pd.Series(out)
+
+    return encode_lines
+
+
 def encode_distinct(spark: SparkSession, pretoken_table: DataFrame, model: BpeModel) -> DataFrame:
     """Ids for each distinct pre-token (the corpus is encoded by joining back)."""
     enc = encoder_udf(spark, model)

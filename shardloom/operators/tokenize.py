@@ -1,8 +1,8 @@
 """Corpus encoding, decoding and tokenizer statistics.
 
-Lines are pre-tokenised JVM-side; each distinct pre-token is encoded once (T6) and the
-ids are joined back by (line, position) and reassembled per line. A line is a bounded
-group (at most 80,000 characters after cleaning).
+Lines are pre-tokenised JVM-side and encoded in one narrow pass (Arrow UDF with a
+per-worker cache of pre-token ids). Decoding regroups per line, a bounded group (at
+most 80,000 characters after cleaning).
 """
 
 from __future__ import annotations
@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from ..functions import pretok as PT
 from ..functions.tokens import SPECIAL_TOKENS, UNK_ID, with_template
-from ..session import broadcast_if_small, materialize
 from . import bpe as B
 
 EVAL_SAMPLES = 50_000
@@ -20,22 +19,19 @@ EVAL_SAMPLES = 50_000
 
 def tokenize_lines(spark: SparkSession, lines: DataFrame, model: B.BpeModel, key_cols: list[str],
                    text_col: str = "text", template: bool = True, normalize: bool = True) -> DataFrame:
-    """P18 (+P19): ids per line as ``tokens ARRAY<INT>`` and ``n_tokens``."""
+    """P18 (+P19): ids per line as ``tokens ARRAY<INT>`` and ``n_tokens``.
+
+    One narrow pass: NFKC (non-ASCII rows only), JVM-side pre-tokenisation, then an Arrow
+    UDF that encodes the line's pre-tokens through a per-worker cache. No shuffle, so a
+    very frequent pre-token cannot skew a join.
+    """
     df = lines.select(*key_cols, F.col(text_col).alias("_t"))
     if normalize:
         df = PT.nfkc_frame(df, "_t")
-    occ = df.select(*key_cols, F.posexplode(PT.pretokens(F.col("_t"))).alias("pos", "pretoken"))
-    occ = materialize(occ)
-    enc = materialize(B.encode_distinct(spark, occ, model))
-    # The encoded table is bounded by the distinct pre-tokens; broadcast only when counted small.
-    j = occ.join(broadcast_if_small(enc), "pretoken", "inner")
-    per_line = j.groupBy(*key_cols).agg(F.array_sort(F.collect_list(F.struct("pos", "ids"))).alias("_p"))
-    ids = F.flatten(F.transform("_p", lambda x: x["ids"]))
-    # Lines whose text has no pre-token at all (empty) still get the template.
-    out = df.select(*key_cols).join(per_line, key_cols, "left").select(
-        *key_cols, F.coalesce(ids, F.array().cast("array<int>")).alias("ids"))
-    tok = with_template(F.col("ids")) if template else F.col("ids")
-    return out.select(*key_cols, tok.alias("tokens")).withColumn("n_tokens", F.size("tokens"))
+    enc = B.line_encoder_udf(spark, model)
+    ids = enc(PT.pretokens(F.col("_t")))
+    tok = with_template(ids) if template else ids
+    return df.select(*key_cols, tok.alias("tokens")).withColumn("n_tokens", F.size("tokens"))
 
 
 def vocab_lookup(spark: SparkSession, model: B.BpeModel) -> DataFrame:
