@@ -71,3 +71,21 @@ def test_protected_paths(spark):
     df = spark.createDataFrame([("data/raw/x.txt",), ("blogs/a.txt",), ("tokenizer/t.json",)], "path string")
     keep = [r["path"] for r in df.filter(~I.is_protected(F.col("path"))).collect()]
     assert keep == ["data/raw/x.txt"]
+
+
+def test_gate_and_cleanup_without_verified_entries(spark):
+    led = _ledger(spark, [("download", "a", "done", "out/a.bin", "", 5, 1.0, ""),
+                          ("clean", "b", "pending", "", "", 0, 1.0, "")])
+    gate = {r["stage"]: r for r in L.gate_report(led, {"clean": "download", "pack": "clean"}).collect()}
+    assert gate["clean"]["may_run"] and gate["clean"]["error"] == ""
+    assert not gate["pack"]["may_run"] and gate["pack"]["error"].startswith("clean stage not complete: {'pending': 1")
+    # a complete stage whose only entry has no recorded checksum but a too-short .bin fails verification
+    files = spark.createDataFrame([("out/a.bin", 100, "x")], "path string, length long, file_checksum string")
+    listing = spark.createDataFrame([("download", "data/raw/x.txt", 7)], "stage string, path string, length long")
+    dirs = spark.createDataFrame([("download", "data/raw/"), ("clean", "data/clean/")], "stage string, artifact_dir string")
+    rep = {r["stage"]: r for r in I.cleanup_report(led, files, listing, dirs).collect()}
+    assert rep["download"]["skipped"] and rep["download"]["error"].startswith("invalid .bin file out/a.bin: only 50 tokens")
+    assert rep["clean"]["skipped"] and rep["clean"]["error"].startswith("downstream manifest not complete")
+    empty = _ledger(spark, [("s", "a", "done", "p", "", 1, 1.0, "")]).filter("state = 'none'")
+    rep2 = I.cleanup_report(empty, files, listing, spark.createDataFrame([("s", "d/")], "stage string, artifact_dir string"))
+    assert rep2.first()["error"].startswith("downstream manifest not complete: {'pending': 0")
