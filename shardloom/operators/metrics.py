@@ -2,7 +2,7 @@
 
 Stage events: (run_id, stage, event, ts, event_id, metrics MAP<STRING,STRING>).
 Train events: (run_id, step, ts, event_id, type, loss, val_loss).
-Windows are partitioned by run (a run's own log, bounded by its steps), never global.
+Running values (K6-K8) use range-partitioned running aggregates, so one huge run spans many tasks.
 """
 
 from __future__ import annotations
@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .ordinal import running_aggregates
+
 
 def _micros(c):
     return F.unix_micros(F.col(c).cast("timestamp"))
@@ -34,20 +36,21 @@ def sample_steps(train: DataFrame, log_every: int = 100, eval_every: int = 500)
 
 def throughput(train: DataFrame, seq_len: int, batch_size: int) -> DataFrame:
     """K6: tokens/s = int(seq_len*batch / max(dt, 1e-9)) between consecutive logged steps,
-    and the cumulative tokens seen, per run in (ts, step) order."""
-    w = Window.partitionBy("run_id").orderBy("ts", "step")
+    and the cumulative tokens seen, per run in (ts, step) order. Running values come from
+    ``running_aggregates``, so one very long run does not sit in one task."""
     tokens = seq_len * batch_size
-    dt = (_micros("ts") - F.lag(_micros("ts")).over(w)) / 1e6
+    r = running_aggregates(train.select("run_id", "step", "ts", _micros("ts").alias("_us")), ["run_id"], ["ts", "step"],
+                           [("_prev", F.col("_us"), "last", True), ("_n", F.lit(1), "count", False)])
+    dt = (F.col("_us") - F.col("_prev")) / 1e6
     tps = F.floor(F.lit(float(tokens)) / F.greatest(dt, F.lit(1e-9))).cast("long")
-    seen = (F.count(F.lit(1)).over(w.rowsBetween(Window.unboundedPreceding, 0)) * tokens).cast("long")
-    return train.select("run_id", "step", tps.alias("tokens_per_sec"), seen.alias("tokens_seen"))
+    return r.select("run_id", "step", tps.alias("tokens_per_sec"), (F.col("_n") * tokens).cast("long").alias("tokens_seen"))
 
 
 def best_checkpoints(train: DataFrame) -> DataFrame:
     """K7: an eval step is a new best when its val_loss is below every earlier one."""
-    ev = train.filter(F.col("type") == "eval")
-    w = Window.partitionBy("run_id").orderBy("step").rowsBetween(Window.unboundedPreceding, -1)
-    prev = F.min("val_loss").over(w)
+    ev = train.filter(F.col("type") == "eval").select("run_id", "step", "val_loss")
+    ev = running_aggregates(ev, ["run_id"], ["step"], [("_prev", F.col("val_loss"), "min", True)])
+    prev = F.col("_prev")
     best = prev.isNull() | (F.col("val_loss") < prev)
     return ev.select("run_id", "step", "val_loss", best.alias("is_best"),
                      F.format_string("checkpoints/best/best_%d.pt", F.col("step")).alias("path"))
@@ -61,10 +64,10 @@ def latest_checkpoint(best: DataFrame) -> DataFrame:
 
 def stage_elapsed(stage_ev: DataFrame) -> DataFrame:
     """K8: for every 'end' event, time since the latest preceding 'start' of that run and stage."""
-    w = (Window.partitionBy("run_id", "stage").orderBy("ts", "event_id")
-         .rowsBetween(Window.unboundedPreceding, 0))
-    last_start = F.last(F.when(F.col("event") == "start", _micros("ts")), ignorenulls=True).over(w)
-    df = stage_ev.select("run_id", "stage", "event", "event_id", (_micros("ts") - last_start).alias("elapsed_us"))
+    r = running_aggregates(stage_ev.select("run_id", "stage", "event", "event_id", "ts"), ["run_id", "stage"],
+                           ["ts", "event_id"],
+                           [("_start", F.when(F.col("event") == "start", _micros("ts")), "last", False)])
+    df = r.select("run_id", "stage", "event", "event_id", (_micros("ts") - F.col("_start")).alias("elapsed_us"))
     return (df.filter(F.col("event") == "end")
             .select("run_id", "stage", "event_id", "elapsed_us", (F.col("elapsed_us") / 1e6).alias("elapsed_s")))
 

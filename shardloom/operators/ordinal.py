@@ -45,3 +45,55 @@ def global_ordinal(df: DataFrame, group_cols: list[str], order_cols: list[str],
     out = ranged.join(offsets, ["_pid", *group_cols], "inner")
     return (out.withColumn(out_col, F.col("_before") + F.col("_mid") - F.col("_first"))
             .drop("_pid", "_mid", "_first", "_before"))
+
+
+def running_aggregates(df: DataFrame, group_cols: list[str], order_cols: list[str],
+                       specs: list[tuple], num_partitions: int | None = None) -> DataFrame:
+    """Running aggregates over ``order_cols`` inside ``group_cols`` without one task per group.
+
+    ``specs``: (out_col, value Column, kind, exclusive) with kind in 'min', 'last' (last
+    non-null value) and 'count' (non-null values); ``exclusive`` stops the frame one row
+    before the current row. Rows are range partitioned on (group, order) and written to
+    the checkpoint folder; each (partition, group) chunk gets its own window, and a
+    carry-in from the earlier partitions (a table of at most partitions + groups rows)
+    is combined with it. A group holding a third of the rows spans many partitions.
+    ``order_cols`` must be unique inside a group.
+    """
+    keys = [*group_cols, *order_cols]
+    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    vals = [F.col(c) for c in df.columns] + [v.alias(f"_v{i}") for i, (_, v, _, _) in enumerate(specs)]
+    ranged = materialize(df.select(*vals).repartitionByRange(n, *keys).withColumn("_pid", F.spark_partition_id()),
+                         "running")
+    summary_aggs = []
+    for i, (_, _, kind, _) in enumerate(specs):
+        v = F.col(f"_v{i}")
+        if kind == "min":
+            summary_aggs.append(F.min(v).alias(f"_s{i}"))
+        elif kind == "last":
+            summary_aggs.append(F.max_by(v, F.when(v.isNotNull(), F.struct(*order_cols))).alias(f"_s{i}"))
+        elif kind == "count":
+            summary_aggs.append(F.count(v).alias(f"_s{i}"))
+        else:
+            raise ValueError(kind)
+    summ = ranged.groupBy("_pid", *group_cols).agg(*summary_aggs)
+    before = Window.partitionBy(*group_cols).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    carries = []
+    for i, (_, _, kind, _) in enumerate(specs):
+        s = F.col(f"_s{i}")
+        c = (F.min(s) if kind == "min" else F.last(s, ignorenulls=True) if kind == "last" else F.sum(s)).over(before)
+        carries.append(c.alias(f"_c{i}"))
+    carry = summ.select("_pid", *group_cols, *carries)
+    j = ranged.join(carry, ["_pid", *group_cols], "inner")
+    out = j
+    for i, (name, _, kind, exclusive) in enumerate(specs):
+        w = (Window.partitionBy("_pid", *group_cols).orderBy(*order_cols)
+             .rowsBetween(Window.unboundedPreceding, -1 if exclusive else 0))
+        v, c = F.col(f"_v{i}"), F.col(f"_c{i}")
+        if kind == "min":
+            val = F.least(F.min(v).over(w), c)
+        elif kind == "last":
+            val = F.coalesce(F.last(v, ignorenulls=True).over(w), c)
+        else:
+            val = F.coalesce(F.count(v).over(w), F.lit(0)) + F.coalesce(c, F.lit(0))
+        out = out.withColumn(name, val)
+    return out.drop("_pid", *[f"_v{i}" for i in range(len(specs))], *[f"_c{i}" for i in range(len(specs))])

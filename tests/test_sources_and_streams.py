@@ -62,3 +62,21 @@ def test_text_shards_and_incremental_clean(spark):
     # rerun: the checkpoint says every file is done, nothing is processed again
     incremental_clean(spark, shards, out, led, ck, policy)
     assert spark.read.parquet(led).count() == len(batch)
+
+
+def test_running_aggregates_hot_group(spark):
+    from pyspark.sql import Window
+    from shardloom.operators.ordinal import running_aggregates
+    # one group holds most rows; spread over many range partitions
+    df = spark.range(0, 3000).select(F.when(F.col("id") % 10 < 8, F.lit(0)).otherwise(F.col("id") % 3).alias("g"),
+                                     F.col("id").alias("o"),
+                                     F.when(F.col("id") % 7 == 0, F.col("id") * 31 % 101).alias("v"))
+    got = running_aggregates(df, ["g"], ["o"], [("mn", F.col("v"), "min", True), ("ls", F.col("v"), "last", False),
+                                                ("ct", F.col("v"), "count", False)], num_partitions=16)
+    w_ex = Window.partitionBy("g").orderBy("o").rowsBetween(Window.unboundedPreceding, -1)
+    w_in = Window.partitionBy("g").orderBy("o").rowsBetween(Window.unboundedPreceding, 0)
+    ref = df.select("g", "o", F.min("v").over(w_ex).alias("mn"), F.last("v", ignorenulls=True).over(w_in).alias("ls"),
+                    F.count("v").over(w_in).alias("ct"))
+    a = sorted(tuple(r) for r in got.select("g", "o", "mn", "ls", "ct").collect())
+    b = sorted(tuple(r) for r in ref.collect())
+    assert a == b
