@@ -100,13 +100,15 @@ def stage_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def train_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Train events: step = row_number by (ts, event_id) per run; every 5th is eval.
+    """Train events: step = 1-based position by (ts, event_id) per run; every 5th is eval.
 
-    The window is per run (user), a bounded group of a run's log lines.
+    Positions come from ``global_ordinal`` (range partitioned), so one run with a large
+    share of the events is not numbered in a single task.
     """
-    ev = _events(spark, sf_dir)
-    step = F.row_number().over(Window.partitionBy("user_id").orderBy("ts", "event_id"))
-    df = ev.select(F.col("user_id").alias("run_id"), "ts", "event_id", "value", step.alias("step"))
+    from ..operators.ordinal import global_ordinal
+    ev = _events(spark, sf_dir).select(F.col("user_id").alias("run_id"), "ts", "event_id", "value")
+    df = global_ordinal(ev, ["run_id"], ["ts", "event_id"], "_ord")
+    df = df.withColumn("step", (F.col("_ord") + 1).cast("int")).drop("_ord")
     is_eval = F.pmod(F.col("step"), F.lit(5)) == 0
     return df.select("run_id", "step", "ts", "event_id",
                      F.when(is_eval, F.lit("eval")).otherwise(F.lit("train")).alias("type"),
