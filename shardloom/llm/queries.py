@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shardloom.llm import common as C
-from shardloom.llm import harmonic_pack, language_id, near_dup, quality_rules, suffix_dedup
+from shardloom.llm import bpe_backtrack, harmonic_pack, language_id, near_dup, quality_rules, rans, suffix_dedup
 from shardloom.llm.token_cache import tokenizer_file
 
 WORD_VOCAB, BYTE_VOCAB = "word_bpe_49k.json", "byte_bpe_50k.json"
@@ -36,6 +36,12 @@ def op2_suffix_dedup(spark, sf_dir):
     return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept_bytes", 256).alias("kept_sha256"))
 
 
+def op4_rans_tokens(spark, sf_dir):
+    folder = C.scratch_path(spark, "rans")
+    rans.write_tokens(documents(spark, sf_dir), tokenizer_file(WORD_VOCAB), folder)
+    return rans.read_tokens(spark, folder).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def op5_quality_rules(spark, sf_dir):
     docs, labels = documents(spark, sf_dir), C.read_table(spark, sf_dir, "labels")
     model = quality_rules.fit_quality(docs, labels)
@@ -43,6 +49,10 @@ def op5_quality_rules(spark, sf_dir):
     return judged.select("doc_id", *quality_rules.FIELDS)
 
 
+def op6_bpe_backtrack(spark, sf_dir):
+    return bpe_backtrack.round_trip_digests(documents(spark, sf_dir), tokenizer_file(WORD_VOCAB))
+
+
 def op7_harmonic_pack(spark, sf_dir):
     pieces = harmonic_pack.pack_documents(documents(spark, sf_dir), tokenizer_file(BYTE_VOCAB))
     return harmonic_pack.piece_digests(pieces)
@@ -55,7 +65,9 @@ def op10_near_dup(spark, sf_dir):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_suffix_dedup": op2_suffix_dedup,
+    "op4_rans_tokens": op4_rans_tokens,
     "op5_quality_rules": op5_quality_rules,
+    "op6_bpe_backtrack": op6_bpe_backtrack,
     "op7_harmonic_pack": op7_harmonic_pack,
     "op10_near_dup": op10_near_dup,
 }

@@ -67,10 +67,10 @@ class PartEncoder:
                 first, *rest = text.split(" ")
                 parts.append((i, [first, *[" " + r for r in rest]] if rest else [first]))
             else:
-                parts.append((i, text.split(" ")))
+                parts.append((i, text.replace("\n", " ").split(" ")))
         if len(self.cache) > CACHE_PARTS:
             self.cache.clear()
-        missing = list(set().union(*(p for _, p in parts)) - self.cache.keys()) if parts else []
+        missing = [p for p in set().union(*(p for _, p in parts)) if p not in self.cache]
         self.cache.update(zip(missing, self._library(missing)))
         look = self.cache.__getitem__
         for i, p in parts:
