@@ -1,7 +1,7 @@
 """Library tokenization of whole texts with a cache of space-separated parts.
 
-A text is cut at single spaces and each distinct part is encoded once per worker by the
-``tokenizers`` library; the text's ids are the parts' ids in order. That equals encoding the text
+A text is cut at single spaces and line feeds and each distinct part is encoded once per worker by
+the ``tokenizers`` library; the text's ids are the parts' ids in order. That equals encoding the text
 at once as long as no pre-token of the tokenizer can span the cut:
 
 * tokenizers that drop white space before the merges never join parts;
@@ -14,16 +14,24 @@ from __future__ import annotations
 
 import json
 import os
+import sys
+from array import array
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-#: Parts kept per worker (about 200 bytes each); the cache is emptied beyond that, results do not change.
-CACHE_PARTS = 500_000
+#: Parts kept per worker and half of the cache (about 180 bytes each); results do not depend on it.
+CACHE_PARTS = 600_000
 
 #: White space other than the plain space and the line feed.
 OTHER_SPACE = [chr(c) for c in (0x09, 0x0B, 0x0C, 0x0D, 0x1C, 0x1D, 0x1E, 0x1F, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
                                 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)]
 RUNS = ["  ", " \n", "\n "]
+#: Marks that no tokenizer here joins to the letters before them.
+LATIN_END = "\xff"  # beyond Latin-1, lower case can add marks that join the punctuation
+ENDINGS = [".", ",", "!", "?", ";", ":"]
+
+if sys.byteorder != "little":
+    raise ImportError("ids are kept as little-endian bytes")
 
 
 def tokenizer_file(name: str) -> str:
@@ -46,35 +54,54 @@ class PartEncoder:
         self.keeps_space = steps[0]["type"] == "ByteLevel"
         if self.library.get_vocab_size(with_added_tokens=True) > 1 << 16:
             raise ValueError("ids over 16 bits")
-        self.cache: dict[str, bytes] = {}
+        self.space = " " if self.keeps_space else ""
+        self.heads: dict[str, bytes] = {}  # parts as they stand
+        self.words: dict[str, bytes] = {}  # parts after a space, without it
+        self.older: dict[str, dict[str, bytes]] = {}
+        self.marks = {m: ids for m, ids in zip(ENDINGS, self._library(ENDINGS))}
+        self.line_feed = self._library(["\n"])[0]
 
     def _library(self, texts: list[str]) -> list[bytes]:
-        import numpy as np
-        return [np.array(e.ids, "<u2").tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+        return [array("H", e.ids).tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _runs(self, text: str) -> bool:
         return any(r in text for r in RUNS) or any(c in text for c in OTHER_SPACE)
 
+    def _learn(self, parts: set[str], known: dict[str, bytes], space: str) -> None:
+        """Encode the parts that are not known; a word and the mark after it are pre-tokens of their own."""
+        if len(known) > CACHE_PARTS:  # what is still in use moves over from the older half
+            self.older[space] = dict(known)
+            known.clear()
+        missing = [p for p in parts if p not in known]
+        older = self.older.get(space)
+        if older:
+            known.update([(p, older[p]) for p in missing if p in older])
+            missing = [p for p in missing if p not in known]
+        marked = [p for p in missing if p[-1:] in self.marks and p[:-1].isalpha() and (p.isascii() or max(p) <= LATIN_END)]
+        plain = set(missing).difference(marked).union([p[:-1] for p in marked if p[:-1] not in known])
+        known.update(zip(plain, self._library([space + p for p in plain])))
+        for p in marked:
+            known[p] = known[p[:-1]] + self.marks[p[-1]]
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of every text; callers pass slices of a few MB."""
         out: list[bytes | None] = [None] * len(texts)
-        parts: list[tuple[int, list[str]]] = []
+        lines: list[tuple[int, list[list[str]]]] = []
         whole: list[int] = []
         for i, text in enumerate(texts):
-            if self.keeps_space and self._runs(text):
+            if not self.keeps_space:
+                lines.append((i, [["", *text.replace("\n", " ").split(" ")]]))
+            elif self._runs(text):
                 whole.append(i)
-            elif self.keeps_space:
-                first, *rest = text.split(" ")
-                parts.append((i, [first, *[" " + r for r in rest]] if rest else [first]))
-            else:
-                parts.append((i, text.replace("\n", " ").split(" ")))
-        if len(self.cache) > CACHE_PARTS:
-            self.cache.clear()
-        missing = [p for p in set().union(*(p for _, p in parts)) if p not in self.cache]
-        self.cache.update(zip(missing, self._library(missing)))
-        look = self.cache.__getitem__
-        for i, p in parts:
-            out[i] = b"".join(map(look, p))
+            else:  # a line feed alone is a pre-token; in a run of them it is left to its part
+                lines.append((i, [line.split(" ") for line in (text.split("\n") if "\n\n" not in text else [text])]))
+        words = set().union(*(line[1:] for _, ls in lines for line in ls))
+        heads = {line[0] for _, ls in lines for line in ls}
+        self._learn(words, self.words, self.space)
+        self._learn(heads, self.heads, "")
+        word, head = self.words.__getitem__, self.heads.__getitem__
+        for i, ls in lines:
+            out[i] = self.line_feed.join([head(line[0]) + b"".join(map(word, line[1:])) for line in ls])
         for i, ids in zip(whole, self._library([texts[i] for i in whole])):
             out[i] = ids
         return out
