@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shardloom.llm import common as C
-from shardloom.llm import bpe_backtrack, harmonic_pack, language_id, near_dup, quality_rules, rans, suffix_dedup
+from shardloom.llm import (bpe_backtrack, harmonic_pack, html_extract, language_id, near_dup, quality_rules, rans, rff_quality,
+                           suffix_dedup, topk)
 from shardloom.llm.token_cache import tokenizer_file
 
 WORD_VOCAB, BYTE_VOCAB = "word_bpe_49k.json", "byte_bpe_50k.json"
@@ -36,6 +37,11 @@ def op2_suffix_dedup(spark, sf_dir):
     return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept_bytes", 256).alias("kept_sha256"))
 
 
+def op3_topk(spark, sf_dir):
+    rows = topk.clean_vectors(C.read_table(spark, sf_dir, "embeddings"))
+    return topk.top_k(rows, rows.filter("vec_id % 20 = 0"))
+
+
 def op4_rans_tokens(spark, sf_dir):
     folder = C.scratch_path(spark, "rans")
     rans.write_tokens(documents(spark, sf_dir), tokenizer_file(WORD_VOCAB), folder)
@@ -58,6 +64,14 @@ def op7_harmonic_pack(spark, sf_dir):
     return harmonic_pack.piece_digests(pieces)
 
 
+def op8_rff_quality(spark, sf_dir):
+    return rff_quality.score(documents(spark, sf_dir).select("doc_id", "text"), C.read_table(spark, sf_dir, "labels"))
+
+
+def op9_html_extract(spark, sf_dir):
+    return html_extract.extract(C.read_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
 def op10_near_dup(spark, sf_dir):
     return near_dup.near_duplicates(documents(spark, sf_dir).select("doc_id", "text"))
 
@@ -65,9 +79,12 @@ def op10_near_dup(spark, sf_dir):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_suffix_dedup": op2_suffix_dedup,
+    "op3_topk": op3_topk,
     "op4_rans_tokens": op4_rans_tokens,
     "op5_quality_rules": op5_quality_rules,
     "op6_bpe_backtrack": op6_bpe_backtrack,
     "op7_harmonic_pack": op7_harmonic_pack,
+    "op8_rff_quality": op8_rff_quality,
+    "op9_html_extract": op9_html_extract,
     "op10_near_dup": op10_near_dup,
 }
