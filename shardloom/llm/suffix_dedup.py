@@ -249,15 +249,16 @@ def repeated_windows(texts: DataFrame) -> DataFrame:
     spark = texts.sparkSession
     every = C.materialize(texts.mapInArrow(_segments, "k1 bigint, k2 bigint, place bigint, bucket bigint, segment bigint"), "segments")
     # Round 1: buckets by the name for Q bytes; what is alone in its bucket is settled.
-    full = every.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket")
+    # (Counts are written before they are joined: a join of plain tables can be split where a bucket is large.)
+    full = C.materialize(every.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket"), "full")
     parts = C.materialize(every.join(full, "bucket", "left_semi"), "parts")
-    C.discard(spark, every)
+    C.discard(spark, every, full)
     # Round 2: buckets refined by the name of the whole segment.
-    by_segment = parts.groupBy("bucket", "segment").agg(F.count("*").alias("n"), F.min("k1").alias("one"))
-    by_bucket = by_segment.groupBy("bucket").agg(F.count("*").alias("kinds"))
-    state = by_segment.join(by_bucket, "bucket").select("bucket", "segment", "n", "one", "kinds")
+    by_segment = C.materialize(parts.groupBy("bucket", "segment").agg(F.count("*").alias("n"), F.min("k1").alias("one")), "by-segment")
+    by_bucket = C.materialize(by_segment.groupBy("bucket").agg(F.count("*").alias("kinds")), "by-bucket")
+    state = C.materialize(by_segment.join(by_bucket, "bucket").select("bucket", "segment", "n", "one", "kinds"), "state")
     marked = C.materialize(parts.join(state, ["bucket", "segment"]), "marked")
-    C.discard(spark, parts)
+    C.discard(spark, parts, by_segment, by_bucket, state)
     # Round 3: windows of mixed buckets by their names for LENGTH bytes; of a repeated segment one text speaks for all.
     blocks = F.ceil(F.col("kinds") / GROUP).cast("int")
     mixed = (marked.filter("kinds > 1 and (n = 1 or k1 = one)")
