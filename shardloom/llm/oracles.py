@@ -1,3 +1,49 @@
-"""DuckDB SQL of the operators that SQL can express over whole tables."""
+"""DuckDB SQL of the operators that SQL can express over whole tables.
+
+The others (learned models, tokenizer libraries, coded files, page markup) are tested against
+brute-force versions in tests/llm.
+"""
 
 ORACLE: dict[str, str] = {}
+
+# Texts as hex, so that substr counts bytes; a window is 400 hex digits.
+ORACLE["op2_suffix_dedup"] = """
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (SELECT r, i, md5(substr(h, 2 * i + 1, 400)) AS m
+      FROM (SELECT r, h, unnest(range(0, strlen(h) // 2 - 199)) AS i FROM d)),
+hit AS (SELECT r, i FROM w WHERE m IN (SELECT m FROM w GROUP BY m HAVING count(*) > 1)),
+step AS (SELECT r, i, CASE WHEN i > lag(i) OVER (PARTITION BY r ORDER BY i) + 200 THEN 1 ELSE 0 END AS jump FROM hit),
+isle AS (SELECT r, i, sum(jump) OVER (PARTITION BY r ORDER BY i) AS g FROM step),
+span AS (SELECT r, min(i) AS s, max(i) + 200 AS e FROM isle GROUP BY r, g),
+gap AS (SELECT r, s, e, coalesce(lag(e) OVER (PARTITION BY r ORDER BY s), 0) AS p FROM span),
+cut AS (SELECT gap.r, string_agg(substr(h, 2 * p + 1, 2 * (s - p)), '' ORDER BY s) AS head, max(e) AS tail,
+               CAST(sum(e - s) AS BIGINT) AS n_removed, count(*) AS n_spans FROM gap JOIN d USING (r) GROUP BY gap.r)
+SELECT doc_id, CAST(strlen(h) // 2 AS BIGINT) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(head || substr(h, 2 * tail + 1), h))) AS kept_sha256
+FROM d LEFT JOIN cut USING (r)
+"""
+
+ORACLE["op3_topk"] = """
+WITH v AS (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS q
+           FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.r, a.vec_id AS query_id, b.vec_id, CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score
+      FROM v a JOIN v b ON a.r <> b.r WHERE a.vec_id % 20 = 0),
+k AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s)
+SELECT query_id, rank, vec_id, score FROM k WHERE rank <= 20
+"""
+
+ORACLE["op10_near_dup"] = """
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t,
+                  list_filter(regexp_split_to_array(coalesce(text, ''), '[ \\t\\n\\x0B\\f\\r]+'), lambda x: x <> '') AS w FROM documents),
+g AS (SELECT DISTINCT r, unnest(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+                                     WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM d),
+n AS (SELECT r, count(*) AS n FROM g GROUP BY r),
+c AS (SELECT a.r AS a, b.r AS b, count(*) AS k FROM g a JOIN g b ON a.s = b.s AND a.r < b.r GROUP BY 1, 2),
+l AS (SELECT a, b FROM c JOIN n x ON x.r = a JOIN n y ON y.r = b WHERE k >= 0.8 * (x.n + y.n - k)
+      UNION SELECT a.r, b.r FROM d a JOIN d b ON a.t = b.t AND a.r < b.r),
+e AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
+reach AS (SELECT r AS a, r AS b FROM d UNION SELECT reach.a, e.b FROM reach JOIN e ON reach.b = e.a)
+SELECT x.doc_id, min(y.doc_id) AS class_id, count(*) AS class_size
+FROM reach JOIN d x ON x.r = reach.a JOIN d y ON y.r = reach.b GROUP BY x.r, x.doc_id
+"""
