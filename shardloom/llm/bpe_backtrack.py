@@ -23,6 +23,7 @@ special tokens' strings in a text give their ids, as in the library.
 
 from __future__ import annotations
 
+import hashlib
 import json
 import os
 
@@ -31,11 +32,13 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 import ahocorasick  # noqa: E402
 import numpy as np  # noqa: E402
 import pyarrow as pa  # noqa: E402
+import pyarrow.compute as pc  # noqa: E402
 import regex  # noqa: E402
 from pyspark.sql import DataFrame  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from shardloom.llm import common as C  # noqa: E402
+from shardloom.llm.token_cache import assemble  # noqa: E402
 
 #: Entries kept per worker; tables are emptied beyond that, results do not change.
 WORDS, PARTS, PAIRS = 250_000, 300_000, 500_000
@@ -148,7 +151,7 @@ class Backtracker:
         self.simple = regex.compile(r"[\x21-\x7e\xa1-\xac\xae-\xff]*")
         self.words_of = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
         self.word_cache: dict[str, bytes] = {}
-        self.part_cache: dict[str, bytes] = {"": b""}
+        self.part_cache: dict[str, bytes] = {}
         self.pair_cache: dict[tuple[int, int], bool] = {}
         size = 1 + max([*model["vocab"].values(), *self.special.values()])
         strings = [b""] * size
@@ -242,30 +245,41 @@ class Backtracker:
                             b"".join([known(w) or self._word_ids(w) for w in self._words(x)]) for x in pieces)
         return b"".join([known(w) or self._word_ids(w) for w in self._words(part)])
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of whole texts (white space separates words in these tokenizers, so parts are independent)."""
+    def lookup(self, parts: list[str]) -> list[bytes]:
+        """Ids of distinct parts."""
         if len(self.part_cache) > PARTS:
-            self.part_cache = {"": b""}
-        cache, out = self.part_cache, []
-        for text in texts:
-            parts = text.replace("\n", " ").split(" ")
-            for p in set(parts):
-                if p not in cache:
-                    cache[p] = self.part(p)
-            out.append(b"".join(map(cache.__getitem__, parts)))
-        return out
+            self.part_cache = {}
+        cache, encode = self.part_cache, self.part
+        for p in parts:
+            if p not in cache:
+                cache[p] = encode(p)
+        return [cache[p] for p in parts]
+
+    def encode_column(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in a row and the texts' offsets; white space parts words in these tokenizers, so parts are independent."""
+        return assemble(pc.replace_substring(pc.fill_null(texts, ""), "\n", " "), self.lookup, 4)
 
     # -- decoding ---------------------------------------------------------
 
+    def decode_column(self, ids: np.ndarray, offsets: np.ndarray) -> tuple[bytes, list[int], list[int]]:
+        """UTF-8 bytes of texts (tokens' strings, one space between them): all bytes, and where each text starts and ends."""
+        size = self.length[ids]
+        ends = np.concatenate(([0], np.cumsum(size)))
+        place = np.repeat(self.offset[ids] - ends[:-1], size)
+        place += np.arange(len(place))
+        edge = ends[offsets]
+        return self.bytes[place].tobytes(), edge[:-1].tolist(), np.maximum(edge[1:] - 1, edge[:-1]).tolist()
+
     def decode(self, ids: bytes) -> bytes:
-        """UTF-8 text of ids: the tokens' strings, one space between them."""
+        """UTF-8 text of one text's ids."""
         at = np.frombuffer(ids, "<u4")
-        if not len(at):
-            return b""
-        size = self.length[at]
-        ends = np.cumsum(size)
-        place = np.arange(ends[-1]) + np.repeat(self.offset[at] - (ends - size), size)
-        return self.bytes[place[:-1]].tobytes()
+        body, start, end = self.decode_column(at, np.array([0, len(at)]))
+        return body[start[0]:end[0]]
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of every text, little-endian unsigned 32-bit."""
+        ids, offsets = self.encode_column(pa.array(texts, pa.string()))
+        return [ids[a:b].tobytes() for a, b in zip(offsets, offsets[1:])]
 
 
 _LETTER_BYTES = {c: b for b, c in enumerate(byte_letters())}
@@ -279,27 +293,18 @@ def backtracker(path: str) -> Backtracker:
     return _HELD[path]
 
 
-def _encoded(path: str, decode: bool):
-    """Batches of (doc_id, ids[, decoded])."""
-    def run(batches):
-        tool = backtracker(path)
-        for batch in batches:
-            for part, _, _ in C.byte_slices(batch, "text"):
-                ids = tool.encode([t or "" for t in part.column("text").to_pylist()])
-                columns = [part.column("doc_id"), pa.array(ids, pa.binary())]
-                if decode:
-                    columns.append(pa.array([tool.decode(x) for x in ids], pa.binary()))
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "ids", "decoded"][:len(columns)])
-    return run
-
-
 def _rows(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
 def encode_documents(docs: DataFrame, path: str) -> DataFrame:
     """(doc_id, ids): ids as little-endian unsigned 32-bit bytes."""
-    return _rows(docs).mapInArrow(_encoded(path, False), "doc_id bigint, ids binary")
+    def run(batches):
+        tool = backtracker(path)
+        for batch in batches:
+            for part, _, _ in C.byte_slices(batch, "text"):
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), C.binary_rows(*tool.encode_column(part.column("text")))], names=["doc_id", "ids"])
+    return _rows(docs).mapInArrow(run, "doc_id bigint, ids binary")
 
 
 def decode_documents(encoded: DataFrame, path: str) -> DataFrame:
@@ -314,13 +319,14 @@ def decode_documents(encoded: DataFrame, path: str) -> DataFrame:
 
 def round_trip_digests(docs: DataFrame, path: str) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256): encoding and decoding in one pass, digests instead of the long columns."""
-    import hashlib
-
     def run(batches):
-        for got in _encoded(path, True)(batches):
-            ids, text = got.column("ids").to_pylist(), got.column("decoded").to_pylist()
-            yield pa.RecordBatch.from_arrays(
-                [got.column("doc_id"), pa.array([len(x) // 4 for x in ids], pa.int64()),
-                 *(pa.array([hashlib.sha256(x).hexdigest() for x in col]) for col in (ids, text))],
-                names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        tool = backtracker(path)
+        for batch in batches:
+            for part, _, _ in C.byte_slices(batch, "text"):
+                ids, offsets = tool.encode_column(part.column("text"))
+                text, start, end = tool.decode_column(ids, offsets)
+                text, body, at = memoryview(text), memoryview(ids.tobytes()), (4 * offsets).tolist()
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), pa.array(np.diff(offsets)), pa.array([hashlib.sha256(body[a:b]).hexdigest() for a, b in zip(at, at[1:])]),
+                     pa.array([hashlib.sha256(text[a:b]).hexdigest() for a, b in zip(start, end)])], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
     return _rows(docs).mapInArrow(run, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string")

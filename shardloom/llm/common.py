@@ -65,6 +65,12 @@ def byte_slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) ->
         i = j
 
 
+def binary_rows(flat: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    """A binary column whose row i is the bytes of ``flat[offsets[i]:offsets[i + 1]]``."""
+    at = (offsets * flat.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(at) - 1, [None, pa.py_buffer(at), pa.py_buffer(np.ascontiguousarray(flat))])
+
+
 def doc_of(positions: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Row index of every byte position."""
     return np.searchsorted(offsets, positions, side="right") - 1

@@ -17,7 +17,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -28,6 +27,7 @@ from shardloom.llm import token_cache
 
 CAPACITY = 1024
 END_ID = 0
+TOKEN_SLICE = 4 << 20  # bytes of text that are tokenized at once
 FIELDS = ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"]
 SCHEMA = "doc_id bigint, start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, offset bigint"
 
@@ -92,15 +92,15 @@ def _pack(path: str, capacity: int, end_id: int):
             rows.clear()
             return pa.RecordBatch.from_arrays([pa.array(c, pa.binary() if f == "ids" else pa.int64()) for c, f in zip(columns, FIELDS)], names=FIELDS)
 
-        tail = np.array([end_id], "<u2").tobytes()
         for batch in batches:
-            for part, _, _ in C.byte_slices(batch, "text"):
-                docs = part.column("doc_id").to_pylist()
-                for doc, short in zip(docs, tokens.encode([t or "" for t in part.column("text").to_pylist()])):
-                    ids = np.frombuffer(short + tail, "<u2").astype("<u4").tobytes()
-                    total, start = len(ids) // 4, 0
+            for part, _, _ in C.byte_slices(batch, "text", TOKEN_SLICE):
+                flat, offsets = tokens.encode_rows(part.column("text"), end_id)
+                body, at = flat.astype("<u4").tobytes(), offsets.tolist()
+                for doc, first, last in zip(part.column("doc_id").to_pylist(), at, at[1:]):
+                    total, start = last - first, 0
                     for length in cut_lengths(total, capacity):
-                        full = bins.add((doc, start, length, ids[4 * start:4 * (start + length)], total))
+                        byte = 4 * (first + start)
+                        full = bins.add((doc, start, length, body[byte:byte + 4 * length], total))
                         start += length
                         if full:
                             close(full)

@@ -41,6 +41,7 @@ SCALE_BITS = 20
 CHECKPOINT = 64
 BLOCK_IDS = 1 << 20
 END_ID = 1
+TOKEN_SLICE = 4 << 20  # bytes of text that are tokenized at once
 LOW = np.uint64(1 << 32)
 
 
@@ -142,12 +143,11 @@ BLOCK_SCHEMA = ("partition int, number int, n_ids bigint, docs array<struct<doc_
 def token_ids(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
     """(doc_id, n_tokens, ids) of all documents, ids as little-endian unsigned 16-bit with the end id."""
     def run(batches):
-        tokens, tail = token_cache.encoder(path), np.array([end_id], "<u2").tobytes()
+        tokens = token_cache.encoder(path)
         for batch in batches:
-            for part, _, _ in C.byte_slices(batch, "text"):
-                ids = [x + tail for x in tokens.encode([t or "" for t in part.column("text").to_pylist()])]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array([len(x) // 2 for x in ids], pa.int64()), pa.array(ids, pa.binary())],
-                                                 names=["doc_id", "n_tokens", "ids"])
+            for part, _, _ in C.byte_slices(batch, "text", TOKEN_SLICE):
+                ids, offsets = tokens.encode_rows(part.column("text"), end_id)
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(np.diff(offsets)), C.binary_rows(ids, offsets)], names=["doc_id", "n_tokens", "ids"])
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return rows.mapInArrow(run, IDS_SCHEMA)
 

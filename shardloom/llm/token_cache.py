@@ -1,13 +1,15 @@
 """Library tokenization of whole texts with a cache of space-separated parts.
 
-A text is cut at single spaces and line feeds and each distinct part is encoded once per worker by
+A text is cut at single spaces and line feeds, and each distinct part is encoded once per worker by
 the ``tokenizers`` library; the text's ids are the parts' ids in order. That equals encoding the text
 at once as long as no pre-token of the tokenizer can span the cut:
 
 * tokenizers that drop white space before the merges never join parts;
 * byte-level tokenizers put a space in front of the word that follows, so the parts after the first
-  are encoded with their space. Only runs of several white-space characters could be split
-  differently; texts that have any go to the library whole.
+  are encoded with their space, and a line feed opens a part. Only runs of several white-space
+  characters could be split differently; texts that have any go to the library whole.
+
+Splitting, finding the distinct parts and putting ids together are column operations (Arrow, numpy).
 """
 
 from __future__ import annotations
@@ -16,17 +18,22 @@ import json
 import os
 import sys
 from array import array
+from collections.abc import Callable
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: Parts kept per worker and half of the cache (about 180 bytes each); results do not depend on it.
 CACHE_PARTS = 600_000
 
-#: White space other than the plain space and the line feed.
-OTHER_SPACE = [chr(c) for c in (0x09, 0x0B, 0x0C, 0x0D, 0x1C, 0x1D, 0x1E, 0x1F, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
-                                0x2028, 0x2029, 0x202F, 0x205F, 0x3000)]
-RUNS = ["  ", " \n", "\n "]
-#: Marks that no tokenizer here joins to the letters before them.
+#: Marks the first part of a text, which has no space before it.
+FIRST = "\x01"
+#: Texts that a byte-level tokenizer gets whole: runs of white space, white space other than space and
+#: line feed (fixed values), the mark itself, and what may open a special token (which ends a text's run).
+WHOLE = ("  | \n|\n |\n\n\n|\n\n\\z|\x01|<\\||[\t\x0b\x0c\r\x1c-\x1f\u0085\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 LATIN_END = "\xff"  # beyond Latin-1, lower case can add marks that join the punctuation
 ENDINGS = [".", ",", "!", "?", ";", ":"]
 
@@ -40,6 +47,26 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+#: Words of letters that go to the library as one text.
+WORDS_AT_ONCE = 500
+SPACE_LETTER = "\u0120"  # what byte-level vocabularies write for a space
+
+
+def assemble(texts: pa.Array, lookup: Callable[[list[str]], list[bytes]], width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ids (``width`` bytes each) of all texts in a row and the texts' offsets; ``lookup`` knows the distinct parts."""
+    parts = pc.split_pattern(texts, " ")
+    coded = pc.dictionary_encode(parts.flatten())
+    known = lookup(coded.dictionary.to_pylist())
+    size = np.array([len(k) // width for k in known], np.int64)
+    body = np.frombuffer(b"".join(known), f"<u{width}")
+    at = coded.indices.to_numpy()
+    n = size[at]
+    ends = np.concatenate(([0], np.cumsum(n)))
+    place = np.repeat((np.cumsum(size) - size)[at] - ends[:-1], n)
+    place += np.arange(len(place))
+    return body[place], ends[parts.offsets.to_numpy() - parts.offsets[0].as_py()]
+
+
 class PartEncoder:
     """Ids of texts as little-endian unsigned 16-bit bytes (vocabularies of up to 65,536 ids)."""
 
@@ -49,62 +76,98 @@ class PartEncoder:
         self.library.no_truncation()
         self.library.no_padding()
         with open(path, encoding="utf-8") as f:
-            pre = json.load(f)["pre_tokenizer"]
+            spec = json.load(f)
+        pre, vocab, suffix = spec["pre_tokenizer"], spec["model"]["vocab"], spec["model"].get("end_of_word_suffix") or ""
         steps = pre.get("pretokenizers", [pre])
         self.keeps_space = steps[0]["type"] == "ByteLevel"
         if self.library.get_vocab_size(with_added_tokens=True) > 1 << 16:
             raise ValueError("ids over 16 bits")
+        self.lowers = any(n["type"] == "Lowercase" for n in (spec["normalizer"] or {}).get("normalizers", []))
+        self.marked = np.zeros(1 << 16, bool)
+        self.marked[[i for t, i in vocab.items() if (t.startswith(SPACE_LETTER) if self.keeps_space else t.endswith(suffix))]] = True
         self.space = " " if self.keeps_space else ""
-        self.heads: dict[str, bytes] = {}  # parts as they stand
-        self.words: dict[str, bytes] = {}  # parts after a space, without it
-        self.older: dict[str, dict[str, bytes]] = {}
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.marks = {m: ids for m, ids in zip(ENDINGS, self._library(ENDINGS))}
-        self.line_feed = self._library(["\n"])[0]
 
     def _library(self, texts: list[str]) -> list[bytes]:
         return [array("H", e.ids).tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _runs(self, text: str) -> bool:
-        return any(r in text for r in RUNS) or any(c in text for c in OTHER_SPACE)
+    def _library_words(self, words: list[str], space: str) -> list[bytes]:
+        """Ids of words of letters only, many in one text: a token's mark shows where a word ends (or starts)."""
+        runs = [words[i:i + WORDS_AT_ONCE] for i in range(0, len(words), WORDS_AT_ONCE)]
+        out: list[bytes] = []
+        for run, e in zip(runs, self.library.encode_batch_fast([space + " ".join(r) for r in runs], add_special_tokens=False)):
+            ids = np.array(e.ids, "<u2")
+            if self.keeps_space:
+                cuts = np.append(np.flatnonzero(self.marked[ids]), len(ids))
+                if not space:
+                    cuts = np.insert(cuts, 0, 0)
+            else:
+                cuts = np.append(0, np.flatnonzero(self.marked[ids]) + 1)
+            if len(cuts) != len(run) + 1:
+                raise AssertionError("a word without its mark")
+            body, at = ids.tobytes(), (2 * cuts).tolist()
+            out += [body[a:b] for a, b in zip(at, at[1:])]
+        return out
+
+    def _learn(self, parts: list[str], space: str) -> None:
+        """Encode parts that are not known; a word and the mark after it are pre-tokens of their own."""
+        known = self.known
+        marked = [p for p in parts if p[-1:] in self.marks and p[:-1].isalpha() and (p.isascii() or max(p) <= LATIN_END)]
+        plain = set(parts).difference(marked).union([p[:-1] for p in marked if p[:-1] not in known])
+        letters = [p for p in plain if p.isalpha() and (p.isascii() or max(p) <= LATIN_END)]
+        known.update(zip(letters, self._library_words(letters, space)))
+        others = list(plain.difference(letters))
+        known.update(zip(others, self._library([space + p for p in others])))
+        for p in marked:
+            known[p] = known[p[:-1]] + self.marks[p[-1]]
 
-    def _learn(self, parts: set[str], known: dict[str, bytes], space: str) -> None:
-        """Encode the parts that are not known; a word and the mark after it are pre-tokens of their own."""
-        if len(known) > CACHE_PARTS:  # what is still in use moves over from the older half
-            self.older[space] = dict(known)
-            known.clear()
+    def lookup(self, parts: list[str]) -> list[bytes]:
+        """Ids of distinct parts, from the cache or the library."""
+        if len(self.known) > CACHE_PARTS:  # what is still in use moves over from the older half
+            self.older, self.known = self.known, {}
+        known, older = self.known, self.older
+        if self.lowers:
+            parts = [p.lower() if p.isascii() and "<" not in p else p for p in parts]
         missing = [p for p in parts if p not in known]
-        older = self.older.get(space)
-        if older:
+        if older and missing:
             known.update([(p, older[p]) for p in missing if p in older])
             missing = [p for p in missing if p not in known]
-        marked = [p for p in missing if p[-1:] in self.marks and p[:-1].isalpha() and (p.isascii() or max(p) <= LATIN_END)]
-        plain = set(missing).difference(marked).union([p[:-1] for p in marked if p[:-1] not in known])
-        known.update(zip(plain, self._library([space + p for p in plain])))
-        for p in marked:
-            known[p] = known[p[:-1]] + self.marks[p[-1]]
+        if self.keeps_space:
+            heads = [p for p in missing if p[:1] in (FIRST, "\n")]
+            known.update(zip(heads, self._library([p.removeprefix(FIRST) for p in heads])))
+            missing = [p for p in missing if p not in known]
+        if missing:
+            self._learn(missing, self.space)
+        return [known[p] for p in parts]
+
+    def encode_column(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids (unsigned 16-bit) of all texts in a row and the texts' offsets; callers pass slices of a few MB."""
+        texts = pc.fill_null(texts, "")
+        if not self.keeps_space:
+            return assemble(pc.replace_substring(texts, "\n", " "), self.lookup, 2)
+        whole = pc.match_substring_regex(texts, WHOLE)
+        marked = pc.binary_join_element_wise(FIRST, pc.replace_substring(pc.if_else(whole, "", texts), "\n", " \n"), "")
+        ids, offsets = assemble(marked, self.lookup, 2)
+        rows = np.flatnonzero(whole.to_numpy(zero_copy_only=False))
+        if len(rows):
+            own = self._library(texts.take(pa.array(rows)).to_pylist())
+            split = [ids[a:b] for a, b in zip(offsets, offsets[1:])]
+            for i, x in zip(rows, own):
+                split[i] = np.frombuffer(x, "<u2")
+            ids, offsets = np.concatenate(split), np.concatenate(([0], np.cumsum([len(x) for x in split])))
+        return ids, offsets
+
+    def encode_rows(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """``encode_column`` with an end id after each text."""
+        ids, offsets = self.encode_column(texts)
+        return np.insert(ids, offsets[1:], end_id), offsets + np.arange(len(offsets))
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of every text; callers pass slices of a few MB."""
-        out: list[bytes | None] = [None] * len(texts)
-        lines: list[tuple[int, list[list[str]]]] = []
-        whole: list[int] = []
-        for i, text in enumerate(texts):
-            if not self.keeps_space:
-                lines.append((i, [["", *text.replace("\n", " ").split(" ")]]))
-            elif self._runs(text):
-                whole.append(i)
-            else:  # a line feed alone is a pre-token; in a run of them it is left to its part
-                lines.append((i, [line.split(" ") for line in (text.split("\n") if "\n\n" not in text else [text])]))
-        words = set().union(*(line[1:] for _, ls in lines for line in ls))
-        heads = {line[0] for _, ls in lines for line in ls}
-        self._learn(words, self.words, self.space)
-        self._learn(heads, self.heads, "")
-        word, head = self.words.__getitem__, self.heads.__getitem__
-        for i, ls in lines:
-            out[i] = self.line_feed.join([head(line[0]) + b"".join(map(word, line[1:])) for line in ls])
-        for i, ids in zip(whole, self._library([texts[i] for i in whole])):
-            out[i] = ids
-        return out
+        """Ids of every text as bytes."""
+        ids, offsets = self.encode_column(pa.array(texts, pa.string()))
+        return [ids[a:b].tobytes() for a, b in zip(offsets, offsets[1:])]
 
 
 _ENCODERS: dict[str, PartEncoder] = {}
