@@ -183,9 +183,9 @@ ORACLE["scan_parquet_text"] = f"SELECT doc_id, {strip('text')} AS text FROM docu
 INGEST = f"""ing AS (
   SELECT source, 'train' AS split, CAST(doc_id AS BIGINT) AS doc_id, {strip('text')} AS text FROM documents WHERE {not_blank('text')}
   UNION ALL
-  SELECT 'conv', 'train', CAST(conv_id * 1000 + turn AS BIGINT), {strip('text')} FROM conversations WHERE {not_blank('text')}
+  SELECT 'aux', 'train', CAST(conv_id * 1048576 + turn AS BIGINT), {strip('text')} FROM conversations WHERE {not_blank('text')}
   UNION ALL
-  SELECT 'bench', 'test', CAST(item_id AS BIGINT), {strip('text')} FROM benchmark WHERE {not_blank('text')})"""
+  SELECT 'aux', 'test', CAST(item_id AS BIGINT), {strip('text')} FROM benchmark WHERE {not_blank('text')})"""
 ORACLE["ingest_sources"] = W(INGEST, "SELECT source, split, doc_id, text FROM ing")
 ORACLE["ingest_counts"] = W(INGEST, """, s AS (
   SELECT source, split, CAST((row_number() OVER (PARTITION BY source, split ORDER BY doc_id) - 1) // 5 AS INTEGER) AS shard_idx FROM ing),
@@ -200,16 +200,18 @@ lk AS (SELECT *, n * 10 + shard_idx AS k FROM shards),
 led0 AS (SELECT source AS stage, shard_id, k, n,
   CASE WHEN n % 4 = 0 OR k % 10 < 6 THEN 'done' WHEN k % 10 = 6 THEN 'verified' WHEN k % 10 = 7 THEN 'processing'
        WHEN k % 10 = 8 THEN 'failed' ELSE 'pending' END AS state FROM lk),
-ledk AS (SELECT stage, shard_id, state, 'out/' || shard_id || '.bin' AS output_path, sha256(shard_id) AS checksum,
+fbody AS (SELECT shard_id, string_agg(text || chr(10), '' ORDER BY doc_id) AS body, string_agg(text || '#altered' || chr(10), '' ORDER BY doc_id) AS altered
+          FROM sh2 GROUP BY shard_id),
+ledk AS (SELECT stage, shard_id, state, 'out/' || shard_id || '.bin' AS output_path, sha256(body) AS checksum,
   CAST(k * 100 AS BIGINT) AS token_count, CAST(1700000000 + k * 60 AS DOUBLE) AS updated_at,
-  CASE WHEN state = 'failed' THEN 'error in ' || shard_id ELSE '' END AS error, k, n FROM led0),
+  CASE WHEN state = 'failed' THEN 'error in ' || shard_id ELSE '' END AS error, k, n FROM led0 JOIN fbody USING (shard_id)),
 led AS (SELECT stage, shard_id, state, output_path, checksum, token_count, updated_at, error FROM ledk),
-files AS (SELECT output_path AS path,
-  CASE WHEN k % 19 = 0 THEN sha256(shard_id || '#altered') ELSE checksum END AS file_checksum,
-  CAST(k * 64 AS BIGINT) AS length FROM ledk WHERE k % 17 <> 0),
+files AS (SELECT output_path AS path, k, sha256(CASE WHEN k % 19 = 0 THEN altered ELSE body END) AS file_checksum,
+  CAST(octet_length(encode(CASE WHEN k % 19 = 0 THEN altered ELSE body END)) AS BIGINT) AS length
+  FROM ledk JOIN fbody USING (shard_id) WHERE k % 17 <> 0),
 listing AS (SELECT stage, 'data/raw/shards/' || stage || '/' ||
   CASE WHEN k % 7 = 0 THEN 'logs/' WHEN k % 11 = 0 THEN 'tokenizer/' WHEN k % 13 = 0 THEN 'blogs/' ELSE '' END
-  || shard_id || '.txt' AS path, CAST(k * 64 AS BIGINT) AS length FROM ledk)"""
+  || shard_id || '.txt' AS path, length FROM ledk JOIN (SELECT path AS output_path, length FROM files) f USING (output_path))"""
 
 PROT = " OR ".join(f"contains(path, '{p}')" for p in __import__("shardloom.operators.integrity", fromlist=["x"]).PROTECTED_PATTERNS)
 PROT_DIR = " OR ".join(f"contains(artifact_dir, '{p.rstrip('/')}')" for p in __import__("shardloom.operators.integrity", fromlist=["x"]).PROTECTED_PATTERNS)
@@ -217,9 +219,8 @@ PROT_DIR = " OR ".join(f"contains(artifact_dir, '{p.rstrip('/')}')" for p in __i
 
 def validate_sql(length: str, exists: str, seq_len: int = 512) -> tuple[str, str]:
     n = f"CAST(floor({length} / 2) AS BIGINT)"
-    msg = (f"(CASE WHEN NOT ({exists}) THEN 'file does not exist' WHEN {length} = 0 THEN 'file is empty' "
-           f"WHEN {length} % 2 <> 0 THEN printf('size %d not multiple of dtype_bytes 2', {length}) "
-           f"WHEN {n} < {seq_len + 1} THEN printf('only %d tokens, need at least {seq_len + 1}', {n}) ELSE '' END)")
+    msg = (f"(CASE WHEN NOT ({exists}) THEN 'missing' WHEN {length} = 0 THEN 'empty' "
+           f"WHEN {length} % 2 <> 0 THEN 'odd_size' WHEN {n} < {seq_len + 1} THEN 'too_short' ELSE '' END)")
     return msg, n
 
 
@@ -261,7 +262,7 @@ ORACLE["stage_complete"] = W(LEDGER, "SELECT stage, count(*) > 0 AND bool_and(st
 ORACLE["ledger_tokens"] = W(LEDGER, """
 SELECT stage, CAST(coalesce(sum(token_count) FILTER (WHERE state = 'done'), 0) AS BIGINT) AS total_tokens FROM led GROUP BY stage""")
 ORACLE["validate_packed"] = W(LEDGER, f""", lf AS (SELECT l.output_path AS path, f.length FROM led l LEFT JOIN files f ON l.output_path = f.path)
-SELECT path, {_vmsg} = '' AS valid, CASE WHEN {_vmsg} = '' THEN {_vn} ELSE CAST(0 AS BIGINT) END AS num_tokens, {_vmsg} AS message FROM lf""")
+SELECT path, {_vmsg} = '' AS valid, CASE WHEN {_vmsg} = '' THEN {_vn} ELSE CAST(0 AS BIGINT) END AS num_tokens, {_vmsg} AS problem FROM lf""")
 
 _vm2, _ = validate_sql("f.length", "f.length IS NOT NULL")
 VERIFY = f""",
@@ -269,12 +270,7 @@ ver AS (
   SELECT l.stage, l.shard_id, l.output_path,
     CASE WHEN f.length IS NULL THEN 'missing'
          WHEN l.checksum <> '' AND f.file_checksum <> l.checksum THEN 'checksum_mismatch'
-         WHEN ends_with(l.output_path, '.bin') AND {_vm2} <> '' THEN 'bad_bin' ELSE 'ok' END AS verdict,
-    CASE WHEN f.length IS NULL THEN printf('downstream output missing: %s (shard %s)', l.output_path, l.shard_id)
-         WHEN l.checksum <> '' AND f.file_checksum <> l.checksum THEN
-              printf('checksum mismatch for %s: expected %s… got %s…', l.output_path, substr(l.checksum, 1, 12), substr(f.file_checksum, 1, 12))
-         WHEN ends_with(l.output_path, '.bin') AND {_vm2} <> '' THEN printf('invalid .bin file %s: %s', l.output_path, {_vm2})
-         ELSE '' END AS message
+         WHEN ends_with(l.output_path, '.bin') AND {_vm2} <> '' THEN 'bad_bin:' || {_vm2} ELSE 'ok' END AS verdict
   FROM led l LEFT JOIN files f ON l.output_path = f.path WHERE l.state IN ('verified', 'done'))"""
 ORACLE["verify_outputs"] = W(LEDGER + VERIFY, "SELECT * FROM ver")
 ORACLE["deletable_files"] = W(LEDGER, f"SELECT path, length FROM listing WHERE NOT ({PROT})")
@@ -282,18 +278,15 @@ ORACLE["cleanup_bytes"] = W(LEDGER, f"""
 SELECT stage, CAST(coalesce(sum(length), 0) AS BIGINT) AS deleted_bytes, count(*) AS deleted_files FROM listing WHERE NOT ({PROT}) GROUP BY stage""")
 ORACLE["cleanup_report"] = W(LEDGER + VERIFY, f""",
 ad AS (SELECT DISTINCT stage, CASE WHEN stage = 'src4' THEN 'data/manifests/src4/' ELSE 'data/raw/shards/' || stage || '/' END AS artifact_dir FROM led),
-summ AS (SELECT stage, printf('downstream manifest not complete: {{''pending'': %d, ''processing'': %d, ''verified'': %d, ''done'': %d, ''failed'': %d, ''total'': %d}}',
-    count(*) FILTER (WHERE state = 'pending'), count(*) FILTER (WHERE state = 'processing'), count(*) FILTER (WHERE state = 'verified'),
-    count(*) FILTER (WHERE state = 'done'), count(*) FILTER (WHERE state = 'failed'), count(*)) AS e1,
-    count(*) FILTER (WHERE state = 'done') = count(*) AS complete FROM led GROUP BY stage),
-fb AS (SELECT stage, arg_min(message, shard_id) AS e2 FROM ver WHERE verdict <> 'ok' GROUP BY stage),
+summ AS (SELECT stage, count(*) FILTER (WHERE state = 'done') = count(*) AS complete FROM led GROUP BY stage),
+fb AS (SELECT stage, arg_min(verdict || ' ' || shard_id, shard_id) AS e2 FROM ver WHERE verdict <> 'ok' GROUP BY stage),
 nv AS (SELECT stage, count(*) AS n_verified FROM led WHERE state IN ('verified', 'done') GROUP BY stage),
 ps AS (SELECT stage, CAST(sum(length) AS BIGINT) AS bytes, count(*) AS files FROM listing WHERE NOT ({PROT}) GROUP BY stage),
 r AS (SELECT ad.stage, ad.artifact_dir,
-  CASE WHEN NOT coalesce(complete, false) THEN e1
-       WHEN coalesce(n_verified, 0) = 0 THEN 'downstream manifest has no verified entries'
+  CASE WHEN NOT coalesce(complete, false) THEN 'incomplete'
+       WHEN coalesce(n_verified, 0) = 0 THEN 'nothing_verified'
        WHEN e2 IS NOT NULL THEN e2
-       WHEN {PROT_DIR} THEN printf('Refusing to delete protected path: %s', artifact_dir) ELSE '' END AS error, files, bytes
+       WHEN {PROT_DIR} THEN 'protected' ELSE '' END AS error, files, bytes
   FROM ad LEFT JOIN summ USING (stage) LEFT JOIN fb USING (stage) LEFT JOIN nv USING (stage) LEFT JOIN ps USING (stage))
 SELECT stage, artifact_dir, error <> '' AS skipped, error,
   CAST(CASE WHEN error = '' THEN coalesce(files, 0) ELSE 0 END AS BIGINT) AS deleted_files,
@@ -352,8 +345,8 @@ WHERE step % 10 = 0 OR (step % 25 = 0 AND step <> 0)""")
 ORACLE["metric_serialise"] = W(EVENTS, """SELECT run_id, event_id, '{"value":"' || CAST(value AS VARCHAR) || '"}' AS metrics_json FROM sm""")
 ORACLE["throughput"] = W(EVENTS, """, d AS (SELECT run_id, step,
   (epoch_us(ts) - lag(epoch_us(ts)) OVER (PARTITION BY run_id ORDER BY ts, step)) / 1e6 AS dt,
-  count(*) OVER (PARTITION BY run_id ORDER BY ts, step ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS c FROM tm)
-SELECT run_id, CAST(step AS INTEGER) AS step, CAST(floor(16384.0 / greatest(dt, 1e-9)) AS BIGINT) AS tokens_per_sec,
+  count(*) OVER (PARTITION BY run_id ORDER BY ts, step ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS c FROM tm WHERE type = 'train')
+SELECT run_id, CAST(step AS INTEGER) AS step, CASE WHEN dt IS NOT NULL THEN CAST(floor(16384.0 / greatest(dt, 1e-9)) AS BIGINT) END AS tokens_per_sec,
        CAST(c * 16384 AS BIGINT) AS tokens_seen FROM d""")
 BEST = EVENTS + """, best AS (SELECT run_id, step, val_loss,
   min(val_loss) OVER (PARTITION BY run_id ORDER BY step ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev FROM tm WHERE type = 'eval')"""
@@ -431,7 +424,7 @@ ORACLE["text_shards"] = W(SHARDS, f""", dl AS (SELECT shard_id, doc_id, string_s
 dl2 AS (SELECT *, coalesce(sum(len(lst)) OVER (PARTITION BY shard_id ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM dl),
 x AS (SELECT shard_id, before, unnest(range(len(lst))) AS i, unnest(lst) AS line FROM dl2)
 SELECT shard_id, CAST(before + i AS BIGINT) AS line_no, line FROM x WHERE {not_blank('line')}""")
-ORACLE["packed_binary"] = W(PACK, "SELECT seq_id, md5(array_to_string(toks, ',')) AS digest FROM packed WHERE split = 'train'")
+ORACLE["packed_binary"] = W(PACK, "SELECT split, seq_id, md5(array_to_string(toks, ',')) AS digest FROM packed")
 ORACLE["incremental_clean"] = W(CLEANED, """, ph AS (
   SELECT shard_id, CASE WHEN reject_reason IS NULL THEN sha1(cleaned) END AS sha1, count(*) AS n FROM cleaned GROUP BY 1, 2)
 SELECT shard_id, CAST(sum(n) AS BIGINT) AS docs_in, count(sha1) AS docs_out FROM ph GROUP BY shard_id""")
@@ -447,17 +440,15 @@ UNION ALL SELECT 'train', CAST(sum(length) AS BIGINT), count(*) FROM fb WHERE sp
 ORACLE["file_checksums"] = W(FILEB, "SELECT shard_id, length, file_checksum FROM fb")
 ORACLE["stage_gate"] = W(LEDGER, """,
 pl AS (SELECT (['download', 'clean', 'train_tokenizer', 'tokenize', 'pack'])[n % 5 + 1] AS stage, state FROM ledk),
-s AS (SELECT stage AS upstream, count(*) > 0 AND count(*) FILTER (WHERE state = 'done') = count(*) AS c,
-  printf('{''pending'': %d, ''processing'': %d, ''verified'': %d, ''done'': %d, ''failed'': %d, ''total'': %d}',
-    count(*) FILTER (WHERE state = 'pending'), count(*) FILTER (WHERE state = 'processing'), count(*) FILTER (WHERE state = 'verified'),
-    count(*) FILTER (WHERE state = 'done'), count(*) FILTER (WHERE state = 'failed'), count(*)) AS summ FROM pl GROUP BY stage),
+s AS (SELECT stage AS upstream, count(*) FILTER (WHERE state = 'done') AS d, count(*) AS n FROM pl GROUP BY stage),
 g AS (SELECT * FROM (VALUES ('clean', 'download'), ('train_tokenizer', 'clean'), ('tokenize', 'train_tokenizer'), ('pack', 'tokenize')) t(stage, upstream))
-SELECT g.stage, g.upstream, coalesce(c, false) AS may_run,
-  CASE WHEN coalesce(c, false) THEN '' ELSE g.upstream || ' stage not complete: ' ||
-    coalesce(summ, '{''pending'': 0, ''processing'': 0, ''verified'': 0, ''done'': 0, ''failed'': 0, ''total'': 0}') END AS error
+SELECT g.stage, g.upstream, coalesce(n > 0 AND d = n, false) AS may_run, coalesce(d, 0) AS up_done, coalesce(n, 0) AS up_total
 FROM g LEFT JOIN s USING (upstream)""")
 ORACLE["cleanup_audit"] = ORACLE["cleanup_report"].replace(
     "true AS dry_run FROM r", "true AS dry_run, run FROM r, (VALUES (1), (2)) t(run)")
 ORACLE["metric_events"] = W(EVENTS, "SELECT stage, event, count(*) AS n, round(sum(value), 4) AS value_sum FROM sm GROUP BY 1, 2")
 ORACLE["pack_skip"] = W(PACK, """SELECT DISTINCT split FROM packed
 WHERE split <> 'train' OR (SELECT count(*) FROM packed WHERE split = 'train') * 64 < 65""")
+
+# ----------------------------------------------------------------------------- tokenizer round trip
+ORACLE["decode_roundtrip"] = W(CORPUS, "SELECT count(*) AS lines, count(*) AS roundtrip_ok FROM corpus")

@@ -46,12 +46,13 @@ def is_ascii(c: Column) -> Column:
 
 
 def nfkc_frame(df: DataFrame, col: str) -> DataFrame:
-    """NFKC of ``col``; ASCII rows skip Python entirely (filter + union, no UDF call).
+    """NFKC of ``col``; null and ASCII rows skip Python entirely (filter + union, no UDF call).
 
     Expects a materialised input (e.g. the cleaned table), since it is scanned twice.
     """
-    asc = df.filter(is_ascii(F.col(col)))
-    other = df.filter(~is_ascii(F.col(col))).withColumn(col, _nfkc_udf(F.col(col)))
+    plain = F.coalesce(is_ascii(F.col(col)), F.lit(True))
+    asc = df.filter(plain)
+    other = df.filter(~plain).withColumn(col, _nfkc_udf(F.col(col)))
     return asc.unionByName(other)
 
 

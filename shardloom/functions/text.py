@@ -188,38 +188,16 @@ def passes_quality(c: Column, rules: QualityRules = QualityRules()) -> Column:
 
 # --------------------------------------------------------------------------- P11
 
-def policy_chain(text: Column, policy: Column) -> Column:
-    """Per-policy rule chain before the quality check (P1 first for every policy)."""
-    t = normalize_text(text)
-    return (F.when(policy == "wikitext", remove_wiki_markup(fix_wiki_artifacts(t)))
-            .when(policy == "bookcorpus", remove_citations(remove_boilerplate(t)))
-            .otherwise(remove_boilerplate(t)))
-
-
-def rule_reason(normalized: Column, policy: Column) -> Column:
-    """Which rule emptied a text (heading / symbols_only / boilerplate), else NULL."""
-    wiki = fix_wiki_artifacts(normalized)
-    return (F.when((policy == "wikitext") & is_heading(wiki), F.lit("heading"))
-            .when((policy == "wikitext") & is_symbols_only(wiki), F.lit("symbols_only"))
-            .when((policy != "wikitext") & is_boilerplate(normalized), F.lit("boilerplate")))
+def registry_value(source: Column, mapping: dict) -> Column:
+    """A source's entry in a driver-side registry (bounded by construction); null for others."""
+    if not mapping:
+        return F.lit(None)
+    return F.create_map(*[F.lit(x) for kv in sorted(mapping.items()) for x in kv])[source]
 
 
 def policy_of_registry(source: Column, mapping: dict[str, str], default: str = "default") -> Column:
-    """Policy looked up from a driver-side registry (bounded by construction)."""
-    if not mapping:
-        return F.lit(default)
-    m = F.create_map(*[F.lit(x) for kv in sorted(mapping.items()) for x in kv])
-    return F.coalesce(m[source], F.lit(default))
-
-
-def policy_by_number(source: Column) -> Column:
-    """Fixture policy: n = number in 'srcN'; n%3 = 0 wikitext, 1 bookcorpus, 2 default."""
-    n = F.regexp_extract(source, "([0-9]+)$", 1)
-    k = F.pmod(n.cast("long"), F.lit(3))
-    return (F.when(n == "", F.lit("default"))
-            .when(k == 0, F.lit("wikitext"))
-            .when(k == 1, F.lit("bookcorpus"))
-            .otherwise(F.lit("default")))
+    """Cleaning policy of a source by the registry."""
+    return F.coalesce(registry_value(source, mapping), F.lit(default))
 
 
 # --------------------------------------------------------------------------- P12-P15

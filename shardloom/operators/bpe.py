@@ -22,6 +22,7 @@ one round when that provably gives the same result as one merge per round:
 
 from __future__ import annotations
 
+import heapq
 import json
 from dataclasses import dataclass, field
 
@@ -166,6 +167,7 @@ class BpeModel:
         return spark.createDataFrame(rows, "id int, token_hex string, special boolean")
 
     def config(self, min_frequency: int) -> dict:
+        # The keys of the tokenizer's configuration file.
         return {"vocab_size": self.size, "model": "BPE", "pre_tokenizer": "ByteLevel", "normalizer": "NFKC",
                 "min_frequency": min_frequency, "special_tokens": SPECIAL_TOKENS}
 
@@ -200,8 +202,7 @@ def select_batch(cands: list[tuple[int, int, int]], vocab: dict[int, bytes], kno
 
 def train_bpe(spark: SparkSession, freq: DataFrame, vocab_size: int = VOCAB_SIZE,
               min_frequency: int = MIN_FREQUENCY, candidates: int = CANDIDATES,
-              checkpoint_every: int = CHECKPOINT_EVERY, max_rounds: int | None = None,
-              progress=None) -> BpeModel:
+              checkpoint_every: int = CHECKPOINT_EVERY, progress=None) -> BpeModel:
     """T5: learn merges until the vocabulary reaches ``vocab_size`` or no pair is frequent.
 
     ``freq`` should be materialised (it is read once for the alphabet and once for the
@@ -221,7 +222,7 @@ def train_bpe(spark: SparkSession, freq: DataFrame, vocab_size: int = VOCAB_SIZE
     words = materialize(words)
     stale: list[DataFrame] = []
     rnd = 0
-    while len(vocab) < vocab_size and (max_rounds is None or rnd < max_rounds):
+    while len(vocab) < vocab_size:
         top = symbol_top_pairs(symbol_pair_counts(words, min_frequency), candidates + 1).collect()
         for old in stale:                       # ``words`` is now computed; drop its parents
             old.unpersist()
@@ -259,36 +260,31 @@ def train_bpe(spark: SparkSession, freq: DataFrame, vocab_size: int = VOCAB_SIZE
 # ----------------------------------------------------------------------------- T6 / encode
 
 def encode_word(ids: list[int], ranks: dict[tuple[int, int], tuple[int, int]]) -> list[int]:
-    """Apply merges by rank: repeatedly merge the lowest-rank adjacent pair, leftmost first."""
-    ids = list(ids)
-    while len(ids) > 1:
-        best = None
-        for i in range(len(ids) - 1):
-            r = ranks.get((ids[i], ids[i + 1]))
-            if r is not None and (best is None or r[0] < best[0]):
-                best = (r[0], i, r[1])
-        if best is None:
-            break
-        _, i, new = best
-        ids[i:i + 2] = [new]
-    return ids
+    """Apply merges by rank: the lowest-rank adjacent pair first, leftmost of equals.
 
-
-def encoder_udf(spark: SparkSession, model: BpeModel):
-    """Arrow UDF: pre-token string -> ids. The merge table is broadcast (vocabulary-bounded)."""
-    ranks = {(a, b): (k, c) for k, (a, b, c) in enumerate(model.merges)}
-    bc = spark.sparkContext.broadcast((ranks, model.byte_ids))
-
-    @F.pandas_udf(Ty.ArrayType(Ty.IntegerType()))
-    def encode(s: pd.Series) -> pd.Series:
-        rk, byte_ids = bc.value
-        out = []
-        for p in s:
-            syms = [byte_ids.get(b, UNK_ID) for b in p.encode("utf-8")]
-            out.append(encode_word(syms, rk))
-        return pd.Series(out)
-
-    return encode
+    Symbols form a linked list and candidate pairs a heap, so a run of n symbols without a space
+    costs n log n. A heap entry is stale if its pair is not what stands at its place any more.
+    """
+    n = len(ids)
+    ids = list(ids)
+    after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+    heap = [(ranks[p][0], i, p) for i, p in enumerate(zip(ids, ids[1:])) if p in ranks]
+    heapq.heapify(heap)
+    gone = [False] * n
+    while heap:
+        _, i, pair = heapq.heappop(heap)
+        j = after[i] if i < n and not gone[i] else n
+        if j >= n or (ids[i], ids[j]) != pair:
+            continue
+        ids[i] = ranks[pair][1]
+        gone[j] = True
+        after[i] = after[j]
+        if after[j] < n:
+            before[after[j]] = i
+        for a, b in ((before[i], i), (i, after[i])):
+            if a >= 0 and b < n and (ids[a], ids[b]) in ranks:
+                heapq.heappush(heap, (ranks[ids[a], ids[b]][0], a, (ids[a], ids[b])))
+    return [x for x, dead in zip(ids, gone) if not dead]
 
 
 _WORKER_CACHE: dict = {}
@@ -309,6 +305,8 @@ def line_encoder_udf(spark: SparkSession, model: BpeModel):
     @F.pandas_udf(Ty.ArrayType(Ty.IntegerType()))
     def encode_lines(s: pd.Series) -> pd.Series:
         rk, byte_ids = bc.value
+        if key not in _WORKER_CACHE:              # one model at a time: older caches go
+            _WORKER_CACHE.clear()
         cache = _WORKER_CACHE.setdefault(key, {})
         out = []
         for pretokens in s:
@@ -328,9 +326,9 @@ def line_encoder_udf(spark: SparkSession, model: BpeModel):
 
 
 def encode_distinct(spark: SparkSession, pretoken_table: DataFrame, model: BpeModel) -> DataFrame:
-    """Ids for each distinct pre-token (the corpus is encoded by joining back)."""
-    enc = encoder_udf(spark, model)
-    return pretoken_table.select("pretoken").distinct().select("pretoken", enc(F.col("pretoken")).alias("ids"))
+    """Ids for each distinct pre-token."""
+    enc = line_encoder_udf(spark, model)
+    return pretoken_table.select("pretoken").distinct().select("pretoken", enc(F.array("pretoken")).alias("ids"))
 
 
 def save_artifacts(spark: SparkSession, model: BpeModel, path: str, min_frequency: int = MIN_FREQUENCY) -> None:

@@ -1,40 +1,54 @@
 """Exact deduplication on SHA-1 of cleaned text (D1 per shard, D2 global).
 
-Both are hash aggregations keyed by (scope, sha1) with ``min(struct(position))``:
-partial aggregation runs map-side, so a text repeated millions of times is one row per
-map task before the shuffle, and no sort of text is needed. Equal SHA-1 means equal
-text, so ``any_value`` of the text is exact.
+The first position of every (scope, hash) group comes from a hash aggregation over narrow
+rows: the 20-byte hash and one fixed-width position per row, combined map-side, so a text
+copied millions of times is one small row per map task and no text is sorted or aggregated.
+The kept rows are then found by a semi-join on (scope, hash, position), whose keys are unique.
+The input has to be a written table (it is read twice).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Line numbers and ordinals that one position holds (checked, not assumed).
+LINES_PER_DOC = 10**10
+DOCS_PER_SOURCE = 10**15
 
-def dedup_first(kept: DataFrame, scope_cols: list[str], order_cols: list[str],
-                carry_cols: list[str], hash_col: str = "sha1", text_col: str = "cleaned") -> DataFrame:
-    """Keep the first row (by ``order_cols``) of every (scope, hash) group.
 
-    ``carry_cols`` ride in the ``min(struct)`` after the order columns, so they come
-    from the first row. Returns scope, carry, order columns, hash and text.
-    """
-    inner = [*order_cols, *[c for c in carry_cols if c not in order_cols]]
-    first = F.min(F.struct(*[F.col(c) for c in inner])).alias("_first")
-    agg = (kept.groupBy(*scope_cols, hash_col)
-           .agg(first, F.any_value(text_col).alias(text_col)))
-    return agg.select(*scope_cols, *[F.col(f"_first.{c}").alias(c) for c in inner],
-                      hash_col, text_col)
+def _wide(c: Column) -> Column:
+    return c.cast("decimal(38,0)")
+
+
+def line_position(ordinal: Column, line_idx: Column, group: Column | None = None) -> Column:
+    """(group,) ordinal and line number as one decimal that sorts like them."""
+    room = (line_idx < LINES_PER_DOC) & (ordinal < DOCS_PER_SOURCE)
+    pos = _wide(ordinal) * F.lit(LINES_PER_DOC) + _wide(line_idx)
+    if group is not None:
+        pos = _wide(group) * F.lit(LINES_PER_DOC).cast("decimal(38,0)") * F.lit(DOCS_PER_SOURCE) + pos
+    return F.when(room, pos.cast("decimal(38,0)")).otherwise(F.raise_error(F.lit("a position does not fit")).cast("decimal(38,0)"))
+
+
+def dedup_first(kept: DataFrame, scope_cols: list[str], position: Column, hash_col: str = "sha1") -> DataFrame:
+    """Rows of ``kept`` whose ``position`` is the first of their (scope, hash) group; ``position`` is unique."""
+    keyed = kept.withColumn("_key", F.unhex(hash_col)).withColumn("_pos", position)
+    first = keyed.groupBy(*scope_cols, "_key").agg(F.min("_pos").alias("_pos"))
+    return keyed.join(first, [*scope_cols, "_key", "_pos"], "left_semi").drop("_key", "_pos")
 
 
 def dedup_shard(cleaned: DataFrame) -> DataFrame:
     """First occurrence in line order of each cleaned text within its shard."""
-    kept = cleaned.filter("kept")
-    return dedup_first(kept, ["shard_id"], ["doc_id", "line_idx"], ["source", "split", "shard_idx"])
+    return dedup_first(cleaned.filter("kept"), ["shard_id"], line_position(F.col("doc_ordinal"), F.col("line_idx")))
 
 
 def dedup_global(cleaned: DataFrame) -> DataFrame:
-    """First occurrence in corpus order (shard_id, doc_id, line_idx) across all shards."""
+    """First occurrence in corpus order (shard_id, document, line) across all shards."""
     kept = cleaned.filter("kept")
-    out = dedup_first(kept, [], ["shard_id", "doc_id", "line_idx"], ["source", "split", "shard_idx"])
-    return out
+    spark = cleaned.sparkSession
+    prefix = F.concat_ws("__", "source", "split", F.lit(""))
+    # The registry bounds the number of (source, split) pairs; their order is that of the shard ids.
+    names = sorted(r[0] for r in cleaned.select(prefix.alias("p")).distinct().collect())
+    ranks = spark.createDataFrame(list(enumerate(names)) or [(0, "")], "_rank int, _prefix string")
+    ranked = kept.withColumn("_prefix", prefix).join(F.broadcast(ranks), "_prefix")
+    return dedup_first(ranked, [], line_position(F.col("doc_ordinal"), F.col("line_idx"), F.col("_rank"))).drop("_rank", "_prefix")

@@ -7,6 +7,8 @@ only metadata is read. Deletion itself is not performed: the result is a report.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,22 +45,21 @@ def file_checksums(spark: SparkSession, root: str, glob: str | None = None) -> D
 
 
 def validate_bin(length: Column, exists: Column, seq_len: int = SEQ_LEN, dtype_bytes: int = DTYPE_BYTES):
-    """K3: (valid, num_tokens, message) of a packed binary, ordered like the original checks."""
+    """K3: (valid, num_tokens, problem) of a packed binary; the first test that fails names the problem."""
     n_tok = F.floor(length / dtype_bytes).cast("long")
-    msg = (F.when(~exists, F.lit("file does not exist"))
-           .when(length == 0, F.lit("file is empty"))
-           .when(F.pmod(length, F.lit(dtype_bytes)) != 0,
-                 F.format_string(f"size %d not multiple of dtype_bytes {dtype_bytes}", length))
-           .when(n_tok < seq_len + 1, F.format_string(f"only %d tokens, need at least {seq_len + 1}", n_tok))
-           .otherwise(F.lit("")))
-    valid = msg == ""
-    return valid, F.when(valid, n_tok).otherwise(F.lit(0).cast("long")), msg
+    problem = (F.when(~exists, F.lit("missing"))
+               .when(length == 0, F.lit("empty"))
+               .when(F.pmod(length, F.lit(dtype_bytes)) != 0, F.lit("odd_size"))
+               .when(n_tok < seq_len + 1, F.lit("too_short"))
+               .otherwise(F.lit("")))
+    valid = problem == ""
+    return valid, F.when(valid, n_tok).otherwise(F.lit(0).cast("long")), problem
 
 
 def validate_files(files: DataFrame, seq_len: int = SEQ_LEN) -> DataFrame:
     """K3 over a listing that may hold missing files (``length`` NULL)."""
-    valid, n, msg = validate_bin(F.col("length"), F.col("length").isNotNull(), seq_len)
-    return files.select("path", valid.alias("valid"), n.alias("num_tokens"), msg.alias("message"))
+    valid, n, problem = validate_bin(F.col("length"), F.col("length").isNotNull(), seq_len)
+    return files.select("path", valid.alias("valid"), n.alias("num_tokens"), problem.alias("problem"))
 
 
 def verify_outputs(ledger: DataFrame, files: DataFrame, seq_len: int = SEQ_LEN) -> DataFrame:
@@ -69,21 +70,14 @@ def verify_outputs(ledger: DataFrame, files: DataFrame, seq_len: int = SEQ_LEN)
     ent = L.verified(ledger)
     j = ent.join(files.withColumnRenamed("path", "output_path"), "output_path", "left")
     exists = F.col("length").isNotNull()
-    valid, _, err = validate_bin(F.col("length"), exists, seq_len)
+    valid, _, problem = validate_bin(F.col("length"), exists, seq_len)
     mismatch = (F.col("checksum") != "") & (F.col("file_checksum") != F.col("checksum"))
     is_bin = F.col("output_path").endswith(".bin")
     verdict = (F.when(~exists, F.lit("missing"))
                .when(mismatch, F.lit("checksum_mismatch"))
-               .when(is_bin & ~valid, F.lit("bad_bin"))
+               .when(is_bin & ~valid, F.concat(F.lit("bad_bin:"), problem))
                .otherwise(F.lit("ok")))
-    message = (F.when(~exists, F.format_string("downstream output missing: %s (shard %s)",
-                                               F.col("output_path"), F.col("shard_id")))
-               .when(mismatch, F.format_string("checksum mismatch for %s: expected %s… got %s…",
-                                               F.col("output_path"), F.substring("checksum", 1, 12),
-                                               F.substring("file_checksum", 1, 12)))
-               .when(is_bin & ~valid, F.format_string("invalid .bin file %s: %s", F.col("output_path"), err))
-               .otherwise(F.lit("")))
-    return j.select("stage", "shard_id", "output_path", verdict.alias("verdict"), message.alias("message"))
+    return j.select("stage", "shard_id", "output_path", verdict.alias("verdict"))
 
 
 def is_protected(path: Column, patterns: list[str] = PROTECTED_PATTERNS) -> Column:
@@ -118,23 +112,18 @@ def cleanup_report(ledger: DataFrame, files: DataFrame, listing: DataFrame,
     deletable files of the folder. ``artifact_dirs``: (stage, artifact_dir);
     ``listing``: (stage, path, length) = files under each stage's folder.
     """
-    summ = L.summary(ledger).select("stage", L.summary_text("downstream manifest not complete: ").alias("e1"),
-                                    (F.col("done") == F.col("total")).alias("complete"))
+    summ = L.summary(ledger).select("stage", (F.col("done") == F.col("total")).alias("complete"))
     ver = verify_outputs(ledger, files, seq_len)
-    first_bad = (ver.filter(F.col("verdict") != "ok").groupBy("stage")
-                 .agg(F.min_by("message", "shard_id").alias("e2")))
+    bad = ver.filter(F.col("verdict") != "ok").groupBy("stage").agg(F.min(F.struct("shard_id", "verdict")).alias("bad"))
     n_ver = L.verified(ledger).groupBy("stage").agg(F.count(F.lit(1)).alias("n_verified"))
     per_stage = (deletable(listing).groupBy("stage")
                  .agg(F.sum("length").cast("long").alias("bytes"), F.count(F.lit(1)).alias("files")))
-    r = (artifact_dirs.join(summ, "stage", "left").join(first_bad, "stage", "left")
+    r = (artifact_dirs.join(summ, "stage", "left").join(bad, "stage", "left")
          .join(n_ver, "stage", "left").join(per_stage, "stage", "left"))
-    prot = dir_is_protected(F.col("artifact_dir"))
-    empty = "{'pending': 0, 'processing': 0, 'verified': 0, 'done': 0, 'failed': 0, 'total': 0}"
-    err = (F.when(~F.coalesce("complete", F.lit(False)),
-                  F.coalesce("e1", F.lit("downstream manifest not complete: " + empty)))
-           .when(F.coalesce("n_verified", F.lit(0)) == 0, F.lit("downstream manifest has no verified entries"))
-           .when(F.col("e2").isNotNull(), F.col("e2"))
-           .when(prot, F.format_string("Refusing to delete protected path: %s", F.col("artifact_dir")))
+    err = (F.when(~F.coalesce("complete", F.lit(False)), F.lit("incomplete"))
+           .when(F.coalesce("n_verified", F.lit(0)) == 0, F.lit("nothing_verified"))
+           .when(F.col("bad").isNotNull(), F.concat_ws(" ", "bad.verdict", "bad.shard_id"))
+           .when(dir_is_protected(F.col("artifact_dir")), F.lit("protected"))
            .otherwise(F.lit("")))
     go = err == ""
     return r.select("stage", "artifact_dir", (~go).alias("skipped"), err.alias("error"),
@@ -143,11 +132,16 @@ def cleanup_report(ledger: DataFrame, files: DataFrame, listing: DataFrame,
                     F.lit(True).alias("dry_run"))
 
 
-def storage_summary(listing: DataFrame, labels: list[tuple[str, str]]) -> DataFrame:
-    """Bytes per labelled folder. Labels nest, so a file counts for every matching
-    label; the label list is a literal array, matched per row without a join."""
-    arr = F.array(*[F.struct(F.lit(lab).alias("label"), F.lit(pre).alias("prefix")) for lab, pre in labels])
-    hits = listing.select("length", F.explode(F.filter(arr, lambda x: F.contains(F.col("path"), x["prefix"])))
-                          .alias("hit"))
+def storage_summary(listing: DataFrame, root: str, labels: list[tuple[str, str]]) -> DataFrame:
+    """Bytes per labelled folder, folders given relative to ``root`` (``*`` = any one level).
+
+    Labels nest, so a file counts for every folder it lies in; the label list is a literal array,
+    matched per row without a join.
+    """
+    base = F.regexp_replace("path", "^[^:/]+:/*", "/")
+    rest = F.substring(base, F.length(F.lit("/" + root.split(":", 1)[-1].strip("/") + "/")) + 1, 1 << 30)
+    arr = F.array(*[F.struct(F.lit(lab).alias("label"), F.lit("^" + "/".join("[^/]+" if p == "*" else re.escape(p) for p in pre.strip("/").split("/") if p) + ("/" if pre else ""))
+                             .alias("folder")) for lab, pre in labels])
+    hits = listing.select("length", rest.alias("rest")).select("length", F.explode(F.filter(arr, lambda x: F.regexp_like("rest", x["folder"]))).alias("hit"))
     return hits.groupBy(F.col("hit.label").alias("label")).agg(
         F.sum("length").cast("long").alias("bytes"), F.count(F.lit(1)).alias("files"))

@@ -53,9 +53,13 @@ def register(ledger: DataFrame, shard_ids: DataFrame, now: float) -> DataFrame:
     return ledger.select(*LEDGER_COLS).unionByName(new)
 
 
-def merge_meta(old_meta, new_meta):
-    """J2 meta merge: later keys win (needs spark.sql.mapKeyDedupPolicy=LAST_WIN)."""
-    return F.map_concat(old_meta, new_meta)
+def merge_meta(old: DataFrame, new: DataFrame) -> DataFrame:
+    """J2 meta merge: (stage, meta map) of both, the new value wins where both have a key."""
+    old_kept = F.map_filter(F.coalesce("_old", F.create_map().cast("map<string,string>")), lambda k, _: ~F.array_contains(F.map_keys("_new"), k))
+    j = (old.select("stage", F.col("meta").alias("_old"))
+         .join(new.select("stage", F.col("meta").alias("_new")), "stage", "full_outer")
+         .withColumn("_new", F.coalesce("_new", F.create_map().cast("map<string,string>"))))
+    return j.select("stage", F.map_concat(old_kept, F.col("_new")).alias("meta"))
 
 
 def apply_updates(ledger: DataFrame, updates: DataFrame) -> DataFrame:
@@ -64,25 +68,24 @@ def apply_updates(ledger: DataFrame, updates: DataFrame) -> DataFrame:
     ``updates``: (stage, shard_id, op, ts, output_path, checksum, token_count, error).
     Per shard the batch collapses to: last op's state, latest 'verified' payload, latest
     'failed' error, max ts. 'failed' keeps the old path/checksum, 'done' keeps the old
-    error (the original transitions never clear it).
+    error (the transitions never clear it). Of updates with one time stamp the later state of
+    ``STATES`` wins. An update for a shard that the ledger does not have is an error.
     """
-    u = updates
-    ver = F.col("op") == "verified"
-    fail = F.col("op") == "failed"
-    per = u.groupBy("stage", "shard_id").agg(
-        F.max_by("op", "ts").alias("n_state"),
+    ver, fail = F.col("op") == "verified", F.col("op") == "failed"
+    order = F.struct("ts", F.array_position(F.array(*[F.lit(s) for s in STATES]), F.col("op")))
+    per = updates.groupBy("stage", "shard_id").agg(
+        F.max_by("op", order).alias("n_state"),
         F.max("ts").alias("n_ts"),
-        F.max_by(F.when(ver, F.col("output_path")), F.when(ver, F.col("ts"))).alias("n_path"),
-        F.max_by(F.when(ver, F.col("checksum")), F.when(ver, F.col("ts"))).alias("n_checksum"),
-        F.max_by(F.when(ver, F.col("token_count")), F.when(ver, F.col("ts"))).alias("n_tokens"),
-        F.max_by(F.when(fail, F.col("error")), F.when(fail, F.col("ts"))).alias("n_error"))
-    j = ledger.join(per, ["stage", "shard_id"], "full_outer")
+        *[F.max_by(F.when(ver, F.col(c)), F.when(ver, F.struct("ts", F.col(c)))).alias(f"n_{c}") for c in ("output_path", "checksum", "token_count")],
+        F.max_by(F.when(fail, F.col("error")), F.when(fail, F.struct("ts", "error"))).alias("n_error"))
+    j = ledger.withColumn("_known", F.lit(True)).join(per, ["stage", "shard_id"], "full_outer")
+    state = F.when(F.col("_known"), F.coalesce("n_state", "state")).otherwise(
+        F.raise_error(F.concat(F.lit("update for an unknown shard: "), F.col("stage"), F.lit("/"), F.col("shard_id"))))
     return j.select(
-        "stage", "shard_id",
-        F.coalesce("n_state", "state").alias("state"),
-        F.coalesce("n_path", "output_path", F.lit("")).alias("output_path"),
+        "stage", "shard_id", state.alias("state"),
+        F.coalesce("n_output_path", "output_path", F.lit("")).alias("output_path"),
         F.coalesce("n_checksum", "checksum", F.lit("")).alias("checksum"),
-        F.coalesce("n_tokens", "token_count", F.lit(0)).cast("long").alias("token_count"),
+        F.coalesce("n_token_count", "token_count", F.lit(0)).cast("long").alias("token_count"),
         F.coalesce("n_ts", "updated_at").cast("double").alias("updated_at"),
         F.coalesce("n_error", "error", F.lit("")).alias("error"))
 
@@ -106,18 +109,12 @@ def total_tokens(ledger: DataFrame) -> DataFrame:
         .cast("long").alias("total_tokens"))
 
 
-def summary_text(prefix: str = "") -> F.Column:
-    """The summary as the original prints it: a Python dict literal, state order fixed."""
-    fmt = "{" + ", ".join(f"'{s}': %d" for s in STATES) + ", 'total': %d}"
-    return F.format_string(prefix + fmt, *[F.col(s) for s in STATES], F.col("total"))
-
-
 def require_complete(ledger: DataFrame, stage: str) -> None:
-    """Raise unless the upstream stage is complete; the error carries the summary."""
-    row = summary(ledger.filter(F.col("stage") == stage)).select(summary_text().alias("s"), "done", "total").first()
-    if row is None or row["total"] == 0 or row["done"] != row["total"]:
-        text = row["s"] if row else "{'pending': 0, 'processing': 0, 'verified': 0, 'done': 0, 'failed': 0, 'total': 0}"
-        raise RuntimeError(f"{stage} stage not complete: {text}")
+    """Raise unless the upstream stage is complete; the error names what is open."""
+    row = summary(ledger.filter(F.col("stage") == stage)).first()
+    if row is None or row["done"] != row["total"]:
+        counts = ", ".join(f"{row[s]} {s}" for s in STATES) if row else "no shards"
+        raise RuntimeError(f"stage {stage} is not complete ({counts})")
 
 
 def stage_plan(spark, stage_order: list[str], ledger: DataFrame, start_from: str) -> DataFrame:
@@ -133,15 +130,8 @@ def stage_plan(spark, stage_order: list[str], ledger: DataFrame, start_from: str
 
 
 def gate_report(ledger: DataFrame, upstream_of: dict[str, str]) -> DataFrame:
-    """R4 as a table: for every stage, whether its upstream is complete, and the error the
-    gate raises otherwise (``<upstream> stage not complete: {summary}``)."""
-    summ = summary(ledger).select("stage", (F.col("total") > 0) & (F.col("done") == F.col("total")),
-                                  summary_text())
-    summ = summ.toDF("upstream", "up_complete", "up_summary")
+    """R4 as a table: for every stage, whether its upstream is complete, and how many of its shards are done."""
+    summ = summary(ledger).select(F.col("stage").alias("upstream"), F.col("done").alias("up_done"), F.col("total").alias("up_total"))
     pairs = ledger.sparkSession.createDataFrame(sorted(upstream_of.items()), "stage string, upstream string")
-    j = pairs.join(summ, "upstream", "left")
-    empty = "{'pending': 0, 'processing': 0, 'verified': 0, 'done': 0, 'failed': 0, 'total': 0}"
-    ok = F.coalesce("up_complete", F.lit(False))
-    return j.select("stage", "upstream", ok.alias("may_run"),
-                    F.when(ok, F.lit("")).otherwise(F.concat(F.col("upstream"), F.lit(" stage not complete: "),
-                                                             F.coalesce("up_summary", F.lit(empty)))).alias("error"))
+    j = pairs.join(summ, "upstream", "left").withColumns({c: F.coalesce(c, F.lit(0)) for c in ("up_done", "up_total")})
+    return j.select("stage", "upstream", ((F.col("up_total") > 0) & (F.col("up_done") == F.col("up_total"))).alias("may_run"), "up_done", "up_total")

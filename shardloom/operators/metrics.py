@@ -7,9 +7,12 @@ Running values (K6-K8) use range-partitioned running aggregates, so one huge run
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import math
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .ordinal import running_aggregates
 
 
@@ -35,14 +38,15 @@ def sample_steps(train: DataFrame, log_every: int = 100, eval_every: int = 500)
 
 
 def throughput(train: DataFrame, seq_len: int, batch_size: int) -> DataFrame:
-    """K6: tokens/s = int(seq_len*batch / max(dt, 1e-9)) between consecutive logged steps,
-    and the cumulative tokens seen, per run in (ts, step) order. Running values come from
-    ``running_aggregates``, so one very long run does not sit in one task."""
+    """K6: tokens/s = int(seq_len*batch / max(dt, 1e-9)) between consecutive training steps,
+    and the cumulative tokens seen, per run in (ts, step) order. Evaluation rows process no
+    training tokens; the first step of a run has no interval, so its rate is null. Running values
+    come from ``running_aggregates``, so one very long run does not sit in one task."""
     tokens = seq_len * batch_size
-    r = running_aggregates(train.select("run_id", "step", "ts", _micros("ts").alias("_us")), ["run_id"], ["ts", "step"],
+    r = running_aggregates(train.filter(F.col("type") == "train").select("run_id", "step", "ts", _micros("ts").alias("_us")), ["run_id"], ["ts", "step"],
                            [("_prev", F.col("_us"), "last", True), ("_n", F.lit(1), "count", False)])
     dt = (F.col("_us") - F.col("_prev")) / 1e6
-    tps = F.floor(F.lit(float(tokens)) / F.greatest(dt, F.lit(1e-9))).cast("long")
+    tps = F.when(dt.isNotNull(), F.floor(F.lit(float(tokens)) / F.greatest(dt, F.lit(1e-9))).cast("long"))
     return r.select("run_id", "step", tps.alias("tokens_per_sec"), (F.col("_n") * tokens).cast("long").alias("tokens_seen"))
 
 
@@ -84,40 +88,47 @@ def stage_outcomes(stage_ev: DataFrame) -> DataFrame:
         ((F.max(F.when(is_("end"), _micros("ts"))) - F.min(F.when(is_("start"), _micros("ts")))) / 1e6).alias("span_s"))
 
 
-def unigram_nll(train_tokens: DataFrame, vocab_size: int) -> DataFrame:
-    """Add-one unigram model counted on a token table: (id, nll). Bounded by the vocabulary."""
+def unigram_nll(train_tokens: DataFrame, vocab_size: int) -> tuple[DataFrame, float]:
+    """Add-one unigram model counted on a token table: (id, nll), and the nll of an unseen id."""
     cnt = train_tokens.select(F.explode("tokens").alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("c"))
-    n = float(train_tokens.agg(F.sum(F.size("tokens"))).first()[0] or 0)   # one scalar to the driver
-    denom = F.lit(n + vocab_size)
-    return cnt.select("id", (-F.log((F.col("c") + 1) / denom)).alias("nll"),
-                      (-F.log(F.lit(1.0) / denom)).alias("unseen_nll"))
+    counts = materialize(cnt, "unigram")                     # at most the vocabulary; counted once
+    n = float(counts.agg(F.sum("c")).first()[0] or 0)
+    unseen = math.log(n + vocab_size)
+    return counts.select("id", (-F.log((F.col("c") + 1) / F.lit(n + vocab_size))).alias("nll")), unseen
 
 
-def perplexity(eval_tokens: DataFrame, model: DataFrame) -> DataFrame:
+def perplexity(eval_tokens: DataFrame, model: tuple[DataFrame, float]) -> DataFrame:
     """Token-weighted exp(sum nll / tokens); tokens absent from the model get the unseen nll."""
     per_id = eval_tokens.select(F.explode("tokens").alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("c"))
-    u = F.lit(model.select("unseen_nll").first()[0])
+    seen, u = model[0], F.lit(model[1])
     # The model has one row per token id: bounded by the vocabulary size.
-    j = per_id.join(F.broadcast(model.select("id", "nll")), "id", "left")
+    j = per_id.join(F.broadcast(seen), "id", "left")
     agg = j.agg(F.sum("c").alias("tokens"), F.sum(F.col("c") * F.coalesce(F.col("nll"), u)).alias("nll_sum"))
     return agg.select("tokens", "nll_sum", F.exp(F.col("nll_sum") / F.col("tokens")).alias("perplexity"))
 
 
-def batch_mean_loss(examples: DataFrame, model: DataFrame, batch_size: int) -> DataFrame:
+def batch_mean_loss(examples: DataFrame, model: tuple[DataFrame, float], batch_size: int) -> DataFrame:
     """Mean over batches (seq_id div B, ragged last kept) of the batch's mean token loss."""
     per = (examples.select((F.floor(F.col("seq_id") / batch_size)).alias("batch"), F.explode("y").alias("id"))
            .groupBy("batch", "id").agg(F.count(F.lit(1)).alias("c")))
-    u = F.lit(model.select("unseen_nll").first()[0])
-    j = per.join(F.broadcast(model.select("id", "nll")), "id", "left")
+    seen, u = model[0], F.lit(model[1])
+    j = per.join(F.broadcast(seen), "id", "left")           # at most the vocabulary
     b = j.groupBy("batch").agg((F.sum(F.col("c") * F.coalesce(F.col("nll"), u)) / F.sum("c")).alias("loss"))
     return b.agg(F.count(F.lit(1)).alias("batches"), F.avg("loss").alias("mean_loss"))
 
 
-def topk_softmax(scores: DataFrame, group_col: str, score_col: str, k: int, temperature: float = 1.0) -> DataFrame:
-    """Keep scores >= the k-th largest of the group (ties kept), softmax(score / T) over them."""
-    w = Window.partitionBy(group_col).orderBy(F.col(score_col).desc())
-    r = scores.withColumn("rank", F.rank().over(w)).filter(F.col("rank") <= k)
-    g = Window.partitionBy(group_col)
-    z = F.exp((F.col(score_col) - F.max(score_col).over(g)) / temperature)
-    r = r.withColumn("_z", z)
-    return r.withColumn("prob", F.col("_z") / F.sum("_z").over(g)).drop("_z")
+def topk_softmax(scores: DataFrame, key_col: str, scores_col: str, k: int, temperature: float = 1.0) -> DataFrame:
+    """Of each row's score array keep scores >= the k-th largest (ties kept), softmax(score / T) over them.
+
+    Works inside the array: no shuffle. Returns (key, pos, rank, prob); null scores take no part.
+    """
+    kept = F.filter(F.transform(scores_col, lambda x, i: F.struct(i.alias("pos"), x.cast("double").alias("s"))), lambda e: e["s"].isNotNull())
+    best = F.slice(F.reverse(F.array_sort(F.transform("_e", lambda e: e["s"]))), 1, k)
+    df = scores.select(key_col, kept.alias("_e")).withColumn("_top", best).filter(F.size("_top") > 0)
+    df = df.withColumn("_e", F.filter("_e", lambda e: e["s"] >= F.element_at("_top", -1)))
+    z = lambda s: F.exp((s - F.element_at("_top", 1)) / temperature)
+    df = df.withColumn("_sum", F.aggregate("_e", F.lit(0.0), lambda a, e: a + z(e["s"])))
+    rank = lambda e: F.size(F.filter("_e", lambda o: o["s"] > e["s"])) + 1
+    out = df.select(key_col, F.explode(F.transform("_e", lambda e: F.struct(e["pos"].alias("pos"), rank(e).alias("rank"),
+                                                                             (z(e["s"]) / F.col("_sum")).alias("prob")))).alias("r"))
+    return out.select(key_col, "r.*")

@@ -9,30 +9,35 @@ partitions + groups rows).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
 
 
+def same_groups(left: str, right: str, cols: list[str]) -> Column:
+    """Join condition on (_pid, groups); null groups are groups like any other."""
+    on = F.col(f"{left}._pid") == F.col(f"{right}._pid")
+    for c in cols:
+        on = on & F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}"))
+    return on
+
+
 def global_ordinal(df: DataFrame, group_cols: list[str], order_cols: list[str],
-                   out_col: str = "ordinal", num_partitions: int | None = None,
-                   checkpoint: bool = True) -> DataFrame:
+                   out_col: str = "ordinal", num_partitions: int | None = None) -> DataFrame:
     """Add a 0-based ``out_col`` = rank of each row by ``order_cols`` within ``group_cols``.
 
-    ``order_cols`` must make rows unique inside a group so the result is deterministic.
-    The range-partitioned, sorted table is checkpointed into the shared checkpoint
-    folder so partition ids and in-partition positions are fixed across the two passes
-    (counts, then numbering) and survive executor loss.
+    Whole rows go through the one range shuffle and are written in the shared checkpoint folder,
+    so partition ids and in-partition positions stay the same for both passes (counts, then
+    numbering) and survive executor loss. Null groups and null or repeated order values are
+    numbered like any others; rows that agree in all order columns follow a hash of the row.
     """
     keys = [*group_cols, *order_cols]
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (df.repartitionByRange(n, *keys)
-              .sortWithinPartitions(*keys)
-              .withColumn("_pid", F.spark_partition_id())
-              .withColumn("_mid", F.monotonically_increasing_id()))
-    if checkpoint:
-        ranged = materialize(ranged)
+    ranged = materialize(df.withColumn("_tie", F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
+                         .repartitionByRange(n, *keys, "_tie").sortWithinPartitions(*keys, "_tie").drop("_tie")
+                         .withColumn("_pid", F.spark_partition_id())
+                         .withColumn("_mid", F.monotonically_increasing_id()), "ranged")
     per_part = ranged.groupBy("_pid", *group_cols).agg(
         F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"))
     w = (Window.partitionBy(*group_cols).orderBy("_pid")
@@ -42,9 +47,8 @@ def global_ordinal(df: DataFrame, group_cols: list[str], order_cols: list[str],
     offsets = per_part.select(
         "_pid", *group_cols, "_first",
         F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_before"))
-    out = ranged.join(offsets, ["_pid", *group_cols], "inner")
-    return (out.withColumn(out_col, F.col("_before") + F.col("_mid") - F.col("_first"))
-            .drop("_pid", "_mid", "_first", "_before"))
+    out = ranged.alias("l").join(offsets.alias("r"), same_groups("l", "r", group_cols))
+    return out.select("l.*", (F.col("_before") + F.col("_mid") - F.col("_first")).alias(out_col)).drop("_pid", "_mid")
 
 
 def running_aggregates(df: DataFrame, group_cols: list[str], order_cols: list[str],
@@ -83,8 +87,8 @@ def running_aggregates(df: DataFrame, group_cols: list[str], order_cols: list[st
         c = (F.min(s) if kind == "min" else F.last(s, ignorenulls=True) if kind == "last" else F.sum(s)).over(before)
         carries.append(c.alias(f"_c{i}"))
     carry = summ.select("_pid", *group_cols, *carries)
-    j = ranged.join(carry, ["_pid", *group_cols], "inner")
-    out = j
+    out = (ranged.alias("l").join(carry.alias("r"), same_groups("l", "r", group_cols))
+           .select("l.*", *[f"r._c{i}" for i in range(len(specs))]))
     for i, (name, _, kind, exclusive) in enumerate(specs):
         w = (Window.partitionBy("_pid", *group_cols).orderBy(*order_cols)
              .rowsBetween(Window.unboundedPreceding, -1 if exclusive else 0))

@@ -40,14 +40,22 @@ def token_offsets(tok: DataFrame) -> DataFrame:
     w = Window.partitionBy("split").orderBy("shard_id").rowsBetween(Window.unboundedPreceding, -1)
     # One row per shard; AQE broadcasts it at runtime when its measured size allows.
     shard_off = per.select("split", "shard_id", F.coalesce(F.sum("_st").over(w), F.lit(0)).cast("long").alias("_so"))
-    wl = Window.partitionBy("shard_id").orderBy("doc_id", "line_idx").rowsBetween(Window.unboundedPreceding, -1)
+    # Join and window share the key (split, shard_id): the token arrays are shuffled once.
+    wl = Window.partitionBy("split", "shard_id").orderBy("doc_id", "line_idx").rowsBetween(Window.unboundedPreceding, -1)
     inner = F.coalesce(F.sum("n_tokens").over(wl), F.lit(0)).cast("long")
     return (tok.join(shard_off, ["split", "shard_id"], "inner")
             .withColumn("offset", F.col("_so") + inner).drop("_so"))
 
 
-def split_totals(offsets: DataFrame) -> DataFrame:
-    return offsets.groupBy("split").agg(F.sum("n_tokens").cast("long").alias("split_tokens"))
+def split_totals(tok: DataFrame) -> DataFrame:
+    """Tokens per split, from the token table's counts alone."""
+    return tok.groupBy("split").agg(F.sum("n_tokens").cast("long").alias("split_tokens"))
+
+
+def sequence_numbers(tok: DataFrame, seq_len: int = SEQ_LEN) -> DataFrame:
+    """(split, seq_id) of every packed sequence: floor(tokens / seq_len) per split, no token is touched."""
+    n = F.floor(F.col("split_tokens") / seq_len).cast("long")
+    return split_totals(tok).filter(n > 0).select("split", F.explode(F.sequence(F.lit(0).cast("long"), n - 1)).alias("seq_id"))
 
 
 def _windows(offsets: DataFrame, seq_len: int, width: int) -> DataFrame:
@@ -81,14 +89,16 @@ def pack_stats(packed: DataFrame, seq_len: int = SEQ_LEN) -> DataFrame:
         (F.col("sequences") * seq_len * 2 / 1e9).alias("size_gb"))
 
 
-def next_token_pairs(offsets: DataFrame, seq_len: int = SEQ_LEN) -> DataFrame:
+def next_token_pairs(offsets: DataFrame, tok: DataFrame, seq_len: int = SEQ_LEN) -> DataFrame:
     """K4: x = sequence s, y = x shifted by one incl. the first token of sequence s+1.
 
+    ``tok`` is the token table that ``offsets`` was made from (its counts give the split totals).
+
     Built as windows of L+1 tokens at stride L in the same single shuffle as packing
     (no self-join). Only windows inside the packed region count, so a split yields
     floor(T/L) - 1 examples, like the original loader.
     """
-    tot = split_totals(offsets)
+    tot = split_totals(tok)
     win = _windows(offsets, seq_len, seq_len + 1).join(F.broadcast(tot), "split")
     keep = (F.size("tokens") == seq_len + 1) & \
         (F.col("seq_id") < F.floor(F.col("split_tokens") / seq_len) - 1)

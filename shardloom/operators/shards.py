@@ -12,19 +12,14 @@ DOCS_PER_SHARD = 50_000
 
 
 def assign_shards(docs: DataFrame, docs_per_shard: int = DOCS_PER_SHARD,
-                  order_cols: tuple[str, ...] = ("doc_id",), checkpoint: bool = True) -> DataFrame:
+                  order_cols: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """Every ``docs_per_shard`` documents of a (source, split) start a new shard.
 
-    Requires ``source`` and ``split`` columns. The ordinal is computed by
-    ``global_ordinal`` (range partitioned), never by a window over a whole source.
+    Requires ``source`` and ``split`` columns. The rows themselves are numbered (one range
+    shuffle, never a window over a whole source and no join back on a document key), so null
+    and repeated document ids keep every row and get a place of their own.
     """
-    keys = ["source", "split", *order_cols]
-    # Ordinals are computed on the key columns only (text never goes through the range
-    # shuffle or the materialised tables), then joined back to the documents.
-    ords = global_ordinal(docs.select(*keys), ["source", "split"], list(order_cols), "doc_ordinal",
-                          checkpoint=checkpoint)
-    # Shuffle join on the keys; AQE broadcasts the ordinal side when its measured size is small.
-    with_ord = docs.join(ords, keys, "inner")
+    with_ord = global_ordinal(docs, ["source", "split"], list(order_cols), "doc_ordinal")
     idx = F.floor(F.col("doc_ordinal") / F.lit(docs_per_shard)).cast("int")
     return (with_ord.withColumn("shard_idx", idx)
             .withColumn("shard_id", T.shard_id_expr(F.col("source"), F.col("split"), F.col("shard_idx"))))

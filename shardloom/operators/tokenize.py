@@ -1,14 +1,15 @@
 """Corpus encoding, decoding and tokenizer statistics.
 
 Lines are pre-tokenised JVM-side and encoded in one narrow pass (Arrow UDF with a
-per-worker cache of pre-token ids). Decoding regroups per line, a bounded group (at
-most 80,000 characters after cleaning).
+per-worker cache of pre-token ids). Decoding is a narrow pass as well.
 """
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as Ty
 
 from ..functions import pretok as PT
 from ..functions.tokens import SPECIAL_TOKENS, UNK_ID, with_template
@@ -41,15 +42,20 @@ def vocab_lookup(spark: SparkSession, model: B.BpeModel) -> DataFrame:
 
 def decode(spark: SparkSession, tok: DataFrame, model: B.BpeModel, key_cols: list[str],
            skip_special: bool = True) -> DataFrame:
-    """P20: ids -> text through the byte-level vocabulary (invalid UTF-8 -> U+FFFD)."""
-    voc = vocab_lookup(spark, model)
-    ex = tok.select(*key_cols, F.posexplode("tokens").alias("pos", "id"))
-    j = ex.join(voc, "id", "left")
-    if skip_special:
-        j = j.filter(~F.coalesce(F.col("special"), F.lit(False)))
-    per = j.groupBy(*key_cols).agg(F.array_sort(F.collect_list(F.struct("pos", "token_hex"))).alias("_h"))
-    hexs = F.array_join(F.transform("_h", lambda x: x["token_hex"]), "")
-    return per.select(*key_cols, F.decode(F.unhex(hexs), "UTF-8").alias("decoded"))
+    """P20: ids -> text through the byte-level vocabulary, one narrow pass without a shuffle.
+
+    Invalid UTF-8 (a sequence may cut a character) becomes U+FFFD; a line of special tokens only
+    (or without any id) is an empty text, a null token array a null text.
+    """
+    first = len(SPECIAL_TOKENS) if skip_special else 0
+    table = spark.sparkContext.broadcast({i: b for i, b in model.vocab.items() if i >= first})  # the vocabulary
+
+    @F.pandas_udf(Ty.StringType())
+    def text_of(ids: pd.Series) -> pd.Series:
+        get = table.value.get
+        return ids.map(lambda x: None if x is None else b"".join([get(int(i), b"") for i in x]).decode("utf-8", "replace"))
+
+    return tok.select(*key_cols, text_of(F.col("tokens")).alias("decoded"))
 
 
 def eval_sample(corpus: DataFrame, order_cols: list[str], n: int = EVAL_SAMPLES) -> DataFrame:

@@ -12,13 +12,18 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 from ..operators import shards as S
 from ..operators.clean import clean_lines
-from ..session import read_table
+from ..session import materialize, read_table
 
 FIXTURE_DOCS_PER_SHARD = 5
 # Split thresholds used by the oracles: 500 and 1,500 per 10,000.
 FIXTURE_TEST_FRAC = 0.05
 FIXTURE_VAL_FRAC = 0.10
 
+# The registry's entries for the twenty sources of ``documents``: policy and shard cap by number.
+SOURCES = [f"src{n}" for n in range(20)]
+POLICIES = {s: ("wikitext", "bookcorpus", "default")[n % 3] for n, s in enumerate(SOURCES)}
+SHARD_CAPS = {s: n % 7 + 1 for n, s in enumerate(SOURCES) if n % 2}
+
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw corpus as (source, split, doc_id, text); every document is split 'train'."""
@@ -35,7 +40,13 @@ def cleaned_lines(spark: SparkSession, sf_dir: str,
                   docs_per_shard: int = FIXTURE_DOCS_PER_SHARD) -> DataFrame:
     """Sharded documents -> non-blank lines -> policy rule chain + quality gate."""
     lines = S.explode_lines(sharded_documents(spark, sf_dir, docs_per_shard))
-    return clean_lines(lines, T.policy_by_number(F.col("source")))
+    return clean_lines(lines, T.policy_of_registry(F.col("source"), POLICIES))
+
+
+def kept_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The kept lines as a written table: deduplication reads it twice, and cleans nothing again."""
+    c = cleaned_lines(spark, sf_dir).filter("kept")
+    return materialize(c.select("source", "split", "shard_idx", "shard_id", "doc_ordinal", "doc_id", "line_idx", "cleaned", "sha1", "kept"), "kept")
 
 
 def shard_table(spark: SparkSession, sf_dir: str,
@@ -46,38 +57,58 @@ def shard_table(spark: SparkSession, sf_dir: str,
             .withColumn("n", F.regexp_extract("source", "([0-9]+)$", 1).cast("long")))
 
 
+def shard_contents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(shard_id, length, checksum) that a shard's text file has to have, from its documents (a bounded group)."""
+    body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("doc_id", "text"))), lambda d: F.concat(d["text"], F.lit("\n"))), "")
+    per = sharded_documents(spark, sf_dir).groupBy("shard_id").agg(F.encode(body, "UTF-8").alias("b"))
+    return per.select("shard_id", F.octet_length("b").cast("long").alias("length"), F.sha2("b", 256).alias("checksum"))
+
+
 def derived_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ledger rows: one stage per source, k = n*10 + shard_idx (see FIXTURES.md)."""
-    sh = shard_table(spark, sf_dir)
+    """Ledger rows: one stage per source, k = n*10 + shard_idx (see FIXTURES.md); checksums of the shards' contents."""
+    sh = shard_table(spark, sf_dir).join(shard_contents(spark, sf_dir), "shard_id")
     k = F.col("n") * 10 + F.col("shard_idx")
     r = F.pmod(k, F.lit(10))
     state = (F.when((F.pmod(F.col("n"), F.lit(4)) == 0) | (r < 6), F.lit("done"))
              .when(r == 6, F.lit("verified")).when(r == 7, F.lit("processing"))
              .when(r == 8, F.lit("failed")).otherwise(F.lit("pending")))
-    return sh.select(
+    led = sh.select(
         F.col("source").alias("stage"), "shard_id", state.alias("state"),
-        F.concat(F.lit("out/"), F.col("shard_id"), F.lit(".bin")).alias("output_path"),
-        T.sha256_hex(F.col("shard_id")).alias("checksum"),
+        F.concat(F.lit("out/"), F.col("shard_id"), F.lit(".bin")).alias("output_path"), "checksum",
         (k * 100).cast("long").alias("token_count"),
         (F.lit(1700000000) + k * 60).cast("double").alias("updated_at"),
         F.when(state == "failed", F.concat(F.lit("error in "), F.col("shard_id")))
          .otherwise(F.lit("")).alias("error"),
         k.alias("k"))
+    return materialize(led, "ledger")                       # read several times by each ledger query
 
 
 LEDGER_NOW = 1700010000.0
 
 
 def derived_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Files on disk for J4: ledger paths minus k%17=0, checksum altered when k%19=0."""
-    led = derived_ledger(spark, sf_dir)
-    k = F.col("k")
-    return (led.filter(F.pmod(k, F.lit(17)) != 0)
-            .select(F.col("output_path").alias("path"),
-                    F.when(F.pmod(k, F.lit(19)) == 0,
-                           T.sha256_hex(F.concat(F.col("shard_id"), F.lit("#altered"))))
-                     .otherwise(F.col("checksum")).alias("file_checksum"),
-                    (k * 64).cast("long").alias("length")))
+    """Output files as found on the file system, as (path, length, file_checksum).
+
+    Shard files are written without those of k%17=0 and with a changed text where k%19=0; what
+    comes back is their listing and the checksums of their bytes.
+    """
+    from ..operators.integrity import file_checksums
+    from ..session import scratch_path
+    from ..sources.textshards import write_text_shards
+    docs = sharded_documents(spark, sf_dir)
+    k = F.regexp_extract("source", "([0-9]+)$", 1).cast("long") * 10 + F.col("shard_idx")
+    out = docs.filter(F.pmod(k, F.lit(17)) != 0).withColumn("text", F.when(F.pmod(k, F.lit(19)) == 0, F.concat("text", F.lit("#altered"))).otherwise(F.col("text")))
+    path = scratch_path(spark, "outputs")
+    write_text_shards(out, path)
+    found = file_checksums(spark, path, "*.txt")
+    return found.select(F.concat(F.lit("out/"), shard_of_path(F.col("path")), F.lit(".bin")).alias("path"), "length", "file_checksum")
+
+
+def shard_of_path(path):
+    """Shard id of a file under source=/split=/shard_idx= folders; escaped names as written."""
+    part = lambda name: F.regexp_extract(path, f"/{name}=([^/]+)/", 1)
+    plain = lambda c: F.url_decode(F.url_decode(c))  # noqa: E731  # the path's own escapes, then the folder's
+    return T.shard_id_expr(plain(part("source")), plain(part("split")), part("shard_idx").cast("int"))
 
 
 STAGES = ["download", "clean", "train_tokenizer", "tokenize", "pack"]
@@ -117,13 +148,14 @@ def train_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def derived_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Files under each stage's artifact folder: some in protected-looking sub-folders."""
-    led = derived_ledger(spark, sf_dir)
+    """Files under each stage's artifact folder: the written files, some placed in protected-looking sub-folders."""
+    files = derived_files(spark, sf_dir).select(F.col("path").alias("output_path"), "length")
+    led = derived_ledger(spark, sf_dir).join(files, "output_path")
     k = F.col("k")
     sub = (F.when(F.pmod(k, F.lit(7)) == 0, F.lit("logs/")).when(F.pmod(k, F.lit(11)) == 0, F.lit("tokenizer/"))
            .when(F.pmod(k, F.lit(13)) == 0, F.lit("blogs/")).otherwise(F.lit("")))
     path = F.concat(F.lit("data/raw/shards/"), F.col("stage"), F.lit("/"), sub, F.col("shard_id"), F.lit(".txt"))
-    return led.select("stage", path.alias("path"), (k * 64).cast("long").alias("length"))
+    return led.select("stage", path.alias("path"), "length")
 
 
 def artifact_dirs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -169,8 +201,7 @@ def hash_token_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Deduplicated cleaned lines with hash token ids and the fixture split per shard."""
     from ..functions import tokens as TK
     from ..operators.dedup import dedup_shard
-    from ..session import materialize
-    dd = dedup_shard(cleaned_lines(spark, sf_dir))
+    dd = dedup_shard(kept_lines(spark, sf_dir))
     ids = TK.with_template(TK.hash_ids(F.col("cleaned")))
     tok = dd.select(T.split_of_shard(F.col("shard_id"), FIXTURE_TEST_FRAC, FIXTURE_VAL_FRAC).alias("split"),
                     "shard_id", "doc_id", "line_idx", ids.alias("tokens")).withColumn("n_tokens", F.size("tokens"))
@@ -184,8 +215,7 @@ FIXTURE_VOCAB = 400
 def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The cleaned, per-shard deduplicated corpus (the tokenizer's training lines)."""
     from ..operators.dedup import dedup_shard
-    from ..session import materialize
-    dd = dedup_shard(cleaned_lines(spark, sf_dir))
+    dd = dedup_shard(kept_lines(spark, sf_dir))
     return materialize(dd.select("shard_id", "doc_id", "line_idx", F.col("cleaned").alias("text")))
 
 
@@ -195,7 +225,6 @@ _MODELS: dict = {}
 def trained_model(spark: SparkSession, sf_dir: str, vocab_size: int = FIXTURE_VOCAB):
     """Train once per (application, data, size); the model is driver-side and vocabulary-bounded."""
     from ..operators import bpe as B
-    from ..session import materialize
     key = (spark.sparkContext.applicationId, sf_dir, vocab_size)
     if key not in _MODELS:
         freq = materialize(B.pretoken_freq(corpus(spark, sf_dir), "text"))

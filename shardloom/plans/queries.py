@@ -107,25 +107,25 @@ def reject_reasons(spark, sf_dir):
 
 @query
 def dedup_shard(spark, sf_dir):
-    return D.dedup_shard(X.cleaned_lines(spark, sf_dir)).select("shard_id", "doc_id", "line_idx", "sha1")
+    return D.dedup_shard(X.kept_lines(spark, sf_dir)).select("shard_id", "doc_id", "line_idx", "sha1")
 
 
 @query
 def dedup_global(spark, sf_dir):
-    return D.dedup_global(X.cleaned_lines(spark, sf_dir)).select("shard_id", "doc_id", "line_idx", "sha1")
+    return D.dedup_global(X.kept_lines(spark, sf_dir)).select("shard_id", "doc_id", "line_idx", "sha1")
 
 
 @query
 def corpus_lines(spark, sf_dir):
     """The tokenizer corpus is the deduplicated cleaned table itself; its line count."""
-    return (D.dedup_shard(X.cleaned_lines(spark, sf_dir))
+    return (D.dedup_shard(X.kept_lines(spark, sf_dir))
             .agg(F.count(F.lit(1)).alias("lines"), F.sum(F.length("cleaned")).cast("long").alias("chars")))
 
 
 @query
 def shard_checksums(spark, sf_dir):
     """P14 for tables: order-insensitive SHA-256 over the sorted row hashes of a shard."""
-    dd = D.dedup_shard(X.cleaned_lines(spark, sf_dir))
+    dd = D.dedup_shard(X.kept_lines(spark, sf_dir))
     return (dd.groupBy("shard_id")
             .agg(F.sha2(F.array_join(F.array_sort(F.collect_list("sha1")), ""), 256).alias("checksum"),
                  F.count(F.lit(1)).alias("rows")))
@@ -148,9 +148,7 @@ def parse_shard_id(spark, sf_dir):
 @query
 def cap_shards(spark, sf_dir):
     sh = X.sharded_documents(spark, sf_dir)
-    n = F.regexp_extract("source", "([0-9]+)$", 1).cast("long")
-    cap = F.when(F.pmod(n, F.lit(2)) == 0, F.lit(None).cast("long")).otherwise(F.pmod(n, F.lit(7)) + 1)
-    return S.cap_shards(sh.withColumn("max_shards", cap), F.col("max_shards")).select(
+    return S.cap_shards(sh, T.registry_value(F.col("source"), X.SHARD_CAPS)).select(
         "source", "split", "doc_id", "shard_idx")
 
 
@@ -162,7 +160,7 @@ def discover_shards(spark, sf_dir):
 @query
 def read_one_shard(spark, sf_dir):
     lines = S.explode_lines(X.sharded_documents(spark, sf_dir))
-    return S.read_one_shard(lines, "src3__train__000002").select("shard_id", "doc_id", "line_idx", "line")
+    return S.read_one_shard(lines, "src3__train__000002", X.SOURCES).select("shard_id", "doc_id", "line_idx", "line")
 
 
 @query
@@ -338,7 +336,8 @@ def pack_stats(spark, sf_dir):
 
 @query
 def next_token_pairs(spark, sf_dir):
-    ex = P.next_token_pairs(_offsets(spark, sf_dir), X.FIXTURE_SEQ_LEN)
+    tok = X.hash_token_table(spark, sf_dir)
+    ex = P.next_token_pairs(P.token_offsets(tok), tok, X.FIXTURE_SEQ_LEN)
     return ex.select("split", "seq_id", TK.array_digest(F.col("x")).alias("x_digest"),
                      TK.array_digest(F.col("y")).alias("y_digest"),
                      (F.slice("x", 2, X.FIXTURE_SEQ_LEN - 1) == F.slice("y", 1, X.FIXTURE_SEQ_LEN - 1)).alias("shifted"))
@@ -346,7 +345,7 @@ def next_token_pairs(spark, sf_dir):
 
 @query
 def training_batches(spark, sf_dir):
-    packed = P.pack_sequences(_offsets(spark, sf_dir), X.FIXTURE_SEQ_LEN)
+    packed = P.sequence_numbers(X.hash_token_table(spark, sf_dir), X.FIXTURE_SEQ_LEN)
     key = F.md5(F.concat_ws(":", F.lit("7"), F.lit("0"), F.col("seq_id").cast("string")))
     return P.training_batches(packed, X.FIXTURE_BATCH, order_key=key)
 
@@ -411,7 +410,7 @@ def unigram_perplexity(spark, sf_dir):
 @query
 def batch_mean_loss(spark, sf_dir):
     tok, model = _unigram(spark, sf_dir)
-    ex = P.next_token_pairs(P.token_offsets(tok), X.FIXTURE_SEQ_LEN).filter(F.col("split") == "validation")
+    ex = P.next_token_pairs(P.token_offsets(tok), tok, X.FIXTURE_SEQ_LEN).filter(F.col("split") == "validation")
     r = M.batch_mean_loss(ex, model, X.FIXTURE_BATCH)
     return r.select("batches", F.round("mean_loss", 6).alias("mean_loss"))
 
@@ -419,9 +418,7 @@ def batch_mean_loss(spark, sf_dir):
 @query
 def topk_softmax(spark, sf_dir):
     emb = read_table(spark, sf_dir, "embeddings")
-    sc = emb.select("vec_id", F.posexplode("embedding").alias("pos", "score")).withColumn(
-        "score", F.col("score").cast("double"))
-    r = M.topk_softmax(sc, "vec_id", "score", TOPK, TEMPERATURE)
+    r = M.topk_softmax(emb, "vec_id", "embedding", TOPK, TEMPERATURE)
     return r.select("vec_id", F.col("pos").cast("long").alias("pos"), "rank", F.round("prob", 6).alias("prob"))
 
 
@@ -510,16 +507,16 @@ def decode_roundtrip(spark, sf_dir):
 
 @query
 def tokenizer_stats(spark, sf_dir):
-    c, model, tok = _tokenized(spark, sf_dir)
-    sample = TZ.eval_sample(c, KEY)
-    return TZ.tokenizer_stats(tok.join(sample, KEY, "left_semi").join(c, KEY), "text")
+    model = X.trained_model(spark, sf_dir)
+    sample = materialize(TZ.eval_sample(X.corpus(spark, sf_dir), KEY), "sample")     # the sample, then its tokens
+    return TZ.tokenizer_stats(TZ.tokenize_lines(spark, sample, model, [*KEY, "text"], "text"), "text")
 
 
 @query
 def example_tokens(spark, sf_dir):
-    c, model, tok = _tokenized(spark, sf_dir)
-    first = TZ.eval_sample(c, KEY, 1)
-    return TZ.example(spark, tok.join(first, KEY), model, "text")
+    model = X.trained_model(spark, sf_dir)
+    first = materialize(TZ.eval_sample(X.corpus(spark, sf_dir), KEY, 1), "sample")
+    return TZ.example(spark, TZ.tokenize_lines(spark, first, model, [*KEY, "text"], "text"), model, "text")
 
 
 @query
@@ -546,14 +543,12 @@ def text_shards(spark, sf_dir):
 
 @query
 def packed_binary(spark, sf_dir):
-    """S9 + S10: train sequences written as uint16 files and read back."""
+    """S9 + S10: the sequences of all splits written as uint16 payloads and read back."""
     from ..session import scratch_path
     from ..sources import tokenbin
-    packed = P.pack_sequences(_offsets(spark, sf_dir), X.FIXTURE_SEQ_LEN).filter(F.col("split") == "train")
-    path = scratch_path(spark, "packed-train")
-    tokenbin.write_packed(packed, path)
-    back = spark.read.format("tokenbin").option("seq_len", X.FIXTURE_SEQ_LEN).load(path)
-    return back.select("seq_id", TK.array_digest(F.col("tokens")).alias("digest"))
+    path = scratch_path(spark, "packed")
+    tokenbin.write_packed(P.pack_sequences(_offsets(spark, sf_dir), X.FIXTURE_SEQ_LEN), path)
+    return tokenbin.read_packed(spark, path).select("split", "seq_id", TK.array_digest(F.col("tokens")).alias("digest"))
 
 
 @query
@@ -563,36 +558,31 @@ def incremental_clean(spark, sf_dir):
     from ..streaming.incremental import incremental_clean as run
     shards = _text_shards_dir(spark, sf_dir)
     out, led, ck = (scratch_path(spark, n) for n in ("clean-out", "clean-ledger", "clean-ckpt"))
-    run(spark, shards, out, led, ck, T.policy_by_number(F.col("source")))
+    run(spark, shards, out, led, ck, T.policy_of_registry(F.col("source"), X.POLICIES))
     return spark.read.parquet(led).select("shard_id", F.col("docs_in").cast("long").alias("docs_in"),
                                           F.col("docs_out").cast("long").alias("docs_out"))
 
 
 @query
 def stream_dedup(spark, sf_dir):
-    """R2: stateful streaming dedup; distinct kept texts per shard."""
+    """R2: streaming dedup; distinct kept texts per shard."""
     from ..session import scratch_path
-    from ..sources import textshards as TS
-    from ..streaming.incremental import stateful_dedup
-    shards = _text_shards_dir(spark, sf_dir)
-    lines = TS.stream_text_shards(spark, shards).withColumnRenamed("line_no", "line_idx")
-    cleaned = C.clean_lines(lines, T.policy_by_number(F.col("source")))
+    from ..streaming.incremental import streaming_dedup
     out, ck = scratch_path(spark, "dedup-out"), scratch_path(spark, "dedup-ckpt")
-    q = (stateful_dedup(cleaned).select("shard_id", "sha1").writeStream.format("parquet")
-         .option("path", out).option("checkpointLocation", ck).trigger(availableNow=True).start())
-    q.awaitTermination()
+    streaming_dedup(spark, _text_shards_dir(spark, sf_dir), out, ck, T.policy_of_registry(F.col("source"), X.POLICIES))
     return spark.read.parquet(out).groupBy("shard_id").agg(F.count(F.lit(1)).alias("docs_out"))
 
 
 @query
 def stage_event_stream(spark, sf_dir):
-    """The watermarked event-time rollup run as a stream; equals the batch twin."""
+    """The event-time rollup run as a stream over several files, newest first; equals the batch twin."""
     from ..session import scratch_path
     from ..streaming import events as EV
-    schema = read_table(spark, sf_dir, "events").schema
-    out, ck = scratch_path(spark, "event-windows"), scratch_path(spark, "event-ckpt")
-    EV.run_stage_event_windows(spark, f"{sf_dir.rstrip('/')}/events*.parquet", schema, out, ck)
-    r = EV.latest_windows(spark.read.parquet(out))
+    events = read_table(spark, sf_dir, "events")
+    files, out, ck = (scratch_path(spark, n) for n in ("event-files", "event-windows", "event-ckpt"))
+    events.repartitionByRange(4, F.desc("ts")).write.parquet(files)
+    EV.run_stage_event_windows(spark, files, events.schema, out, ck)
+    r = EV.total_windows(spark.read.parquet(out))
     return r.select(F.date_format("w.start", "yyyy-MM-dd HH:mm:ss").alias("window_start"),
                     F.date_format("w.end", "yyyy-MM-dd HH:mm:ss").alias("window_end"), "stage", "event", "n")
 
@@ -601,19 +591,16 @@ def stage_event_stream(spark, sf_dir):
 def storage_summary(spark, sf_dir):
     """Bytes and files per labelled folder of the written raw shards (labels nest)."""
     from ..operators.integrity import list_files, storage_summary as summ
-    listing = list_files(spark, _text_shards_dir(spark, sf_dir), "*.txt")
-    return summ(listing, [("all", "source="), ("src1", "source=src1/"), ("train", "split=train/")])
+    root = _text_shards_dir(spark, sf_dir)
+    return summ(list_files(spark, root, "*.txt"), root, [("all", ""), ("src1", "source=src1"), ("train", "*/split=train")])
 
 
 @query
 def file_checksums(spark, sf_dir):
     """SHA-256 of every shard file's bytes, read through binaryFile."""
     from ..operators.integrity import file_checksums as fc
-    from ..sources.textshards import SHARD_DIR_RE
     c = fc(spark, _text_shards_dir(spark, sf_dir), "*.txt")
-    sid = T.shard_id_expr(F.regexp_extract("path", SHARD_DIR_RE, 1), F.regexp_extract("path", SHARD_DIR_RE, 2),
-                          F.regexp_extract("path", SHARD_DIR_RE, 3).cast("int"))
-    return c.select(sid.alias("shard_id"), "length", "file_checksum")
+    return c.select(X.shard_of_path(F.col("path")).alias("shard_id"), "length", "file_checksum")
 
 
 @query
@@ -655,15 +642,11 @@ def metric_events(spark, sf_dir):
 def pack_skip(spark, sf_dir):
     """Only splits whose packed output does not already validate are packed again.
 
-    The train split is written through ``tokenbin`` first; file lengths come from a
-    binaryFile listing (metadata only)."""
+    The train split is packed and written first, as a run that stopped after it would leave things."""
     from ..session import scratch_path
     from ..sources import tokenbin
-    packed = P.pack_sequences(_offsets(spark, sf_dir), X.FIXTURE_SEQ_LEN)
+    tok = X.hash_token_table(spark, sf_dir)
     base = scratch_path(spark, "packed")
-    tokenbin.write_packed(packed.filter(F.col("split") == "train"), f"{base}/train")
-    listing = I.list_files(spark, base, "*.bin")
-    existing = (listing.select(F.regexp_extract("path", "/(train|validation|test)/", 1).alias("split"), "length")
-                .groupBy("split").agg(F.sum("length").alias("length")))
-    splits = packed.select("split").distinct()
-    return P.splits_to_pack(splits, existing, X.FIXTURE_SEQ_LEN)
+    tokenbin.write_packed(P.pack_sequences(P.token_offsets(tok.filter(F.col("split") == "train")), X.FIXTURE_SEQ_LEN), base)
+    splits = P.sequence_numbers(tok, X.FIXTURE_SEQ_LEN).select("split").distinct()
+    return P.splits_to_pack(splits, tokenbin.packed_sizes(spark, base), X.FIXTURE_SEQ_LEN)

@@ -1,4 +1,4 @@
-"""Session helpers: building a session, the checkpoint folder, size-checked broadcast."""
+"""Session helpers: building a session, the checkpoint folder, written stage tables."""
 
 from __future__ import annotations
 
@@ -6,11 +6,6 @@ import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-# Rows below which a derived side table may be broadcast. The count is taken on the
-# table itself before the join, so the bound is checked, never assumed.
-BROADCAST_MAX_ROWS = 2_000_000
 
 
 def build_session(master: str | None = None, app: str = "shardloom",
@@ -99,11 +94,5 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint only after counting the side; larger sides join by shuffle."""
-    n = df.count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

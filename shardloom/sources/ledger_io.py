@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 ENTRY_DDL = ("shard_id string, state string, output_path string, checksum string, "
              "token_count bigint, updated_at double, error string")
 DOC_DDL = ("meta map<string,string>, shards array<struct<shard_id:string, state:string, output_path:string, "
@@ -39,7 +41,7 @@ def read_ledger_documents(spark: SparkSession, path: str) -> tuple[DataFrame, Da
            .option("columnNameOfCorruptRecord", "_corrupt_record")
            .json(path)
            .withColumn("file", F.col("_metadata.file_path")))
-    raw = raw.cache()
+    raw = materialize(raw, "ledgers")
     bad = raw.filter(F.col("_corrupt_record").isNotNull() | F.col("shards").isNull()).select("file", "_corrupt_record")
     good = raw.filter(F.col("_corrupt_record").isNull() & F.col("shards").isNotNull())
     stage = F.coalesce(F.col("meta")["stage"], F.regexp_extract("file", "([^/]+)\\.json$", 1))

@@ -17,26 +17,30 @@ from ..functions import text as T
 
 @dataclass(frozen=True)
 class SourceSpec:
-    name: str | None                 # literal source name; None = take it from ``source_col``
-    path: str
+    name: str | None                  # literal source name; None = take it from ``source_col``
+    path: str | dict[str, str]        # one dataset, or one per split
     splits: tuple[str, ...] = ("train",)
     text_col: str = "text"
     fmt: str = "parquet"
     weight: float = 1.0
     max_shards: int | None = None
     source_col: str | None = None
-    split_col: str | None = None      # per-row split column; None = every split in ``splits``
-    id_expr: str = "doc_id"           # SQL expression giving a BIGINT document id
+    split_col: str | None = None      # per-row split column
+    id_expr: str | dict[str, str] = "doc_id"    # SQL expression giving a BIGINT document id (per split)
     policy: str | None = None
     options: dict = field(default_factory=dict)
 
+    def __post_init__(self):
+        if len(self.splits) > 1 and not self.split_col and not isinstance(self.path, dict):
+            raise ValueError(f"{self.name}: several splits need a path each or a split column; one dataset would be all of them")
 
-def read_source(spark: SparkSession, spec: SourceSpec) -> DataFrame:
+
+def read_source(spark: SparkSession, spec: SourceSpec, split: str | None = None) -> DataFrame:
     """S3: scan one dataset by format; a missing text column reads as ''."""
     reader = spark.read.format(spec.fmt)
     for k, v in spec.options.items():
         reader = reader.option(k, v)
-    return reader.load(spec.path)
+    return reader.load(spec.path[split] if isinstance(spec.path, dict) else spec.path)
 
 
 def scan_text_table(df: DataFrame, text_col: str, keep: list[str]) -> DataFrame:
@@ -54,32 +58,29 @@ def ingest(spark: SparkSession, registry: list[SourceSpec]) -> DataFrame:
     """S1 + U1: union of every (source, split) as (source, split, doc_id, text)."""
     parts: list[DataFrame] = []
     for spec in registry:
-        raw = read_source(spark, spec)
-        src: Column = F.col(spec.source_col) if spec.source_col else F.lit(spec.name)
-        base = raw.select(src.alias("source"),
-                          (F.col(spec.split_col) if spec.split_col else F.lit(None).cast("string")).alias("_split"),
-                          F.expr(spec.id_expr).cast("long").alias("doc_id"),
-                          (F.col(spec.text_col) if spec.text_col in raw.columns else F.lit("")).alias("text"))
-        base = base.filter(T.not_blank(F.col("text"))).withColumn("text", T.strip_ws(F.col("text")))
-        if spec.split_col:
-            parts.append(base.withColumnRenamed("_split", "split")
-                         .filter(F.col("split").isin(list(spec.splits))))
-        else:
-            for sp in spec.splits:
-                parts.append(base.drop("_split").withColumn("split", F.lit(sp)))
-    out = parts[0].select("source", "split", "doc_id", "text")
+        for sp in spec.splits if isinstance(spec.path, dict) else (None,):
+            raw = read_source(spark, spec, sp)
+            src: Column = F.col(spec.source_col) if spec.source_col else F.lit(spec.name)
+            split: Column = F.col(spec.split_col) if spec.split_col else F.lit(sp or spec.splits[0])
+            key = spec.id_expr[sp] if isinstance(spec.id_expr, dict) else spec.id_expr
+            base = raw.select(src.alias("source"), split.alias("split"), F.expr(key).cast("long").alias("doc_id"),
+                              (F.col(spec.text_col) if spec.text_col in raw.columns else F.lit("")).alias("text"))
+            base = base.filter(T.not_blank(F.col("text"))).withColumn("text", T.strip_ws(F.col("text")))
+            parts.append(base.filter(F.col("split").isin(list(spec.splits))) if spec.split_col else base)
+    out = parts[0]
     for p in parts[1:]:
-        out = out.unionByName(p.select("source", "split", "doc_id", "text"))
+        out = out.unionByName(p)
     return out
 
 
-def registry_frame(spark: SparkSession, registry: list[SourceSpec]) -> DataFrame:
-    """The registry as a small table (broadcast side of policy / weight / cap lookups)."""
-    rows = [(s.name, s.path, list(s.splits), s.text_col, float(s.weight), s.max_shards, s.policy)
-            for s in registry]
-    schema = ("source string, path string, splits array<string>, text_col string, weight double, "
-              "max_shards int, policy string")
-    return F.broadcast(spark.createDataFrame(rows, schema))
+def registry_caps(registry: list[SourceSpec]) -> dict[str, int]:
+    """Shard cap of every source that has one."""
+    return {s.name: s.max_shards for s in registry if s.name and s.max_shards is not None}
+
+
+def registry_policies(registry: list[SourceSpec]) -> dict[str, str]:
+    """Cleaning policy of every source that names one."""
+    return {s.name: s.policy for s in registry if s.name and s.policy}
 
 
 def ingest_counts(sharded: DataFrame) -> DataFrame:
@@ -90,12 +91,14 @@ def ingest_counts(sharded: DataFrame) -> DataFrame:
 
 
 def fixture_registry(sf_dir: str) -> list[SourceSpec]:
-    """documents (source per row, train), conversations (conv, train), benchmark (bench, test)."""
+    """documents (source per row, train); aux with a dataset per split: conversations (train), benchmark (test).
+
+    A turn is a document of its own: its id is (conversation << 20) + turn.
+    """
     d = sf_dir.rstrip("/")
     return [
         SourceSpec(name=None, source_col="source", path=f"{d}/documents.parquet", splits=("train",),
                    id_expr="doc_id"),
-        SourceSpec(name="conv", path=f"{d}/conversations.parquet", splits=("train",),
-                   id_expr="conv_id * 1000 + turn"),
-        SourceSpec(name="bench", path=f"{d}/benchmark.parquet", splits=("test",), id_expr="item_id"),
+        SourceSpec(name="aux", path={"train": f"{d}/conversations.parquet", "test": f"{d}/benchmark.parquet"},
+                   splits=("train", "test"), id_expr={"train": "shiftleft(conv_id, 20) + turn", "test": "item_id"}),
     ]

@@ -1,22 +1,23 @@
 """Line-oriented text shards.
 
-Write: one text file per shard under ``source=/split=/shard_idx=`` folders; a shard's
-documents go to one task (hash partitioned by shard, sorted by document), so its file
-holds them in order, one document per line-run as in the original raw shards. Spark's
-commit protocol makes the output all-or-nothing.
+Write: one text file per shard under ``source=/split=/shard_idx=`` folders; a shard's documents go
+to one task (hash partitioned by shard, sorted by document), so its file holds them in order.
+Spark's commit protocol makes the output all-or-nothing.
 
-Read: ``wholetext`` gives one row per file, so line numbers are exact file positions
-(``posexplode`` of the split text); plain line reads carry no line number.
+Read: plain line rows (CRLF, CR and LF end a line), split over tasks by file block like any text
+scan; source, split and index are partition columns, so special characters in names come back as
+written. A line's number is its place in its block plus the lines of the file's earlier blocks.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..session import materialize
 
-SHARD_DIR_RE = "source=([^/]+)/split=([^/]+)/shard_idx=([0-9]+)/"
+SHARD_SCHEMA = "value string, source string, split string, shard_idx int"
 
 
 def write_text_shards(sharded_docs: DataFrame, path: str) -> None:
@@ -28,32 +29,32 @@ def write_text_shards(sharded_docs: DataFrame, path: str) -> None:
      .write.mode("overwrite").partitionBy("source", "split", "shard_idx").text(path))
 
 
-def _lines_of_files(files: DataFrame) -> DataFrame:
-    fp = F.col("file")
-    shard = files.select(
-        F.regexp_extract(fp, SHARD_DIR_RE, 1).alias("source"),
-        F.regexp_extract(fp, SHARD_DIR_RE, 2).alias("split"),
-        F.regexp_extract(fp, SHARD_DIR_RE, 3).cast("int").alias("shard_idx"),
-        "value")
-    shard = shard.withColumn("shard_id", T.shard_id_expr(F.col("source"), F.col("split"), F.col("shard_idx")))
-    lines = shard.select("source", "split", "shard_idx", "shard_id",
-                         F.posexplode(F.split("value", T.LINE_BREAK_RE, -1)).alias("line_no", "line"))
-    return lines.filter(T.not_blank(F.col("line"))).withColumn("line_no", F.col("line_no").cast("long"))
+def shard_files(reader, path: str) -> DataFrame:
+    """All lines (blank ones too) of shard files, with the file and block each comes from."""
+    lines = reader.schema(SHARD_SCHEMA).format("text").option("pathGlobFilter", "*.txt").load(path)
+    return lines.select("source", "split", "shard_idx", T.shard_id_expr(F.col("source"), F.col("split"), F.col("shard_idx")).alias("shard_id"),
+                        F.col("value").alias("line"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
 
 
-def read_text_shards(spark: SparkSession, path: str, glob: str = "*.txt") -> DataFrame:
-    """Recursive scan, non-blank lines with (shard_id, line_no); order kept as columns."""
-    # format().load(): DataFrameReader.text() would reset wholetext to its own default.
-    files = (spark.read.format("text").option("wholetext", "true").option("recursiveFileLookup", "true")
-             .option("pathGlobFilter", glob).load(path)
-             .select(F.col("_metadata.file_path").alias("file"), "value"))
-    return _lines_of_files(files)
+def number_lines(lines: DataFrame) -> DataFrame:
+    """Non-blank lines of ``shard_files`` with ``line_no``, the place in the file (blank lines count).
+
+    The lines are written once with their order; the counts of a file's blocks (one row per block)
+    are summed up and joined back.
+    """
+    placed = materialize(lines.withColumn("_mid", F.monotonically_increasing_id()), "lines")
+    blocks = placed.groupBy("file", "block").agg(F.min("_mid").alias("_first"), F.count("*").alias("_n"))
+    w = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.select("file", "block", "_first", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_before"))
+    out = placed.join(blocks, ["file", "block"]).withColumn("line_no", F.col("_before") + F.col("_mid") - F.col("_first"))
+    return out.filter(T.not_blank(F.col("line"))).select("source", "split", "shard_idx", "shard_id", "line_no", "line")
+
+
+def read_text_shards(spark: SparkSession, path: str) -> DataFrame:
+    """Non-blank lines with (shard_id, line_no)."""
+    return number_lines(shard_files(spark.read, path))
 
 
 def stream_text_shards(spark: SparkSession, path: str, max_files_per_trigger: int = 64) -> DataFrame:
     """The same scan as a file stream: each new shard file is picked up once."""
-    files = (spark.readStream.format("text").option("wholetext", "true")
-             .option("recursiveFileLookup", "true").option("pathGlobFilter", "*.txt")
-             .option("maxFilesPerTrigger", max_files_per_trigger).load(path)
-             .select(F.col("_metadata.file_path").alias("file"), "value"))
-    return _lines_of_files(files)
+    return shard_files(spark.readStream.option("maxFilesPerTrigger", max_files_per_trigger), path)

@@ -1,163 +1,78 @@
-"""``tokenbin``: headerless little-endian uint16 token files as a Spark data source.
-
-Read: ``spark.read.format("tokenbin").option("seq_len", 512).load(path)`` gives one row
-per complete sequence, ``(path, seq_id, tokens ARRAY<INT>)``; each input partition is a
-byte range aligned to ``seq_len * 2`` so large files split across tasks, and every range
-is decoded with ``numpy.frombuffer('<u2')`` into Arrow batches.
-
-Write: ``df.write.format("tokenbin").mode("overwrite").save(path)`` with columns
-``(seq_id, tokens)``. Feed it range-partitioned and sorted by ``seq_id``; every task
-writes ``part-<first seq_id>.bin`` into a staging folder and the driver commit moves the
-files into place, so readers never see a partial output and concatenating the files in
-name order gives the sequences in ``seq_id`` order. Ids above 65,535 are rejected.
+"""Packed token sequences as little-endian uint16 payloads.
+
+Primary form: a Parquet table ``(split, seq_id, payload BINARY)``, one sequence per row, written
+by Spark's own committer (any file system; a lost task or a crashed write leaves nothing that a
+reader sees) and range-partitioned by (split, seq_id). Ids above 65,535 are rejected.
+
+Interop: headerless uint16 files (``*.bin``, up to 2 GB each) are read through ``binaryFile``, in
+name order, as if they were one stream per folder.
 """
 
 from __future__ import annotations
 
-import glob
-import os
-import shutil
-import uuid
-from dataclasses import dataclass
-
-from pyspark.sql.datasource import (DataSource, DataSourceReader, DataSourceWriter, InputPartition,
-                                    WriterCommitMessage)
-from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
-
-SCHEMA = StructType([StructField("path", StringType()), StructField("seq_id", LongType()),
-                     StructField("tokens", ArrayType(IntegerType()))])
-DEFAULT_SEQ_LEN = 512
-DEFAULT_SPLIT_BYTES = 64 * 1024 * 1024
-
-
-def local_path(path: str) -> str:
-    """POSIX path of a ``file:`` URI (the source reads through the local or a mounted
-    shared file system; other schemes are refused rather than misread)."""
-    if path.startswith("file://"):
-        return path[len("file://"):]
-    if path.startswith("file:"):
-        return path[len("file:"):]
-    if "://" in path:
-        raise ValueError(f"tokenbin needs a local or mounted path, got {path}")
-    return path
-
-
-def _files(path: str) -> list[str]:
-    if os.path.isdir(path):
-        return sorted(glob.glob(os.path.join(path, "**", "*.bin"), recursive=True))
-    return sorted(glob.glob(path))
-
-
-@dataclass
-class _Range(InputPartition):
-    path: str
-    first_seq: int
-    start: int
-    stop: int
-
-
-class TokenBinReader(DataSourceReader):
-    def __init__(self, options, schema):
-        self.path = local_path(options["path"])
-        self.seq_len = int(options.get("seq_len", DEFAULT_SEQ_LEN))
-        self.split_bytes = int(options.get("split_bytes", DEFAULT_SPLIT_BYTES))
-
-    def partitions(self):
-        unit = self.seq_len * 2
-        step = max(unit, (self.split_bytes // unit) * unit)
-        parts = []
-        before = 0                      # sequences in earlier files: ids continue across files
-        for f in _files(self.path):
-            usable = (os.path.getsize(f) // unit) * unit
-            for start in range(0, usable, step):
-                parts.append(_Range(f, before + start // unit, start, min(start + step, usable)))
-            before += usable // unit
-        return parts or [_Range("", 0, 0, 0)]
-
-    def read(self, partition: _Range):
-        import numpy as np
-        import pyarrow as pa
-        if partition.stop <= partition.start:
-            return
-        with open(partition.path, "rb") as fh:
-            fh.seek(partition.start)
-            buf = fh.read(partition.stop - partition.start)
-        toks = np.frombuffer(buf, dtype="<u2").astype(np.int32).reshape(-1, self.seq_len)
-        n = toks.shape[0]
-        offsets = pa.array(np.arange(0, (n + 1) * self.seq_len, self.seq_len, dtype=np.int32))
-        tokens = pa.ListArray.from_arrays(offsets, pa.array(toks.reshape(-1)))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([partition.path] * n, pa.string()),
-             pa.array(np.arange(partition.first_seq, partition.first_seq + n, dtype=np.int64)), tokens],
-            names=["path", "seq_id", "tokens"])
-
-
-@dataclass
-class _Written(WriterCommitMessage):
-    staged: list
-
-
-class TokenBinWriter(DataSourceWriter):
-    def __init__(self, options, overwrite: bool):
-        self.path = local_path(options["path"])
-        self.overwrite = overwrite
-        self.stage = os.path.join(self.path, f"_staging-{uuid.uuid4().hex}")
-
-    def write(self, iterator):
-        import numpy as np
-        os.makedirs(self.stage, exist_ok=True)
-        first = None
-        chunks = []
-        for row in iterator:
-            if first is None:
-                first = row["seq_id"]
-            arr = np.asarray(row["tokens"], dtype=np.int64)
-            if arr.size and (arr.min() < 0 or arr.max() > 65535):
-                raise ValueError(f"token id out of uint16 range in sequence {row['seq_id']}")
-            chunks.append(arr.astype("<u2"))
-        if first is None:
-            return _Written([])
-        name = os.path.join(self.stage, f"part-{int(first):015d}-{uuid.uuid4().hex[:8]}.bin")
-        with open(name, "wb") as fh:
-            for c in chunks:
-                fh.write(c.tobytes())
-        return _Written([name])
-
-    def commit(self, messages):
-        if self.overwrite:
-            for old in glob.glob(os.path.join(self.path, "part-*.bin")):
-                os.remove(old)
-        for m in messages:
-            for f in (m.staged if m else []):
-                os.replace(f, os.path.join(self.path, os.path.basename(f)))
-        shutil.rmtree(self.stage, ignore_errors=True)
-
-    def abort(self, messages):
-        shutil.rmtree(self.stage, ignore_errors=True)
-
-
-class TokenBinDataSource(DataSource):
-    @classmethod
-    def name(cls):
-        return "tokenbin"
-
-    def schema(self):
-        return SCHEMA
-
-    def reader(self, schema):
-        return TokenBinReader(self.options, schema)
-
-    def writer(self, schema, overwrite):
-        return TokenBinWriter(self.options, overwrite)
-
-
-def register(spark) -> None:
-    spark.dataSource.register(TokenBinDataSource)
-
-
-def write_packed(packed, path: str, num_partitions: int | None = None) -> None:
-    """Range-partition by seq_id, sort inside partitions, write through ``tokenbin``."""
-    register(packed.sparkSession)
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+UINT16_MAX = 65_535
+SCHEMA = "split string, seq_id bigint, tokens array<int>"
+
+
+def _payloads(batches):
+    for batch in batches:
+        tokens = batch.column("tokens")
+        flat, edge = tokens.flatten().to_numpy(), tokens.offsets.to_numpy()
+        if len(flat) and (flat.min() < 0 or flat.max() > UINT16_MAX):
+            raise ValueError("token id out of uint16 range")
+        at = ((edge - edge[0]) * 2).astype(np.int32)
+        payload = pa.Array.from_buffers(pa.binary(), len(tokens), [None, pa.py_buffer(at), pa.py_buffer(flat.astype("<u2"))])
+        yield pa.RecordBatch.from_arrays([batch.column("split"), batch.column("seq_id"), payload], names=["split", "seq_id", "payload"])
+
+
+def write_packed(packed: DataFrame, path: str, num_partitions: int | None = None) -> None:
+    """(split, seq_id, tokens) -> payload table, sorted; replaces what is there once all is written."""
     n = num_partitions or int(packed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    (packed.select("seq_id", "tokens").repartitionByRange(n, "seq_id").sortWithinPartitions("seq_id")
-     .write.format("tokenbin").mode("overwrite").save(path))
+    rows = packed.select("split", "seq_id", "tokens").mapInArrow(_payloads, "split string, seq_id bigint, payload binary")
+    rows.repartitionByRange(n, "split", "seq_id").sortWithinPartitions("split", "seq_id").write.mode("overwrite").parquet(path)
+
+
+def _tokens(batches):
+    for batch in batches:
+        payload = batch.column("payload")
+        edge = np.frombuffer(payload.buffers()[1], np.int32, len(payload) + 1, payload.offset * 4)
+        flat = np.frombuffer(payload.buffers()[2] or b"", "<u2", (edge[-1] - edge[0]) // 2, edge[0]).astype(np.int32)
+        tokens = pa.ListArray.from_arrays(pa.array((edge - edge[0]) // 2, pa.int32()), pa.array(flat))
+        yield pa.RecordBatch.from_arrays([batch.column("split"), batch.column("seq_id"), tokens], names=["split", "seq_id", "tokens"])
+
+
+def read_packed(spark: SparkSession, path: str) -> DataFrame:
+    """The sequences of a payload table as (split, seq_id, tokens)."""
+    return spark.read.schema("split string, seq_id bigint, payload binary").parquet(path).mapInArrow(_tokens, SCHEMA)
+
+
+def packed_sizes(spark: SparkSession, path: str) -> DataFrame:
+    """(split, length in bytes) of a payload table."""
+    table = spark.read.schema("split string, seq_id bigint, payload binary").parquet(path)
+    return table.groupBy("split").agg(F.sum(F.octet_length("payload")).cast("long").alias("length"))
+
+
+def read_headerless(spark: SparkSession, path: str, seq_len: int) -> DataFrame:
+    """Sequences of headerless uint16 files as (path, seq_id, tokens); ids run on across the files of a folder.
+
+    A rest shorter than a sequence at the end of a file is not a sequence.
+    """
+    def cut(batches):
+        for batch in batches:
+            for p, before, content in zip(*(batch.column(c).to_pylist() for c in ("path", "before", "content"))):
+                n = len(content) // (2 * seq_len)
+                flat = np.frombuffer(content, "<u2", n * seq_len).astype(np.int32)
+                tokens = pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * seq_len, pa.int32()), pa.array(flat))
+                yield pa.RecordBatch.from_arrays([pa.array([p] * n, pa.string()), pa.array(np.arange(before, before + n)), tokens],
+                                                 names=["path", "seq_id", "tokens"])
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.bin").load(path)
+    # One row per file of the folder.
+    w = Window.orderBy("path").rowsBetween(Window.unboundedPreceding, -1)
+    heads = files.select("path", F.floor(F.col("length") / (2 * seq_len)).alias("n"))
+    heads = heads.select("path", F.coalesce(F.sum("n").over(w), F.lit(0)).cast("long").alias("before"))
+    return files.select("path", "content").join(heads, "path").select("path", "before", "content").mapInArrow(cut, "path string, seq_id bigint, tokens array<int>")

@@ -1,11 +1,11 @@
 """Incremental, resumable cleaning over arriving shard files.
 
-``readStream`` over the shard folder with ``trigger(availableNow=True)`` processes every
-file not yet recorded in the stream checkpoint, then stops: rerunning skips finished
-shards (the checkpoint is the resume state), and a shard is one file, so it is always
-complete inside one micro-batch. ``foreachBatch`` writes the cleaned rows (dynamic
-partition overwrite per shard, so a replayed batch is idempotent) and one ledger row per
-shard.
+``readStream`` over the shard folder with ``trigger(availableNow=True)`` processes every file not
+yet recorded in the stream checkpoint, then stops: rerunning skips finished shards (the checkpoint
+is the resume state), and a shard is one file, so it is always complete inside one micro-batch.
+``foreachBatch`` writes the cleaned rows as one table partition per shard and one ledger row per
+shard as the ledger partition of the batch; both overwrite their partitions, so a replayed batch
+leaves the same rows. A shard without any text has a ledger row too.
 """
 
 from __future__ import annotations
@@ -15,45 +15,62 @@ import time
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import text as T
 from ..operators import clean as C
 from ..operators import dedup as D
+from ..session import materialize
 from ..sources import textshards as TS
 
 
+def clean_batch(lines: DataFrame, policy: Column) -> tuple[DataFrame, DataFrame]:
+    """Kept first lines of the shards of ``lines`` (from ``shard_files``), and a yield row for every shard."""
+    shards = lines.select("shard_id").distinct()
+    numbered = TS.number_lines(lines).withColumnRenamed("line_no", "line_idx")
+    cleaned = materialize(C.clean_lines(numbered, policy), "cleaned")
+    kept = materialize(D.dedup_first(cleaned.filter("kept"), ["shard_id"], F.col("line_idx")), "kept")
+    sums = kept.groupBy("shard_id").agg(F.sha2(F.array_join(F.array_sort(F.collect_list("sha1")), ""), 256).alias("checksum"))
+    y = (shards.join(C.clean_yield(cleaned, with_total=False), "shard_id", "left").join(sums, "shard_id", "left")
+         .select("shard_id", F.coalesce("docs_in", F.lit(0)).cast("long").alias("docs_in"),
+                 F.coalesce("docs_out", F.lit(0)).cast("long").alias("docs_out"), F.coalesce("checksum", F.lit("")).alias("checksum")))
+    return kept, y
+
+
+def write_batch(lines: DataFrame, batch_id: int, policy: Column, out_path: str, ledger_path: str) -> None:
+    """One micro-batch of R1; a second call with the same batch changes nothing."""
+    def put(df: DataFrame, path: str, *by: str) -> None:
+        df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
+
+    kept, y = clean_batch(lines, policy)
+    put(kept.select("source", "split", "shard_idx", "shard_id", "line_idx", "cleaned", "sha1"), out_path, "source", "split", "shard_idx")
+    put(y.select(F.lit("clean").alias("stage"), "shard_id", F.lit("done").alias("state"), F.lit(out_path).alias("output_path"),
+                 "checksum", F.col("docs_out").alias("token_count"), "docs_in", "docs_out", F.lit(time.time()).alias("updated_at"),
+                 F.lit("").alias("error"), F.lit(batch_id).cast("long").alias("batch_id")), ledger_path, "batch_id")
+
+
 def incremental_clean(spark: SparkSession, shards_path: str, out_path: str, ledger_path: str,
                       checkpoint: str, policy: Column, max_files_per_trigger: int = 64):
     """Run until every available shard is cleaned; returns the finished query."""
     lines = TS.stream_text_shards(spark, shards_path, max_files_per_trigger)
-
-    def per_batch(batch: DataFrame, batch_id: int) -> None:
-        cleaned = C.clean_lines(batch.withColumnRenamed("line_no", "line_idx").withColumn("doc_id", F.lit(0).cast("long")),
-                                policy).persist()
-        kept = D.dedup_first(cleaned.filter("kept"), ["shard_id"], ["line_idx"], ["source", "split", "shard_idx"])
-        (kept.select("source", "split", "shard_idx", "shard_id", "line_idx", "cleaned", "sha1")
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("source", "split", "shard_idx").parquet(out_path))
-        y = C.clean_yield(cleaned, with_total=False)
-        sums = kept.groupBy("shard_id").agg(
-            F.sha2(F.array_join(F.array_sort(F.collect_list("sha1")), ""), 256).alias("checksum"))
-        (y.join(sums, "shard_id", "left")
-         .select(F.lit("clean").alias("stage"), "shard_id", F.lit("done").alias("state"),
-                 F.lit(out_path).alias("output_path"), F.coalesce("checksum", F.lit("")).alias("checksum"),
-                 F.col("docs_out").cast("long").alias("token_count"), "docs_in", "docs_out",
-                 F.lit(time.time()).alias("updated_at"), F.lit("").alias("error"),
-                 F.lit(batch_id).cast("long").alias("batch_id"))
-         .write.mode("append").parquet(ledger_path))
-        cleaned.unpersist()
-
-    q = (lines.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True).start())
+    q = (lines.writeStream.foreachBatch(lambda batch, batch_id: write_batch(batch, batch_id, policy, out_path, ledger_path))
+         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
     return q
 
 
-def stateful_dedup(cleaned_stream: DataFrame) -> DataFrame:
-    """R2: the seen-set as streaming state, for shards that span micro-batches.
+def streaming_dedup(spark: SparkSession, shards_path: str, out_path: str, checkpoint: str, policy: Column,
+                    max_files_per_trigger: int = 64):
+    """R2: distinct kept texts per shard over a stream of shard files, without state that grows.
 
-    Keeps one row per (shard_id, sha1) across batches; which copy survives follows
-    arrival order, so use it where only the set of texts matters.
+    A shard is one file and so never spans two batches; each batch writes the distinct (shard,
+    sha1) of its shards as its own partition.
     """
-    return cleaned_stream.filter("kept").dropDuplicates(["shard_id", "sha1"])
+    lines = TS.stream_text_shards(spark, shards_path, max_files_per_trigger).filter(T.not_blank(F.col("line")))
+    cleaned = C.clean_lines(lines, policy).filter("kept").select("shard_id", "sha1")
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        (batch.distinct().withColumn("batch_id", F.lit(batch_id).cast("long"))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(out_path))
+
+    q = (cleaned.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return q
