@@ -110,9 +110,9 @@ def _sketch(batches):
             body = data.tobytes()
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id").cast(pa.int64()), part.column("same"),
-                 pa.array(worded), pa.array([row.tobytes() for row in low], pa.binary()),
+                 pa.array(worded), pa.array(np.bincount(rows, minlength=n)), pa.array([row.tobytes() for row in low], pa.binary()),
                  pa.array([squeeze.compress(body[offsets[i]:offsets[i + 1]]) for i in range(n)], pa.binary())],
-                names=["doc_id", "same", "worded", "signature", "body"])
+                names=["doc_id", "same", "worded", "size", "signature", "body"])
 
 
 def band_keys(signature: np.ndarray) -> np.ndarray:
@@ -205,11 +205,22 @@ def _block_pairs(batches):
             left, right = row["left"], row["right"]
             read = lambda side, f: np.array([m[f] for m in side])
             la, ra = (np.frombuffer(b"".join(m["signature"] for m in s), "<u4").reshape(len(s), REGISTERS) for s in (left, right))
+            band = int(np.flatnonzero(band_keys(la[:1])[0].view(np.int64) == row["bucket"])[0])
             agree = np.zeros((len(left), len(right)), np.int16)
-            for k in range(REGISTERS):
-                agree += la[:, k, None] == ra[None, :, k]
+            fresh = np.ones(agree.shape, bool)  # not met in an earlier band
+            for k in range(BANDS):
+                equal = np.zeros_like(agree)
+                for r in range(k * ROWS, (k + 1) * ROWS):
+                    equal += la[:, r, None] == ra[None, :, r]
+                agree += equal
+                if k < band:
+                    fresh &= equal < ROWS
             near = np.abs(read(left, "j")[:, None] - read(right, "j")[None, :]) <= 1 - SIMILARITY + 1e-9
-            a, b = np.nonzero((agree >= AGREEING) & near & (read(left, "comp")[:, None] != read(right, "comp")[None, :]))
+            # What a document shares with any other of them bounds the overlap, and so the similarity.
+            shared = np.minimum(read(left, "shared")[:, None], read(right, "shared")[None, :])
+            room = shared >= SIMILARITY * (read(left, "size")[:, None] + read(right, "size")[None, :] - shared)
+            other = read(left, "comp")[:, None] != read(right, "comp")[None, :]
+            a, b = np.nonzero((agree >= AGREEING) & fresh & near & room & other)
             out_a.append(read(left, "rid")[a])
             out_b.append(read(right, "rid")[b])
         if out_a:
@@ -217,30 +228,45 @@ def _block_pairs(batches):
             yield pa.RecordBatch.from_arrays([pa.array(np.maximum(a, b), pa.int64()), pa.array(np.minimum(a, b), pa.int64())], names=["a", "b"])
 
 
-def unresolved_pairs(members: DataFrame, checked: DataFrame, comp: DataFrame, signatures: DataFrame) -> DataFrame:
+def _shingle_rows(batches):
+    loosen = zstandard.ZstdDecompressor()
+    for batch in batches:
+        for rid, body in zip(batch.column("rid").to_pylist(), batch.column("body").to_pylist()):
+            data = loosen.decompress(body)
+            _, hashes, _ = shingle_sets(np.frombuffer(data, np.uint8), np.array([0, len(data)]))
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(hashes), rid)), pa.array(hashes.view(np.int64))], names=["rid", "shingle"])
+
+
+def unresolved_pairs(members: DataFrame, checked: DataFrame, comp: DataFrame, heads: DataFrame) -> DataFrame:
     """Second part of step 3: candidate pairs across classes inside a bucket, compared in blocks.
 
     ``members`` is (bucket, rid, leader). Only buckets that hold two classes are looked at.
     """
     tagged = members.join(comp, "rid", "left").withColumn("comp", F.coalesce("comp", "rid"))
-    mixed = (tagged.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("n"))
-             .filter("lo <> hi and n > 2").select("bucket", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")))
-    far = (tagged.filter("rid <> leader").join(mixed, "bucket")
-           .join(checked.select(F.col("a").alias("rid"), F.col("b").alias("leader"), F.col("jaccard").alias("j")), ["rid", "leader"])
-           .join(signatures, "rid"))
+    mixed = C.materialize(tagged.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("n"))
+                          .filter("lo <> hi and n > 2").select("bucket", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "mixed")
+    far = C.materialize(tagged.filter("rid <> leader").join(mixed, "bucket"), "far")
+    # Shingles that only one of these documents has cannot be in an overlap; the others are counted.
+    open_ = far.select("rid").distinct()
+    rows = heads.select("rid", "body").join(open_, "rid", "left_semi").mapInArrow(_shingle_rows, "rid bigint, shingle bigint")
+    alone = (rows.groupBy("shingle").agg(F.count("*").alias("n"), F.min("rid").alias("rid")).filter("n = 1")
+             .groupBy("rid").agg(F.count("*").alias("alone")))
+    facts = C.materialize(heads.join(open_, "rid", "left_semi").select("rid", "signature", "size").join(alone, "rid", "left")
+                          .withColumn("shared", F.col("size") - F.coalesce("alone", F.lit(0))).drop("alone"), "facts")
     block = F.pmod(F.xxhash64("rid"), F.col("blocks")).cast("int")
-    packed = (far.withColumn("block", block).groupBy("bucket", "block", "blocks")
-              .agg(F.collect_list(F.struct("rid", "comp", "j", "signature")).alias("side")))  # about BLOCK members
+    packed = (far.join(checked.select(F.col("a").alias("rid"), F.col("b").alias("leader"), F.col("jaccard").alias("j")), ["rid", "leader"])
+              .join(facts, "rid").withColumn("block", block).groupBy("bucket", "block", "blocks")
+              .agg(F.collect_list(F.struct("rid", "comp", "j", "size", "shared", "signature")).alias("side")))  # about BLOCK members
     left = packed.select("bucket", F.explode(F.sequence(F.col("block"), F.col("blocks") - 1)).alias("other"), F.col("side").alias("left"))
     right = packed.select("bucket", F.col("block").alias("other"), F.col("side").alias("right"))
-    return (left.join(right, ["bucket", "other"]).select("left", "right").mapInArrow(_block_pairs, "a bigint, b bigint")
+    return (left.join(right, ["bucket", "other"]).select("bucket", "left", "right").mapInArrow(_block_pairs, "a bigint, b bigint")
             .distinct().join(checked.select("a", "b"), ["a", "b"], "left_anti"))
 
 
 def _sketched(docs: DataFrame) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     return C.with_row_key(rows.withColumn("same", F.unhex(F.sha2("text", 256)))
-                          .mapInArrow(_sketch, "doc_id bigint, same binary, worded boolean, signature binary, body binary"))
+                          .mapInArrow(_sketch, "doc_id bigint, same binary, worded boolean, size bigint, signature binary, body binary"))
 
 
 def _classes(sketch: DataFrame) -> DataFrame:
@@ -259,7 +285,7 @@ def _classes(sketch: DataFrame) -> DataFrame:
     checked = C.materialize(verify(stars, bodies), "checked")
     links = checked.filter(F.col("jaccard") >= SIMILARITY).select("a", "b")
     found = C.materialize(components(links), "classes")
-    rest = C.materialize(unresolved_pairs(members, checked, found, heads.select("rid", "signature")), "rest")
+    rest = C.materialize(unresolved_pairs(members, checked, found, heads), "rest")
     C.discard(spark, members)
     more = C.materialize(verify(rest, bodies).filter(F.col("jaccard") >= SIMILARITY).select("a", "b"), "more")
     if more.limit(1).count():
