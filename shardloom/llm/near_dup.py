@@ -10,7 +10,8 @@
    At a similarity of 0.8 a pair shares no band with probability (1 - 0.8**4)**32 < 1e-7.
 3. Verification. Inside a band's bucket every member is compared with the bucket's smallest
    member; a link needs a plain Jaccard of the two shingle sets of at least ``SIMILARITY``.
-   Buckets whose members do not all end in one class by that are gone through again in blocks
+   Crowded buckets that still hold several classes are then gone through with other members in the
+   middle. Buckets whose members do not all end in one class by that are gone through again in blocks
    of members: of members in different classes, pairs that can still be links (triangle
    inequality on the distances to the smallest member, at least ``AGREEING`` equal registers) are
    compared too. So dense groups cost one comparison per member, and no link is given up.
@@ -40,6 +41,8 @@ REGISTERS, BANDS, ROWS = 128, 32, 4
 #: than 64 agree with probability under 1e-12.
 AGREEING = 64
 BLOCK = 512
+#: Buckets from this size on get more stars before pairs, in at most so many rounds.
+CROWD, ROUNDS = 16, 8
 
 
 def shingles(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -237,15 +240,31 @@ def _shingle_rows(batches):
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(hashes), rid)), pa.array(hashes.view(np.int64))], names=["rid", "shingle"])
 
 
-def unresolved_pairs(members: DataFrame, checked: DataFrame, comp: DataFrame, heads: DataFrame) -> DataFrame:
-    """Second part of step 3: candidate pairs across classes inside a bucket, compared in blocks.
-
-    ``members`` is (bucket, rid, leader). Only buckets that hold two classes are looked at.
-    """
+def mixed_members(members: DataFrame, comp: DataFrame, least: int = 3) -> DataFrame:
+    """Members but the smallest of the buckets that hold two classes: (bucket, rid, leader, comp, n); written."""
     tagged = members.join(comp, "rid", "left").withColumn("comp", F.coalesce("comp", "rid"))
     mixed = C.materialize(tagged.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("n"))
-                          .filter("lo <> hi and n > 2").select("bucket", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "mixed")
-    far = C.materialize(tagged.filter("rid <> leader").join(mixed, "bucket"), "far")
+                          .filter((F.col("lo") != F.col("hi")) & (F.col("n") >= least)).select("bucket", "n"), "mixed")
+    return C.materialize(tagged.filter("rid <> leader").join(mixed, "bucket"), "far")
+
+
+def more_stars(members: DataFrame, checked: DataFrame, comp: DataFrame, round_: int) -> DataFrame:
+    """One more member of each large mixed bucket against the bucket's members of other classes: pairs not yet checked."""
+    far = mixed_members(members, comp, CROWD)
+    pick = C.materialize(far.groupBy("bucket").agg(F.min(F.struct(F.xxhash64("bucket", "rid", F.lit(round_)).alias("h"), F.col("rid").alias("hub"),
+                                                                  F.col("comp").alias("hub_comp"))).alias("s"))
+                         .select("bucket", "s.hub", "s.hub_comp"), "hubs")
+    pairs = far.join(pick, "bucket").filter("comp <> hub_comp").select(F.greatest("rid", "hub").alias("a"), F.least("rid", "hub").alias("b")).distinct()
+    return pairs.join(checked.select("a", "b"), ["a", "b"], "left_anti")
+
+
+def unresolved_pairs(members: DataFrame, stars: DataFrame, checked: DataFrame, comp: DataFrame, heads: DataFrame) -> DataFrame:
+    """Last part of step 3: candidate pairs across classes inside a bucket, compared in blocks.
+
+    ``members`` is (bucket, rid, leader), ``stars`` the similarities to the leaders. Only buckets
+    that hold two classes are looked at.
+    """
+    far = mixed_members(members, comp).withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
     # Shingles that only one of these documents has cannot be in an overlap; the others are counted.
     open_ = far.select("rid").distinct()
     rows = heads.select("rid", "body").join(open_, "rid", "left_semi").mapInArrow(_shingle_rows, "rid bigint, shingle bigint")
@@ -254,7 +273,7 @@ def unresolved_pairs(members: DataFrame, checked: DataFrame, comp: DataFrame, he
     facts = C.materialize(heads.join(open_, "rid", "left_semi").select("rid", "signature", "size").join(alone, "rid", "left")
                           .withColumn("shared", F.col("size") - F.coalesce("alone", F.lit(0))).drop("alone"), "facts")
     block = F.pmod(F.xxhash64("rid"), F.col("blocks")).cast("int")
-    packed = (far.join(checked.select(F.col("a").alias("rid"), F.col("b").alias("leader"), F.col("jaccard").alias("j")), ["rid", "leader"])
+    packed = (far.join(stars.select(F.col("a").alias("rid"), F.col("b").alias("leader"), F.col("jaccard").alias("j")), ["rid", "leader"])
               .join(facts, "rid").withColumn("block", block).groupBy("bucket", "block", "blocks")
               .agg(F.collect_list(F.struct("rid", "comp", "j", "size", "shared", "signature")).alias("side")))  # about BLOCK members
     left = packed.select("bucket", F.explode(F.sequence(F.col("block"), F.col("blocks") - 1)).alias("other"), F.col("side").alias("left"))
@@ -282,14 +301,27 @@ def _classes(sketch: DataFrame) -> DataFrame:
     C.discard(spark, bands)
     stars = members.filter("rid <> leader").select(F.col("rid").alias("a"), F.col("leader").alias("b")).distinct()
     bodies = heads.select("rid", "body")
-    checked = C.materialize(verify(stars, bodies), "checked")
-    links = checked.filter(F.col("jaccard") >= SIMILARITY).select("a", "b")
+    stars = C.materialize(verify(stars, bodies), "checked")
+    checked, links = stars, stars.filter(F.col("jaccard") >= SIMILARITY).select("a", "b")
     found = C.materialize(components(links), "classes")
-    rest = C.materialize(unresolved_pairs(members, checked, found, heads), "rest")
+
+    def look(pairs: DataFrame) -> bool:
+        """Verify more pairs; whether there are new links."""
+        nonlocal checked, links
+        new = C.materialize(verify(C.materialize(pairs, "pairs"), bodies), "checked")
+        more = new.filter(F.col("jaccard") >= SIMILARITY).select("a", "b")
+        checked, links = checked.unionByName(new), links.unionByName(more)
+        return more.limit(1).count() > 0
+
+    # Crowded buckets first get more stars, as long as these join classes: each costs one pair per
+    # member, and what they join need not be compared pair by pair below.
+    for round_ in range(ROUNDS):
+        if not look(more_stars(members, checked, found, round_)):
+            break
+        found = C.materialize(components(links), "classes")
+    if look(unresolved_pairs(members, stars, checked, found, heads)):
+        found = C.materialize(components(links), "classes")
     C.discard(spark, members)
-    more = C.materialize(verify(rest, bodies).filter(F.col("jaccard") >= SIMILARITY).select("a", "b"), "more")
-    if more.limit(1).count():
-        found = C.materialize(components(links.unionByName(more)), "classes")
     return copies.join(found, "rid", "left").withColumn("comp", F.coalesce("comp", "rid"))
 
 

@@ -17,6 +17,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -194,40 +195,45 @@ def fit_quality(docs: DataFrame, labels: DataFrame, *, target: str = "quality",
     sparse vectors (the documented bound of the fit), never texts.
     """
     sample = labelled_sample(docs, labels, target, max_rows)
-    got = sample.mapInArrow(_featurise, "key bigint, y bigint, idx binary, val binary").collect()
-    got.sort(key=lambda r: (r["key"], bytes(r["idx"])))
-    y = np.array([r["y"] for r in got], float)
-    held = np.arange(len(got)) % 4 == 3
+    got = sample.mapInArrow(_featurise, "key bigint, y bigint, idx binary, val binary").toArrow()
+    got = got.take(pc.sort_indices(got, [("key", "ascending"), ("y", "ascending")])).combine_chunks()
+    y = got["y"].to_numpy().astype(float)
+    held = np.arange(len(y)) % 4 == 3
     if len(set(y[~held])) < 2 or len(set(y[held])) < 2:
         held[:] = False
     if len(set(y)) < 2:
         return QualityModel(None)
-    idx = [np.frombuffer(r["idx"], "<i4") for r in got]
-    val = [np.frombuffer(r["val"], "<f4") for r in got]
+    cols, at = (np.frombuffer(x.tobytes(), kind) if kind else x // 4 for x, kind in zip(C.text_view(got["idx"]), ("<i4", None)))
+    vals = np.frombuffer(C.text_view(got["val"])[0].tobytes(), "<f4")
+    del got
 
-    def stacked(rows: np.ndarray):
-        at = np.repeat(np.arange(len(rows)), [len(idx[i]) for i in rows])
-        return at, np.concatenate([idx[i] for i in rows]), np.concatenate([val[i] for i in rows])
+    def chunks(size: int = 256):
+        for i in range(0, len(y), size):
+            j = min(i + size, len(y))
+            span = slice(at[i], at[j])
+            yield i, j, np.repeat(np.arange(j - i), np.diff(at[i:j + 1])), cols[span], vals[span]
 
-    fit = np.flatnonzero(~held)
-    at, cols, vals = stacked(fit)
-    t = y[fit]
-    share = np.where(t > 0, 0.5 / max(t.sum(), 1), 0.5 / max((1 - t).sum(), 1))
+    def margins(w: np.ndarray, bias: float) -> np.ndarray:
+        return np.concatenate([np.bincount(of, weights=v * w[c], minlength=j - i) for i, j, of, c, v in chunks()]) + bias
+
+    t, fit = y, ~held
+    share = fit * np.where(t > 0, 0.5 / max(t[fit].sum(), 1), 0.5 / max((1 - t[fit]).sum(), 1))
     w, bias = np.zeros(2 << BITS), 0.0
     m, v, mb, vb = np.zeros_like(w), np.zeros_like(w), 0.0, 0.0
     for step in range(1, steps + 1):
-        p = _sigmoid(np.bincount(at, weights=vals * w[cols], minlength=len(fit)) + bias)
-        err = (p - t) * share
-        g, gb = np.bincount(cols, weights=vals * err[at], minlength=len(w)) + ridge * w, err.sum()
+        g, gb = ridge * w, 0.0
+        for i, j, of, c, x in chunks():
+            p = _sigmoid(np.bincount(of, weights=x * w[c], minlength=j - i) + bias)
+            err = (p - t[i:j]) * share[i:j]
+            g += np.bincount(c, weights=x * err[of], minlength=len(w))
+            gb += err.sum()
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
         mb, vb = 0.9 * mb + 0.1 * gb, 0.99 * vb + 0.01 * gb * gb
         up, down = 1 - 0.9 ** step, 1 - 0.99 ** step
         w -= rate * (m / up) / (np.sqrt(v / down) + 1e-7)
         bias -= rate * (mb / up) / (np.sqrt(vb / down) + 1e-7)
-    check = np.flatnonzero(held) if held.any() else fit
-    at, cols, vals = stacked(check)
-    z = np.bincount(at, weights=vals * w[cols], minlength=len(check)) + bias
-    slope, shift = platt(z, y[check])
+    check = held if held.any() else fit
+    slope, shift = platt(margins(w, bias)[check], y[check])
     return QualityModel(w.astype(np.float32), bias, slope, shift)
 
 
