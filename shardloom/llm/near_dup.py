@@ -200,6 +200,32 @@ def components(links: DataFrame) -> DataFrame:
                     .unionByName(edges.select(F.col("b").alias("rid"), F.col("b").alias("comp")).distinct()))
 
 
+def _prefixes_meet(left: list[dict], right: list[dict]) -> np.ndarray:
+    """Which pairs can have the similarity by prefix filtering.
+
+    With shingles in one order for all (rarest first), an overlap of o makes the first
+    size - o + 1 shingles of both sets share one. ``prefix`` holds the shingles that can matter,
+    ``alone`` how many come before them that no other document has.
+    """
+    size = [np.array([m["size"] for m in side]) for side in (left, right)]
+    overlap = np.ceil(SIMILARITY / (1 + SIMILARITY) * (size[0][:, None] + size[1][None, :]) - 1e-9).astype(np.int64)
+    room = [size[0][:, None] - overlap, size[1][None, :] - overlap]
+    entries = []
+    for side in (left, right):
+        n = [len(m["prefix"]) for m in side]
+        token = np.fromiter((t for m in side for t in m["prefix"]), np.int64, sum(n))
+        member = np.repeat(np.arange(len(side)), n)
+        place = np.arange(len(token)) - np.repeat(np.cumsum(n) - n, n) + np.repeat([m["alone"] for m in side], n)
+        order = np.argsort(token, kind="stable")
+        entries.append((token[order], member[order], place[order].astype(np.int64)))
+    out = np.zeros(overlap.shape, bool)
+    for token in np.intersect1d(entries[0][0], entries[1][0]):
+        (i, at_i), (j, at_j) = ((m[slice(*np.searchsorted(t, [token, token + 1]))], p[slice(*np.searchsorted(t, [token, token + 1]))]) for t, m, p in entries)
+        cell = np.ix_(i, j)
+        out[cell] |= (at_i[:, None] <= room[0][cell]) & (at_j[None, :] <= room[1][cell])
+    return out
+
+
 def _block_pairs(batches):
     """Pairs of one block pair whose members are in different classes and may still be links."""
     for batch in batches:
@@ -219,9 +245,7 @@ def _block_pairs(batches):
                 if k < band:
                     fresh &= equal < ROWS
             near = np.abs(read(left, "j")[:, None] - read(right, "j")[None, :]) <= 1 - SIMILARITY + 1e-9
-            # What a document shares with any other of them bounds the overlap, and so the similarity.
-            shared = np.minimum(read(left, "shared")[:, None], read(right, "shared")[None, :])
-            room = shared >= SIMILARITY * (read(left, "size")[:, None] + read(right, "size")[None, :] - shared)
+            room = _prefixes_meet(left, right)
             other = read(left, "comp")[:, None] != read(right, "comp")[None, :]
             a, b = np.nonzero((agree >= AGREEING) & fresh & near & room & other)
             out_a.append(read(left, "rid")[a])
@@ -265,17 +289,19 @@ def unresolved_pairs(members: DataFrame, stars: DataFrame, checked: DataFrame, c
     that hold two classes are looked at.
     """
     far = mixed_members(members, comp).withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
-    # Shingles that only one of these documents has cannot be in an overlap; the others are counted.
+    # Shingles of these documents, rarest first. One that no other of them has cannot be in an overlap.
     open_ = far.select("rid").distinct()
-    rows = heads.select("rid", "body").join(open_, "rid", "left_semi").mapInArrow(_shingle_rows, "rid bigint, shingle bigint")
-    alone = (rows.groupBy("shingle").agg(F.count("*").alias("n"), F.min("rid").alias("rid")).filter("n = 1")
-             .groupBy("rid").agg(F.count("*").alias("alone")))
-    facts = C.materialize(heads.join(open_, "rid", "left_semi").select("rid", "signature", "size").join(alone, "rid", "left")
-                          .withColumn("shared", F.col("size") - F.coalesce("alone", F.lit(0))).drop("alone"), "facts")
+    rows = C.materialize(heads.select("rid", "body").join(open_, "rid", "left_semi").mapInArrow(_shingle_rows, "rid bigint, shingle bigint"), "shingles")
+    known = C.materialize(rows.groupBy("shingle").agg(F.count("*").alias("n")).filter("n > 1"), "shared")
+    listed = rows.join(known, "shingle").groupBy("rid").agg(F.sort_array(F.collect_list(F.struct("n", "shingle"))).alias("list"))
+    alone = F.col("size") - F.size("list")
+    reach = F.col("size") - F.ceil(F.col("size") * SIMILARITY - 1e-9) + 1 - alone  # of the list, what a prefix can hold
+    facts = C.materialize(heads.select("rid", "signature", "size").join(listed, "rid").filter(reach > 0)
+                          .select("rid", "signature", "size", alone.alias("alone"), F.transform(F.slice("list", F.lit(1), reach.cast("int")), lambda x: x["shingle"]).alias("prefix")), "facts")
     block = F.pmod(F.xxhash64("rid"), F.col("blocks")).cast("int")
     packed = (far.join(stars.select(F.col("a").alias("rid"), F.col("b").alias("leader"), F.col("jaccard").alias("j")), ["rid", "leader"])
               .join(facts, "rid").withColumn("block", block).groupBy("bucket", "block", "blocks")
-              .agg(F.collect_list(F.struct("rid", "comp", "j", "size", "shared", "signature")).alias("side")))  # about BLOCK members
+              .agg(F.collect_list(F.struct("rid", "comp", "j", "size", "alone", "prefix", "signature")).alias("side")))  # about BLOCK members
     left = packed.select("bucket", F.explode(F.sequence(F.col("block"), F.col("blocks") - 1)).alias("other"), F.col("side").alias("left"))
     right = packed.select("bucket", F.col("block").alias("other"), F.col("side").alias("right"))
     return (left.join(right, ["bucket", "other"]).select("bucket", "left", "right").mapInArrow(_block_pairs, "a bigint, b bigint")
@@ -305,21 +331,23 @@ def _classes(sketch: DataFrame) -> DataFrame:
     checked, links = stars, stars.filter(F.col("jaccard") >= SIMILARITY).select("a", "b")
     found = C.materialize(components(links), "classes")
 
-    def look(pairs: DataFrame) -> bool:
-        """Verify more pairs; whether there are new links."""
+    def look(pairs: DataFrame) -> tuple[int, int]:
+        """Verify more pairs; how many there were and how many are links."""
         nonlocal checked, links
         new = C.materialize(verify(C.materialize(pairs, "pairs"), bodies), "checked")
         more = new.filter(F.col("jaccard") >= SIMILARITY).select("a", "b")
         checked, links = checked.unionByName(new), links.unionByName(more)
-        return more.limit(1).count() > 0
+        return new.count(), more.count()
 
-    # Crowded buckets first get more stars, as long as these join classes: each costs one pair per
+    # Crowded buckets first get more stars as long as these are productive: each costs one pair per
     # member, and what they join need not be compared pair by pair below.
     for round_ in range(ROUNDS):
-        if not look(more_stars(members, checked, found, round_)):
+        n, joined = look(more_stars(members, checked, found, round_))
+        if joined:
+            found = C.materialize(components(links), "classes")
+        if joined * 20 < n or not n:
             break
-        found = C.materialize(components(links), "classes")
-    if look(unresolved_pairs(members, stars, checked, found, heads)):
+    if look(unresolved_pairs(members, stars, checked, found, heads))[1]:
         found = C.materialize(components(links), "classes")
     C.discard(spark, members)
     return copies.join(found, "rid", "left").withColumn("comp", F.coalesce("comp", "rid"))
