@@ -92,3 +92,45 @@ def test_artifacts_roundtrip(spark):
     assert back.vocab == model.vocab and back.merges == model.merges and back.byte_ids == model.byte_ids
     cfg = json.loads(spark.read.json(f"{path}/config").first()["config"])
     assert cfg["vocab_size"] == 7 and cfg["special_tokens"] == ["<pad>", "<bos>", "<eos>", "<unk>"]
+
+
+def test_decode_keeps_every_line(spark):
+    model = B.BpeModel({}, {0: b"<pad>", 1: b"<bos>", 2: b"<eos>", 3: b"<unk>", 4: b" a", 5: "\u00e9".encode()[:1], 6: "\u00e9".encode()[1:]})
+    rows = [(0, [1, 2]), (1, []), (2, None), (3, [1, 4, 5, 6, 2]), (4, [5]), (5, [3, 4, 99])]
+    tok = spark.createDataFrame(rows, "i int, tokens array<int>")
+    got = {r["i"]: r["decoded"] for r in TZ.decode(spark, tok, model, ["i"]).collect()}
+    assert got == {0: "", 1: "", 2: None, 3: " a\u00e9", 4: "\ufffd", 5: " a"}
+
+
+def test_encode_word_of_a_long_run_is_fast_and_exact():
+    import random
+    import time
+    rng, ids, ranks = random.Random(0), [0, 1, 2], {}
+    for r in range(40):
+        pair = (rng.choice(ids), rng.choice(ids))
+        if pair not in ranks:
+            ranks[pair] = (r, 100 + r)
+            ids.append(100 + r)
+
+    def plain(word):
+        word = list(word)
+        while True:
+            best = min(((ranks[p][0], i) for i, p in enumerate(zip(word, word[1:])) if p in ranks), default=None)
+            if best is None:
+                return word
+            i = best[1]
+            word[i:i + 2] = [ranks[word[i], word[i + 1]][1]]
+
+    for _ in range(300):
+        word = [rng.randrange(3) for _ in range(rng.randint(0, 30))]
+        assert B.encode_word(word, ranks) == plain(word)
+    t = time.time()
+    B.encode_word([rng.randrange(3) for _ in range(80000)], ranks)
+    assert time.time() - t < 5
+
+
+def test_dedup_plan_aggregates_narrow_rows_by_hash(spark):
+    from shardloom.operators import dedup as D
+    plan = D.dedup_shard(X.kept_lines(spark, SF_SMALL))._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan and "ObjectHashAggregate" not in plan
+    assert not any("Aggregate" in line and "cleaned" in line for line in plan.splitlines())

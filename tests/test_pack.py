@@ -30,7 +30,7 @@ def test_packing_invariants(spark):
         assert sorted(seqs) == list(range(n))
         flat = [t for i in range(n) for t in seqs[i]]
         assert flat == toks[: n * L]            # a prefix of the token stream, tail dropped
-    ex = P.next_token_pairs(off, L).collect()
+    ex = P.next_token_pairs(off, tok, L).collect()
     per = {}
     for r in ex:
         x, y = list(r["x"]), list(r["y"])
@@ -45,7 +45,9 @@ def test_packing_invariants(spark):
 
 def test_training_batches_full_and_shuffled(spark):
     tok = X.hash_token_table(spark, SF_SMALL)
-    packed = P.pack_sequences(P.token_offsets(tok), L)
+    packed = P.sequence_numbers(tok, L)
+    assert sorted(tuple(r) for r in packed.collect()) == sorted(
+        (r["split"], r["seq_id"]) for r in P.pack_sequences(P.token_offsets(tok), L).collect())
     b = P.training_batches(packed, 4, seed=1).filter(F.col("split") == "train")
     sizes = [r["n"] for r in b.groupBy("batch_id").agg(F.count(F.lit(1)).alias("n")).collect()]
     assert sizes and all(s == 4 for s in sizes)

@@ -2,11 +2,13 @@ import os
 import tempfile
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from shardloom.functions import text as T
 from shardloom.operators import clean as C
-from shardloom.operators.ordinal import global_ordinal
+from shardloom.operators import shards as S
+from shardloom.operators.ordinal import global_ordinal, running_aggregates
 from shardloom.plans import fixtures as X
 from shardloom.session import scratch_path
 from shardloom.sources import textshards as TS
@@ -15,15 +17,29 @@ from shardloom.sources.registry import SourceSpec, ingest
 from tests.conftest import SF_SMALL
 
 
-def test_tokenbin_roundtrip(spark):
+def test_payload_tables_round_trip_and_ignore_unfinished_writes(spark):
+    rows = [("train" if i % 3 else "test", i, [int(x) for x in np.random.RandomState(i).randint(0, 65536, 8)]) for i in range(50)]
+    path = scratch_path(spark, "payload")
+    frame = spark.createDataFrame(rows, "split string, seq_id long, tokens array<int>")
+    tokenbin.write_packed(frame, path, 3)
+    folder = path.replace("file:", "")
+    os.makedirs(f"{folder}/_temporary/0")  # what a writer that died leaves
+    with open(f"{folder}/_temporary/0/part-00000.parquet", "wb") as f:
+        f.write(b"half a file")
+    got = {(r["split"], r["seq_id"]): list(r["tokens"]) for r in tokenbin.read_packed(spark, path).collect()}
+    assert got == {(s, i): t for s, i, t in rows}
+    assert {r["split"]: r["length"] for r in tokenbin.packed_sizes(spark, path).collect()} == {"train": 33 * 16, "test": 17 * 16}
+    with pytest.raises(Exception, match="uint16"):
+        tokenbin.write_packed(spark.createDataFrame([("train", 0, [70000])], "split string, seq_id long, tokens array<int>"), scratch_path(spark, "payload"))
+
+
+def test_headerless_files_are_one_stream(spark):
     d = tempfile.mkdtemp(prefix="tokenbin-test-", dir="/tmp")
-    rows = [(i, [int(x) for x in np.random.RandomState(i).randint(0, 65536, 8)]) for i in range(50)]
-    tokenbin.write_packed(spark.createDataFrame(rows, "seq_id long, tokens array<int>"), d, 3)
-    back = spark.read.format("tokenbin").option("seq_len", 8).option("split_bytes", 48).load(d)
-    got = {r["seq_id"]: list(r["tokens"]) for r in back.collect()}
-    assert got == {i: t for i, t in rows}
-    raw = b"".join(open(os.path.join(d, f), "rb").read() for f in sorted(os.listdir(d)) if f.endswith(".bin"))
-    assert np.frombuffer(raw, "<u2").tolist() == [t for _, ts in rows for t in ts]
+    a, b = np.arange(21, dtype="<u2"), np.arange(60000, 60016, dtype="<u2")
+    a.tofile(os.path.join(d, "a.bin"))
+    b.tofile(os.path.join(d, "b.bin"))
+    got = sorted((r["seq_id"], list(r["tokens"])) for r in tokenbin.read_headerless(spark, d, 8).collect())
+    assert got == [(0, list(range(8))), (1, list(range(8, 16))), (2, list(range(60000, 60008))), (3, list(range(60008, 60016)))]
 
 
 def test_global_ordinal_equals_row_number(spark):
@@ -35,23 +51,81 @@ def test_global_ordinal_equals_row_number(spark):
         assert [got[(g, o)] for o in keys] == list(range(len(keys)))
 
 
+def test_ordinals_keep_null_and_repeated_keys(spark):
+    rows = [("a", 1, "x"), ("a", 1, "x"), ("a", None, "y"), (None, 1, "z"), (None, None, "z"), ("a", 2, "w")] * 3
+    docs = spark.createDataFrame([(s, "train", d, t) for s, d, t in rows], "source string, split string, doc_id long, text string")
+    got = S.assign_shards(docs, 4).collect()
+    assert sorted(str(r["doc_ordinal"]) for r in got if r["source"] == "a") == sorted(map(str, range(12)))
+    assert sorted(r["doc_ordinal"] for r in got if r["source"] is None) == list(range(6))
+    assert sorted((str(r["source"]), str(r["doc_id"]), r["text"]) for r in got) == sorted((str(s), str(d), t) for s, d, t in rows)
+    runs = spark.createDataFrame([(None, i, i) for i in range(5)] + [(1, i, i) for i in range(5)], "g int, o int, v int")
+    run = running_aggregates(runs, ["g"], ["o"], [("n", F.col("v"), "count", False)])
+    assert sorted((str(r["g"]), r["n"]) for r in run.collect()) == sorted((g, n) for g in ("None", "1") for n in range(1, 6))
+
+
 def test_ingest_missing_column_and_splits(spark):
-    p = scratch_path(spark, "ingest-src")
+    p, q = scratch_path(spark, "ingest-src"), scratch_path(spark, "ingest-src")
     spark.createDataFrame([(1, "  hi  "), (2, "   ")], "id long, body string").write.parquet(p)
-    reg = [SourceSpec(name="a", path=p, splits=("train", "test"), text_col="body", id_expr="id"),
-           SourceSpec(name="b", path=p, text_col="missing", id_expr="id")]
+    spark.createDataFrame([(7, "test row", "test"), (8, "train row", "train"), (9, "other", "dev")], "id long, body string, part string").write.parquet(q)
+    reg = [SourceSpec(name="a", path={"train": p, "test": q}, splits=("train", "test"), text_col="body", id_expr={"train": "id", "test": "id + 100"}),
+           SourceSpec(name="b", path=p, text_col="missing", id_expr="id"),
+           SourceSpec(name="c", path=q, splits=("train", "test"), split_col="part", text_col="body", id_expr="id")]
     rows = sorted(tuple(r) for r in ingest(spark, reg).collect())
-    assert rows == [("a", "test", 1, "hi"), ("a", "train", 1, "hi")]
+    assert rows == [("a", "test", 107, "test row"), ("a", "test", 108, "train row"), ("a", "test", 109, "other"), ("a", "train", 1, "hi"),
+                    ("c", "test", 7, "test row"), ("c", "train", 8, "train row")]
+    with pytest.raises(ValueError, match="several splits"):
+        SourceSpec(name="a", path=p, splits=("train", "test"))
+
+
+@pytest.mark.parametrize("fmt", ["json", "csv"])
+def test_ingest_other_formats(spark, fmt):
+    p = scratch_path(spark, "ingest-src")
+    spark.createDataFrame([(1, "one"), (2, "two")], "id long, text string").write.format(fmt).option("header", True).save(p)
+    spec = SourceSpec(name="a", path=p, fmt=fmt, id_expr="cast(id as bigint)", options={"header": "true"} if fmt == "csv" else {})
+    assert sorted(r["text"] for r in ingest(spark, [spec]).collect()) == ["one", "two"]
+
+
+def test_shard_names_and_numbers_over_several_blocks(spark):
+    """Special characters in names come back as written; one file spans several tasks."""
+    docs = [("a b:c%", "train", 0, i, f"line {i} " + "x" * 40 + "\n\nsecond") for i in range(200)] + [("plain", "train", 1, 0, "one\r\ntwo\rthree")]
+    path = scratch_path(spark, "names")
+    TS.write_text_shards(spark.createDataFrame(docs, "source string, split string, shard_idx int, doc_id long, text string"), path)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        lines = TS.shard_files(spark.read, path)
+        assert lines.rdd.getNumPartitions() > 3
+        got = {(r["source"], r["line_no"]): r["line"] for r in TS.read_text_shards(spark, path).collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    expected = {("plain", i): t for i, t in enumerate(("one", "two", "three"))}
+    for i in range(200):
+        expected["a b:c%", 3 * i] = f"line {i} " + "x" * 40
+        expected["a b:c%", 3 * i + 2] = "second"
+    assert got == expected
+
+
+def test_late_events_are_counted(spark):
+    from shardloom.streaming import events as EV
+    path, out, ck = (scratch_path(spark, n) for n in ("ev", "ev-out", "ev-ck"))
+    rows = [(i, f"2024-01-{1 + i % 28:02d} 0{i % 10}:00:00", "view") for i in range(1000)]
+    ev = spark.createDataFrame(rows, "event_id long, ts string, event_type string").withColumn("ts", F.to_timestamp("ts"))
+    for part in (2, 1, 0):  # newest first
+        ev.filter((F.dayofmonth("ts") > 9 * part) & (F.dayofmonth("ts") <= (9 * part + 9 if part < 2 else 31))).coalesce(1).write.mode("append").parquet(path)
+    EV.run_stage_event_windows(spark, path, ev.schema, out, ck)
+    assert EV.total_windows(spark.read.parquet(out)).agg(F.sum("n")).first()[0] == 1000
 
 
 def test_text_shards_and_incremental_clean(spark):
-    from shardloom.streaming.incremental import incremental_clean
+    from shardloom.streaming.incremental import incremental_clean, write_batch
     shards = scratch_path(spark, "t-shards")
     TS.write_text_shards(X.sharded_documents(spark, SF_SMALL), shards)
     lines = TS.read_text_shards(spark, shards)
     assert lines.count() == X.cleaned_lines(spark, SF_SMALL).count()
     out, led, ck = (scratch_path(spark, n) for n in ("o", "l", "c"))
-    policy = T.policy_by_number(F.col("source"))
+    policy = T.policy_of_registry(F.col("source"), X.POLICIES)
     incremental_clean(spark, shards, out, led, ck, policy, max_files_per_trigger=7)
     batch = {r["shard_id"]: (r["docs_in"], r["docs_out"])
              for r in C.clean_yield(X.cleaned_lines(spark, SF_SMALL), with_total=False).collect()}
@@ -59,6 +133,14 @@ def test_text_shards_and_incremental_clean(spark):
     assert stream == batch
     n_batches = spark.read.parquet(led).select("batch_id").distinct().count()
     assert n_batches > 1
+    # a batch that is replayed leaves one ledger row per shard, and a shard of blank lines has one too
+    one = scratch_path(spark, "t-shards")
+    TS.write_text_shards(spark.createDataFrame([("src0", "train", 0, 1, " \n "), ("src0", "train", 1, 2, "a text")],
+                                               "source string, split string, shard_idx int, doc_id long, text string"), one)
+    o2, l2 = scratch_path(spark, "o"), scratch_path(spark, "l")
+    for _ in range(2):
+        write_batch(TS.shard_files(spark.read, one), 0, policy, o2, l2)
+    assert sorted((r["shard_id"], r["docs_in"]) for r in spark.read.parquet(l2).collect()) == [("src0__train__000000", 0), ("src0__train__000001", 1)]
     # rerun: the checkpoint says every file is done, nothing is processed again
     incremental_clean(spark, shards, out, led, ck, policy)
     assert spark.read.parquet(led).count() == len(batch)
@@ -66,7 +148,6 @@ def test_text_shards_and_incremental_clean(spark):
 
 def test_running_aggregates_hot_group(spark):
     from pyspark.sql import Window
-    from shardloom.operators.ordinal import running_aggregates
     # one group holds most rows; spread over many range partitions
     df = spark.range(0, 3000).select(F.when(F.col("id") % 10 < 8, F.lit(0)).otherwise(F.col("id") % 3).alias("g"),
                                      F.col("id").alias("o"),
