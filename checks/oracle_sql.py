@@ -1,18 +1,27 @@
 """DuckDB oracle SQL for the registered queries.
 
 Each entry is one SELECT over the pre-registered views (documents, events, ...). The
-derived inputs use the same fixed formulas as ``shardloom.plans.fixtures``. Regex class
-bodies are shared with the Spark side: ``\\x{...}`` ranges mean the same in Java and RE2.
+derived inputs use the same fixed formulas as ``shardloom.plans.fixtures``.
 """
 
 from __future__ import annotations
 
-from shardloom.functions import text as T
-
-WS = T.WS
-DIGIT = T.DIGIT
-BOILER = T.BOILERPLATE_RE.replace("(?iu)", "(?i)")
-CITE = T.WORD_CITATION_RE.replace("(?iu)", "(?i)")
+# Fixed values, stated here again on purpose: the oracle shares no constant with the Spark side.
+# White space: U+0009-000D, U+001C-0020, U+0085, U+00A0, U+1680, U+2000-200A, U+2028, U+2029, U+202F, U+205F, U+3000
+WS = (r"\x{9}-\x{D}\x{1C}-\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}")
+# Digits: category Nd and the superscript, subscript, circled and other digits below.
+DIGIT = (r"\p{Nd}\x{B2}\x{B3}\x{B9}\x{1369}-\x{1371}\x{19DA}\x{2070}\x{2074}-\x{2079}\x{2080}-\x{2089}\x{2460}-\x{2468}"
+         r"\x{2474}-\x{247C}\x{2488}-\x{2490}\x{24EA}\x{24F5}-\x{24FD}\x{24FF}\x{2776}-\x{277E}\x{2780}-\x{2788}\x{278A}-\x{2792}"
+         r"\x{10A40}-\x{10A43}\x{10E60}-\x{10E68}\x{11052}-\x{1105A}\x{1F100}-\x{1F10A}")
+BOILER = (r"(?i)^(?:(cookie|privacy) policy|all rights reserved|copyright \p{Nd}{4}|subscribe (to|now)|(sign|log) (in|up)"
+          rf"|\p{{Nd}}+[{WS}]*(comments?|shares?|likes?|views?)|(click here|read more|see also)|advertisement|this (article|page) (was|is))")
+HEADING = r"^=+.*=+$"
+SYMBOLS = r"^[^\p{L}\p{N}]+$"
+CITE_NUMBER = r"\[[0-9]+\]"
+CITE = r"(?i)\[[^\]]*citation[^\]]*\]"
+MIN_CHARS, MAX_CHARS, MIN_ALPHA, MAX_DIGIT = 100, 80000, 0.62, 0.15
+PROTECTED = ["checkpoints/", "tokenizer/", "logs/", "data/manifests/", "data/tokenized/train_packed.bin",
+             "data/tokenized/validation_packed.bin", "data/tokenized/test_packed.bin"]
 
 
 def norm(x: str) -> str:
@@ -20,17 +29,15 @@ def norm(x: str) -> str:
 
 
 def wiki(x: str) -> str:
-    for old, new in T.WIKI_ARTIFACTS:
-        x = f"replace({x}, '{old}', '{new}')"
-    return x
+    return f"replace(replace(replace({x}, '@-@', '-'), '@,@', ','), '@.@', '.')"
 
 
 def heading(x: str) -> str:
-    return f"regexp_matches({x}, '{T.HEADING_RE}')"
+    return f"regexp_matches({x}, '{HEADING}')"
 
 
 def symbols(x: str) -> str:
-    return f"regexp_matches({x}, '{T.SYMBOLS_ONLY_RE}')"
+    return f"regexp_matches({x}, '{SYMBOLS}')"
 
 
 def boiler(x: str) -> str:
@@ -38,7 +45,7 @@ def boiler(x: str) -> str:
 
 
 def cite(x: str) -> str:
-    return f"regexp_replace(regexp_replace({x}, '{T.NUM_CITATION_RE}', '', 'g'), '{CITE}', '', 'g')"
+    return f"regexp_replace(regexp_replace({x}, '{CITE_NUMBER}', '', 'g'), '{CITE}', '', 'g')"
 
 
 def alpha_cnt(x: str) -> str:
@@ -54,10 +61,10 @@ def ratio(cnt: str, x: str) -> str:
 
 
 def quality_reason(c: str) -> str:
-    return (f"(CASE WHEN length({c}) < {T.MIN_CHARS} THEN 'too_short' "
-            f"WHEN length({c}) > {T.MAX_CHARS} THEN 'too_long' "
-            f"WHEN {alpha_cnt(c)} / length({c}) < {T.MIN_ALPHA_RATIO} THEN 'low_alpha' "
-            f"WHEN {digit_cnt(c)} / length({c}) > {T.MAX_DIGIT_RATIO} THEN 'high_digit' END)")
+    return (f"(CASE WHEN length({c}) < {MIN_CHARS} THEN 'too_short' "
+            f"WHEN length({c}) > {MAX_CHARS} THEN 'too_long' "
+            f"WHEN {alpha_cnt(c)} / length({c}) < {MIN_ALPHA} THEN 'low_alpha' "
+            f"WHEN {digit_cnt(c)} / length({c}) > {MAX_DIGIT} THEN 'high_digit' END)")
 
 
 def not_blank(x: str) -> str:
@@ -213,8 +220,8 @@ listing AS (SELECT stage, 'data/raw/shards/' || stage || '/' ||
   CASE WHEN k % 7 = 0 THEN 'logs/' WHEN k % 11 = 0 THEN 'tokenizer/' WHEN k % 13 = 0 THEN 'blogs/' ELSE '' END
   || shard_id || '.txt' AS path, length FROM ledk JOIN (SELECT path AS output_path, length FROM files) f USING (output_path))"""
 
-PROT = " OR ".join(f"contains(path, '{p}')" for p in __import__("shardloom.operators.integrity", fromlist=["x"]).PROTECTED_PATTERNS)
-PROT_DIR = " OR ".join(f"contains(artifact_dir, '{p.rstrip('/')}')" for p in __import__("shardloom.operators.integrity", fromlist=["x"]).PROTECTED_PATTERNS)
+PROT = " OR ".join(f"contains(path, '{p}')" for p in PROTECTED)
+PROT_DIR = " OR ".join(f"contains(artifact_dir, '{p.rstrip('/')}')" for p in PROTECTED)
 
 
 def validate_sql(length: str, exists: str, seq_len: int = 512) -> tuple[str, str]:
@@ -393,9 +400,10 @@ SELECT strftime(time_bucket(INTERVAL 1 day, ts), '%Y-%m-%d %H:%M:%S') AS window_
 FROM sm GROUP BY 1, 2, 3, 4""")
 
 # ----------------------------------------------------------------------------- tokenizer
-from shardloom.functions import pretok as _PT  # noqa: E402
-
-PRE = _PT.PRETOKEN_RE_NO_LOOKAHEAD.replace("'", "''")
+# The published byte-level pattern with White_Space for \\s, without its look-ahead
+# branch (cleaned text has single spaces only, where that makes no difference).
+SPACE = r"\x{9}-\x{D}\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+PRE = ("'s|'t|'re|'ve|'m|'ll|'d" + rf"| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPACE}\p{{L}}\p{{N}}]+|[{SPACE}]+").replace("'", "''")
 CORPUS = CLEANED + f""",
 corpus AS (SELECT shard_id, doc_id, line_idx, cleaned AS text FROM dedup),
 ptf AS (SELECT unnest(regexp_extract_all(CASE WHEN starts_with(text, ' ') THEN text ELSE ' ' || text END || chr(10), '{PRE}')) AS pretoken FROM corpus),

@@ -31,9 +31,6 @@ TWS = _cls(TOKEN_WS_RANGES)
 CONTRACTIONS = "'s|'t|'re|'ve|'m|'ll|'d"
 PRETOKEN_RE = (f"{CONTRACTIONS}| ?\\p{{L}}+| ?\\p{{N}}+| ?[^{TWS}\\p{{L}}\\p{{N}}]+"
                f"|[{TWS}]+(?![^{TWS}])|[{TWS}]+")
-# Same pattern without the look-ahead branch: equal on text whose whitespace runs are
-# single spaces (cleaned text), used by the SQL oracle (RE2 has no look-ahead).
-PRETOKEN_RE_NO_LOOKAHEAD = (f"{CONTRACTIONS}| ?\\p{{L}}+| ?\\p{{N}}+| ?[^{TWS}\\p{{L}}\\p{{N}}]+|[{TWS}]+")
 
 
 @F.pandas_udf(Ty.StringType())
