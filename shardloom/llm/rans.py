@@ -92,15 +92,15 @@ def encode_block(ids: np.ndarray, table: Table, lanes: int = LANES, every: int =
     for step in range(steps - 1, -1, -1):
         part = ids[step * lanes:(step + 1) * lanes]
         n = len(part)
-        f, c, x = table.frequency[part], table.start[part], state[:n]
+        f, c, x = table.frequency.take(part), table.start.take(part), state[:n]
         full = (x >> roof) >= f
         if full.any():
             out = (x[full] & np.uint64(0xFFFFFFFF)).astype("<u4")
             words.append(out[::-1])  # the stream is read back to front
             made += len(out)
             x[full] >>= np.uint64(32)
-        whole, rest = np.divmod(x, f)
-        state[:n] = (whole << shift) + rest + c
+        whole = x // f
+        state[:n] = (whole << shift) + (x - whole * f) + c
         if step % every == 0:
             crc = zlib.crc32(ids[step * lanes:(step + every) * lanes].astype("<u4").tobytes())
             marks.append((step, made, state.astype("<u8").tobytes(), crc))
@@ -120,8 +120,8 @@ def decode_block(payload: bytes, checkpoints: list[dict], n_ids: int, table: Tab
         for step in range(mark["step"], min(mark["step"] + every, -(-n_ids // lanes))):
             x = state[:min(lanes, n_ids - step * lanes)]
             slot = x & mask
-            ids = table.of_slot[slot]
-            x[:] = table.frequency[ids] * (x >> shift) + slot - table.start[ids]
+            ids = table.of_slot.take(slot.view(np.int64))
+            x[:] = table.frequency.take(ids) * (x >> shift) + slot - table.start.take(ids)
             low = np.flatnonzero(x < LOW)
             x[low] = (x[low] << np.uint64(32)) | stream[at:at + len(low)]
             at += len(low)
@@ -135,33 +135,41 @@ def decode_block(payload: bytes, checkpoints: list[dict], n_ids: int, table: Tab
 
 # -- tables ----------------------------------------------------------------
 
+COUNTS = -1  # in place of n_tokens, marks a partition's row of id counts
 IDS_SCHEMA = "doc_id bigint, n_tokens bigint, ids binary"
 BLOCK_SCHEMA = ("partition int, number int, n_ids bigint, docs array<struct<doc_id:bigint,n_tokens:bigint>>, payload binary, payload_crc32 bigint, "
                 "checkpoints array<struct<step:int,word:bigint,states:binary,ids_crc32:bigint>>")
 
 
-def token_ids(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
-    """(doc_id, n_tokens, ids) of all documents, ids as little-endian unsigned 16-bit with the end id."""
+def token_ids(docs: DataFrame, path: str, size: int, end_id: int = END_ID) -> DataFrame:
+    """(doc_id, n_tokens, ids) of all documents, ids as little-endian unsigned 16-bit with the end id.
+
+    Each partition adds one row of ``COUNTS`` tokens that holds how often it has made each id.
+    """
     def run(batches):
-        tokens = token_cache.encoder(path)
+        tokens, total = token_cache.encoder(path), np.zeros(size, np.int64)
         for batch in batches:
             for part, _, _ in C.byte_slices(batch, "text", TOKEN_SLICE):
                 ids, offsets = tokens.encode_rows(part.column("text"), end_id)
+                total += np.bincount(ids, minlength=size)
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(np.diff(offsets)), C.binary_rows(ids, offsets)], names=["doc_id", "n_tokens", "ids"])
+        yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.array([COUNTS]), pa.array([total.astype("<i8").tobytes()], pa.binary())],
+                                         names=["doc_id", "n_tokens", "ids"])
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return rows.mapInArrow(run, IDS_SCHEMA)
 
 
 def id_counts(ids: DataFrame, size: int) -> np.ndarray:
-    """How often each id occurs in all documents (at most ``size`` sums reach the driver)."""
+    """How often each id occurs in all documents: the partitions' counts, summed by id (``size`` sums reach the driver)."""
     def run(batches):
         total = np.zeros(size, np.int64)
         for batch in batches:
             data, _ = C.text_view(batch.column("ids"))
-            total += np.bincount(np.frombuffer(data.tobytes(), "<u2"), minlength=size)
+            total += np.frombuffer(data.tobytes(), "<i8").reshape(-1, size).sum(0)
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(total[used])], names=["id", "n"])
-    got = ids.select("ids").mapInArrow(run, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n")).collect()
+    got = (ids.filter(F.col("n_tokens") == COUNTS).select("ids").mapInArrow(run, "id bigint, n bigint")
+           .groupBy("id").agg(F.sum("n").alias("n")).collect())
     counts = np.zeros(size, np.int64)
     for r in got:
         counts[r["id"]] = r["n"]
@@ -204,15 +212,16 @@ def write_tokens(docs: DataFrame, path: str, folder: str, end_id: int = END_ID,
     from tokenizers import Tokenizer
     spark = docs.sparkSession
     size = max(Tokenizer.from_file(path).get_vocab_size(with_added_tokens=True), end_id + 1)
-    ids = C.materialize(token_ids(docs, path, end_id), "ids")
-    frequency = quantise(id_counts(ids, size))
+    made = C.materialize(token_ids(docs, path, size, end_id), "ids")
+    frequency = quantise(id_counts(made, size))
+    ids = made.filter(F.col("n_tokens") != COUNTS)
     spark.createDataFrame([(int(i), int(f)) for i, f in enumerate(frequency) if f], "id int, frequency int").coalesce(1).write.mode("overwrite").parquet(f"{folder}/frequency")
     shared = spark.sparkContext.broadcast(table_of(frequency))  # 2**SCALE_BITS slots and the vocabulary
     total = ids.agg(F.sum("n_tokens")).first()[0] or 0
     ranges = max(1, min(100_000, -(-total // (8 * block_ids))))
     ordered = ids.repartitionByRange(ranges, "doc_id").sortWithinPartitions("doc_id", "ids")
     ordered.mapInArrow(_blocks(shared, block_ids), BLOCK_SCHEMA).write.option("compression", "none").mode("overwrite").parquet(f"{folder}/blocks")
-    C.discard(spark, ids)
+    C.discard(spark, made)
     sums = spark.read.parquet(f"{folder}/blocks").groupBy("partition").agg(F.count("*").alias("blocks"), F.sum("n_ids").alias("n")).orderBy("partition").collect()
     before, rows = (0, 0), []
     for r in sums:  # one row per range
