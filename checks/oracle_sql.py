@@ -460,3 +460,55 @@ WHERE split <> 'train' OR (SELECT count(*) FROM packed WHERE split = 'train') *
 
 # ----------------------------------------------------------------------------- tokenizer round trip
 ORACLE["decode_roundtrip"] = W(CORPUS, "SELECT count(*) AS lines, count(*) AS roundtrip_ok FROM corpus")
+
+# The short merge list, as replacements in rank order: a symbol is one letter of a private code range
+# (U+E000 + id), so that replacing two neighbours is a merge of non-overlapping pairs from the left.
+_SHORT = [("t", "h"), ("i", "n"), ("e", "r"), ("th", "e"), ("o", "n"), ("in", "g"), ("a", "n"), ("er", "e"), ("an", "d")]
+
+
+def short_symbols(x: str) -> str:
+    """Ids of a text under the short merge list, as a list of integers."""
+    ids = {chr(c): c + 4 for c in range(128)}
+    hexed = f"hex(encode({x}))"
+    out = f"array_to_string(list_transform(range(CAST(strlen({hexed}) // 2 AS BIGINT)), lambda i: chr(CAST(57344 + 4 + CAST(('0x' || substr({hexed}, CAST(2 * i + 1 AS BIGINT), 2)) AS INTEGER) AS INTEGER))), '')"
+    for n, (a, b) in enumerate(_SHORT):
+        ids[a + b] = 260 + n
+        out = f"replace({out}, chr({57344 + ids[a]}) || chr({57344 + ids[b]}), chr({57344 + ids[a + b]}))"
+    return out
+
+
+def symbol_list(x: str) -> str:
+    return f"list_transform(string_split({x}, ''), lambda c: unicode(c) - 57344)"
+
+
+ORACLE["bpe_encode_pretokens"] = W(CORPUS, f""", sy AS (SELECT pretoken, {short_symbols('pretoken')} AS s FROM freq),
+li AS (SELECT pretoken, {symbol_list('s')} AS ids FROM sy)
+SELECT pretoken, CAST(len(ids) AS INTEGER) AS n, md5(array_to_string(ids, ',')) AS digest FROM li""")
+# Merges do not cross pre-tokens, so a line's pre-tokens are encoded one by one.
+SHORT = CORPUS + f""", lp AS (SELECT shard_id, doc_id, line_idx, text, unnest(p) AS pretoken, unnest(range(len(p))) AS pos FROM (SELECT shard_id, doc_id, line_idx, text,
+  regexp_extract_all(CASE WHEN starts_with(text, ' ') THEN text ELSE ' ' || text END, '{PRE}') AS p FROM corpus)),
+words AS (SELECT pretoken, {symbol_list('s')} AS ids FROM (SELECT pretoken, {short_symbols('pretoken')} AS s FROM (SELECT DISTINCT pretoken FROM lp))),
+lt AS (SELECT shard_id, doc_id, line_idx, text, list_concat([1], list_concat(flatten(list(ids ORDER BY pos)), [2])) AS ids
+       FROM lp JOIN words USING (pretoken) GROUP BY shard_id, doc_id, line_idx, text)"""
+ORACLE["tokenize_short_merges"] = W(SHORT, """
+SELECT shard_id, doc_id, line_idx, CAST(len(ids) AS INTEGER) AS n_tokens, md5(array_to_string(ids, ',')) AS digest FROM lt""")
+ORACLE["tokenizer_stats_short_merges"] = W(SHORT, """
+SELECT count(*) AS documents, round(avg(len(ids)), 6) AS avg_tokens, CAST(min(len(ids)) AS INTEGER) AS min_tokens, CAST(max(len(ids)) AS INTEGER) AS max_tokens,
+  CAST(sum(len(ids)) AS BIGINT) AS total_tokens, CAST(0 AS BIGINT) AS unk_count, CAST(sum(length(text)) AS BIGINT) AS total_chars,
+  round(sum(length(text)) / sum(len(ids)), 6) AS chars_per_token FROM lt""")
+ORACLE["tokenizer_artifacts"] = W(CORPUS, """
+SELECT id, printf('%02X', byte) AS token_hex, false AS special FROM alpha
+UNION ALL SELECT * FROM (VALUES (0, '3C7061643E', true), (1, '3C626F733E', true), (2, '3C656F733E', true), (3, '3C756E6B3E', true)) t(id, token_hex, special)""")
+ORACLE["nfkc_lines"] = W(CORPUS, "SELECT shard_id, doc_id, line_idx, md5(text) AS digest FROM corpus")
+
+# ----------------------------------------------------------------------------- formats, ledger documents, event sinks
+ORACLE["ingest_formats"] = f"""SELECT t.source, doc_id, md5({strip('text')}) AS digest
+FROM documents, (VALUES ('j'), ('p'), ('c')) t(source) WHERE {not_blank('text')}"""
+ORACLE["ledger_documents"] = W(LEDGER, """SELECT stage, shard_id, state, token_count FROM led
+UNION ALL SELECT '(set aside)', '', '', CAST(0 AS BIGINT)""")
+ORACLE["ledger_meta"] = W(LEDGER, """, st AS (SELECT DISTINCT stage, n FROM ledk)
+SELECT stage, CASE WHEN n % 3 <> 0 THEN CASE WHEN stage = 'src4' THEN 'data/manifests/src4/' ELSE 'data/raw/shards/' || stage || '/' END END AS dir,
+  CASE WHEN n % 3 <> 1 THEN '2' ELSE '1' END AS run, CASE WHEN n % 3 <> 1 THEN stage END AS by FROM st""")
+ORACLE["train_events"] = W(BEST, """, ev AS (SELECT run_id, type, coalesce(loss, val_loss) AS value FROM tm
+  UNION ALL SELECT run_id, 'checkpoint', val_loss FROM best WHERE prev IS NULL OR val_loss < prev)
+SELECT run_id, type, count(*) AS n, round(sum(value), 4) AS value_sum FROM ev GROUP BY 1, 2""")

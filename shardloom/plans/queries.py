@@ -524,8 +524,127 @@ def eval_sample(spark, sf_dir):
     return TZ.eval_sample(X.corpus(spark, sf_dir), KEY).select(*KEY)
 
 
+# A short merge list in byte-level letters, for an encoding that SQL can follow.
+SHORT_MERGES = [("t", "h"), ("i", "n"), ("e", "r"), ("th", "e"), ("o", "n"), ("in", "g"), ("a", "n"), ("er", "e"), ("an", "d")]
+
+
+def _short_model():
+    """A model of the 256 single bytes and ``SHORT_MERGES``."""
+    from ..functions.tokens import SPECIAL_TOKENS
+    vocab = {i: t.encode() for i, t in enumerate(SPECIAL_TOKENS)} | {i + 4: bytes([i]) for i in range(256)}
+    ids = {v: k for k, v in vocab.items() if k >= 4}
+    merges = []
+    for a, b in SHORT_MERGES:
+        new = len(vocab)
+        vocab[new] = a.encode() + b.encode()
+        merges.append((ids[a.encode()], ids[b.encode()], new))
+        ids[vocab[new]] = new
+    return B.BpeModel({i: i + 4 for i in range(256)}, vocab, merges)
+
+
+@query
+def bpe_encode_pretokens(spark, sf_dir):
+    """Ids of every distinct pre-token of the corpus under a short merge list."""
+    enc = B.encode_distinct(spark, _freq(spark, sf_dir), _short_model())
+    return enc.select("pretoken", F.size("ids").alias("n"), TK.array_digest(F.col("ids")).alias("digest"))
+
+
+@query
+def tokenize_short_merges(spark, sf_dir):
+    """Every line's tokens under the short merge list, with the template."""
+    tok = TZ.tokenize_lines(spark, X.corpus(spark, sf_dir), _short_model(), KEY, "text")
+    return tok.select(*KEY, "n_tokens", TK.array_digest(F.col("tokens")).alias("digest"))
+
+
+@query
+def tokenizer_stats_short_merges(spark, sf_dir):
+    """A10 under the short merge list (the sample limit is far above the lines there are at test size)."""
+    sample = materialize(TZ.eval_sample(X.corpus(spark, sf_dir), KEY), "sample")
+    r = TZ.tokenizer_stats(TZ.tokenize_lines(spark, sample, _short_model(), [*KEY, "text"], "text"), "text")
+    return r.select("documents", F.round("avg_tokens", 6).alias("avg_tokens"), "min_tokens", "max_tokens", "total_tokens", "unk_count", "total_chars",
+                    F.round("chars_per_token", 6).alias("chars_per_token"))
+
+
+@query
+def tokenizer_artifacts(spark, sf_dir):
+    """S16 + J7: a model saved and loaded; the specials and the corpus' alphabet in its vocabulary table."""
+    from ..session import scratch_path
+    path = scratch_path(spark, "tokenizer")
+    model = X.trained_model(spark, sf_dir)
+    B.save_artifacts(spark, model, path)
+    back = B.load_artifacts(spark, path)
+    return TZ.vocab_lookup(spark, back).filter(F.col("id") < 4 + len(back.byte_ids)).select("id", "token_hex", "special")
+
+
+@query
+def nfkc_lines(spark, sf_dir):
+    """The corpus with letters and digits written full-width, and normalised back."""
+    plain = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+    wide = "".join(chr(ord(c) + 0xFEE0) for c in plain)
+    c = X.corpus(spark, sf_dir)
+    full = materialize(c.select(*KEY, F.translate("text", plain, wide).alias("text")), "wide")
+    return PT.nfkc_frame(full, "text").select(*KEY, F.md5("text").alias("digest"))
+
+
 # ----------------------------------------------------------------------------- files and streams
 
+@query
+def ingest_formats(spark, sf_dir):
+    """S3: the documents as JSON, CSV and Parquet datasets of one registry, the last without its text column."""
+    from ..session import scratch_path
+    from ..sources.registry import SourceSpec, ingest
+    d = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    base = scratch_path(spark, "formats")
+    d.write.json(f"{base}/json")
+    d.write.option("escape", '"').option("quoteAll", True).csv(f"{base}/csv")
+    d.write.parquet(f"{base}/parquet")
+    csv = {"schema": "", "escape": '"', "multiLine": "true"}
+    reg = [SourceSpec("j", f"{base}/json", fmt="json"), SourceSpec("p", f"{base}/parquet"), SourceSpec("none", f"{base}/parquet", text_col="body"),
+           SourceSpec("c", f"{base}/csv", fmt="csv", text_col="_c1", id_expr="cast(_c0 as bigint)", options={k: v for k, v in csv.items() if v})]
+    return ingest(spark, reg).select("source", "doc_id", F.md5("text").alias("digest"))
+
+
+@query
+def ledger_documents(spark, sf_dir):
+    """S11 + R7: one ledger document per stage and a broken one; entries read back, the broken file set aside."""
+    from ..session import scratch_path
+    from ..sources import ledger_io
+    path = scratch_path(spark, "ledger-docs")
+    cols = [c for c in L.LEDGER_COLS if c != "stage"]
+    docs = _ledger(spark, sf_dir).groupBy("stage").agg(F.collect_list(F.struct(*cols)).alias("shards"))     # one source's shards
+    doc = F.to_json(F.struct(F.create_map(F.lit("stage"), F.col("stage")).alias("meta"), "shards"))
+    broken = spark.range(1).select(F.lit("{ not a ledger").alias("value"), F.lit("broken").alias("part"))
+    out = docs.select(doc.alias("value"), F.col("stage").alias("part")).unionByName(broken)
+    out.repartition("part").write.partitionBy("part").text(path)
+    entries, bad = ledger_io.read_ledger_documents(spark, path)
+    return entries.select("stage", "shard_id", "state", "token_count").unionByName(
+        bad.select(F.lit("(set aside)").alias("stage"), F.lit("").alias("shard_id"), F.lit("").alias("state"), F.lit(0).cast("long").alias("token_count")))
+
+
+@query
+def ledger_meta(spark, sf_dir):
+    """Stage metadata merged, later values first."""
+    st = X.artifact_dirs(spark, sf_dir)
+    meta = lambda keep, *kv: st.filter(keep).select("stage", F.create_map(*[F.lit(x) if isinstance(x, str) else x for x in kv]).alias("meta"))
+    n = F.regexp_extract("stage", "([0-9]+)$", 1).cast("int")
+    merged = L.merge_meta(meta(n % 3 != 0, "dir", F.col("artifact_dir"), "run", "1"), meta(n % 3 != 1, "run", "2", "by", F.col("stage")))
+    return merged.select("stage", *[F.col("meta")[k].alias(k) for k in ("dir", "run", "by")])
+
+
+@query
+def train_events(spark, sf_dir):
+    """Training, evaluation and checkpoint events, each appended to the metrics table by its own sink."""
+    from ..session import scratch_path
+    t = X.train_metrics(spark, sf_dir)
+    path = scratch_path(spark, "train-metrics")
+    best = M.best_checkpoints(t).filter("is_best")
+    M.append_events(t.filter("type = 'train'").select("run_id", "step", "type", F.col("loss").alias("value")), path)
+    M.append_events(t.filter("type = 'eval'").select("run_id", "step", "type", F.col("val_loss").alias("value")), path)
+    M.append_events(best.select("run_id", "step", F.lit("checkpoint").alias("type"), F.col("val_loss").alias("value")), path)
+    got = spark.read.parquet(path)
+    return got.groupBy("run_id", "type").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 4).alias("value_sum"))
+
+
 def _text_shards_dir(spark, sf_dir):
     from ..session import scratch_path
     from ..sources import textshards as TS
