@@ -170,11 +170,12 @@ def _verify(batches):
 
 
 def verify(pairs: DataFrame, bodies: DataFrame) -> DataFrame:
-    """Exact similarity of each (a, b); ``bodies`` has (rid, body)."""
-    needed = pairs.select(F.col("a").alias("rid")).union(pairs.select(F.col("b").alias("rid"))).distinct()
-    used = bodies.join(needed, "rid", "left_semi")
-    return (pairs.join(used.select(F.col("rid").alias("a"), F.col("body").alias("body_a")), "a")
-            .join(used.select(F.col("rid").alias("b"), F.col("body").alias("body_b")), "b")
+    """Exact similarity of each (a, b); ``bodies`` has (rid, body) of the candidates.
+
+    Pairs and candidates both grow with the data, so the joins are shuffles at every size.
+    """
+    return (pairs.hint("merge").join(bodies.select(F.col("rid").alias("a"), F.col("body").alias("body_a")), "a")
+            .hint("merge").join(bodies.select(F.col("rid").alias("b"), F.col("body").alias("body_b")), "b")
             .select("a", "b", "body_a", "body_b").mapInArrow(_verify, "a bigint, b bigint, jaccard double"))
 
 
@@ -319,12 +320,14 @@ def _classes(sketch: DataFrame) -> DataFrame:
     spark = sketch.sparkSession
     copies = C.materialize(sketch.groupBy("same").agg(F.min("_uid").alias("rid"), F.count("*").alias("copies"),
                                                       F.min("doc_id").alias("least")), "copies")
-    heads = sketch.join(copies.select(F.col("rid").alias("_uid")), "_uid", "left_semi").withColumnRenamed("_uid", "rid")
+    own = lambda rids: sketch.withColumnRenamed("_uid", "rid").join(rids.hint("merge"), "rid", "left_semi")
 
-    bands = C.materialize(heads.filter("worded").select("rid", "signature").mapInArrow(_bands, "bucket bigint, rid bigint"), "bands")
-    leaders = bands.groupBy("bucket").agg(F.min("rid").alias("leader"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    bands = C.materialize(own(copies.select("rid")).filter("worded").select("rid", "signature").mapInArrow(_bands, "bucket bigint, rid bigint"), "bands")
+    leaders = C.materialize(bands.groupBy("bucket").agg(F.min("rid").alias("leader"), F.count("*").alias("n")).filter("n > 1").drop("n"), "leaders")
     members = C.materialize(bands.join(leaders, "bucket"), "members")
-    C.discard(spark, bands)
+    C.discard(spark, bands, leaders)
+    # Texts and signatures of the candidates alone: later steps read nothing else.
+    heads = C.materialize(own(members.select("rid").distinct()).select("rid", "body", "size", "signature"), "heads")
     stars = members.filter("rid <> leader").select(F.col("rid").alias("a"), F.col("leader").alias("b")).distinct()
     bodies = heads.select("rid", "body")
     stars = C.materialize(verify(stars, bodies), "checked")
