@@ -283,14 +283,8 @@ class Backtracker:
 
 
 _LETTER_BYTES = {c: b for b, c in enumerate(byte_letters())}
-_HELD: dict[str, Backtracker] = {}
-
-
 def backtracker(path: str) -> Backtracker:
-    if path not in _HELD:
-        _HELD.clear()
-        _HELD[path] = Backtracker(path)
-    return _HELD[path]
+    return C.worker_state(f"bpe:{path}", lambda: Backtracker(path))
 
 
 def _rows(docs: DataFrame) -> DataFrame:

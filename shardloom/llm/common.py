@@ -20,7 +20,22 @@ from shardloom.session import ensure_checkpoint_dir, materialize, read_table, sc
 __all__ = ["byte_slices", "doc_of", "ensure_checkpoint_dir", "keep_columns", "materialize", "mix64", "read_table",
            "scratch_path", "ship_package", "spans_of_words", "span_hash", "with_row_key", "window_hash", "SLICE_BYTES"]
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
+
+_STATE: dict = {}
+
+
+def worker_state(key: str, make):
+    """State that a Python worker keeps between tasks (a vocabulary, its caches); one operator's at a time."""
+    if key not in _STATE:
+        _STATE.clear()
+        _STATE[key] = make()
+    return _STATE[key]
+
+
+def no_worker_state() -> None:
+    """Let go of what another operator has left in this worker."""
+    _STATE.clear()
 
 U64 = np.uint64
 _ODD = U64(0x9E3779B97F4A7C15)

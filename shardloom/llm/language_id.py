@@ -156,6 +156,7 @@ def _scores_udf(spark, profiles: Profiles):
 
     @F.arrow_udf("array<double>")
     def scores(texts: pa.Array) -> pa.Array:
+        C.no_worker_state()
         batch = pa.RecordBatch.from_arrays([texts], names=["t"])
         got = [shared.value.text_scores(data, offsets) for _, data, offsets in C.byte_slices(batch, "t")]
         k = len(shared.value.names)

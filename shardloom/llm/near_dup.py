@@ -102,6 +102,7 @@ def probminhash(rows: np.ndarray, hashes: np.ndarray, weights: np.ndarray, n_row
 
 
 def _sketch(batches):
+    C.no_worker_state()
     squeeze = zstandard.ZstdCompressor(level=1)
     for batch in batches:
         for part, data, offsets in C.byte_slices(batch, "text"):

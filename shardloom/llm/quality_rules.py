@@ -177,6 +177,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, target: str, max_rows: i
 
 
 def _featurise(batches):
+    C.no_worker_state()
     for batch in batches:
         for part, data, offsets in C.byte_slices(batch, "_text"):
             base = base_counts(data, offsets)
@@ -270,6 +271,7 @@ def apply_quality(df: DataFrame, model: QualityModel, text: str = "text", thresh
 
     @F.arrow_udf(RESULT)
     def judge(texts: pa.Array) -> pa.Array:
+        C.no_worker_state()
         batch = pa.RecordBatch.from_arrays([texts], names=["t"])
         parts: dict[str, list] = {f: [] for f in FIELDS}
         for _, data, offsets in C.byte_slices(batch, "t"):

@@ -142,6 +142,7 @@ GROUP = 4096
 
 
 def _segments(batches):
+    C.no_worker_state()
     for batch in batches:
         for part, data, offsets in C.byte_slices(batch, "text"):
             row, pos, lo, hi, bucket, name = segments(data, offsets)

@@ -24,10 +24,12 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from shardloom.llm import common as C
+
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: Parts kept per worker and half of the cache (about 180 bytes each); results do not depend on it.
-CACHE_PARTS = 600_000
+CACHE_PARTS = 400_000
 
 #: Marks the first part of a text, which has no space before it.
 FIRST = "\x01"
@@ -170,12 +172,6 @@ class PartEncoder:
         return [ids[a:b].tobytes() for a, b in zip(offsets, offsets[1:])]
 
 
-_ENCODERS: dict[str, PartEncoder] = {}
-
-
 def encoder(path: str) -> PartEncoder:
-    """The worker's encoder for a vocabulary file; one vocabulary is held at a time."""
-    if path not in _ENCODERS:
-        _ENCODERS.clear()
-        _ENCODERS[path] = PartEncoder(path)
-    return _ENCODERS[path]
+    """The worker's encoder for a vocabulary file."""
+    return C.worker_state(f"parts:{path}", lambda: PartEncoder(path))
