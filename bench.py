@@ -33,7 +33,7 @@ def main() -> None:
     from shardloom.operators import tokenize as TZ
     from shardloom.plans import fixtures as X
     from shardloom.plans.queries import REGISTRY
-    from shardloom.session import build_session, materialize
+    from shardloom.session import build_session, drop_written, materialize
 
     spark = build_session(master=f"local[{CPUS}]", shuffle_partitions=int(CPUS) * 2, app="shardloom-bench")
     times: dict[str, float] = {}
@@ -42,6 +42,7 @@ def main() -> None:
         t0 = time.time()
         df = fn()
         df.write.format("noop").mode("overwrite").save()
+        drop_written(spark)
         times[name] = round(time.time() - t0, 3)
 
     for name in HEADLINE:

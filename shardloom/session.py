@@ -82,15 +82,32 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/tables/{name}-{uuid.uuid4().hex[:12]}"
 
 
+_WRITTEN: dict[str, list[str]] = {}
+
+
+def delete_tables(spark: SparkSession, paths: list[str]) -> None:
+    """Remove written tables through the file system they are on."""
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    for p in paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(p)
+        path.getFileSystem(hadoop).delete(path, True)
+
+
+def drop_written(spark: SparkSession) -> None:
+    """Remove every table that ``materialize`` has written in this application (its results must have been used)."""
+    delete_tables(spark, _WRITTEN.pop(spark.sparkContext.applicationId, []))
+
+
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     """Cut lineage with a written table in the shared checkpoint folder.
 
     One job writes parquet and the result reads it back: unlike an eager RDD checkpoint
     it computes the plan once, survives executor loss, and later reads get column
-    pruning and filter pushdown.
+    pruning and filter pushdown. Tables stay until ``drop_written``, since lazy results read them.
     """
     path = scratch_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
+    _WRITTEN.setdefault(df.sparkSession.sparkContext.applicationId, []).append(path)
     return df.sparkSession.read.parquet(path)
 
 

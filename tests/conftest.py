@@ -12,7 +12,8 @@ SF_MID = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
-    from shardloom.session import build_session
+    from shardloom.session import build_session, drop_written
     s = build_session(master="local[4]", shuffle_partitions=4, app="shardloom-tests")
     yield s
+    drop_written(s)
     s.stop()
