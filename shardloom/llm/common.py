@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from shardloom.session import ensure_checkpoint_dir, materialize, read_table, scratch_path, ship_package
 
-__all__ = ["byte_slices", "doc_of", "ensure_checkpoint_dir", "keep_columns", "materialize", "mix64", "read_table",
+__all__ = ["byte_slices", "doc_of", "ensure_checkpoint_dir", "free_name", "keep_columns", "materialize", "mix64", "read_table",
            "scratch_path", "ship_package", "spans_of_words", "span_hash", "with_row_key", "window_hash", "SLICE_BYTES"]
 
 SLICE_BYTES = 1 << 20
@@ -161,6 +161,13 @@ def with_row_key(df: DataFrame, name: str = "_uid") -> DataFrame:
     return materialize(df.withColumn(name, F.monotonically_increasing_id()), "keyed")
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` has it."""
+    while name in df.columns:
+        name += "_"
+    return name
+
+
 def keep_columns(df: DataFrame, *names: str) -> list:
     """Columns of ``df`` without helpers whose names would clash."""
     return [F.col(f"`{c}`") for c in df.columns if c not in names]

@@ -124,11 +124,13 @@ def fit_profiles(evidence: DataFrame, rows: int = PROFILE_ROWS, most: int = MAX_
     return Profiles(names, np.asfortranarray(table.astype(np.float32)))
 
 
-def evidence_of(df: DataFrame, text: Column, declared: Column, host: Column, suffix: Column) -> DataFrame:
-    """``df`` plus the evidence columns the operator reads, normalised, under reserved names."""
+def evidence_of(df: DataFrame, text: Column, declared: Column, host: Column, suffix: Column, carry: list[str] | None = None) -> DataFrame:
+    """The evidence of every row of ``df``, normalised, and the columns to carry (all by default) inside a struct ``row``."""
     code = F.lower(F.regexp_extract(F.trim(declared), r"^([A-Za-z]{2,3})(?:[-_].*)?$", 1))
     name = F.nullif(F.lower(F.trim(host)), F.lit(""))
-    return df.select(*C.keep_columns(df, *OUTPUT), F.coalesce(text, F.lit("")).alias("t"), F.nullif(code, F.lit("")).alias("declared_"),
+    carry = [c for c in (df.columns if carry is None else carry) if c not in OUTPUT]
+    row = F.struct(*[F.col(f"`{c}`") for c in carry]) if carry else F.struct(F.lit(0).alias("none"))
+    return df.select(row.alias("row"), F.coalesce(text, F.lit("")).alias("t"), F.nullif(code, F.lit("")).alias("declared_"),
                      name.alias("host_"), F.nullif(F.lower(suffix), F.lit("")).alias("suffix_"),
                      F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).alias("row_hash"))
 
@@ -185,9 +187,9 @@ def _small_or_shuffled(table: DataFrame) -> DataFrame:
 
 
 def identify(evidence: DataFrame) -> DataFrame:
-    """Fuse the evidence of ``evidence_of``; returns its input columns and ``OUTPUT``."""
+    """Fuse the evidence of ``evidence_of``; returns the carried columns and ``OUTPUT``."""
     spark = evidence.sparkSession
-    own_columns = [c for c in evidence.columns if c not in ("t", "declared_", "host_", "suffix_", "row_hash")]
+    carried = [f.name for f in evidence.schema["row"].dataType if f.name != "none"]
     plain = evidence.select("t", F.col("declared_").alias("declared"), "row_hash")
     profiles = fit_profiles(plain)
     names, k = profiles.names, len(profiles.names)
@@ -243,7 +245,7 @@ def identify(evidence: DataFrame) -> DataFrame:
     label = lambda v: F.element_at(F.array(*[F.lit(x) for x in names]), F.array_position(v, F.array_max(v)).cast("int"))
     best = F.array_max("_post")
     blank = (F.length("t") < 3) & F.col("declared_").isNull()
-    return fused.select(*[F.col(f"`{c}`") for c in own_columns], label(F.col("_post")).alias("language"), best.alias("posterior"),
+    return fused.select(*[F.col("row")[c].alias(c) for c in carried], label(F.col("_post")).alias("language"), best.alias("posterior"),
                         F.when(F.length("t") >= 3, label(F.col("_own"))).alias("text_language"),
                         ((label(F.col("_post")) != UND) & (best >= MIN_POSTERIOR) & ~blank).alias("kept"))
 

@@ -368,11 +368,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 def one_of_each(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stand for their class: one row each, with the smallest doc_id (then the smallest row key)."""
-    keyed = C.with_row_key(docs, "_row")
-    sketch = _sketched(keyed.select(F.col("_row").alias("doc_id"), "text"))
-    ranked = keyed.select(F.col("_row"), F.coalesce(F.col("doc_id"), F.lit(2**63 - 1)).alias("_id"))
+    key = C.free_name(docs, "_row")
+    keyed = C.with_row_key(docs, key)
+    sketch = _sketched(keyed.select(F.col(key).alias("doc_id"), "text"))
+    ranked = keyed.select(F.col(key).alias("_row"), F.coalesce(F.col("doc_id"), F.lit(2**63 - 1)).alias("_id"))
     classed = _classes(sketch).select("same", "comp")
     members = sketch.select(F.col("doc_id").alias("_row"), "same").join(classed, "same").join(ranked, "_row").select("_row", "_id", "comp")
     low = members.groupBy("comp").agg(F.min("_id").alias("_id"))
-    chosen = members.join(low, ["comp", "_id"]).groupBy("comp").agg(F.min("_row").alias("_row")).select("_row")
-    return keyed.join(chosen, "_row", "left_semi").drop("_row")
+    chosen = members.join(low, ["comp", "_id"]).groupBy("comp").agg(F.min("_row").alias(key)).select(key)
+    return keyed.join(chosen, key, "left_semi").drop(key)

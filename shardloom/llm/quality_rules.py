@@ -285,5 +285,6 @@ def apply_quality(df: DataFrame, model: QualityModel, text: str = "text", thresh
             [pa.array(np.concatenate([a.astype(kinds.get(f, np.int64)) for a in parts[f]]) if parts[f] else np.zeros(0, kinds.get(f, np.int64)))
              for f in FIELDS], names=FIELDS)
 
-    got = df.select(*C.keep_columns(df, *FIELDS), judge.asNondeterministic()(F.col(text)).alias("_q"))
-    return got.select(*C.keep_columns(got, "_q"), *[F.col(f"_q.{f}").alias(f) for f in FIELDS])
+    held = C.free_name(df, "_q")
+    got = df.select(*C.keep_columns(df, *FIELDS), judge.asNondeterministic()(F.col(text)).alias(held))
+    return got.select(*C.keep_columns(got, held), *[F.col(held)[f].alias(f) for f in FIELDS])

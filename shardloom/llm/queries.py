@@ -28,8 +28,8 @@ def op1_language_id(spark, sf_dir):
                          host.alias("host"), suffix.alias("suffix"))
             .unionByName(docs.select(F.lit("documents").alias("table"), "doc_id", F.lit(None).cast("long").alias("page_id"), "text",
                                      F.col("lang").alias("mark"), F.col("source").alias("host"), F.lit(None).cast("string").alias("suffix"))))
-    evidence = language_id.evidence_of(rows, F.col("text"), F.col("mark"), F.col("host"), F.col("suffix"))
-    return language_id.identify(evidence.drop("text", "mark", "host", "suffix"))
+    evidence = language_id.evidence_of(rows, F.col("text"), F.col("mark"), F.col("host"), F.col("suffix"), ["table", "doc_id", "page_id"])
+    return language_id.identify(evidence)
 
 
 def op2_suffix_dedup(spark, sf_dir):

@@ -84,7 +84,8 @@ def test_near_duplicates_null_and_repeated_ids(spark):
     rows = [(None, "a b c d e f"), (None, "a b c d e f"), (7, "a b c d e f"), (7, "q r s t u v"), (None, None)]
     got = near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
     assert sorted((str(r[0]), str(r[1]), r[2]) for r in got) == [("7", "7", 1), ("7", "7", 3), ("None", "7", 3), ("None", "7", 3), ("None", "None", 1)]
-    kept = near_dup.one_of_each(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    kept = near_dup.one_of_each(spark.createDataFrame([(*r, "x", "y") for r in rows], "doc_id bigint, text string, _row string, comp string")).collect()
+    assert set(kept[0].asDict()) == {"doc_id", "text", "_row", "comp"}
     assert sorted((str(r[0]), str(r[1])) for r in kept) == [("7", "a b c d e f"), ("7", "q r s t u v"), ("None", "None")]
 
 

@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from shardloom.llm import quality_rules as Q
 from shardloom.llm import rff_quality as R
@@ -19,7 +20,7 @@ def tables(spark):
     docs = [(i, sample(rng, i % 4 != 0), "x") for i in range(400)]
     docs += [(1000, None, "x"), (1001, "", "x"), (1002, "same line here\nsame line here\n\n \nsame line here", "x"), (None, docs[1][1], "x"), (1, docs[1][1], "x")]
     labels = [(i, int(i % 4 != 0), 0) for i in range(0, 400, 2)] + [(i, int(i % 4 != 0), 0) for i in range(1, 300, 5)] + [(None, 1, 0), (5, None, 0)]
-    return (spark.createDataFrame(docs, "doc_id bigint, text string, kept string"), spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int"))
+    return (spark.createDataFrame(docs, "doc_id bigint, text string, _q string").withColumn("kept", F.col("_q")), spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int"))
 
 
 def test_counts_equal_brute_force(spark):
@@ -36,7 +37,7 @@ def test_counts_equal_brute_force(spark):
 def test_quality_rules_learn_and_replace_clashing_columns(spark, tables):
     docs, labels = tables
     got = Q.apply_quality(docs, Q.fit_quality(docs, labels))
-    assert sorted(got.columns) == sorted(["doc_id", "text", *Q.FIELDS])
+    assert sorted(got.columns) == sorted(["doc_id", "text", "_q", *Q.FIELDS])
     rows = got.collect()
     assert len(rows) == 405
     plain = [r for r in rows if r["doc_id"] is not None and r["doc_id"] < 400 and not r["base_failed"]]

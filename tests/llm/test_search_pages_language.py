@@ -81,11 +81,11 @@ def test_language_evidence_is_fused(spark):
              (901, "", None, "fr.example"),  # no text, nothing declared: not kept
              (902, "zz", "fr", "fr.example"), (903, None, "de", None), (904, "## $$ %% ^^ ## $$ ## ;;;; [[[[ ]]]]", None, None), (905, None, None, None),
              (1, say("en", 40), "en", "en.example")]
-    docs = spark.createDataFrame([(*r, "clash") for r in rows], "doc_id bigint, text string, lang string, source string, kept string")
+    docs = spark.createDataFrame([(*r, "clash", "x", 1.0) for r in rows], "doc_id bigint, text string, lang string, source string, kept string, t string, _s double")
     got = {}
     for r in L.identify_documents(docs).collect():
         got.setdefault(r["doc_id"], r)
-    assert len(got) == 126 and set(got[0].asDict()) == {"doc_id", "text", "lang", "source", *L.OUTPUT}
+    assert len(got) == 126 and set(got[0].asDict()) == {"doc_id", "text", "lang", "source", "t", "_s", *L.OUTPUT}
     for i, (_, _, lang, _) in enumerate(rows[:120]):
         assert got[i]["language"] == lang and got[i]["kept"]
     assert got[900]["language"] == "de" and got[900]["kept"]
