@@ -2,7 +2,8 @@
 
 The corpus is reduced once to the pre-token frequency table (T1, vocabulary-bounded,
 map-side combined). Training works on that table of distinct words:
-every round counts adjacent symbol pairs weighted by word frequency (one aggregation),
+adjacent symbol pairs are counted once, weighted by word frequency; every round then counts the
+words that hold a merged pair, before and after the merge, and adds the change to the pair table,
 brings only the top candidates to the driver (``orderBy().limit()``, a distributed
 top-k) and rewrites the words with native string replaces (one code point per symbol).
 The merge list lives on the driver; it is bounded by the vocabulary size.
@@ -40,7 +41,7 @@ VOCAB_SIZE = 32_000
 MIN_FREQUENCY = 2
 CANDIDATES = 256              # candidate pairs fetched per round (a window, not a cap:
                               # the next round fetches again from the updated counts)
-CHECKPOINT_EVERY = 10
+CHECKPOINT_EVERY = 8
 
 
 # ----------------------------------------------------------------------------- T1 / T2
@@ -98,19 +99,33 @@ def symbol_words(freq: DataFrame, byte_ids: dict[int, int]) -> DataFrame:
     return freq.select(w.alias("w"), F.col("freq").cast("long").alias("freq"))
 
 
-def symbol_pair_counts(words: DataFrame, min_frequency: int = MIN_FREQUENCY) -> DataFrame:
-    """T3 on the string state: (pair STRING of two symbols, count)."""
-    pairs = words.select(F.explode(F.regexp_extract_all("w", F.lit(_PAIR_WINDOWS), 1)).alias("pair"), "freq")
+def _symbol_pairs(words: DataFrame, weight: F.Column) -> DataFrame:
+    """(pair STRING of two symbols, weight) of every adjacent pair, overlaps counted."""
+    pairs = words.select(F.explode(F.regexp_extract_all("w", F.lit(_PAIR_WINDOWS), 1)).alias("pair"), weight.alias("count"))
     # Java regex steps one UTF-16 unit after an empty match, so every other window starts
     # inside a surrogate pair and comes back as '?'+symbol; real pairs start at U+10000.
-    pairs = pairs.filter(F.col("pair") >= F.lit(sym(0)))
-    pc = pairs.groupBy("pair").agg(F.sum("freq").alias("count"))
-    return pc.filter(F.col("count") >= min_frequency)
+    return pairs.filter(F.col("pair") >= F.lit(sym(0)))
+
+
+def symbol_pair_counts(words: DataFrame) -> DataFrame:
+    """T3 on the string state: (pair STRING of two symbols, count)."""
+    return _symbol_pairs(words, F.col("freq")).groupBy("pair").agg(F.sum("count").alias("count"))
+
 
+def updated_pair_counts(counts: DataFrame, words: DataFrame, batch: list[tuple[int, int, int]]) -> DataFrame:
+    """Pair counts after a batch of merges: only the words that hold a merged pair are counted, before and after."""
+    holds = F.lit(False)
+    for left, right, _ in batch:
+        holds = holds | F.contains(F.col("w"), F.lit(sym(left) + sym(right)))
+    touched = words.filter(holds)
+    change = _symbol_pairs(touched, -F.col("freq")).unionByName(_symbol_pairs(_apply_symbol_merges(touched, batch), F.col("freq")))
+    return (counts.unionByName(change.groupBy("pair").agg(F.sum("count").alias("count")))
+            .groupBy("pair").agg(F.sum("count").alias("count")).filter("count > 0"))
 
-def symbol_top_pairs(pc: DataFrame, k: int) -> DataFrame:
+
+def symbol_top_pairs(pc: DataFrame, k: int, min_frequency: int = MIN_FREQUENCY) -> DataFrame:
     """Ranking (count desc, left asc, right asc): symbol order equals id order."""
-    return pc.orderBy(F.col("count").desc(), F.col("pair").asc()).limit(k)
+    return pc.filter(F.col("count") >= min_frequency).orderBy(F.col("count").desc(), F.col("pair").asc()).limit(k)
 
 
 def _apply_symbol_merges(words: DataFrame, batch: list[tuple[int, int, int]]) -> DataFrame:
@@ -206,7 +221,7 @@ def train_bpe(spark: SparkSession, freq: DataFrame, vocab_size: int = VOCAB_SIZE
     """T5: learn merges until the vocabulary reaches ``vocab_size`` or no pair is frequent.
 
     ``freq`` should be materialised (it is read once for the alphabet and once for the
-    words). Words are cached per round and checkpointed to the shared checkpoint folder
+    words). Words and pair counts are cached per round and written to the shared checkpoint folder
     every ``checkpoint_every`` rounds, so lost executors recompute a bounded lineage.
     ``progress(round, merges_so_far, vocab_size)`` is called after every round.
     """
@@ -218,13 +233,13 @@ def train_bpe(spark: SparkSession, freq: DataFrame, vocab_size: int = VOCAB_SIZE
     known = {v: k for k, v in vocab.items() if k >= len(SPECIAL_TOKENS)}
     model = BpeModel(byte_ids, vocab)
 
-    words = symbol_words(freq, byte_ids).filter(F.length("w") >= 2)
-    words = materialize(words)
+    words = materialize(symbol_words(freq, byte_ids).filter(F.length("w") >= 2), "words")
+    counts = materialize(symbol_pair_counts(words), "pairs")
     stale: list[DataFrame] = []
     rnd = 0
     while len(vocab) < vocab_size:
-        top = symbol_top_pairs(symbol_pair_counts(words, min_frequency), candidates + 1).collect()
-        for old in stale:                       # ``words`` is now computed; drop its parents
+        top = symbol_top_pairs(counts, candidates + 1, min_frequency).collect()
+        for old in stale:                       # ``counts`` is now computed; drop its parents
             old.unpersist()
         stale = []
         if not top:
@@ -243,16 +258,17 @@ def train_bpe(spark: SparkSession, freq: DataFrame, vocab_size: int = VOCAB_SIZE
             model.merges.append((left, right, new_id))
             applied.append((left, right, new_id))
         rnd += 1
-        nxt = _apply_symbol_merges(words, applied)
-        if rnd % checkpoint_every == 0:
-            nxt = materialize(nxt)              # reliable checkpoint: bounded lineage
+        after, tally = _apply_symbol_merges(words, applied), updated_pair_counts(counts, words, applied)
+        if rnd % checkpoint_every == 0:         # written tables: bounded lineage and plans
+            after, tally = materialize(after, "words"), materialize(tally, "pairs")
         else:
-            nxt = nxt.persist()
-        if words.is_cached:
-            stale.append(words)
-        words = nxt
+            after, tally = after.persist(), tally.persist()
+        stale += [old for old in (words, counts) if old.is_cached]
+        words, counts = after, tally
         if progress is not None:
             progress(rnd, len(model.merges), len(vocab))
+    for old in [*stale, *(d for d in (words, counts) if d.is_cached)]:
+        old.unpersist()
     model.rounds = rnd
     return model
 
