@@ -45,8 +45,11 @@ PAGE = """<!DOCTYPE html><html><head><title>t &amp; t</title><script>var x = "</
 
 
 def test_blocks_and_zones():
-    assert [t for z, t in H.blocks_of(PAGE) if z == "main"] == ["Head é <1>", "One bold text next", "Two", "more"]
+    assert [t for z, t in H.blocks_of(PAGE) if z == "article"] == ["Head é <1>", "One bold text next", "Two", "more"]
     assert H.main_text(H.blocks_of("a < b &am"), []) == "a < b &am"
+    nested = "<main><p>intro</p><article><p>text</p></article><section class=comments><article><p>me</p></article></section></main><nav><p>x</p><article><p>open nav</p></article>"
+    assert H.main_text(H.blocks_of(nested), []) == "text\n\nopen nav"
+    assert H.main_text(H.blocks_of("<main><p>a</p><aside>b</aside><p>c</p></main><p>d</p>"), []) == "a\n\nc"
     assert H.blocks_of("") == [] and H.blocks_of("<p>a</p") == [("side", "a")]
 
 
