@@ -13,6 +13,7 @@ from ..functions import text as T
 from ..operators import shards as S
 from ..operators.clean import clean_lines
 from ..session import materialize, read_table
+from ..sources.registry import SourceSpec, registry_caps, registry_policies
 
 FIXTURE_DOCS_PER_SHARD = 5
 # Split thresholds used by the oracles: 500 and 1,500 per 10,000.
@@ -20,9 +21,10 @@ FIXTURE_TEST_FRAC = 0.05
 FIXTURE_VAL_FRAC = 0.10
 
 # The registry's entries for the twenty sources of ``documents``: policy and shard cap by number.
-SOURCES = [f"src{n}" for n in range(20)]
-POLICIES = {s: ("wikitext", "bookcorpus", "default")[n % 3] for n, s in enumerate(SOURCES)}
-SHARD_CAPS = {s: n % 7 + 1 for n, s in enumerate(SOURCES) if n % 2}
+REGISTRY = [SourceSpec(f"src{n}", "documents.parquet", policy=("wikitext", "bookcorpus", "default")[n % 3],
+                       max_shards=n % 7 + 1 if n % 2 else None) for n in range(20)]
+SOURCES = [s.name for s in REGISTRY]
+POLICIES, SHARD_CAPS = registry_policies(REGISTRY), registry_caps(REGISTRY)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
