@@ -182,7 +182,3 @@ def discard(spark: SparkSession, *tables: DataFrame) -> None:
             path.getFileSystem(hadoop).delete(path, True)
     gc.collect()
     spark._jvm.System.gc()
-
-
-def session_of(df: DataFrame) -> SparkSession:
-    return df.sparkSession

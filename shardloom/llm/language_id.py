@@ -253,8 +253,3 @@ def identify(evidence: DataFrame) -> DataFrame:
 def identify_documents(docs: DataFrame) -> DataFrame:
     """Documents: ``lang`` is the declared language and ``source`` stands for the host."""
     return identify(evidence_of(docs, F.col("text"), F.col("lang"), F.col("source"), F.lit(None).cast("string")))
-
-
-def page_evidence(pages: DataFrame) -> DataFrame:
-    host, suffix = address_parts(F.col("url"))
-    return evidence_of(pages, visible_text(F.col("html")), markup_language(F.col("html")), host, suffix)
