@@ -153,24 +153,56 @@ def visible_text(html: Column) -> Column:
     return F.regexp_replace(bare, r"&(?:#\w{1,7}|\w{1,8});", " ")
 
 
+def _softmax(scores: np.ndarray) -> np.ndarray:
+    z = np.exp(scores - scores.max(axis=1, keepdims=True))
+    return z / z.sum(axis=1, keepdims=True)
+
+
+def _rows_of(column: pa.Array, k: int) -> np.ndarray:
+    return column.flatten().to_numpy().reshape(len(column), k)
+
+
+def _lists(rows: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1) * rows.shape[1], pa.int32()), pa.array(rows.ravel(), pa.float64()))
+
+
 def _scores_udf(spark, profiles: Profiles):
+    """Text scores of each language and the posterior they give alone."""
     shared = spark.sparkContext.broadcast(profiles)  # 2**BITS x (MAX_LANGUAGES + 1) weights at most
 
-    @F.arrow_udf("array<double>")
+    @F.arrow_udf("struct<s:array<double>,p:array<double>>")
     def scores(texts: pa.Array) -> pa.Array:
         C.no_worker_state()
         batch = pa.RecordBatch.from_arrays([texts], names=["t"])
         got = [shared.value.text_scores(data, offsets) for _, data, offsets in C.byte_slices(batch, "t")]
-        k = len(shared.value.names)
-        flat = np.concatenate(got).ravel() if got else np.zeros(0)
-        return pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, k), pa.int32()), pa.array(flat, pa.float64()))
+        rows = np.concatenate(got) if got else np.zeros((0, len(shared.value.names)))
+        return pa.StructArray.from_arrays([_lists(rows), _lists(_softmax(rows) if len(rows) else rows)], names=["s", "p"])
 
     return scores.asNondeterministic()
 
 
-def _softmax(scores: Column) -> Column:
-    shifted = F.transform(scores, lambda x: F.exp(x - F.array_max(scores)))
-    return F.transform(shifted, lambda x: x / F.aggregate(shifted, F.lit(0.0), lambda a, b: a + b))
+def _fusion_udf(names: tuple[str, ...], prior: np.ndarray):
+    """The decision of each row from its text scores and its host's, suffix's and declared value's evidence."""
+    k = len(names)
+
+    @F.arrow_udf("struct<language:string,posterior:double,text_language:string,kept:boolean>")
+    def fuse(scores: pa.Array, own: pa.Array, host: pa.Array, domain: pa.Array, known: pa.Array, declared: pa.Array, suffix: pa.Array,
+             length: pa.Array, silent: pa.Array) -> pa.Array:
+        s, p, h, m, d, x = (_rows_of(c, k) for c in (scores, own, host, domain, declared, suffix))
+        mine = p * known.to_numpy(zero_copy_only=False)[:, None]  # a row is no evidence for itself
+        normal = lambda v: v / v.sum(axis=1, keepdims=True)
+        parent = normal(np.maximum(m - mine, 0) + PARENT * prior)
+        belief = normal(np.maximum(h - mine, 0) + PARENT * parent)
+        post = _softmax(s + np.log(belief) + d + x)
+        at, best = post.argmax(axis=1), post.max(axis=1)
+        n = length.to_numpy()
+        word = np.array(names, object)
+        kept = (at != k - 1) & (best >= MIN_POSTERIOR) & ~((n < 3) & silent.to_numpy(zero_copy_only=False))
+        return pa.StructArray.from_arrays(
+            [pa.array(word[at], pa.string()), pa.array(best), pa.array(np.where(n >= 3, word[p.argmax(axis=1)], None), pa.string()), pa.array(kept)],
+            names=OUTPUT)
+
+    return fuse.asNondeterministic()
 
 
 def _domain(host: Column) -> Column:
@@ -193,10 +225,10 @@ def identify(evidence: DataFrame) -> DataFrame:
     plain = evidence.select("t", F.col("declared_").alias("declared"), "row_hash")
     profiles = fit_profiles(plain)
     names, k = profiles.names, len(profiles.names)
-    scored = evidence.drop("row_hash").withColumn("_s", _scores_udf(spark, profiles)(F.col("t")))
+    scored = evidence.drop("row_hash").withColumn("_sp", _scores_udf(spark, profiles)(F.col("t")))
 
     # One grouped aggregation of soft counts; everything below is derived from its table.
-    soft = scored.select("host_", "suffix_", "declared_", _softmax(F.col("_s")).alias("_p"))
+    soft = scored.select("host_", "suffix_", "declared_", F.col("_sp.p").alias("_p"))
     table = C.materialize(soft.groupBy("host_", "suffix_", "declared_")
                           .agg(*[F.sum(F.col("_p")[i]).alias(f"c{i}") for i in range(k)]), "evidence")
     total = table.agg(*[F.sum(f"c{i}").alias(f"c{i}") for i in range(k)]).first()
@@ -230,24 +262,10 @@ def identify(evidence: DataFrame) -> DataFrame:
     joined = (scored.join(_small_or_shuffled(hosts.withColumnRenamed("_host", "host_")), "host_", "left")
               .join(_small_or_shuffled(declared), "declared_", "left")
               .join(_small_or_shuffled(suffixes), "suffix_", "left"))
-    own = _softmax(F.col("_s"))
-    minus = lambda v: F.zip_with(F.coalesce(F.col(v), flat), F.when(F.col(v).isNotNull(), F.col("_own")).otherwise(flat),
-                                 lambda a, b: F.greatest(a - b, F.lit(0.0)))
-    smoothed = lambda counts, parent: F.zip_with(counts, parent, lambda c, p: c + F.lit(PARENT) * p)
-    norm = lambda v: F.transform(v, lambda x: x / F.aggregate(v, F.lit(0.0), lambda a, b: a + b))
-    base = F.array(*[F.lit(float(p)) for p in prior])
-    fused = (joined.withColumn("_own", own)
-             .withColumn("_dom", norm(smoothed(minus("_mv"), base)))
-             .withColumn("_pri", norm(smoothed(minus("_hv"), F.col("_dom"))))
-             .withColumn("_all", F.zip_with(F.zip_with(F.col("_s"), F.transform("_pri", lambda x: F.log(x)), lambda a, b: a + b),
-                                            F.zip_with(F.coalesce("_dv", flat), F.coalesce("_xv", flat), lambda a, b: a + b), lambda a, b: a + b))
-             .withColumn("_post", _softmax(F.col("_all"))))
-    label = lambda v: F.element_at(F.array(*[F.lit(x) for x in names]), F.array_position(v, F.array_max(v)).cast("int"))
-    best = F.array_max("_post")
-    blank = (F.length("t") < 3) & F.col("declared_").isNull()
-    return fused.select(*[F.col("row")[c].alias(c) for c in carried], label(F.col("_post")).alias("language"), best.alias("posterior"),
-                        F.when(F.length("t") >= 3, label(F.col("_own"))).alias("text_language"),
-                        ((label(F.col("_post")) != UND) & (best >= MIN_POSTERIOR) & ~blank).alias("kept"))
+    fuse = _fusion_udf(names, prior)
+    decided = joined.withColumn("_d", fuse(F.col("_sp.s"), F.col("_sp.p"), F.coalesce("_hv", flat), F.coalesce("_mv", flat), F.col("_hv").isNotNull(),
+                                           F.coalesce("_dv", flat), F.coalesce("_xv", flat), F.length("t"), F.col("declared_").isNull()))
+    return decided.select(*[F.col("row")[c].alias(c) for c in carried], *[F.col("_d")[c].alias(c) for c in OUTPUT])
 
 
 def identify_documents(docs: DataFrame) -> DataFrame:
