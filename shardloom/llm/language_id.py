@@ -2,8 +2,8 @@
 
 Four kinds of evidence about a row's language are added as log probabilities:
 
-* text: hashed byte trigrams under one profile per language, plus a uniform profile ``und``
-  for text in no known language. The mean log-likelihood counts as at most ``TEXT_GRAMS``
+* text: hashed byte trigrams of letters and word borders under one profile per language, plus a
+  uniform profile ``und`` for text in no known language (a text without any such trigram is one). The mean log-likelihood counts as at most ``TEXT_GRAMS``
   independent grams, so that overlapping grams do not drown the other evidence;
 * declared language (markup attribute, or a column): P(declared | language);
 * address suffix (top-level label and two-letter path segment): P(suffix | language);
@@ -59,6 +59,24 @@ def fold_case(data: np.ndarray) -> np.ndarray:
     return out
 
 
+#: Bytes that say something about a language: letters (all of UTF-8 beyond ASCII), and what stands between words.
+_LETTER = np.zeros(256, bool)
+_LETTER[[*range(65, 91), *range(97, 123), *range(128, 256)]] = True
+_SPOKEN = _LETTER.copy()
+_SPOKEN[[32, 10, 13, 9, 39]] = True
+#: Log evidence for ``und`` of a text without any trigram of such bytes.
+SPEECHLESS = 20.0
+
+
+def spoken_trigrams(data: np.ndarray) -> np.ndarray:
+    """Which trigrams (by first byte) consist of letters and word borders; numbers, addresses and symbols are in every language."""
+    n = len(data) - 2
+    if n <= 0:
+        return np.zeros(0, bool)
+    fit, letter = _SPOKEN[data], _LETTER[data]
+    return fit[:n] & fit[1:n + 1] & fit[2:] & (letter[:n] | letter[1:n + 1] | letter[2:])
+
+
 def trigram_buckets(data: np.ndarray) -> np.ndarray:
     n = len(data) - 2
     if n <= 0:
@@ -79,15 +97,21 @@ class Profiles:
     table: np.ndarray
 
     def text_scores(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        """Weighted text log-likelihood of every row (rows x languages); zeros without a trigram."""
+        """Weighted text log-likelihood of every row (rows x languages); zeros without a text."""
         first, last = offsets[:-1], np.maximum(offsets[1:] - 2, offsets[:-1])
-        buckets = trigram_buckets(data)
+        spoken = spoken_trigrams(data)
+        first, last = np.minimum(first, len(spoken)), np.minimum(last, len(spoken))
+        buckets = trigram_buckets(data)[spoken]
+        before = np.concatenate(([0], np.cumsum(spoken)))
+        first, last = before[first], before[last]
         n = last - first
         out = np.zeros((len(n), len(self.names)))
         for k in range(len(self.names)):
             run = np.concatenate(([0.0], np.cumsum(self.table[:, k][buckets], dtype=np.float64)))
-            out[:, k] = run[np.minimum(last, len(run) - 1)] - run[np.minimum(first, len(run) - 1)]
-        return out / np.maximum(n, 1)[:, None] * np.minimum(n, TEXT_GRAMS)[:, None]
+            out[:, k] = run[last] - run[first]
+        out = out / np.maximum(n, 1)[:, None] * np.minimum(n, TEXT_GRAMS)[:, None]
+        out[(n == 0) & (np.diff(offsets) > 2), -1] = SPEECHLESS
+        return out
 
 
 def _count_grams(batches):
@@ -95,9 +119,9 @@ def _count_grams(batches):
         for part, data, offsets in C.byte_slices(batch, "t"):
             langs = np.array(part.column("d").to_pylist(), object)
             first, last = offsets[:-1], np.maximum(offsets[1:] - 2, offsets[:-1])
-            buckets = trigram_buckets(data)
+            buckets, spoken = trigram_buckets(data), spoken_trigrams(data)
             for name in sorted(set(langs)):
-                picked = [buckets[first[i]:last[i]] for i in np.flatnonzero(langs == name)]
+                picked = [buckets[first[i]:last[i]][spoken[first[i]:last[i]]] for i in np.flatnonzero(langs == name)]
                 u, c = np.unique(np.concatenate(picked), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array([name] * len(u), pa.string()), pa.array(u, pa.int64()), pa.array(c, pa.int64())],
                                                  names=["d", "bucket", "n"])
