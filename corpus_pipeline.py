@@ -18,6 +18,7 @@ def prepared(spark: SparkSession) -> None:
     """The shared folder and the package on the workers, for callers that use a stage by itself."""
     C.ensure_checkpoint_dir(spark)
     C.ship_package(spark)
+    C.small_batches(spark)
 
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]

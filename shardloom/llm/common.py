@@ -15,10 +15,11 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shardloom.session import ensure_checkpoint_dir, materialize, read_table, scratch_path, ship_package
+from shardloom.session import ensure_checkpoint_dir, materialize, scratch_path, ship_package
+from shardloom.session import read_table as _read_table
 
 __all__ = ["byte_slices", "doc_of", "ensure_checkpoint_dir", "free_name", "keep_columns", "materialize", "mix64", "read_table",
-           "scratch_path", "ship_package", "spans_of_words", "span_hash", "with_row_key", "window_hash", "SLICE_BYTES"]
+           "scratch_path", "ship_package", "small_batches", "spans_of_words", "span_hash", "with_row_key", "window_hash", "SLICE_BYTES"]
 
 SLICE_BYTES = 1 << 20
 
@@ -35,7 +36,25 @@ def worker_state(key: str, make):
 
 def no_worker_state() -> None:
     """Let go of what another operator has left in this worker."""
-    _STATE.clear()
+    if _STATE:
+        _STATE.clear()
+        gc.collect()
+
+
+#: Rows of an Arrow batch: texts of a few kB make batches of some MB in the JVM and in the workers.
+BATCH_ROWS = 2000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound the Arrow batches of the session, unless a smaller bound is set already."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(key, "10000")) > BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
+    return _read_table(spark, sf_dir, name)
 
 U64 = np.uint64
 _ODD = U64(0x9E3779B97F4A7C15)
@@ -78,6 +97,7 @@ def byte_slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) ->
         j = min(n, max(j, i + 1))
         yield batch.slice(i, j - i), data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i]
         i = j
+    pa.default_memory_pool().release_unused()  # what the batch's columns took goes back to the system
 
 
 def binary_rows(flat: np.ndarray, offsets: np.ndarray) -> pa.Array:

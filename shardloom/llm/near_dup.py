@@ -232,7 +232,7 @@ def _block_pairs(batches):
     """Pairs of one block pair whose members are in different classes and may still be links."""
     for batch in batches:
         out_a, out_b = [], []
-        for row in batch.to_pylist():
+        for row in (batch.slice(i, 1).to_pylist()[0] for i in range(batch.num_rows)):
             left, right = row["left"], row["right"]
             read = lambda side, f: np.array([m[f] for m in side])
             la, ra = (np.frombuffer(b"".join(m["signature"] for m in s), "<u4").reshape(len(s), REGISTERS) for s in (left, right))

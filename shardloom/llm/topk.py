@@ -45,9 +45,22 @@ def clean_vectors(table: DataFrame, vec_id: str = "vec_id", vector: str = "embed
     return rows.join(F.broadcast(dims), "dim", "left_semi").drop("dim")  # one row
 
 
+def _joined(batches):
+    """Batches of TILE rows at least (but for the last)."""
+    held, rows = [], 0
+    for batch in batches:
+        held.append(batch)
+        rows += batch.num_rows
+        if rows >= TILE:
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held, rows = [], 0
+    if rows:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
 def _tiles(batches):
     """Matrices of at most TILE rows; integers in the narrowest type that holds them exactly."""
-    for batch in batches:
+    for batch in _joined(batches):
         for i in range(0, batch.num_rows, TILE):
             part = batch.slice(i, TILE)
             v = np.floor(part.column("v").flatten().to_numpy()).reshape(part.num_rows, -1)
@@ -93,7 +106,7 @@ def best(scores: np.ndarray, ids: np.ndarray, keys: np.ndarray, skip: np.ndarray
 def _search(k: int):
     def run(batches):
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in (batch.slice(i, 1).to_pylist()[0] for i in range(batch.num_rows)):
                 read = lambda side: (np.frombuffer(row[f"{side}_matrix"], row[f"{side}_kind"]).reshape(row[f"{side}_rows"], -1),
                                      np.frombuffer(row[f"{side}_ids"], "<i8"), np.frombuffer(row[f"{side}_keys"], "<i8"))
                 (q, q_ids, q_keys), (c, c_ids, c_keys) = read("q"), read("c")
