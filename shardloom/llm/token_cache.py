@@ -130,24 +130,25 @@ class PartEncoder:
         if len(self.known) > CACHE_PARTS:  # what is still in use moves over from the older half
             self.older, self.known = self.known, {}
         known, older = self.known, self.older
-        if self.lowers:
-            parts = [p.lower() if p.isascii() and "<" not in p else p for p in parts]
-        missing = [p for p in parts if p not in known]
-        if older and missing:
+        got = list(map(known.get, parts))
+        open_ = [i for i, ids in enumerate(got) if ids is None]
+        if open_:
+            missing = [parts[i] for i in open_]
             known.update([(p, older[p]) for p in missing if p in older])
-            missing = [p for p in missing if p not in known]
-        if self.keeps_space:
-            heads = [p for p in missing if p[:1] in (FIRST, "\n")]
-            known.update(zip(heads, self._library([p.removeprefix(FIRST) for p in heads])))
-            missing = [p for p in missing if p not in known]
-        if missing:
-            self._learn(missing, self.space)
-        return [known[p] for p in parts]
+            if self.keeps_space:
+                heads = [p for p in missing if p[:1] in (FIRST, "\n") and p not in known]
+                known.update(zip(heads, self._library([p.removeprefix(FIRST) for p in heads])))
+            self._learn([p for p in missing if p not in known], self.space)
+            for i, p in zip(open_, missing):
+                got[i] = known[p]
+        return got
 
     def encode_column(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids (unsigned 16-bit) of all texts in a row and the texts' offsets; callers pass slices of a few MB."""
         texts = pc.fill_null(texts, "")
         if not self.keeps_space:
+            if self.lowers:  # letters of ASCII first: fewer distinct parts, same result (but for special tokens)
+                texts = pc.if_else(pc.match_substring(texts, "<|"), texts, pc.ascii_lower(texts))
             return assemble(pc.replace_substring(texts, "\n", " "), self.lookup, 2)
         whole = pc.match_substring_regex(texts, WHOLE)
         marked = pc.binary_join_element_wise(FIRST, pc.replace_substring(pc.if_else(whole, "", texts), "\n", " \n"), "")
