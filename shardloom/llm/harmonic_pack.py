@@ -27,7 +27,8 @@ from shardloom.llm import token_cache
 
 CAPACITY = 1024
 END_ID = 0
-TOKEN_SLICE = 4 << 20  # bytes of text that are tokenized at once
+TOKEN_SLICE = 2 << 20  # bytes of text that are tokenized at once
+CACHE_PARTS = 150_000  # of the token cache: packing shares its workers with the stages before it
 FIELDS = ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"]
 SCHEMA = "doc_id bigint, start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, offset bigint"
 
@@ -75,7 +76,7 @@ class Bins:
 
 def _pack(path: str, capacity: int, end_id: int):
     def pack(batches):
-        tokens, bins = token_cache.encoder(path), Bins(capacity)
+        tokens, bins = token_cache.encoder(path, CACHE_PARTS), Bins(capacity)
         partition, made = TaskContext.get().partitionId(), 0
         rows: list[tuple] = []
 

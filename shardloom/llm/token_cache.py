@@ -72,7 +72,7 @@ def assemble(texts: pa.Array, lookup: Callable[[list[str]], list[bytes]], width:
 class PartEncoder:
     """Ids of texts as little-endian unsigned 16-bit bytes (vocabularies of up to 65,536 ids)."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, parts: int | None = None):
         from tokenizers import Tokenizer
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
@@ -88,6 +88,7 @@ class PartEncoder:
         self.marked = np.zeros(1 << 16, bool)
         self.marked[[i for t, i in vocab.items() if (t.startswith(SPACE_LETTER) if self.keeps_space else t.endswith(suffix))]] = True
         self.space = " " if self.keeps_space else ""
+        self.parts = parts
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         self.marks = {m: ids for m, ids in zip(ENDINGS, self._library(ENDINGS))}
@@ -127,7 +128,7 @@ class PartEncoder:
 
     def lookup(self, parts: list[str]) -> list[bytes]:
         """Ids of distinct parts, from the cache or the library."""
-        if len(self.known) > CACHE_PARTS:  # what is still in use moves over from the older half
+        if len(self.known) > (self.parts or CACHE_PARTS):  # what is still in use moves over from the older half
             self.older, self.known = self.known, {}
         known, older = self.known, self.older
         got = list(map(known.get, parts))
@@ -173,6 +174,6 @@ class PartEncoder:
         return [ids[a:b].tobytes() for a, b in zip(offsets, offsets[1:])]
 
 
-def encoder(path: str) -> PartEncoder:
+def encoder(path: str, parts: int | None = None) -> PartEncoder:
     """The worker's encoder for a vocabulary file."""
-    return C.worker_state(f"parts:{path}", lambda: PartEncoder(path))
+    return C.worker_state(f"parts:{path}", lambda: PartEncoder(path, parts))
