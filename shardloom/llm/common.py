@@ -6,6 +6,7 @@ row at least), so the memory of a task does not depend on how many rows an Arrow
 
 from __future__ import annotations
 
+import ctypes
 import gc
 from collections.abc import Iterator
 
@@ -39,10 +40,21 @@ def no_worker_state() -> None:
     if _STATE:
         _STATE.clear()
         gc.collect()
+        release_memory()
 
 
-#: Rows of an Arrow batch: texts of a few kB make batches of some MB in the JVM and in the workers.
-BATCH_ROWS = 2000
+_LIBC = ctypes.CDLL(None)
+
+
+def release_memory() -> None:
+    """Hand freed memory back to the system: workers outlive a stage, and its neighbours need the room."""
+    pa.default_memory_pool().release_unused()
+    if hasattr(_LIBC, "malloc_trim"):
+        _LIBC.malloc_trim(0)
+
+
+#: Rows of an Arrow batch: texts of a few kB make batches of a few MB in the JVM and in the workers.
+BATCH_ROWS = 500
 
 
 def small_batches(spark: SparkSession) -> None:
@@ -97,7 +109,7 @@ def byte_slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) ->
         j = min(n, max(j, i + 1))
         yield batch.slice(i, j - i), data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i]
         i = j
-    pa.default_memory_pool().release_unused()  # what the batch's columns took goes back to the system
+    release_memory()
 
 
 def binary_rows(flat: np.ndarray, offsets: np.ndarray) -> pa.Array:
