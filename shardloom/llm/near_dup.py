@@ -1,19 +1,22 @@
-"""Near-duplicate classes by ProbMinHash over weighted word shingles, with banding and exact checks.
+"""Near-duplicate classes by ProbMinHash over word shingles, weighted and plain, with banding and exact checks.
 
 1. Sketch. A document's shingles are its 5-word windows (a text of 1 to 4 words is one shingle);
    a shingle's weight is 1 + ln(occurrences). Every shingle is the source of a Poisson process
    with its weight as rate; each arrival falls on one of ``REGISTERS`` registers, and a register
    keeps the shingle of its first arrival. Arrivals later than the latest first arrival so far
    cannot matter, so a shingle's process stops there. Registers of two documents agree with the
-   probability Jaccard of their weighted shingle sets.
-2. Banding. ``BANDS`` bands of ``ROWS`` registers; documents that agree on a band are candidates.
-   At a similarity of 0.8 a pair shares no band with probability (1 - 0.8**4)**32 < 1e-7.
+   probability Jaccard of their weighted shingle sets. The same process at weight 1 gives the plain
+   sketch, whose registers agree with the plain Jaccard, which step 3 decides on.
+2. Banding. ``BANDS`` bands of ``ROWS`` registers of either sketch; documents that agree on a band are
+   candidates. At a plain Jaccard of 0.8 a pair shares no band of the plain sketches with probability
+   (1 - 0.8**4)**32 < 1e-7, however often either text repeats a shingle. Both sketches use one set of
+   buckets: they are equal unless a text repeats a shingle, and equal bands are one row.
 3. Verification. Inside a band's bucket every member is compared with the bucket's smallest
    member; a link needs a plain Jaccard of the two shingle sets of at least ``SIMILARITY``.
    Crowded buckets that still hold several classes are then gone through with other members in the
    middle. Buckets whose members do not all end in one class by that are gone through again in blocks
    of members: of members in different classes, pairs that can still be links (triangle
-   inequality on the distances to the smallest member, at least ``AGREEING`` equal registers) are
+   inequality on the distances to the smallest member, at least ``AGREEING`` equal plain registers) are
    compared too. So dense groups cost one comparison per member, and no link is given up.
 4. Classes are the connected components of the links (alternating large-star, small-star).
 
@@ -37,8 +40,9 @@ from shardloom.llm import common as C
 SHINGLE = 5
 SIMILARITY = 0.8
 REGISTERS, BANDS, ROWS = 128, 32, 4
-#: Equal registers (of 128) a pair needs before it is verified in step 3's second part; at 0.8 fewer
-#: than 64 agree with probability under 1e-12.
+#: Equal registers of the plain sketches (of 128) a pair needs before it is verified in step 3's second part.
+#: They are independent and agree with the plain Jaccard each, so at 0.8 or more fewer than 64 agree with
+#: probability under exp(-128 KL(0.5 | 0.8)) = 0.8**128 < 1e-12.
 AGREEING = 64
 BLOCK = 512
 #: Buckets from this size on get more stars before pairs, in at most so many rounds.
@@ -108,33 +112,47 @@ def _sketch(batches):
         for part, data, offsets in C.byte_slices(batch, "text"):
             n = len(offsets) - 1
             rows, hashes, count = shingle_sets(data, offsets)
-            signature = probminhash(rows, hashes, 1.0 + np.log(count), n)
+            signature = probminhash(rows, hashes, np.ones(len(rows)), n)
             worded = np.bincount(rows, minlength=n) > 0
             low = (signature & np.uint64(0xFFFFFFFF)).astype("<u4")
+            # The weighted sketch differs from the plain one in texts that repeat a shingle only.
+            repeats = np.bincount(rows, weights=count > 1, minlength=n) > 0
+            own = repeats[rows]
+            weighted = probminhash((np.cumsum(repeats) - 1)[rows[own]], hashes[own], 1.0 + np.log(count[own]), int(repeats.sum()))
+            heavy = iter((weighted & np.uint64(0xFFFFFFFF)).astype("<u4"))
             body = data.tobytes()
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id").cast(pa.int64()), part.column("same"),
                  pa.array(worded), pa.array(np.bincount(rows, minlength=n)), pa.array([row.tobytes() for row in low], pa.binary()),
+                 pa.array([next(heavy).tobytes() if r else None for r in repeats], pa.binary()),
                  pa.array([squeeze.compress(body[offsets[i]:offsets[i + 1]]) for i in range(n)], pa.binary())],
-                names=["doc_id", "same", "worded", "size", "signature", "body"])
+                names=["doc_id", "same", "worded", "size", "signature", "weighted", "body"])
 
 
 def band_keys(signature: np.ndarray) -> np.ndarray:
-    """One 64-bit bucket key per row and band."""
+    """One 64-bit bucket key per row and band; its last bits are the band."""
     parts = signature.reshape(len(signature), BANDS, ROWS).astype(np.uint64)
     key = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F), parts.shape[:2]).copy()
     for i in range(ROWS):
         key = C.mix64(key + parts[:, :, i] * np.uint64(0xE7037ED1A0B428DB))
-    return key
+    return key & ~np.uint64(BANDS - 1) | np.arange(BANDS, dtype=np.uint64)
+
+
+def bucket_rows(signature: list[bytes], weighted: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct bucket keys of every row, from its plain and (if it differs) its weighted signature, and their rows."""
+    read = lambda rows: np.frombuffer(b"".join(rows), "<u4").reshape(len(rows), REGISTERS)
+    keys = band_keys(read(signature))
+    heavy = np.array([i for i, w in enumerate(weighted) if w is not None], np.int64)
+    more = band_keys(read([weighted[i] for i in heavy]))
+    row, band = np.nonzero(more != keys[heavy])
+    return np.concatenate([keys.ravel(), more[row, band]]), np.concatenate([np.repeat(np.arange(len(keys)), BANDS), heavy[row]])
 
 
 def _bands(batches):
     for batch in batches:
         if batch.num_rows:
-            signature = np.frombuffer(b"".join(batch.column("signature").to_pylist()), "<u4").reshape(batch.num_rows, REGISTERS)
-            keys = band_keys(signature)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(keys.ravel().view(np.int64)), pa.array(np.repeat(batch.column("rid").to_numpy(), BANDS))], names=["bucket", "rid"])
+            keys, rows = bucket_rows(batch.column("signature").to_pylist(), batch.column("weighted").to_pylist())
+            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(batch.column("rid").to_numpy()[rows])], names=["bucket", "rid"])
 
 
 def jaccard_of(left: list[bytes], right: list[bytes]) -> np.ndarray:
@@ -236,9 +254,9 @@ def _block_pairs(batches):
             left, right = row["left"], row["right"]
             read = lambda side, f: np.array([m[f] for m in side])
             la, ra = (np.frombuffer(b"".join(m["signature"] for m in s), "<u4").reshape(len(s), REGISTERS) for s in (left, right))
-            band = int(np.flatnonzero(band_keys(la[:1])[0].view(np.int64) == row["bucket"])[0])
+            band = row["bucket"] & (BANDS - 1)
             agree = np.zeros((len(left), len(right)), np.int16)
-            fresh = np.ones(agree.shape, bool)  # not met in an earlier band
+            fresh = np.ones(agree.shape, bool)  # not met in an earlier band of the plain sketches
             for k in range(BANDS):
                 equal = np.zeros_like(agree)
                 for r in range(k * ROWS, (k + 1) * ROWS):
@@ -313,7 +331,7 @@ def unresolved_pairs(members: DataFrame, stars: DataFrame, checked: DataFrame, c
 def _sketched(docs: DataFrame) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     return C.with_row_key(rows.withColumn("same", F.unhex(F.sha2("text", 256)))
-                          .mapInArrow(_sketch, "doc_id bigint, same binary, worded boolean, size bigint, signature binary, body binary"))
+                          .mapInArrow(_sketch, "doc_id bigint, same binary, worded boolean, size bigint, signature binary, weighted binary, body binary"))
 
 
 def _classes(sketch: DataFrame) -> DataFrame:
@@ -323,7 +341,7 @@ def _classes(sketch: DataFrame) -> DataFrame:
                                                       F.min("doc_id").alias("least")), "copies")
     own = lambda rids: sketch.withColumnRenamed("_uid", "rid").join(rids.hint("merge"), "rid", "left_semi")
 
-    bands = C.materialize(own(copies.select("rid")).filter("worded").select("rid", "signature").mapInArrow(_bands, "bucket bigint, rid bigint"), "bands")
+    bands = C.materialize(own(copies.select("rid")).filter("worded").select("rid", "signature", "weighted").mapInArrow(_bands, "bucket bigint, rid bigint"), "bands")
     leaders = C.materialize(bands.groupBy("bucket").agg(F.min("rid").alias("leader"), F.count("*").alias("n")).filter("n > 1").drop("n"), "leaders")
     members = C.materialize(bands.join(leaders, "bucket"), "members")
     C.discard(spark, bands, leaders)

@@ -1,6 +1,8 @@
 import hashlib
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -120,3 +122,32 @@ def test_probminhash_estimates_probability_jaccard():
     got = near_dup.probminhash(np.repeat([0, 1], [len(ha), len(hb)]), np.concatenate([ha, hb]), np.concatenate([wa, wb]), 2, registers=4096)
     exact = sum(1 / sum(max(a.get(j, 0) / a[i], b.get(j, 0) / b[i]) for j in a.keys() | b.keys()) for i in a.keys() & b.keys())
     assert abs((got[0] == got[1]).mean() - exact) < 0.03
+
+
+def test_near_duplicates_where_one_text_repeats_what_the_other_lacks(spark):
+    """Links are decided by the plain Jaccard, so candidates must not depend on how often a shingle is repeated."""
+    rng = random.Random(11)
+    out = []
+    for k in range(24):
+        words = [f"p{k}q{i}" for i in range(200)]
+        more = [f"n{k}m{i}" for i in range(30 if k % 2 else 45)]
+        out += [" ".join(words), " ".join(words + more * (1000 if k % 2 else 100))]
+    out += [prose(rng, 200) for _ in range(4)]
+    got = near_dup.near_duplicates(spark.createDataFrame(list(enumerate(out)), "doc_id bigint, text string")).collect()
+    assert {r["doc_id"]: r["class_id"] for r in got} == dict(enumerate(brute.near_classes(out)))
+    assert {r["class_size"] for r in got if r["doc_id"] < 48} == {2}
+
+
+def test_registers_that_decide_on_a_pair_agree_with_the_plain_jaccard():
+    words = [f"p{i}" for i in range(200)]
+    both = [" ".join(words), " ".join(words + [f"n{i}" for i in range(30)] * 1000)]
+    data = pa.RecordBatch.from_pydict({"doc_id": [0, 1], "same": [b"a", b"b"], "text": both})
+    (got,) = near_dup._sketch([data])
+    plain = [np.frombuffer(x, "<u4") for x in got.column("signature").to_pylist()]
+    assert (plain[0] == plain[1]).sum() >= near_dup.AGREEING
+    assert got.column("weighted").is_null().to_pylist() == [True, False]
+    heavy = np.frombuffer(got.column("weighted").to_pylist()[1], "<u4")
+    keys, rows = near_dup.bucket_rows(got.column("signature").to_pylist(), got.column("weighted").to_pylist())
+    assert len(set(zip(keys.tolist(), rows.tolist()))) == len(keys) > 2 * near_dup.BANDS
+    # Both sketches are banded, the weighted one as it is.
+    assert set(near_dup.band_keys(heavy[None, :])[0].tolist()) <= set(keys[rows == 1].tolist())
