@@ -186,19 +186,31 @@ def _compare(batches):
     Rows with ``name`` null are results; rows with a name (buckets of several blocks only) are
     windows that have to be compared across blocks.
     """
-    held = None
+    held, size, group = [], 0, None
     for batch in batches:
-        held = batch if held is None else pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
-        if held.nbytes < C.SLICE_BYTES:
+        if not batch.num_rows:
             continue
-        bucket, block = held.column("bucket").to_numpy(), held.column("block").to_numpy()
-        same = (bucket == bucket[-1]) & (block == block[-1])
-        end = int(np.flatnonzero(~same)[-1]) + 1 if not same.all() else 0
-        if end:
-            yield from _compare_groups(held.slice(0, end))
-            held = held.slice(end)
-    if held is not None and held.num_rows:
-        yield from _compare_groups(held)
+        bucket, block = batch.column("bucket").to_numpy(), batch.column("block").to_numpy()
+        fresh = np.flatnonzero((bucket[1:] != bucket[:-1]) | (block[1:] != block[:-1])) + 1
+        end = int(fresh[-1]) if len(fresh) else 0  # where the batch's last group starts
+        if size + batch.nbytes >= C.SLICE_BYTES and (end or group != (bucket[0], block[0])):
+            done = [*held, batch.slice(0, end)] if end else held
+            if done:
+                yield from _compare_groups(_joined(done))
+            held, size, batch = [], 0, batch.slice(end)
+        held.append(batch)
+        size += batch.nbytes
+        group = bucket[-1], block[-1]
+    if held:
+        yield from _compare_groups(_joined(held))
+
+
+def _joined(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
+    """One batch of all rows; with 64-bit offsets there is no size at which Arrow makes several of it."""
+    table = pa.Table.from_batches(batches)
+    at = table.schema.get_field_index("context")
+    (one,) = table.set_column(at, "context", table.column(at).cast(pa.large_binary())).combine_chunks().to_batches()
+    return one
 
 
 def _compare_groups(batch):
@@ -247,6 +259,21 @@ def squeezed(texts: DataFrame) -> DataFrame:
 
 def repeated_windows(texts: DataFrame) -> DataFrame:
     """(k1, k2, found) of the texts (k1, k2, text) with something repeated; found: first and last window starts."""
+    marked = marked_segments(texts)
+    compared = C.materialize(mixed_contexts(texts, marked).repartition("bucket", "block").sortWithinPartitions("bucket", "block")
+                             .mapInArrow(_compare, "k1 bigint, k2 bigint, lo bigint, hi bigint, name bigint, open boolean"), "compared")
+    across = compared.filter("name is not null")
+    again = across.groupBy("name").agg(F.count("*").alias("n")).filter("n > 1").select("name")
+    whole = marked.filter("n > 1").select(*KEY, F.expr("shiftright(place, 24)").alias("lo"),
+                                          F.expr("shiftright(place, 24) + (shiftright(place, 12) & 4095)").alias("hi"))
+    found = (whole.unionByName(compared.filter("name is null").select(*KEY, "lo", "hi"))
+             .unionByName(across.filter("open").join(again, "name", "left_semi").select(*KEY, "lo", "hi")))
+    C.discard(texts.sparkSession)
+    return found.groupBy(*KEY).agg(F.collect_set(F.struct("lo", "hi")).alias("found"))
+
+
+def marked_segments(texts: DataFrame) -> DataFrame:
+    """Rounds 1 and 2: segments that share a bucket, with ``n`` (rows of the segment), ``one`` (a k1 that has it) and ``kinds`` (of the bucket)."""
     spark = texts.sparkSession
     every = C.materialize(texts.mapInArrow(_segments, "k1 bigint, k2 bigint, place bigint, bucket bigint, segment bigint"), "segments")
     # Round 1: buckets by the name for Q bytes; what is alone in its bucket is settled.
@@ -260,23 +287,22 @@ def repeated_windows(texts: DataFrame) -> DataFrame:
     state = C.materialize(by_segment.join(by_bucket, "bucket").select("bucket", "segment", "n", "one", "kinds"), "state")
     marked = C.materialize(parts.join(state, ["bucket", "segment"]), "marked")
     C.discard(spark, parts, by_segment, by_bucket, state)
-    # Round 3: windows of mixed buckets by their names for LENGTH bytes; of a repeated segment one text speaks for all.
+    return marked
+
+
+def mixed_contexts(texts: DataFrame, marked: DataFrame) -> DataFrame:
+    """Input of round 3, the windows of mixed buckets: of a repeated segment one place of one text speaks for all.
+
+    So a group of (bucket, block) has about ``GROUP`` rows, however often a text or a passage in it is repeated.
+    """
     blocks = F.ceil(F.col("kinds") / GROUP).cast("int")
     mixed = (marked.filter("kinds > 1 and (n = 1 or k1 = one)")
+             .groupBy("bucket", "segment", "n", "kinds", *KEY).agg(F.min("place").alias("place"))
              .groupBy(*KEY).agg(F.collect_set(F.struct("place", "bucket", F.pmod("segment", blocks).cast("int").alias("block"),
                                                        blocks.alias("blocks"), (F.col("n") > 1).alias("whole"))).alias("mixed")))
-    contexts = (squeezed(texts).join(mixed, KEY)
-                .mapInArrow(_contexts, "k1 bigint, k2 bigint, place bigint, bucket bigint, block int, blocks int, whole boolean, context binary"))
-    compared = C.materialize(contexts.repartition("bucket", "block").sortWithinPartitions("bucket", "block")
-                             .mapInArrow(_compare, "k1 bigint, k2 bigint, lo bigint, hi bigint, name bigint, open boolean"), "compared")
-    across = compared.filter("name is not null")
-    again = across.groupBy("name").agg(F.count("*").alias("n")).filter("n > 1").select("name")
-    whole = marked.filter("n > 1").select(*KEY, F.expr("shiftright(place, 24)").alias("lo"),
-                                          F.expr("shiftright(place, 24) + (shiftright(place, 12) & 4095)").alias("hi"))
-    found = (whole.unionByName(compared.filter("name is null").select(*KEY, "lo", "hi"))
-             .unionByName(across.filter("open").join(again, "name", "left_semi").select(*KEY, "lo", "hi")))
-    C.discard(spark)
-    return found.groupBy(*KEY).agg(F.collect_set(F.struct("lo", "hi")).alias("found"))
+    # Copies of a text have one key: one row of them is enough (the aggregation starts on the map side).
+    return (squeezed(texts).dropDuplicates(KEY).join(mixed, KEY)
+            .mapInArrow(_contexts, "k1 bigint, k2 bigint, place bigint, bucket bigint, block int, blocks int, whole boolean, context binary"))
 
 
 def merged(lo: np.ndarray, hi: np.ndarray) -> np.ndarray:

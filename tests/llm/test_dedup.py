@@ -69,6 +69,35 @@ def test_suffix_dedup_large_buckets_are_compared_in_blocks(spark, texts, monkeyp
     assert {r["doc_id"]: (r["n_removed"], r["n_spans"]) for r in got} == {i: (sum(b - a for a, b in x[1]), len(x[1])) for i, x in enumerate(expected)}
 
 
+def test_one_place_speaks_for_a_repeated_segment(spark):
+    """Copies of a text and periods inside one do not make the groups of round 3 larger."""
+    rng = random.Random(3)
+    body = prose(rng, 300)
+    many = [body] * 40 + [body[:700] + f" x{k} " + body[700:] for k in range(5)] + ["ha " * 3000, "ha " * 500 + "hm " + "ha " * 500]
+    texts = spark.createDataFrame([(t,) for t in many], "text string").select(*suffix_dedup.text_key(), "text")
+    contexts = suffix_dedup.mixed_contexts(texts, suffix_dedup.marked_segments(texts)).collect()
+    assert contexts and len({(r["bucket"], bytes(r["context"])) for r in contexts}) == len(contexts)
+    got = suffix_dedup.cut_repeats(spark.createDataFrame(list(enumerate(many)), "doc_id bigint, text string")).collect()
+    expected = brute.repeated_runs(many)
+    assert {r["doc_id"]: (r["n_removed"], r["n_spans"]) for r in got} == {i: (sum(b - a for a, b in x[1]), len(x[1])) for i, x in enumerate(expected)}
+
+
+def test_groups_are_compared_whole_however_they_are_batched(monkeypatch):
+    rng = random.Random(4)
+    rows = []
+    for bucket in range(12):
+        passage = prose(rng, 60).encode()
+        rows += [(k, k, 100 << 12, bucket, 0, 1, False, (passage if k else prose(rng, 60).encode())[:300]) for k in range(1 + bucket % 4)]
+    names = ["k1", "k2", "place", "bucket", "block", "blocks", "whole", "context"]
+    table = pa.Table.from_pylist([dict(zip(names, r)) for r in rows])
+    read = lambda size: sorted(tuple(x.values()) for b in suffix_dedup._compare(iter(table.to_batches(size))) for x in b.to_pylist())
+    whole = read(10**6)
+    assert whole
+    monkeypatch.setattr(suffix_dedup.C, "SLICE_BYTES", 1)
+    for size in (1, 2, 3, 5, 100):
+        assert read(size) == whole
+
+
 def test_whole_characters(spark):
     cut = spark.createDataFrame([(bytearray("aé".encode()[:2]),), (bytearray("éa".encode()[1:]),), (bytearray("éa".encode()),)], "b binary")
     assert [r[0] for r in cut.select(suffix_dedup.whole_characters(F.col("b"))).collect()] == ["a", "a", "éa"]
