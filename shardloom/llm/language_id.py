@@ -12,8 +12,8 @@ Four kinds of evidence about a row's language are added as log probabilities:
 
 All but the profiles come from one grouped aggregation of the rows' text posteriors over every
 row; its table has a row per (host, suffix, declared). The profiles are fitted on a bounded,
-hash-chosen sample (``PROFILE_ROWS`` rows in expectation) of each of the ``MAX_LANGUAGES``
-most declared languages.
+hash-chosen sample (``PROFILE_ROWS`` rows in expectation) of each declared language; every
+language code that is declared has a profile (codes have two or three letters).
 
 Defined results: a row with neither text nor other evidence gets the smoothed prior of its host
 (of all rows, if the host is null); ``kept`` is false where ``und`` wins, where the text has no
@@ -37,7 +37,6 @@ BITS = 16
 TEXT_GRAMS = 60
 PARENT = 8.0
 MIN_POSTERIOR = 0.5
-MAX_LANGUAGES = 32
 PROFILE_ROWS = 1500
 #: Tables of hosts, suffixes or declared values up to this many rows are broadcast; larger ones are shuffled.
 BROADCAST_ROWS = 100_000
@@ -127,25 +126,24 @@ def _count_grams(batches):
                                                  names=["d", "bucket", "n"])
 
 
-def fit_profiles(evidence: DataFrame, rows: int = PROFILE_ROWS, most: int = MAX_LANGUAGES) -> Profiles:
+def fit_profiles(evidence: DataFrame, rows: int = PROFILE_ROWS) -> Profiles:
     """Trigram profiles from rows with a declared language; ``evidence`` has ``t``, ``declared`` and ``row_hash``."""
     known = evidence.filter(F.col("declared").isNotNull() & (F.length("t") > 0))
-    rates = known.groupBy("declared").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "declared").limit(most)
+    rates = known.groupBy("declared").agg(F.count("*").alias("n"))
     share = (F.pmod(F.col("row_hash"), F.lit(1 << 20)) / F.lit(float(1 << 20)))
-    sample = (known.join(F.broadcast(rates), "declared")  # at most `most` rows
+    sample = (known.join(F.broadcast(rates), "declared")  # a row per two- or three-letter code
               .filter(share < F.lit(float(rows)) / F.col("n")).select(F.col("declared").alias("d"), "t"))
     counts = (sample.mapInArrow(_count_grams, "d string, bucket bigint, n bigint")
               .groupBy("d", "bucket").agg(F.sum("n").alias("n"))
               .groupBy("d").agg(F.collect_list(F.struct("bucket", "n")).alias("grams"))  # at most 2**BITS entries
-              .orderBy("d").collect())
-    names = tuple(r["d"] for r in counts) + (UND,)
-    table = np.full((1 << BITS, len(names)), -BITS * np.log(2.0))
-    for k, r in enumerate(counts):
+              .select("d", F.col("grams.bucket").alias("bucket"), F.col("grams.n").alias("n")).toArrow().sort_by("d"))
+    names = tuple(counts["d"].to_pylist()) + (UND,)
+    table = np.full((1 << BITS, len(names)), -BITS * np.log(2.0), np.float32, order="F")
+    for k in range(len(names) - 1):
         n = np.zeros(1 << BITS)
-        grams = np.array([(g["bucket"], g["n"]) for g in r["grams"]], np.int64)
-        n[grams[:, 0]] = grams[:, 1]
+        n[counts["bucket"][k].values.to_numpy()] = counts["n"][k].values.to_numpy()
         table[:, k] = np.log((n + 0.25) / (n.sum() + 0.25 * len(n)))
-    return Profiles(names, np.asfortranarray(table.astype(np.float32)))
+    return Profiles(names, table)
 
 
 def evidence_of(df: DataFrame, text: Column, declared: Column, host: Column, suffix: Column, carry: list[str] | None = None) -> DataFrame:
@@ -192,7 +190,7 @@ def _lists(rows: np.ndarray) -> pa.Array:
 
 def _scores_udf(spark, profiles: Profiles):
     """Text scores of each language and the posterior they give alone."""
-    shared = spark.sparkContext.broadcast(profiles)  # 2**BITS x (MAX_LANGUAGES + 1) weights at most
+    shared = spark.sparkContext.broadcast(profiles)  # 2**BITS weights per declared language and for `und`
 
     @F.arrow_udf("struct<s:array<double>,p:array<double>>")
     def scores(texts: pa.Array) -> pa.Array:

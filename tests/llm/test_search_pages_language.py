@@ -98,6 +98,16 @@ def test_language_evidence_is_fused(spark):
     assert {r["language"] for r in L.identify_documents(docs.withColumn("lang", F.lit(None).cast("string"))).collect()} == {"und"}
 
 
+def test_every_declared_language_has_a_profile(spark):
+    rng = random.Random(6)
+    codes = [a + b for a in "abcdefgh" for b in "vwxyz"]
+    words = {c: ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6)) for _ in range(12)] for c in codes}
+    rows = [(i, " ".join(rng.choices(words[c], k=40)), c, f"{c}.example") for i, c in enumerate(codes * 6)]
+    got = L.identify_documents(spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")).collect()
+    assert len(codes) == 40 and len(got) == len(rows)
+    assert all(r["language"] == r["text_language"] == r["lang"] and r["kept"] for r in got)
+
+
 def test_address_and_markup_evidence(spark):
     pages = [("https://user@www.News.example.de:8080/fr/x?q", "<html class=a lang='de-AT'>"), ("http://a.com", "<HTML LANG=en>"), (None, None), ("nonsense", "<p lang=fr>")]
     frame = spark.createDataFrame(pages, "url string, html string")
