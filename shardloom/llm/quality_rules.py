@@ -172,8 +172,11 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, target: str, max_rows: i
     one = (labels.filter(F.col(key).isNotNull() & F.col(target).isNotNull())
            .groupBy(F.col(key).alias("_key")).agg(F.min(F.col(target)).alias("_y")))
     chosen = one.orderBy(F.xxhash64("_key"), "_key").limit(max_rows)
-    return (docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
+    rows = (docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
             .join(F.broadcast(chosen), "_key"))  # at most max_rows rows
+    # A key may be repeated in any number of rows: the text with the smallest hash stands for it.
+    low = F.min(F.struct(F.xxhash64("_text").alias("h"), F.col("_text").alias("t"))).alias("low")
+    return rows.groupBy("_key", "_y").agg(low).select("_key", F.col("low.t").alias("_text"), "_y")
 
 
 def _featurise(batches):

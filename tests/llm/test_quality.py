@@ -90,3 +90,12 @@ def test_random_features_approximate_the_kernel():
     z = k.features(x)[:, :-1]
     exact = np.exp(-((x[:, None] - x[None]) ** 2).sum(-1) / (2 * R.WIDTH**2))
     assert np.abs(z @ z.T - exact).max() < 0.03
+
+
+def test_a_repeated_key_is_one_row_of_the_fit(spark):
+    docs = [(1, f"text {i}") for i in range(50)] + [(2, None), (2, None), (3, "c"), (None, "d")]
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 1), (4, 0)], "doc_id bigint, quality int")
+    got = Q.labelled_sample(spark.createDataFrame(docs, "doc_id bigint, text string"), labels, "quality", 100).collect()
+    assert sorted((r["_key"], r["_y"]) for r in got) == [(1, 1), (2, 0), (3, 1)]
+    again = Q.labelled_sample(spark.createDataFrame(docs[::-1], "doc_id bigint, text string"), labels, "quality", 100).collect()
+    assert sorted(map(str, again)) == sorted(map(str, got))
