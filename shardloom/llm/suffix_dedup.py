@@ -3,7 +3,8 @@
 Every suffix of every text falls into a bucket named by its first bytes. Buckets are refined by
 the names of the buckets at later offsets: the name for ``2q`` bytes is the pair of the names for
 ``q`` bytes at ``i`` and at ``i + q``, so each round reuses the names the round before gave
-(``bucket_names``). Names are 64-bit fingerprints of the prefix, not dense ranks: equal prefixes
+(``bucket_names``, from 8 to ``Q`` bytes). Longer names, of whole segments and of ``LENGTH`` bytes, are
+rolling fingerprints of the bytes and not refined from bucket names. Names are 64-bit fingerprints of the prefix, not dense ranks: equal prefixes
 get equal names in any task, without an exchange between the rounds. Names for ``LENGTH`` bytes
 that occur once settle their suffix; names that occur again mark ``LENGTH`` bytes for removal.
 
