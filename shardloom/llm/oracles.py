@@ -6,6 +6,22 @@ brute-force versions in tests/llm.
 
 ORACLE: dict[str, str] = {}
 
+
+def crc32_sql(text: str) -> str:
+    """Unsigned CRC-32 of the UTF-8 bytes of a VARCHAR expression, four bits at a time, low half of a byte first.
+
+    The table's entries follow from the reflected polynomial 0xEDB88320.
+    """
+    table = []
+    for x in range(16):
+        for _ in range(4):
+            x = x >> 1 ^ (0xEDB88320 if x & 1 else 0)
+        table.append(x)
+    step = lambda c: f"xor({c} >> 4, list_extract({table}::BIGINT[], CAST(({c}) & 15 AS INTEGER) + 1))"
+    nibbles = (f"list_transform(range(0, 2 * CAST(strlen({text}) AS BIGINT)), "
+               f"lambda i: CAST(('0x' || substr(hex(encode({text})), CAST(i + 1 - 2 * (i % 2) + 1 AS BIGINT), 1)) AS BIGINT))")
+    return f"xor(list_reduce({nibbles}, lambda c, b: {step('xor(c, b)')}, 4294967295::BIGINT), 4294967295::BIGINT)"
+
 # Texts as hex, so that substr counts bytes; a window is 400 hex digits.
 ORACLE["op2_suffix_dedup"] = """
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
@@ -47,3 +63,23 @@ reach AS (SELECT r AS a, r AS b FROM d UNION SELECT reach.a, e.b FROM reach JOIN
 SELECT x.doc_id, min(y.doc_id) AS class_id, count(*) AS class_size
 FROM reach JOIN d x ON x.r = reach.a JOIN d y ON y.r = reach.b GROUP BY x.r, x.doc_id
 """
+
+# Equal words at distance q side by side are one stretch; of the periods of one stretch the smallest is its period.
+ORACLE["op12_periodic_runs"] = f"""
+WITH t AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w,
+                  {crc32_sql("CAST(doc_id AS VARCHAR)")} AS h FROM documents),
+a AS (SELECT *, len(w) AS n, h // 10 AS g, CASE WHEN h % 10 = 0 AND len(w) > 0 THEN (h // 10) % len(w) END AS a FROM t),
+p AS (SELECT *, 1 + (n - a) // (3 + g % 8) AS p FROM a),
+word AS (SELECT r, i, CASE WHEN i >= a THEN w[a + (i - a) % p + 1] ELSE w[i + 1] END AS x FROM (SELECT *, unnest(range(0, n)) AS i FROM p)),
+pair AS (SELECT x.r, y.i - x.i AS q, x.i FROM word x JOIN word y ON x.r = y.r AND x.x = y.x JOIN p ON p.r = x.r
+         WHERE y.i > x.i AND 4 * (y.i - x.i) <= n),
+isle AS (SELECT r, q, min(i) AS s, q + count(*) AS l FROM (SELECT *, i - row_number() OVER (PARTITION BY r, q ORDER BY i) AS k FROM pair) GROUP BY r, q, k),
+run AS (SELECT r, s, l, min(q) AS q FROM isle WHERE l >= greatest(6, 4 * q) GROUP BY r, s, l),
+cut AS (SELECT DISTINCT r, unnest(range(s + q, s + l)) AS i FROM run),
+kept AS (SELECT r, string_agg(x, ' ' ORDER BY i) AS c FROM word ANTI JOIN cut USING (r, i) GROUP BY r),
+per AS (SELECT r, count(*) AS n_runs, string_agg(s || ',' || l || ',' || q || chr(10), '' ORDER BY s, q) AS lines,
+               arg_min(struct_pack(s := s, l := l, q := q), struct_pack(l := -l, s := s, q := q)) AS b FROM run GROUP BY r)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, CAST(b.s AS BIGINT) AS start, CAST(b.l AS BIGINT) AS length, CAST(b.q AS BIGINT) AS period,
+       CAST(b.l * 1000 // b.q AS BIGINT) AS exponent_milli, sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(c, '')) AS collapsed_sha256
+FROM p LEFT JOIN per USING (r) LEFT JOIN kept USING (r)
+"""

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shardloom.llm import common as C
-from shardloom.llm import (bpe_backtrack, harmonic_pack, html_extract, language_id, near_dup, quality_rules, rans, rff_quality,
-                           suffix_dedup, topk)
+from shardloom.llm import (bpe_backtrack, harmonic_pack, html_extract, language_id, near_dup, periodic_runs, quality_rules, rans,
+                           rff_quality, suffix_dedup, topk)
 from shardloom.llm.token_cache import tokenizer_file
 
 WORD_VOCAB, BYTE_VOCAB = "word_bpe_49k.json", "byte_bpe_50k.json"
@@ -76,6 +76,10 @@ def op10_near_dup(spark, sf_dir):
     return near_dup.near_duplicates(documents(spark, sf_dir).select("doc_id", "text"))
 
 
+def op12_periodic_runs(spark, sf_dir):
+    return periodic_runs.run_digests(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -87,4 +91,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_rff_quality": op8_rff_quality,
     "op9_html_extract": op9_html_extract,
     "op10_near_dup": op10_near_dup,
+    "op12_periodic_runs": op12_periodic_runs,
 }
