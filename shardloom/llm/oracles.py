@@ -64,6 +64,27 @@ SELECT x.doc_id, min(y.doc_id) AS class_id, count(*) AS class_size
 FROM reach JOIN d x ON x.r = reach.a JOIN d y ON y.r = reach.b GROUP BY x.r, x.doc_id
 """
 
+# Near words have a word without one letter in common: the other word itself, or the same place left out of both.
+ORACLE["op11_spelling"] = f"""
+WITH RECURSIVE occ AS (SELECT k, translate(r, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS w FROM
+        (SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS k, unnest(regexp_extract_all(text, '[A-Za-z\\x{{00C0}}-\\x{{00FF}}]+')) AS r FROM documents)
+        WHERE length(r) >= 7),
+seen AS (SELECT k || ':' || w AS t, w, count(*) AS n FROM occ GROUP BY k, w),
+slip AS (SELECT w, n, {crc32_sql("t")} AS h FROM seen),
+word AS (SELECT v AS w, CAST(sum(n) AS BIGINT) AS n FROM
+         (SELECT CASE WHEN h % 31 = 0 THEN substr(w, 1, CAST(h % length(w) AS BIGINT)) || substr(w, CAST(h % length(w) AS BIGINT) + 2) ELSE w END AS v, n FROM slip)
+         WHERE length(v) >= 7 GROUP BY v HAVING sum(n) >= 2),
+gap AS (SELECT w, i, substr(w, 1, i) || substr(w, i + 2) AS x FROM (SELECT w, unnest(range(0, length(w))) AS i FROM word)),
+one AS (SELECT DISTINCT gap.w AS a, word.w AS b FROM gap JOIN word ON gap.x = word.w),
+near AS (SELECT a, b FROM one UNION ALL SELECT b, a FROM one UNION ALL SELECT x.w, y.w FROM gap x JOIN gap y ON x.x = y.x AND x.i = y.i AND x.w <> y.w),
+best AS (SELECT a, count(*) AS n_near, arg_min(b, struct_pack(n := -n, b := b)) AS f, max(n) AS fn FROM near JOIN word ON b = w GROUP BY a),
+form AS (SELECT w, n, coalesce(n_near, 0) AS n_near, CASE WHEN fn >= 10 * n THEN f END AS form, CASE WHEN fn >= 10 * n THEN fn END AS form_n
+         FROM word LEFT JOIN best ON a = w),
+walk AS (SELECT w, w AS t FROM form UNION ALL SELECT walk.w, form.form FROM walk JOIN form ON form.w = walk.t WHERE form.form IS NOT NULL)
+SELECT form.w AS word, form, walk.t AS root, n, n_near, form_n
+FROM form JOIN walk ON walk.w = form.w JOIN (SELECT w AS z FROM form WHERE form IS NULL) ON z = walk.t
+"""
+
 # Equal words at distance q side by side are one stretch; of the periods of one stretch the smallest is its period.
 ORACLE["op12_periodic_runs"] = f"""
 WITH t AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w,

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from shardloom.llm import common as C
 from shardloom.llm import (bpe_backtrack, harmonic_pack, html_extract, language_id, near_dup, periodic_runs, quality_rules, rans,
-                           rff_quality, suffix_dedup, topk)
+                           rff_quality, spelling, suffix_dedup, topk)
 from shardloom.llm.token_cache import tokenizer_file
 
 WORD_VOCAB, BYTE_VOCAB = "word_bpe_49k.json", "byte_bpe_50k.json"
@@ -76,6 +76,11 @@ def op10_near_dup(spark, sf_dir):
     return near_dup.near_duplicates(documents(spark, sf_dir).select("doc_id", "text"))
 
 
+def op11_spelling(spark, sf_dir):
+    runs = spelling.letter_runs(documents(spark, sf_dir), least=spelling.LEAST_LENGTH)
+    return spelling.spelling_forms(spelling.vocabulary(spelling.with_slips(runs)))
+
+
 def op12_periodic_runs(spark, sf_dir):
     return periodic_runs.run_digests(documents(spark, sf_dir))
 
@@ -91,5 +96,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_rff_quality": op8_rff_quality,
     "op9_html_extract": op9_html_extract,
     "op10_near_dup": op10_near_dup,
+    "op11_spelling": op11_spelling,
     "op12_periodic_runs": op12_periodic_runs,
 }
