@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shardloom.llm import common as C
-from shardloom.llm import (bpe_backtrack, harmonic_pack, html_extract, language_id, near_dup, periodic_runs, quality_rules, rans,
-                           rff_quality, spelling, suffix_dedup, topk)
+from shardloom.llm import (bpe_backtrack, harmonic_pack, html_extract, language_id, near_dup, periodic_runs, pu_toxicity, quality_rules,
+                           rans, rff_quality, spelling, suffix_dedup, topk)
 from shardloom.llm.token_cache import tokenizer_file
 
 WORD_VOCAB, BYTE_VOCAB = "word_bpe_49k.json", "byte_bpe_50k.json"
@@ -85,6 +85,10 @@ def op12_periodic_runs(spark, sf_dir):
     return periodic_runs.run_digests(documents(spark, sf_dir))
 
 
+def op13_toxicity(spark, sf_dir):
+    return pu_toxicity.toxicity(documents(spark, sf_dir).select("doc_id", "text"), C.read_table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -98,4 +102,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_near_dup": op10_near_dup,
     "op11_spelling": op11_spelling,
     "op12_periodic_runs": op12_periodic_runs,
+    "op13_toxicity": op13_toxicity,
 }
