@@ -16,7 +16,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
-BPE_VOCAB = int(os.environ.get("BENCH_BPE_VOCAB", "320"))
+BPE_SIZES = [int(n) for n in os.environ.get("BENCH_BPE_VOCAB", "1000,4000,32000").split(",")]      # the last one is the timed item
 
 HEADLINE = [
     "shard_documents", "clean_yield", "dedup_global", "reject_reasons", "ingest_counts",
@@ -48,12 +48,17 @@ def main() -> None:
     for name in HEADLINE:
         run(name, lambda n=name: REGISTRY[n](spark, SF_DIR))
 
-    # Tokenizer path with a real (small) vocabulary: train, encode, pack.
+    # Tokenizer path at full size: train, encode, pack. Smaller vocabularies are timed beside the total.
     t0 = time.time()
     corpus = X.corpus(spark, SF_DIR)
     freq = materialize(B.pretoken_freq(corpus, "text"))
-    model = B.train_bpe(spark, freq, vocab_size=BPE_VOCAB)
-    times["bpe_train"] = round(time.time() - t0, 3)
+    counted = time.time() - t0
+    bpe = {}
+    for size in BPE_SIZES:
+        t0 = time.time()
+        model = B.train_bpe(spark, freq, vocab_size=size)
+        bpe[str(size)] = {"sec": round(time.time() - t0, 3), "merges": len(model.merges), "rounds": model.rounds}
+    times["bpe_train"] = round(counted + bpe[str(BPE_SIZES[-1])]["sec"], 3)
     key = ["shard_id", "doc_id", "line_idx"]
     t0 = time.time()
     tok = materialize(TZ.tokenize_lines(spark, corpus, model, key, "text"))
@@ -74,7 +79,7 @@ def main() -> None:
         "metric": "pipeline_total_sec", "value": total, "unit": "sec", "queries": times,
         "sf": float(sf.group(1)) if sf else SF_DIR,
         "docs": n_docs, "docs_per_sec_clean": round(n_docs / max(times["clean_yield"], 1e-9), 1),
-        "bpe_vocab": BPE_VOCAB, "bpe_merges": len(model.merges), "bpe_rounds": model.rounds,
+        "bpe_vocab": BPE_SIZES[-1], "bpe_merges": len(model.merges), "bpe_rounds": model.rounds, "bpe_by_size": bpe,
         "merges_per_sec": round(len(model.merges) / max(times["bpe_train"], 1e-9), 2),
         "tokens": int(n_tokens or 0),
         "tokens_per_sec_tokenize": round((n_tokens or 0) / max(times["tokenize_documents"], 1e-9), 1),

@@ -496,9 +496,32 @@ ORACLE["tokenizer_stats_short_merges"] = W(SHORT, """
 SELECT count(*) AS documents, round(avg(len(ids)), 6) AS avg_tokens, CAST(min(len(ids)) AS INTEGER) AS min_tokens, CAST(max(len(ids)) AS INTEGER) AS max_tokens,
   CAST(sum(len(ids)) AS BIGINT) AS total_tokens, CAST(0 AS BIGINT) AS unk_count, CAST(sum(length(text)) AS BIGINT) AS total_chars,
   round(sum(length(text)) / sum(len(ids)), 6) AS chars_per_token FROM lt""")
-ORACLE["tokenizer_artifacts"] = W(CORPUS, """
-SELECT id, printf('%02X', byte) AS token_hex, false AS special FROM alpha
-UNION ALL SELECT * FROM (VALUES (0, '3C7061643E', true), (1, '3C626F733E', true), (2, '3C656F733E', true), (3, '3C756E6B3E', true)) t(id, token_hex, special)""")
+# A word is a string with one private-use letter (U+E000 + id) per symbol, so that a merge is a replace. One level of the
+# recursion is one merge; every level keeps its words, the last columns say which pair was merged to get them.
+ORACLE["tokenizer_artifacts"] = W(CORPUS, """, spelling AS (
+  SELECT pretoken, freq, i, CAST(('0x' || substr(hex(encode(pretoken)), CAST(2 * i + 1 AS BIGINT), 2)) AS INTEGER) AS byte
+  FROM (SELECT pretoken, freq, unnest(range(0, octet_length(encode(pretoken)))) AS i FROM freq)),
+spelt AS (SELECT string_agg(chr(57344 + CAST(id AS INTEGER)), '' ORDER BY i) AS w, any_value(freq) AS freq FROM spelling JOIN alpha USING (byte) GROUP BY pretoken),
+learn AS (
+  SELECT 0 AS step, w, freq, '' AS l, '' AS r FROM spelt WHERE length(w) > 1
+  UNION ALL
+  SELECT learn.step + 1, replace(learn.w, best.l || best.r, chr(57344 + CAST((SELECT count(*) FROM alpha) + 4 + learn.step AS INTEGER))), learn.freq, best.l, best.r
+  FROM learn, (SELECT substr(w, i, 1) AS l, substr(w, i + 1, 1) AS r, sum(freq) AS c
+               FROM (SELECT w, freq, unnest(range(1, length(w))) AS i FROM learn)
+               GROUP BY 1, 2 HAVING sum(freq) >= 2 ORDER BY c DESC, l, r LIMIT 1) best
+  WHERE learn.step < 200 - 4 - (SELECT count(*) FROM alpha)),
+merge AS (SELECT DISTINCT step - 1 AS rank, unicode(l) - 57344 AS l, unicode(r) - 57344 AS r, (SELECT count(*) FROM alpha) + 3 + step AS id FROM learn WHERE step > 0),
+first AS (SELECT CAST(id AS BIGINT) AS id, printf('%02X', byte) AS hex FROM alpha),
+built AS (
+  SELECT -1 AS rank, map_from_entries(list((id, hex))) AS m FROM first
+  UNION ALL
+  SELECT merge.rank, map_concat(m, map_from_entries([(CAST(merge.id AS BIGINT), m[merge.l] || m[merge.r])])) FROM built JOIN merge ON merge.rank = built.rank + 1),
+vocab AS (SELECT unnest(map_entries(m)) AS e FROM (SELECT m FROM built ORDER BY rank DESC LIMIT 1))
+SELECT 'vocab' AS part, e.key AS n, e.value || ',false' AS value FROM vocab
+UNION ALL SELECT 'vocab', * FROM (VALUES (0, '3C7061643E,true'), (1, '3C626F733E,true'), (2, '3C656F733E,true'), (3, '3C756E6B3E,true')) t
+UNION ALL SELECT 'merge', rank, l || ',' || r || ',' || id FROM merge
+UNION ALL SELECT 'config', 0, '{"vocab_size": ' || (SELECT count(*) + 4 FROM vocab)
+  || ', "model": "BPE", "pre_tokenizer": "ByteLevel", "normalizer": "NFKC", "min_frequency": 2, "special_tokens": ["<pad>", "<bos>", "<eos>", "<unk>"]}'""").replace("WITH ", "WITH RECURSIVE ", 1)
 ORACLE["nfkc_lines"] = W(CORPUS, "SELECT shard_id, doc_id, line_idx, md5(text) AS digest FROM corpus")
 
 # ----------------------------------------------------------------------------- formats, ledger documents, event sinks

@@ -1,24 +1,26 @@
 """Byte-level BPE vocabulary learning and encoding as Spark jobs.
 
 The corpus is reduced once to the pre-token frequency table (T1, vocabulary-bounded,
-map-side combined). Training works on that table of distinct words:
-adjacent symbol pairs are counted once, weighted by word frequency; every round then counts the
-words that hold a merged pair, before and after the merge, and adds the change to the pair table,
-brings only the top candidates to the driver (``orderBy().limit()``, a distributed
-top-k) and rewrites the words with native string replaces (one code point per symbol).
-The merge list lives on the driver; it is bounded by the vocabulary size.
+map-side combined). Training works on that table of distinct words, thousands of merges a round:
+
+1. Spark counts the adjacent symbol pairs of all words, weighted by word frequency, and the
+   ``WINDOW`` best pairs (count desc, left id asc, right id asc) become the round's hot pairs.
+2. Spark cuts every word into its hot segments, the longest stretches in which each adjacent
+   pair is hot, and adds up the frequencies of equal segments.
+3. The driver merges within these segments, best pair first, until the best pair ranks
+   after the last hot one. The segments are a bounded table (``SEGMENT_SYMBOLS``); if there are more, the
+   round takes fewer hot pairs.
+4. Spark applies the round's merges to all words.
+
+A round gives exactly the merges that one merge at a time over all words gives. Counts of
+old pairs only fall, and a pair (y, x) with the new symbol x = ab stands where (y, a) stood: it is no more
+frequent and its ids are larger, so it ranks after (y, a); likewise on the right. By induction every
+pair that ranks before the last hot one at any time stands where hot pairs stood, so all its occurrences are inside
+hot segments and the driver's count of it is the count over all words. This holds for ties and for pairs
+(a, a). The exception is a merge whose text is an older token's: it makes more of an old symbol,
+so it ends its round.
 
-Selection order: count desc, left id asc, right id asc. Several merges are accepted in
-one round when that provably gives the same result as one merge per round:
-
-* accepted pairs are a prefix of the ranking and share no symbol, so none changes the
-  count of another;
-* a pair created by an accepted merge contains occurrences of a pair that shares a
-  symbol with it, which is not accepted and so ranks at or below the first rejected
-  row; the prefix is therefore trimmed until the first rejected row's count is strictly
-  below the last accepted count;
-* a self pair (a, a) can create (aa, a) bounded only by itself, and a merge whose token
-  text already exists reuses an old id: both end the batch (the latter must be alone).
+The merge list lives on the driver; it is bounded by the vocabulary size.
 """
 
 from __future__ import annotations
@@ -27,25 +29,34 @@ import heapq
 import json
 from dataclasses import dataclass, field
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as Ty
 
 from ..functions import pretok as PT
 from ..functions.tokens import SPECIAL_TOKENS, UNK_ID
-from ..session import materialize
+from ..session import drop_tables, materialize
 
 PAIR_BASE = 1 << 20           # pair key = left * PAIR_BASE + right (ids < 2^20)
 VOCAB_SIZE = 32_000
 MIN_FREQUENCY = 2
-CANDIDATES = 256              # candidate pairs fetched per round (a window, not a cap:
-                              # the next round fetches again from the updated counts)
-CHECKPOINT_EVERY = 8
+WINDOW = 16_384               # hot pairs of a round (a window, not a cap: the next round
+                              # takes the best of the updated counts)
+SEGMENT_SYMBOLS = 1_500_000   # symbols of distinct hot segments that a round brings to the driver
 
 
 # ----------------------------------------------------------------------------- T1 / T2
 
+def training_corpus(lines: DataFrame) -> DataFrame:
+    """The lines a vocabulary is learned from; an empty corpus is an error, found before anything is counted."""
+    if lines.isEmpty():
+        raise ValueError("the corpus is empty: there is nothing to learn a vocabulary from")
+    return lines
+
+
 def pretoken_freq(lines: DataFrame, text_col: str = "text", with_newline: bool = True,
                   normalize: bool = True) -> DataFrame:
     """(pretoken, freq) over the corpus. Each line is one training line; with
@@ -78,62 +89,153 @@ def initial_words(freq: DataFrame, byte_ids: dict[int, int]) -> DataFrame:
     return freq.select(syms.alias("symbols"), F.col("freq").cast("long").alias("freq"))
 
 
-# Training state: a word is a string with one code point per symbol, U+10000 + id. A merge
-# is then a native left-to-right, non-overlapping ``replace`` of a two-code-point string
-# (UTF-8 is self-synchronising, so matches fall on symbol boundaries), and pairs are the
-# overlapping two-code-point windows of the string.
-SYMBOL_BASE = 0x10000
-_PAIR_WINDOWS = "(?=(..))"
+# Training state: a word is a binary of 32-bit symbol ids, so that tasks read a batch of words as
+# one flat numpy array with offsets.
 
+_SYMBOL = np.dtype("<i4")
 
-def sym(i: int) -> str:
-    return chr(SYMBOL_BASE + i)
 
+def _flat_words(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Symbols of all words of a binary column, and the n + 1 offsets of the words."""
+    if not len(column):
+        return np.zeros(0, _SYMBOL), np.zeros(1, np.int64)
+    at = np.frombuffer(column.buffers()[1], np.int32, len(column) + 1, column.offset * 4).astype(np.int64)
+    body = column.buffers()[2]
+    flat = np.frombuffer(body, np.uint8)[at[0]:at[-1]].view(_SYMBOL) if body is not None else np.zeros(0, _SYMBOL)
+    return flat, (at - at[0]) // _SYMBOL.itemsize
 
-def symbol_words(freq: DataFrame, byte_ids: dict[int, int]) -> DataFrame:
-    """(w STRING, freq) with one code point per symbol; built JVM-side through UTF-32 (big-endian)."""
-    m = _map_literal(byte_ids)
-    codes = F.transform(PT.utf8_bytes(F.col("pretoken")),
-                        lambda b: F.lpad(F.hex(F.coalesce(m[b], F.lit(UNK_ID)) + SYMBOL_BASE), 8, "0"))
-    w = F.decode(F.unhex(F.array_join(codes, "")), "UTF-32")
-    return freq.select(w.alias("w"), F.col("freq").cast("long").alias("freq"))
 
+def _binary_words(flat: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    at = pa.py_buffer((offsets * _SYMBOL.itemsize).astype(np.int32))
+    return pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, at, pa.py_buffer(np.ascontiguousarray(flat, _SYMBOL))])
 
-def _symbol_pairs(words: DataFrame, weight: F.Column) -> DataFrame:
-    """(pair STRING of two symbols, weight) of every adjacent pair, overlaps counted."""
-    pairs = words.select(F.explode(F.regexp_extract_all("w", F.lit(_PAIR_WINDOWS), 1)).alias("pair"), weight.alias("count"))
-    # Java regex steps one UTF-16 unit after an empty match, so every other window starts
-    # inside a surrogate pair and comes back as '?'+symbol; real pairs start at U+10000.
-    return pairs.filter(F.col("pair") >= F.lit(sym(0)))
 
+def _pair_keys(flat: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pair key of every symbol and its follower, -1 at the end of a word; the word of every symbol."""
+    word = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+    keys = np.full(len(flat), -1, np.int64)
+    inside = word[1:] == word[:-1]
+    keys[:-1][inside] = (flat[:-1].astype(np.int64) * PAIR_BASE + flat[1:])[inside]
+    return keys, word
 
-def symbol_pair_counts(words: DataFrame) -> DataFrame:
-    """T3 on the string state: (pair STRING of two symbols, count)."""
-    return _symbol_pairs(words, F.col("freq")).groupBy("pair").agg(F.sum("count").alias("count"))
 
+def _find(keys: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """Place of each key in the ascending ``table``, -1 where it is not there."""
+    if not len(table):
+        return np.full(len(keys), -1, np.int64)
+    at = np.minimum(np.searchsorted(table, keys), len(table) - 1)
+    return np.where(table[at] == keys, at, -1)
 
-def updated_pair_counts(counts: DataFrame, words: DataFrame, batch: list[tuple[int, int, int]]) -> DataFrame:
-    """Pair counts after a batch of merges: only the words that hold a merged pair are counted, before and after."""
-    holds = F.lit(False)
-    for left, right, _ in batch:
-        holds = holds | F.contains(F.col("w"), F.lit(sym(left) + sym(right)))
-    touched = words.filter(holds)
-    change = _symbol_pairs(touched, -F.col("freq")).unionByName(_symbol_pairs(_apply_symbol_merges(touched, batch), F.col("freq")))
-    return (counts.unionByName(change.groupBy("pair").agg(F.sum("count").alias("count")))
-            .groupBy("pair").agg(F.sum("count").alias("count")).filter("count > 0"))
 
+def symbol_words(freq: DataFrame, byte_ids: dict[int, int]) -> DataFrame:
+    """(w BINARY, freq) of the distinct words of two symbols or more (bytes unseen in training -> <unk>)."""
+    ids = np.full(256, UNK_ID, _SYMBOL)
+    ids[list(byte_ids)] = list(byte_ids.values())
 
-def symbol_top_pairs(pc: DataFrame, k: int, min_frequency: int = MIN_FREQUENCY) -> DataFrame:
-    """Ranking (count desc, left asc, right asc): symbol order equals id order."""
-    return pc.filter(F.col("count") >= min_frequency).orderBy(F.col("count").desc(), F.col("pair").asc()).limit(k)
+    def run(batches):
+        for batch in batches:
+            text = batch.column("pretoken")
+            at = np.frombuffer(text.buffers()[1], np.int32, len(text) + 1, text.offset * 4).astype(np.int64) if len(text) else np.zeros(1, np.int64)
+            body = np.frombuffer(text.buffers()[2], np.uint8)[at[0]:at[-1]] if at[-1] > at[0] else np.zeros(0, np.uint8)
+            words = _binary_words(ids[body], at - at[0])
+            yield pa.RecordBatch.from_arrays([words, batch.column("freq")], names=["w", "freq"])
 
+    rows = freq.select("pretoken", F.col("freq").cast("long").alias("freq")).filter(F.octet_length("pretoken") >= 2)
+    return rows.mapInArrow(run, "w binary, freq bigint")
 
-def _apply_symbol_merges(words: DataFrame, batch: list[tuple[int, int, int]]) -> DataFrame:
-    """Apply a batch (disjoint pairs, fresh outputs) as chained native replaces."""
-    w = F.col("w")
-    for left, right, new in batch:
-        w = F.replace(w, F.lit(sym(left) + sym(right)), F.lit(sym(new)))
-    return words.select(w.alias("w"), "freq").filter(F.length("w") >= 2)
+
+def symbol_pair_counts(words: DataFrame) -> DataFrame:
+    """T3 on the training state: (pair, count), added up by batch before they are shuffled."""
+    def run(batches):
+        for batch in batches:
+            keys, word = _pair_keys(*_flat_words(batch.column("w")))
+            there = keys >= 0
+            pairs, of = np.unique(keys[there], return_inverse=True)
+            weight = batch.column("freq").to_numpy()[word[there]]
+            count = np.zeros(len(pairs), np.int64)
+            np.add.at(count, of, weight)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs), pa.array(count)], names=["pair", "count"])
+
+    return words.mapInArrow(run, "pair bigint, count bigint").groupBy("pair").agg(F.sum("count").alias("count"))
+
+
+def hot_segments(words: DataFrame, hot: list[int]) -> DataFrame:
+    """(segment BINARY, freq): the longest stretches of words whose adjacent pairs are all in ``hot``."""
+    shared = words.sparkSession.sparkContext.broadcast(np.sort(np.array(hot, np.int64)))      # at most WINDOW pairs
+
+    def run(batches):
+        for batch in batches:
+            flat, offsets = _flat_words(batch.column("w"))
+            keys, word = _pair_keys(flat, offsets)
+            is_hot = np.append(_find(keys, shared.value) >= 0, False)
+            before = np.append(False, is_hot[:-1])
+            first, last = np.flatnonzero(is_hot & ~before), np.flatnonzero(before & ~is_hot)      # of a stretch: its symbols are first..last
+            size = last - first + 1
+            at = np.concatenate(([0], np.cumsum(size)))
+            index = np.arange(at[-1]) + np.repeat(first - at[:-1], size)
+            freq = batch.column("freq").to_numpy()[word[first]]
+            yield pa.RecordBatch.from_arrays([_binary_words(flat[index], at), pa.array(freq)], names=["segment", "freq"])
+
+    return words.mapInArrow(run, "segment binary, freq bigint").groupBy("segment").agg(F.sum("freq").alias("freq"))
+
+
+def merge_symbols(flat: np.ndarray, offsets: np.ndarray, merges: list[tuple[int, int, int]]) -> tuple[np.ndarray, np.ndarray]:
+    """The merges, one after the other, in every word; ids that come out are new (or the list has one merge).
+
+    A word is done when it holds no pair of the list; until then each pass merges its earliest one.
+    """
+    keys = np.array([a * PAIR_BASE + b for a, b, _ in merges], np.int64)
+    order = np.argsort(keys)
+    table, made, never = keys[order], np.array([c for *_, c in merges], _SYMBOL), len(merges)
+    sizes, ids = np.diff(offsets), np.arange(len(offsets) - 1)
+    flat, ids, sizes = np.array(flat), ids[sizes > 0], sizes[sizes > 0]
+    done: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    while len(ids):
+        at = np.concatenate(([0], np.cumsum(sizes)))
+        pairs, word = _pair_keys(flat, at)
+        place = _find(pairs, table)
+        rank = np.where(place >= 0, order[place], never)
+        best = np.minimum.reduceat(rank, at[:-1])
+        over = best == never
+        if over.any():
+            symbols = over[word]
+            done.append((ids[over], sizes[over], flat[symbols]))
+            flat, rank, word, best = flat[~symbols], rank[~symbols], (np.cumsum(~over) - 1)[word[~symbols]], best[~over]
+            ids, sizes = ids[~over], sizes[~over]
+            if not len(ids):
+                break
+        spot = np.flatnonzero(rank == best[word])
+        run = np.cumsum(np.append(True, np.diff(spot) > 1)) - 1                    # a run of spots is a pair (a, a): every other one
+        spot = spot[(spot - spot[np.searchsorted(run, np.arange(run[-1] + 1))][run]) % 2 == 0]
+        flat[spot] = made[rank[spot]]
+        keep = np.ones(len(flat), bool)
+        keep[spot + 1] = False
+        sizes = sizes - np.bincount(word[spot], minlength=len(ids))
+        flat = flat[keep]
+    length = np.zeros(len(offsets) - 1, np.int64)
+    for ids, sizes, _ in done:
+        length[ids] = sizes
+    at = np.concatenate(([0], np.cumsum(length)))
+    out = np.zeros(at[-1], _SYMBOL)
+    for ids, sizes, symbols in done:
+        out[np.arange(len(symbols)) + np.repeat(at[ids] - np.cumsum(sizes) + sizes, sizes)] = symbols
+    return out, at
+
+
+def merged_words(words: DataFrame, merges: list[tuple[int, int, int]], reused: bool) -> DataFrame:
+    """The words after a round's merges, without those of one symbol; a last merge that ``reused`` an id goes by itself."""
+    steps = [merges[:-1], merges[-1:]] if reused and len(merges) > 1 else [merges]
+    shared = words.sparkSession.sparkContext.broadcast(steps)                      # vocabulary-bounded
+
+    def run(batches):
+        for batch in batches:
+            flat, offsets = _flat_words(batch.column("w"))
+            for step in shared.value:
+                flat, offsets = merge_symbols(flat, offsets, step)
+            out = pa.RecordBatch.from_arrays([_binary_words(flat, offsets), batch.column("freq")], names=["w", "freq"])
+            yield out.filter(pa.array(np.diff(offsets) >= 2))
+
+    return words.mapInArrow(run, "w binary, freq bigint")
 
 
 # ----------------------------------------------------------------------------- T3 / T4
@@ -187,89 +289,106 @@ class BpeModel:
                 "min_frequency": min_frequency, "special_tokens": SPECIAL_TOKENS}
 
 
-def select_batch(cands: list[tuple[int, int, int]], vocab: dict[int, bytes], known: dict[bytes, int],
-                 room: int, window: int) -> list[tuple[int, int, bool]]:
-    """Accepted (left, right, reuses_id) merges from the ranked candidates (see module doc).
+def merge_segments(segments: list[tuple[list[int], int]], last: tuple[int, int, int], vocab: dict[int, bytes], known: dict[bytes, int],
+                   vocab_size: int, min_frequency: int) -> tuple[list[tuple[int, int, int]], bool]:
+    """Merges of (symbols, frequency) segments, best pair first, while it ranks up to ``last`` (-count, left, right).
 
-    ``cands`` holds (left, right, count) rows in ranking order: the ``window`` candidates
-    plus the next row when it exists. ``room`` = vocabulary slots left.
+    New tokens go into ``vocab`` and ``known``. Ends early where the vocabulary is full or a merge reuses
+    an older token's id (the second result says so).
     """
-    batch: list[tuple[int, int, int, bool]] = []
-    used: set[int] = set()
-    added = 0
-    for left, right, cnt in cands[:window]:
-        if left in used or right in used:
-            break
-        reuse = (vocab[left] + vocab[right]) in known
-        if reuse and batch:
-            break
-        batch.append((left, right, cnt, reuse))
-        used.update((left, right))
-        added += 0 if reuse else 1
-        if reuse or left == right or added >= room:
+    counts: dict[tuple[int, int], int] = {}
+    where: dict[tuple[int, int], set[int]] = {}
+    for i, (symbols, freq) in enumerate(segments):
+        for pair in zip(symbols, symbols[1:]):
+            counts[pair] = counts.get(pair, 0) + freq
+            where.setdefault(pair, set()).add(i)
+    heap = [(-n, *pair) for pair, n in counts.items()]
+    heapq.heapify(heap)
+    merges: list[tuple[int, int, int]] = []
+    while heap and len(vocab) < vocab_size:
+        entry = heapq.heappop(heap)
+        pair, now = entry[1:], counts.get(entry[1:], 0)
+        if now != -entry[0]:                       # the count has fallen since
+            if now > 0:
+                heapq.heappush(heap, (-now, *pair))
+            continue
+        if entry > last or now < min_frequency:
             break
-    if len(cands) > len(batch):
-        nxt = cands[len(batch)][2]
-        while len(batch) > 1 and batch[-1][2] == nxt:
-            batch.pop()
-    return [(a, b, r) for a, b, _, r in batch]
-
-
-def train_bpe(spark: SparkSession, freq: DataFrame, vocab_size: int = VOCAB_SIZE,
-              min_frequency: int = MIN_FREQUENCY, candidates: int = CANDIDATES,
-              checkpoint_every: int = CHECKPOINT_EVERY, progress=None) -> BpeModel:
-    """T5: learn merges until the vocabulary reaches ``vocab_size`` or no pair is frequent.
-
-    ``freq`` should be materialised (it is read once for the alphabet and once for the
-    words). Words and pair counts are cached per round and written to the shared checkpoint folder
-    every ``checkpoint_every`` rounds, so lost executors recompute a bounded lineage.
+        text = vocab[pair[0]] + vocab[pair[1]]
+        reused = text in known
+        new = known[text] if reused else len(vocab)
+        vocab[new] = text
+        known[text] = new
+        merges.append((*pair, new))
+        if reused:
+            return merges, True
+        fresh = set()
+        for i in where.pop(pair):
+            symbols, freq = segments[i]
+            out, j = [], 0
+            while j < len(symbols):
+                if j + 1 < len(symbols) and symbols[j] == pair[0] and symbols[j + 1] == pair[1]:
+                    out.append(new)
+                    j += 2
+                else:
+                    out.append(symbols[j])
+                    j += 1
+            for old in zip(symbols, symbols[1:]):
+                counts[old] -= freq
+            for made in zip(out, out[1:]):
+                counts[made] = counts.get(made, 0) + freq
+                if new in made:
+                    fresh.add(made)
+                    where.setdefault(made, set()).add(i)
+            segments[i] = (out, freq)
+        del counts[pair]
+        for made in fresh:
+            heapq.heappush(heap, (-counts[made], *made))
+    return merges, False
+
+
+def train_bpe(spark: SparkSession, freq: DataFrame, vocab_size: int = VOCAB_SIZE, min_frequency: int = MIN_FREQUENCY,
+              window: int = WINDOW, segment_symbols: int = SEGMENT_SYMBOLS, progress=None) -> BpeModel:
+    """T5: learn merges until the vocabulary reaches ``vocab_size`` or no pair is frequent (see the module's text).
+
+    ``freq`` should be materialised (it is read once for the alphabet and once for the words). The words after a round are a
+    written table, so that lost executors repeat one round at most.
     ``progress(round, merges_so_far, vocab_size)`` is called after every round.
     """
     alpha = alphabet(freq).select("byte", "id").collect()            # <= 256 rows
+    if not alpha:
+        raise ValueError("the corpus is empty: there is nothing to learn a vocabulary from")
     byte_ids = {r["byte"]: r["id"] for r in alpha}
     vocab: dict[int, bytes] = {i: t.encode() for i, t in enumerate(SPECIAL_TOKENS)}
     for b, i in byte_ids.items():
         vocab[i] = bytes([b])
     known = {v: k for k, v in vocab.items() if k >= len(SPECIAL_TOKENS)}
     model = BpeModel(byte_ids, vocab)
-
-    words = materialize(symbol_words(freq, byte_ids).filter(F.length("w") >= 2), "words")
-    counts = materialize(symbol_pair_counts(words), "pairs")
-    stale: list[DataFrame] = []
-    rnd = 0
+    words = materialize(symbol_words(freq, byte_ids), "words")
+    width = window
     while len(vocab) < vocab_size:
-        top = symbol_top_pairs(counts, candidates + 1, min_frequency).collect()
-        for old in stale:                       # ``counts`` is now computed; drop its parents
-            old.unpersist()
-        stale = []
-        if not top:
+        counts = symbol_pair_counts(words).filter(F.col("count") >= min_frequency)
+        hot = [(-r["count"], *divmod(r["pair"], PAIR_BASE)) for r in top_pairs(counts, width).collect()]      # at most ``window`` rows
+        if not hot:
             break
-        cands = [(ord(r["pair"][0]) - SYMBOL_BASE, ord(r["pair"][1]) - SYMBOL_BASE, int(r["count"])) for r in top]
-        batch = select_batch(cands, vocab, known, vocab_size - len(vocab), candidates)
-        applied: list[tuple[int, int, int]] = []
-        for left, right, reuse in batch:
-            text = vocab[left] + vocab[right]
-            if reuse:
-                new_id = known[text]
-            else:
-                new_id = len(vocab)
-                vocab[new_id] = text
-                known[text] = new_id
-            model.merges.append((left, right, new_id))
-            applied.append((left, right, new_id))
-        rnd += 1
-        after, tally = _apply_symbol_merges(words, applied), updated_pair_counts(counts, words, applied)
-        if rnd % checkpoint_every == 0:         # written tables: bounded lineage and plans
-            after, tally = materialize(after, "words"), materialize(tally, "pairs")
-        else:
-            after, tally = after.persist(), tally.persist()
-        stale += [old for old in (words, counts) if old.is_cached]
-        words, counts = after, tally
+        while True:
+            segments = materialize(hot_segments(words, [a * PAIR_BASE + b for _, a, b in hot]), "segments")
+            size = segments.agg(F.sum(F.octet_length("segment"))).first()[0] // _SYMBOL.itemsize
+            if size <= segment_symbols or len(hot) == 1:
+                break
+            drop_tables(spark, segments)
+            hot = hot[:max(1, min(len(hot) // 2, int(len(hot) * segment_symbols / size)))]
+        rows = [(np.frombuffer(r["segment"], _SYMBOL).tolist(), r["freq"]) for r in segments.collect()]
+        merges, reused = merge_segments(rows, hot[-1], vocab, known, vocab_size, min_frequency)
+        model.merges += merges
+        after = materialize(merged_words(words, merges, reused), "words")
+        drop_tables(spark, words, segments)
+        words = after
+        width = min(window, 2 * len(hot))
+        model.rounds += 1
         if progress is not None:
-            progress(rnd, len(model.merges), len(vocab))
-    for old in [*stale, *(d for d in (words, counts) if d.is_cached)]:
-        old.unpersist()
-    model.rounds = rnd
+            progress(model.rounds, len(model.merges), len(vocab))
+    drop_tables(spark, words)
     return model
 
 

@@ -211,9 +211,6 @@ def hash_token_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return materialize(tok, "tokenized")
 
 
-FIXTURE_VOCAB = 400
-
-
 def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The cleaned, per-shard deduplicated corpus (the tokenizer's training lines)."""
     from ..operators.dedup import dedup_shard
@@ -224,11 +221,12 @@ def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
 _MODELS: dict = {}
 
 
-def trained_model(spark: SparkSession, sf_dir: str, vocab_size: int = FIXTURE_VOCAB):
-    """Train once per (application, data, size); the model is driver-side and vocabulary-bounded."""
+def trained_model(spark: SparkSession, sf_dir: str, vocab_size: int | None = None):
+    """Train once per (application, data, size; in full by default); the model is driver-side and vocabulary-bounded."""
     from ..operators import bpe as B
+    vocab_size = vocab_size or B.VOCAB_SIZE
     key = (spark.sparkContext.applicationId, sf_dir, vocab_size)
     if key not in _MODELS:
-        freq = materialize(B.pretoken_freq(corpus(spark, sf_dir), "text"))
+        freq = materialize(B.pretoken_freq(B.training_corpus(corpus(spark, sf_dir)), "text"))
         _MODELS[key] = B.train_bpe(spark, freq, vocab_size=vocab_size)
     return _MODELS[key]

@@ -118,7 +118,8 @@ def dedup_global(spark, sf_dir):
 @query
 def corpus_lines(spark, sf_dir):
     """The tokenizer corpus is the deduplicated cleaned table itself; its line count."""
-    return (D.dedup_shard(X.kept_lines(spark, sf_dir))
+    from ..operators.bpe import training_corpus
+    return (training_corpus(D.dedup_shard(X.kept_lines(spark, sf_dir)))
             .agg(F.count(F.lit(1)).alias("lines"), F.sum(F.length("cleaned")).cast("long").alias("chars")))
 
 
@@ -565,15 +566,33 @@ def tokenizer_stats_short_merges(spark, sf_dir):
                     F.round("chars_per_token", 6).alias("chars_per_token"))
 
 
-@query
-def tokenizer_artifacts(spark, sf_dir):
-    """S16 + J7: a model saved and loaded; the specials and the corpus' alphabet in its vocabulary table."""
+def _artifacts(spark, model):
+    """S16 + J7: a model saved and loaded; every row of its vocabulary, merge and configuration tables."""
     from ..session import scratch_path
     path = scratch_path(spark, "tokenizer")
-    model = X.trained_model(spark, sf_dir)
     B.save_artifacts(spark, model, path)
     back = B.load_artifacts(spark, path)
-    return TZ.vocab_lookup(spark, back).filter(F.col("id") < 4 + len(back.byte_ids)).select("id", "token_hex", "special")
+    words = TZ.vocab_lookup(spark, back).select(F.lit("vocab").alias("part"), F.col("id").cast("long").alias("n"),
+                                                F.concat_ws(",", "token_hex", F.col("special").cast("string")).alias("value"))
+    merges = back.merges_frame(spark).select(F.lit("merge").alias("part"), F.col("rank").cast("long").alias("n"),
+                                             F.concat_ws(",", *[F.col(c).cast("string") for c in ("left_id", "right_id", "new_id")]).alias("value"))
+    config = spark.read.json(f"{path}/config").select(F.lit("config").alias("part"), F.lit(0).cast("long").alias("n"), F.col("config").alias("value"))
+    return words.unionByName(merges).unionByName(config)
+
+
+SHORT_VOCAB = 200
+
+
+@query
+def tokenizer_artifacts(spark, sf_dir):
+    """The artefacts of a model learned to ``SHORT_VOCAB`` entries, a number of merges that SQL can repeat."""
+    return _artifacts(spark, X.trained_model(spark, sf_dir, SHORT_VOCAB))
+
+
+@query
+def tokenizer_tables(spark, sf_dir):
+    """The artefacts of the model of full size."""
+    return _artifacts(spark, X.trained_model(spark, sf_dir))
 
 
 @query

@@ -98,6 +98,17 @@ def drop_written(spark: SparkSession) -> None:
     delete_tables(spark, _WRITTEN.pop(spark.sparkContext.applicationId, []))
 
 
+def drop_tables(spark: SparkSession, *tables: DataFrame) -> None:
+    """Remove tables of ``materialize`` that nothing reads any more."""
+    written = _WRITTEN.get(spark.sparkContext.applicationId, [])
+    for table in tables:
+        files = table.inputFiles()
+        gone = [p for p in written if any(p.rsplit("/", 1)[-1] in f.split("/") for f in files)]
+        delete_tables(spark, gone)
+        for p in gone:
+            written.remove(p)
+
+
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     """Cut lineage with a written table in the shared checkpoint folder.
 

@@ -1,8 +1,12 @@
 """BPE training/encoding against the ``tokenizers`` library on the same corpus."""
 import json
 import os
+import random
 import tempfile
+from collections import Counter
 
+import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from shardloom.functions import pretok as PT
@@ -12,9 +16,6 @@ from shardloom.plans import fixtures as X
 from shardloom.session import materialize
 from tests.conftest import SF_SMALL
 
-VOCAB = 360
-
-
 def _library(lines, vocab):
     from tokenizers import Tokenizer
     from tokenizers.models import BPE
@@ -37,12 +38,13 @@ def _library(lines, vocab):
     return tok
 
 
-def test_train_and_encode_match_library(spark):
+@pytest.mark.parametrize("size, window, symbols", [(4000, 1500, 6000), (B.VOCAB_SIZE, B.WINDOW, B.SEGMENT_SYMBOLS)])
+def test_train_and_encode_match_library(spark, size, window, symbols):
     corpus = X.corpus(spark, SF_SMALL)
     lines = [r["text"] for r in corpus.orderBy("shard_id", "doc_id", "line_idx").collect()]
     freq = materialize(B.pretoken_freq(corpus, "text"))
-    model = B.train_bpe(spark, freq, vocab_size=VOCAB)
-    lib = _library(lines, VOCAB)
+    model = B.train_bpe(spark, freq, vocab_size=size, window=window, segment_symbols=symbols)
+    lib = _library(lines, size)
     j = json.loads(lib.to_str())
     names = {i: (v.decode() if i < 4 else "".join(PT.byte_char(b) for b in v)) for i, v in model.vocab.items()}
     assert {s: i for i, s in names.items()} == j["model"]["vocab"]
@@ -69,17 +71,87 @@ def test_unseen_byte_is_unk(spark):
     assert list(tok["tokens"]) == [3, 6, 3]
 
 
-def test_select_batch_rules():
-    vocab = {i: bytes([i]) for i in range(10)}
-    known = {v: k for k, v in vocab.items()}
-    # disjoint, strictly dominated by the next row: both accepted
-    assert B.select_batch([(1, 2, 10), (3, 4, 9), (5, 6, 8)], vocab, known, 100, 2) == [(1, 2, False), (3, 4, False)]
-    # shared symbol stops the batch
-    assert B.select_batch([(1, 2, 10), (2, 3, 9), (5, 6, 8)], vocab, known, 100, 2) == [(1, 2, False)]
-    # a tie with the first rejected row trims the batch
-    assert B.select_batch([(1, 2, 10), (3, 4, 9), (5, 6, 9)], vocab, known, 100, 2) == [(1, 2, False)]
-    # self pair ends the batch
-    assert B.select_batch([(1, 1, 10), (3, 4, 9), (5, 6, 2)], vocab, known, 100, 2) == [(1, 1, False)]
+def plain_training(words, first_id, vocab, least):
+    """One merge at a time over (symbols, frequency) words."""
+    vocab = dict(vocab)
+    words, merges = [(list(w), n) for w, n in words], []
+    while True:
+        counts = Counter()
+        for w, n in words:
+            for pair in zip(w, w[1:]):
+                counts[pair] += n
+        best = min(((-n, *p) for p, n in counts.items() if n >= least), default=None)
+        if best is None:
+            return merges
+        pair, known = best[1:], {v: k for k, v in vocab.items()}
+        text = vocab[pair[0]] + vocab[pair[1]]
+        new = known.get(text, first_id + len(vocab))
+        vocab[new] = text
+        merges.append((*pair, new))
+        for w, _ in words:
+            j = 0
+            while j + 1 < len(w):
+                if (w[j], w[j + 1]) == pair:
+                    w[j:j + 2] = [new]
+                j += 1
+
+
+def random_words(rng, letters, many, longest):
+    return list({tuple(rng.randrange(letters) for _ in range(rng.randint(2, longest))): rng.randint(1, 4) for _ in range(many)}.items())
+
+
+def test_training_equals_one_merge_at_a_time(spark):
+    """Ties, runs of one letter and tokens that two ways lead to, with windows that hold only a few pairs."""
+    rng = random.Random(1)
+    for letters, many, longest, window, symbols in ((2, 12, 9, 3, 40), (3, 30, 12, 5, 60), (5, 60, 8, 8, 50)):
+        words = random_words(rng, letters, many, longest)
+        rows = [("".join(chr(97 + i) for i in w), n) for w, n in words]
+        used = sorted({c for w, _ in words for c in w})
+        ids = {c: i + 4 for i, c in enumerate(used)}
+        vocab = {i: f"<{i}>".encode() for i in range(4)} | {ids[c]: bytes([97 + c]) for c in used}
+        expected = plain_training([([ids[c] for c in w], n) for w, n in words], 0, vocab, 2)
+        freq = spark.createDataFrame(rows, "pretoken string, freq long").repartition(2)
+        model = B.train_bpe(spark, freq, vocab_size=10_000, window=window, segment_symbols=symbols)
+        assert model.merges == expected and model.rounds > 1
+
+
+def test_merges_stop_after_the_last_hot_pair_and_at_reuse():
+    vocab, known = {4: b"a", 5: b"b", 6: b"c"}, {b"a": 4, b"b": 5, b"c": 6}
+    got = B.merge_segments([([4, 5], 9), ([5, 6], 3)], (-9, 4, 5), dict(vocab), dict(known), 99, 2)
+    assert got == ([(4, 5, 3)], False)
+    vocab[7], known[b"ab"] = b"ab", 7
+    assert B.merge_segments([([4, 5], 9), ([5, 6], 3)], (-3, 5, 6), dict(vocab), dict(known), 99, 2) == ([(4, 5, 7)], True)
+    assert B.merge_segments([([4, 5], 1)], (-1, 4, 5), dict(vocab), dict(known), 99, 2) == ([], False)
+    assert B.merge_segments([([4, 5], 9)], (-9, 4, 5), dict(vocab), dict(known), len(vocab), 2) == ([], False)
+
+
+def test_merge_symbols_equals_one_merge_after_the_other():
+    rng = random.Random(2)
+    for _ in range(200):
+        words = [[rng.randrange(4) for _ in range(rng.randint(0, 14))] for _ in range(rng.randint(0, 9))]
+        merges, ids = [], list(range(4))
+        for new in range(10, 10 + rng.randint(1, 8)):
+            pair = (rng.choice(ids), rng.choice(ids))
+            if pair not in [m[:2] for m in merges]:
+                merges.append((*pair, new))
+                ids.append(new)
+        offsets = np.concatenate(([0], np.cumsum([len(w) for w in words]))).astype(np.int64)
+        flat, at = B.merge_symbols(np.array([x for w in words for x in w], np.int32), offsets, merges)
+        for a, b, new in merges:
+            for w in words:
+                j = 0
+                while j + 1 < len(w):
+                    if (w[j], w[j + 1]) == (a, b):
+                        w[j:j + 2] = [new]
+                    j += 1
+        assert [flat[i:j].tolist() for i, j in zip(at[:-1], at[1:])] == words
+
+
+def test_an_empty_corpus_is_an_error(spark):
+    with pytest.raises(ValueError):
+        B.train_bpe(spark, spark.createDataFrame([], "pretoken string, freq long"))
+    with pytest.raises(ValueError):
+        B.training_corpus(spark.createDataFrame([], "text string"))
 
 
 def test_artifacts_roundtrip(spark):
