@@ -333,11 +333,28 @@ ex AS (SELECT f.split, s.seq_id, list(t ORDER BY pos) AS w FROM flat f JOIN tot
        WHERE s.seq_id >= 0 AND pos - s.seq_id * 64 <= 64 AND s.seq_id < total // 64 - 1 GROUP BY 1, 2)""", """
 SELECT split, seq_id, md5(array_to_string(w[1:64], ',')) AS x_digest, md5(array_to_string(w[2:65], ',')) AS y_digest,
        w[2:64] = w[2:64] AS shifted FROM ex WHERE len(w) = 65""")
+
+
+def permutation_sql(v: str, seed: int = 7, epoch: int = 0) -> str:
+    """One pass of the keyed rounds over a number v of a * b (columns a, b), as nested lets over a struct of both parts."""
+    def mix(x: str, k: int) -> str:
+        return f"CAST(('0x' || substr(md5(CAST({x} AS VARCHAR) || ':{k}'), 1, 8)) AS BIGINT)"
+    step = f"[({v}) // b, ({v}) % b]"
+    for i in range(4):
+        k = (seed * 7919 + epoch * 104729 + i * 1299709 + 12345) % 2147483648
+        one = f"[p[1], (p[2] + ({mix('p[1]', k)})) % b]" if i % 2 else f"[(p[1] + ({mix('p[2]', k)})) % a, p[2]]"
+        step = f"list_transform([{step}], lambda p: {one})[1]"
+    return f"list_transform([{step}], lambda p: p[1] * b + p[2])[1]"
+
+
 ORACLE["training_batches"] = W(PACK + """,
-o AS (SELECT split, seq_id, CAST(row_number() OVER (PARTITION BY split ORDER BY
-        CASE WHEN split = 'train' THEN md5('7:0:' || CAST(seq_id AS VARCHAR)) ELSE '' END, seq_id) - 1 AS BIGINT) AS ordinal FROM packed),
-b AS (SELECT *, CAST(ordinal // 8 AS BIGINT) AS batch_id, count(*) OVER (PARTITION BY split) // 8 AS nfull FROM o)""", """
-SELECT split, seq_id, ordinal, batch_id FROM b WHERE split <> 'train' OR batch_id < nfull""")
+c AS (SELECT split, seq_id, count(*) OVER (PARTITION BY split) AS n FROM packed),
+d AS (SELECT *, CAST(ceil(sqrt(n)) AS BIGINT) AS a, (n + CAST(ceil(sqrt(n)) AS BIGINT) - 1) // CAST(ceil(sqrt(n)) AS BIGINT) AS b FROM c),
+walk AS (SELECT split, seq_id, n, a, b, """ + permutation_sql("CAST(seq_id AS BIGINT)") + """ AS v FROM d WHERE split = 'train'
+         UNION ALL SELECT split, seq_id, n, a, b, """ + permutation_sql("v") + """ FROM walk WHERE v >= n),
+o AS (SELECT split, seq_id, n, CAST(v AS BIGINT) AS ordinal FROM walk WHERE v < n
+      UNION ALL SELECT split, seq_id, n, CAST(seq_id AS BIGINT) FROM c WHERE split <> 'train')""", """
+SELECT split, seq_id, ordinal, CAST(ordinal // 8 AS BIGINT) AS batch_id FROM o WHERE split <> 'train' OR ordinal // 8 < n // 8""").replace("WITH ", "WITH RECURSIVE ", 1)
 
 # ----------------------------------------------------------------------------- metrics
 EVENTS = """sm AS (SELECT user_id AS run_id, (['download', 'clean', 'train_tokenizer', 'tokenize', 'pack'])[event_id % 5 + 1] AS stage,
@@ -428,14 +445,25 @@ ORACLE["bpe_top_pairs"] = W(CORPUS, "SELECT left_id, right_id, count FROM pairs
 ORACLE["eval_sample"] = W(CORPUS, "SELECT shard_id, doc_id, line_idx FROM corpus ORDER BY shard_id, doc_id, line_idx LIMIT 50000")
 
 # ----------------------------------------------------------------------------- files and streams
-ORACLE["text_shards"] = W(SHARDS, f""", dl AS (SELECT shard_id, doc_id, string_split_regex(text, '\\r\\n|\\r|\\n') AS lst FROM sh2),
+# Broken bytes come back as one U+FFFD for each longest start of a character.
+ORACLE["text_shards"] = W(SHARDS, f""", dl AS (SELECT shard_id, doc_id, string_split_regex(text || CASE WHEN doc_id % 7 = 0 THEN
+  chr(10) || 'bad' || chr(10) || chr(65533) || chr(65533) || ' ' || chr(65533) || chr(65533) || ' ' || chr(65533) || chr(10) ELSE '' END, '\\r\\n|\\r|\\n') AS lst FROM sh2),
 dl2 AS (SELECT *, coalesce(sum(len(lst)) OVER (PARTITION BY shard_id ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM dl),
 x AS (SELECT shard_id, before, unnest(range(len(lst))) AS i, unnest(lst) AS line FROM dl2)
 SELECT shard_id, CAST(before + i AS BIGINT) AS line_no, line FROM x WHERE {not_blank('line')}""")
 ORACLE["packed_binary"] = W(PACK, "SELECT split, seq_id, md5(array_to_string(toks, ',')) AS digest FROM packed")
+ORACLE["packed_headerless"] = ORACLE["packed_binary"]
 ORACLE["incremental_clean"] = W(CLEANED, """, ph AS (
   SELECT shard_id, CASE WHEN reject_reason IS NULL THEN sha1(cleaned) END AS sha1, count(*) AS n FROM cleaned GROUP BY 1, 2)
 SELECT shard_id, CAST(sum(n) AS BIGINT) AS docs_in, count(sha1) AS docs_out FROM ph GROUP BY shard_id""")
+ORACLE["incremental_failures"] = W(CLEANED, """, ph AS (
+  SELECT shard_id, CASE WHEN reject_reason IS NULL THEN sha1(cleaned) END AS sha1, count(*) AS n FROM cleaned GROUP BY 1, 2),
+y AS (SELECT shard_id, CAST(sum(n) AS BIGINT) AS docs_in, count(sha1) AS docs_out FROM ph GROUP BY shard_id),
+bad AS (SELECT DISTINCT shard_id FROM cleaned WHERE length(line) > 1500)
+SELECT 1 AS run, y.shard_id, CASE WHEN bad.shard_id IS NULL THEN 'done' ELSE 'failed' END AS state, CASE WHEN bad.shard_id IS NULL THEN docs_in ELSE 0 END AS docs_in,
+       CASE WHEN bad.shard_id IS NULL THEN docs_out ELSE 0 END AS docs_out, CASE WHEN bad.shard_id IS NULL THEN '' ELSE 'line over 1500' END AS error
+FROM y LEFT JOIN bad ON bad.shard_id = y.shard_id
+UNION ALL SELECT 2, y.shard_id, 'done', docs_in, docs_out, '' FROM y JOIN bad ON bad.shard_id = y.shard_id""")
 ORACLE["stream_dedup"] = W(CLEANED, """
 SELECT shard_id, count(DISTINCT sha1(cleaned)) AS docs_out FROM cleaned WHERE reject_reason IS NULL GROUP BY shard_id""")
 ORACLE["stage_event_stream"] = ORACLE["stage_event_windows"]

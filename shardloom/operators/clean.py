@@ -34,8 +34,11 @@ def clean_lines(lines: DataFrame, policy: Column, text_col: str = "line",
     reason = F.coalesce(F.col("_rule"), T.quality_reason(F.col("cleaned"), rules))
     df = df.withColumn("reject_reason", reason).drop("_n", "_w", "_rule")
     kept = F.col("reject_reason").isNull()
-    return (df.withColumn("kept", kept)
-            .withColumn("sha1", F.when(kept, T.sha1_hex(F.col("cleaned")))))
+    df = df.withColumn("kept", kept).withColumn("sha1", F.when(kept, T.sha1_hex(F.col("cleaned"))))
+    # A filter on ``kept`` or ``cleaned`` would be pushed below the projections, and every rule chain in it
+    # would run again for each mention. Generated rows keep it above: the rules run once.
+    made = ["policy", "cleaned", "reject_reason", "kept", "sha1"]
+    return df.select(*[F.col(f"`{c}`") for c in df.columns if c not in made], F.inline(F.array(F.struct(*made))))
 
 
 def clean_yield(cleaned: DataFrame, with_total: bool = True) -> DataFrame:

@@ -12,6 +12,7 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.rawfiles import dealt, sha256_of
 from . import ledger as L
 
 # Paths that are never deletable (substring match, as in the original).
@@ -36,12 +37,22 @@ def list_files(spark: SparkSession, root: str, glob: str | None = None) -> DataF
     return r.load(root).select("path", "length", "modificationTime")
 
 
-def file_checksums(spark: SparkSession, root: str, glob: str | None = None) -> DataFrame:
-    """SHA-256 of each file's bytes (binaryFile caps a file at 2 GB; part files are smaller)."""
+#: Files of this size or more are read in chunks; smaller ones are rows of ``binaryFile``.
+STREAMED_BYTES = 64 << 20
+
+
+def file_checksums(spark: SparkSession, root: str, glob: str | None = None, streamed: int = STREAMED_BYTES) -> DataFrame:
+    """SHA-256 of each file's bytes, whatever its size: a large file is never whole in memory.
+
+    A file without bytes has no row: Spark's file scans leave it out.
+    """
     r = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob:
         r = r.option("pathGlobFilter", glob)
-    return r.load(root).select("path", "length", F.sha2(F.col("content"), 256).alias("file_checksum"))
+    files = r.load(root)
+    small = files.filter(F.col("length") < streamed).select("path", "length", F.sha2(F.col("content"), 256).alias("file_checksum"))
+    large = files.select("path", "length").filter(F.col("length") >= streamed)
+    return small.unionByName(sha256_of(dealt(large, "path")))
 
 
 def validate_bin(length: Column, exists: Column, seq_len: int = SEQ_LEN, dtype_bytes: int = DTYPE_BYTES):

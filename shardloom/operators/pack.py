@@ -14,7 +14,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .ordinal import global_ordinal
 
 SEQ_LEN = 512
 UINT16_MAX = 65_535
@@ -107,25 +106,56 @@ def next_token_pairs(offsets: DataFrame, tok: DataFrame, seq_len: int = SEQ_LEN)
                                    F.slice("tokens", 2, seq_len).alias("y"))
 
 
-def training_batches(packed: DataFrame, batch_size: int, seed: int = 0, epoch: int = 0,
-                     order_key: Column | None = None, shuffle_splits=("train",)) -> DataFrame:
+# A keyed permutation of 0 .. n - 1 without a sort. A number x < a * b, a = ceil(sqrt n), b = ceil(n / a), is a pair (x div b,
+# x mod b); each round adds a keyed mix of one part to the other, modulo a or b, which can be undone, so all rounds
+# together permute the a * b pairs. Fewer than a of them are n or more; a number that comes out there goes in
+# again until it is below n (cycle walking), which leaves a permutation of 0 .. n - 1.
+_ROUNDS = 4
+_WALK = 64                    # enough for every n up to 4,096; beyond, a walk of 64 has probability n ** -32
+
+
+def _mix(x: Column, key: int) -> Column:
+    """32 bits of the MD5 of the number and the key; ``x`` is mentioned once, so that rounds can be nested."""
+    return F.conv(F.substring(F.md5(F.concat(x.cast("string"), F.lit(f":{key}"))), 1, 8), 16, 10).cast("long")
+
+
+def round_keys(seed: int, epoch: int) -> list[int]:
+    return [(seed * 7919 + epoch * 104729 + i * 1299709 + 12345) % (1 << 31) for i in range(_ROUNDS)]
+
+
+def permuted(x: Column, n: Column, seed: int, epoch: int) -> Column:
+    """Image of ``x`` under the permutation of 0 .. n - 1 that (seed, epoch) names; an error for an x outside."""
+    a = F.ceil(F.sqrt(n)).cast("long")
+    b = F.ceil(n / a)
+
+    def once(v: Column) -> Column:
+        left, right = F.floor(v / b), v % b      # v < 2**53: the quotient's floor is exact
+        for i, key in enumerate(round_keys(seed, epoch)):
+            if i % 2:
+                right = (right + _mix(left, key)) % b
+            else:
+                left = (left + _mix(right, key)) % a
+        return left * b + right
+
+    first = once(x)
+    walked = F.aggregate(F.sequence(F.lit(2), F.lit(_WALK)), first, lambda v, _: F.when(v < n, v).otherwise(once(v)))
+    return (F.when((x < 0) | (x >= n), F.raise_error(F.lit("sequence ids are not 0 to n - 1")).cast("long"))
+            .when(first < n, first).when(walked < n, walked).otherwise(F.raise_error(F.lit("the walk does not end")).cast("long")))
+
+
+def training_batches(packed: DataFrame, batch_size: int, seed: int = 0, epoch: int = 0, shuffle_splits=("train",)) -> DataFrame:
     """K5: shuffled train batches (ragged batch dropped), ordered other splits (kept).
 
-    Order = hash of (seed, epoch, seq_id); dense positions come from ``global_ordinal``
-    (range partitioned), never from a single-task window over a whole split.
+    A sequence's place is a keyed permutation of its number, so no row is sorted, shuffled or written; only the
+    count of each split (one row per split, broadcast) is made first. Sequence ids run from 0 in each split.
     """
-    key = order_key if order_key is not None else F.xxhash64(F.lit(seed), F.lit(epoch), F.col("seq_id"))
     shuffled = F.col("split").isin(list(shuffle_splits))
-    df = packed.select("split", "seq_id",
-                       F.when(shuffled, key.cast("string")).otherwise(F.lit("")).alias("_k"))
-    ordd = global_ordinal(df, ["split"], ["_k", "seq_id"], "ordinal")
-    ordd = ordd.withColumn("batch_id", F.floor(F.col("ordinal") / batch_size).cast("long"))
-    # One row per split (train / validation / test): the broadcast side is bounded. Counted
-    # from the ordinal table, whose input is already materialised.
-    full = ordd.groupBy("split").agg(F.floor(F.count(F.lit(1)) / batch_size).cast("long").alias("_full"))
-    out = ordd.join(F.broadcast(full), "split")
-    keep = ~F.col("split").isin(list(shuffle_splits)) | (F.col("batch_id") < F.col("_full"))
-    return out.filter(keep).select("split", "seq_id", "ordinal", "batch_id")
+    counts = packed.groupBy("split").agg(F.count(F.lit(1)).alias("_n"))
+    rows = packed.select("split", "seq_id").join(F.broadcast(counts), "split")
+    rows = rows.withColumn("ordinal", F.when(shuffled, permuted(F.col("seq_id"), F.col("_n"), seed, epoch)).otherwise(F.col("seq_id")))
+    rows = rows.withColumn("batch_id", ((F.col("ordinal") - F.col("ordinal") % batch_size) / batch_size).cast("long"))
+    full = ((F.col("_n") - F.col("_n") % batch_size) / batch_size).cast("long")
+    return rows.filter(~shuffled | (F.col("batch_id") < full)).select("split", "seq_id", "ordinal", "batch_id")
 
 
 def check_uint16(tok: DataFrame) -> DataFrame:

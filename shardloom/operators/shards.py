@@ -25,6 +25,17 @@ def assign_shards(docs: DataFrame, docs_per_shard: int = DOCS_PER_SHARD,
             .withColumn("shard_id", T.shard_id_expr(F.col("source"), F.col("split"), F.col("shard_idx"))))
 
 
+def shards_of(docs: DataFrame, docs_per_shard: int = DOCS_PER_SHARD) -> DataFrame:
+    """The shards that ``assign_shards`` makes, one row each (source, split, shard_idx, shard_id).
+
+    How many there are follows from the count of a (source, split); only those two columns are read.
+    """
+    counts = docs.groupBy("source", "split").agg(F.count(F.lit(1)).alias("_n"))
+    last = ((F.col("_n") + F.lit(docs_per_shard - 1) - F.pmod(F.col("_n") + F.lit(docs_per_shard - 1), F.lit(docs_per_shard))) / docs_per_shard - 1)
+    rows = counts.select("source", "split", F.explode(F.sequence(F.lit(0), last.cast("int"))).alias("shard_idx"))
+    return rows.withColumn("shard_id", T.shard_id_expr(F.col("source"), F.col("split"), F.col("shard_idx")))
+
+
 def cap_shards(sharded: DataFrame, max_shards: Column) -> DataFrame:
     """Keep shards with ``shard_idx < max_shards`` (NULL cap = unlimited)."""
     return sharded.filter(max_shards.isNull() | (F.col("shard_idx") < max_shards))

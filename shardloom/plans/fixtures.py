@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 from ..operators import shards as S
 from ..operators.clean import clean_lines
-from ..session import materialize, read_table
+from ..session import materialize, read_table, shared
 from ..sources.registry import SourceSpec, registry_caps, registry_policies
 
 FIXTURE_DOCS_PER_SHARD = 5
@@ -35,7 +35,8 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sharded_documents(spark: SparkSession, sf_dir: str,
                       docs_per_shard: int = FIXTURE_DOCS_PER_SHARD) -> DataFrame:
-    return S.assign_shards(documents(spark, sf_dir), docs_per_shard)
+    """The documents numbered and sharded; numbered once, whatever reads them."""
+    return shared(spark, "sharded", (sf_dir, docs_per_shard), lambda: S.assign_shards(documents(spark, sf_dir), docs_per_shard))
 
 
 def cleaned_lines(spark: SparkSession, sf_dir: str,
@@ -47,15 +48,16 @@ def cleaned_lines(spark: SparkSession, sf_dir: str,
 
 def kept_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The kept lines as a written table: deduplication reads it twice, and cleans nothing again."""
-    c = cleaned_lines(spark, sf_dir).filter("kept")
-    return materialize(c.select("source", "split", "shard_idx", "shard_id", "doc_ordinal", "doc_id", "line_idx", "cleaned", "sha1", "kept"), "kept")
+    def make():
+        c = cleaned_lines(spark, sf_dir).filter("kept")
+        return materialize(c.select("source", "split", "shard_idx", "shard_id", "doc_ordinal", "doc_id", "line_idx", "cleaned", "sha1", "kept"), "kept")
+    return shared(spark, "kept", sf_dir, make)
 
 
 def shard_table(spark: SparkSession, sf_dir: str,
                 docs_per_shard: int = FIXTURE_DOCS_PER_SHARD) -> DataFrame:
-    """One row per shard: (source, split, shard_idx, shard_id, n) with n = number in srcN."""
-    sh = sharded_documents(spark, sf_dir, docs_per_shard)
-    return (sh.select("source", "split", "shard_idx", "shard_id").distinct()
+    """One row per shard: (source, split, shard_idx, shard_id, n) with n = number in srcN; from counts, no text is read."""
+    return (S.shards_of(documents(spark, sf_dir), docs_per_shard)
             .withColumn("n", F.regexp_extract("source", "([0-9]+)$", 1).cast("long")))
 
 
@@ -68,6 +70,10 @@ def shard_contents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def derived_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ledger rows: one stage per source, k = n*10 + shard_idx (see FIXTURES.md); checksums of the shards' contents."""
+    return shared(spark, "ledger", sf_dir, lambda: _derived_ledger(spark, sf_dir))
+
+
+def _derived_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     sh = shard_table(spark, sf_dir).join(shard_contents(spark, sf_dir), "shard_id")
     k = F.col("n") * 10 + F.col("shard_idx")
     r = F.pmod(k, F.lit(10))
@@ -94,6 +100,10 @@ def derived_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     Shard files are written without those of k%17=0 and with a changed text where k%19=0; what
     comes back is their listing and the checksums of their bytes.
     """
+    return shared(spark, "files", sf_dir, lambda: materialize(_derived_files(spark, sf_dir), "files"))
+
+
+def _derived_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..operators.integrity import file_checksums
     from ..session import scratch_path
     from ..sources.textshards import write_text_shards
@@ -201,6 +211,10 @@ FIXTURE_BATCH = 8
 
 def hash_token_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Deduplicated cleaned lines with hash token ids and the fixture split per shard."""
+    return shared(spark, "tokenized", sf_dir, lambda: _hash_token_table(spark, sf_dir))
+
+
+def _hash_token_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..functions import tokens as TK
     from ..operators.dedup import dedup_shard
     dd = dedup_shard(kept_lines(spark, sf_dir))
@@ -214,8 +228,11 @@ def hash_token_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The cleaned, per-shard deduplicated corpus (the tokenizer's training lines)."""
     from ..operators.dedup import dedup_shard
-    dd = dedup_shard(kept_lines(spark, sf_dir))
-    return materialize(dd.select("shard_id", "doc_id", "line_idx", F.col("cleaned").alias("text")))
+
+    def make():
+        dd = dedup_shard(kept_lines(spark, sf_dir))
+        return materialize(dd.select("shard_id", "doc_id", "line_idx", F.col("cleaned").alias("text")), "corpus")
+    return shared(spark, "corpus", sf_dir, make)
 
 
 _MODELS: dict = {}

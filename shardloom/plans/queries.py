@@ -180,7 +180,7 @@ def ingest_sources(spark, sf_dir):
 def ingest_counts(spark, sf_dir):
     from ..sources.registry import ingest, fixture_registry, ingest_counts as counts
     docs = ingest(spark, fixture_registry(sf_dir))
-    return counts(S.assign_shards(docs, X.FIXTURE_DOCS_PER_SHARD))
+    return counts(docs, X.FIXTURE_DOCS_PER_SHARD)
 
 
 @query
@@ -347,8 +347,7 @@ def next_token_pairs(spark, sf_dir):
 @query
 def training_batches(spark, sf_dir):
     packed = P.sequence_numbers(X.hash_token_table(spark, sf_dir), X.FIXTURE_SEQ_LEN)
-    key = F.md5(F.concat_ws(":", F.lit("7"), F.lit("0"), F.col("seq_id").cast("string")))
-    return P.training_batches(packed, X.FIXTURE_BATCH, order_key=key)
+    return P.training_batches(packed, X.FIXTURE_BATCH, seed=7)
 
 
 # ----------------------------------------------------------------------------- metrics
@@ -674,9 +673,14 @@ def _text_shards_dir(spark, sf_dir):
 
 @query
 def text_shards(spark, sf_dir):
-    """S5 + S8: shards written as text files and scanned back with exact line numbers."""
+    """S4 + S5 + S8: shards written as text files, some with bytes that are not UTF-8, and scanned back with exact line numbers."""
+    from ..session import scratch_path
     from ..sources import textshards as TS
-    return TS.read_text_shards(spark, _text_shards_dir(spark, sf_dir)).select("shard_id", "line_no", "line")
+    path = scratch_path(spark, "raw-shards")
+    broken = F.unhex(F.lit("0A6261640AC3FF20E282FE20F09F980A")).cast("string")      # a cut, a wrong and an unfinished sequence
+    docs = X.sharded_documents(spark, sf_dir).withColumn("text", F.when(F.col("doc_id") % 7 == 0, F.concat("text", broken)).otherwise(F.col("text")))
+    TS.write_text_shards(docs, path)
+    return TS.read_text_shards(spark, path).select("shard_id", "line_no", "line")
 
 
 @query
@@ -689,6 +693,17 @@ def packed_binary(spark, sf_dir):
     return tokenbin.read_packed(spark, path).select("split", "seq_id", TK.array_digest(F.col("tokens")).alias("digest"))
 
 
+@query
+def packed_headerless(spark, sf_dir):
+    """S9 + S10: the sequences of all splits written as headerless uint16 files and read back by byte ranges."""
+    from ..session import scratch_path
+    from ..sources import tokenbin
+    path = scratch_path(spark, "headerless")
+    tokenbin.write_headerless(P.pack_sequences(_offsets(spark, sf_dir), X.FIXTURE_SEQ_LEN), path)
+    back = tokenbin.read_headerless(spark, path, X.FIXTURE_SEQ_LEN, "*.txt", padded=True, range_bytes=1 << 16)
+    return back.select(F.regexp_extract("path", "/split=([^/]+)/", 1).alias("split"), "seq_id", TK.array_digest(F.col("tokens")).alias("digest"))
+
+
 @query
 def incremental_clean(spark, sf_dir):
     """The streaming clean stage's ledger yields (equal to the batch clean_yield)."""
@@ -701,6 +716,24 @@ def incremental_clean(spark, sf_dir):
                                           F.col("docs_out").cast("long").alias("docs_out"))
 
 
+MAX_LINE = 1500
+
+
+@query
+def incremental_failures(spark, sf_dir):
+    """A run that fails the shards with a line of more than ``MAX_LINE`` characters, and a second run without that limit."""
+    from ..session import scratch_path
+    from ..streaming.incremental import incremental_clean as run
+    shards = _text_shards_dir(spark, sf_dir)
+    out, led, ck = (scratch_path(spark, n) for n in ("clean-out", "clean-ledger", "clean-ckpt"))
+    policy = T.policy_of_registry(F.col("source"), X.POLICIES)
+    too_long = F.when(F.length("line") > MAX_LINE, F.concat(F.lit("line over "), F.lit(MAX_LINE)))
+    run(spark, shards, out, led, ck, policy, faults=too_long)
+    run(spark, shards, out, led, ck, policy)
+    return spark.read.parquet(led).select(F.when(F.col("batch_id") < 0, 2).otherwise(1).alias("run"), "shard_id", "state",
+                                          F.col("docs_in").cast("long").alias("docs_in"), F.col("docs_out").cast("long").alias("docs_out"), "error")
+
+
 @query
 def stream_dedup(spark, sf_dir):
     """R2: streaming dedup; distinct kept texts per shard."""

@@ -95,7 +95,21 @@ def delete_tables(spark: SparkSession, paths: list[str]) -> None:
 
 def drop_written(spark: SparkSession) -> None:
     """Remove every table that ``materialize`` has written in this application (its results must have been used)."""
-    delete_tables(spark, _WRITTEN.pop(spark.sparkContext.applicationId, []))
+    app = spark.sparkContext.applicationId
+    delete_tables(spark, _WRITTEN.pop(app, []))
+    for key in [k for k in _SHARED if k[0] == app]:
+        del _SHARED[key]
+
+
+_SHARED: dict[tuple, DataFrame] = {}
+
+
+def shared(spark: SparkSession, name: str, key, make) -> DataFrame:
+    """What ``make`` gives, made once per application and key (until ``drop_written``): a table that several steps read."""
+    at = (spark.sparkContext.applicationId, name, key)
+    if at not in _SHARED:
+        _SHARED[at] = make()
+    return _SHARED[at]
 
 
 def drop_tables(spark: SparkSession, *tables: DataFrame) -> None:

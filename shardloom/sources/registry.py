@@ -83,11 +83,16 @@ def registry_policies(registry: list[SourceSpec]) -> dict[str, str]:
     return {s.name: s.policy for s in registry if s.name and s.policy}
 
 
-def ingest_counts(sharded: DataFrame) -> DataFrame:
-    """Documents and shards per (source, split), with subtotals and a grand total."""
-    per = (sharded.groupBy("source", "split", "shard_idx").agg(F.count(F.lit(1)).alias("docs")))
-    return (per.rollup("source", "split")
-            .agg(F.sum("docs").cast("long").alias("docs"), F.count(F.lit(1)).alias("shards")))
+def ingest_counts(docs: DataFrame, docs_per_shard: int) -> DataFrame:
+    """Documents and shards per (source, split), with subtotals and a grand total.
+
+    A (source, split) of n documents fills ceil(n / docs_per_shard) shards, so nothing is numbered or written.
+    """
+    n = F.count(F.lit(1))
+    per = docs.groupBy("source", "split").agg(n.alias("docs"))
+    shards = (F.col("docs") + F.pmod(-F.col("docs"), F.lit(docs_per_shard))) / F.lit(docs_per_shard)
+    return (per.withColumn("shards", shards.cast("long")).rollup("source", "split")
+            .agg(F.sum("docs").cast("long").alias("docs"), F.sum("shards").cast("long").alias("shards")))
 
 
 def fixture_registry(sf_dir: str) -> list[SourceSpec]:

@@ -6,7 +6,7 @@ Spark's commit protocol makes the output all-or-nothing.
 
 Read: plain line rows (CRLF, CR and LF end a line), split over tasks by file block like any text
 scan; source, split and index are partition columns, so special characters in names come back as
-written. A line's number is its place in its block plus the lines of the file's earlier blocks.
+written. Bytes that are not UTF-8 come back as U+FFFD, as a decoder that replaces errors gives them. A line's number is its place in its block plus the lines of the file's earlier blocks.
 """
 
 from __future__ import annotations
@@ -29,11 +29,11 @@ def write_text_shards(sharded_docs: DataFrame, path: str) -> None:
      .write.mode("overwrite").partitionBy("source", "split", "shard_idx").text(path))
 
 
-def shard_files(reader, path: str) -> DataFrame:
+def shard_files(reader, path: str | list[str]) -> DataFrame:
     """All lines (blank ones too) of shard files, with the file and block each comes from."""
     lines = reader.schema(SHARD_SCHEMA).format("text").option("pathGlobFilter", "*.txt").load(path)
     return lines.select("source", "split", "shard_idx", T.shard_id_expr(F.col("source"), F.col("split"), F.col("shard_idx")).alias("shard_id"),
-                        F.col("value").alias("line"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
+                        F.make_valid_utf8("value").alias("line"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
 
 
 def number_lines(lines: DataFrame) -> DataFrame:
@@ -55,6 +55,16 @@ def read_text_shards(spark: SparkSession, path: str) -> DataFrame:
     return number_lines(shard_files(spark.read, path))
 
 
+ARRIVAL_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary, source string, split string, shard_idx int"
+
+
+def stream_arrivals(spark: SparkSession, path: str, max_files_per_trigger: int = 64) -> DataFrame:
+    """(path, shard_id) of every shard file as it arrives; the files themselves are not read."""
+    files = (spark.readStream.format("binaryFile").schema(ARRIVAL_SCHEMA).option("pathGlobFilter", "*.txt")
+             .option("maxFilesPerTrigger", max_files_per_trigger).load(path))
+    return files.select("path", T.shard_id_expr(F.col("source"), F.col("split"), F.col("shard_idx")).alias("shard_id"))
+
+
 def stream_text_shards(spark: SparkSession, path: str, max_files_per_trigger: int = 64) -> DataFrame:
     """The same scan as a file stream: each new shard file is picked up once."""
     return shard_files(spark.readStream.option("maxFilesPerTrigger", max_files_per_trigger), path)

@@ -199,10 +199,3 @@ def test_encode_word_of_a_long_run_is_fast_and_exact():
     t = time.time()
     B.encode_word([rng.randrange(3) for _ in range(80000)], ranks)
     assert time.time() - t < 5
-
-
-def test_dedup_plan_aggregates_narrow_rows_by_hash(spark):
-    from shardloom.operators import dedup as D
-    plan = D.dedup_shard(X.kept_lines(spark, SF_SMALL))._jdf.queryExecution().executedPlan().toString()
-    assert "HashAggregate" in plan and "SortAggregate" not in plan and "ObjectHashAggregate" not in plan
-    assert not any("Aggregate" in line and "cleaned" in line for line in plan.splitlines())

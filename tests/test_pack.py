@@ -1,8 +1,10 @@
 """Packing invariants on hash token ids (independent of BPE)."""
+import pytest
 from pyspark.sql import functions as F
 
 from shardloom.operators import pack as P
 from shardloom.plans import fixtures as X
+from shardloom.session import materialize
 from tests.conftest import SF_SMALL
 
 L = 16
@@ -57,6 +59,22 @@ def test_training_batches_full_and_shuffled(spark):
     assert [r["seq_id"] for r in b2.orderBy("ordinal").collect()] != order
 
 
+def test_the_order_is_a_permutation_without_a_shuffle(spark):
+    for n in (1, 2, 3, 5, 65, 4097):
+        rows = spark.range(n).select(F.lit("train").alias("split"), F.col("id").alias("seq_id"))
+        got = [r["ordinal"] for r in P.training_batches(rows, 1, seed=3, epoch=n).orderBy("seq_id").collect()]
+        assert sorted(got) == list(range(n))
+        if n > 60:
+            assert len({b - a for a, b in zip(got, got[1:])}) > n // 4      # no stride
+    packed = materialize(rows, "packed")
+    plan = P.training_batches(packed, 8)._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan and "Sort" not in plan.replace("SortMerge", "")
+    assert plan.count("hashpartitioning") == 1                              # of the counts, one row per split
+    gap = spark.createDataFrame([("train", 0), ("train", 2)], "split string, seq_id long")
+    with pytest.raises(Exception, match="sequence ids"):
+        P.training_batches(gap, 1).collect()
+
+
 def test_uint16_guard(spark):
     df = spark.createDataFrame([(0, [1, 2]), (1, [70000])], "seq_id long, tokens array<int>")
     assert [r["seq_id"] for r in P.check_uint16(df).collect()] == [1]

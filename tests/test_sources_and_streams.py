@@ -118,8 +118,85 @@ def test_late_events_are_counted(spark):
     assert EV.total_windows(spark.read.parquet(out)).agg(F.sum("n")).first()[0] == 1000
 
 
+def shard_names(spark, path):
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(path)
+    return sorted(tuple(r) for r in files.select("path", T.shard_id_expr(F.col("source"), F.col("split"), F.col("shard_idx"))).collect())
+
+
+def test_a_bad_shard_fails_alone_and_is_tried_again(spark):
+    """One shard makes its task raise, one has a line with a fault; the others are done, and the next run does those two only."""
+    from shardloom.streaming.incremental import incremental_clean, read_ledger
+    shards, out, led, ck = (scratch_path(spark, n) for n in ("bad-shards", "o", "l", "c"))
+    good = "This is a sentence that is long enough to pass the quality gate, with letters and spaces only, number {}."
+    texts = [(f"src{i}", "train", 0, i, (good.format(i) + "\n") * 2) for i in range(9)]
+    texts[4] = ("src4", "train", 0, 4, good.format(4) + "\nfaulty line")
+    TS.write_text_shards(spark.createDataFrame(texts, "source string, split string, shard_idx int, doc_id long, text string"), shards)
+    poisoned = F.when(F.col("source") == "src7", F.raise_error(F.lit("poisoned shard")).cast("string")).otherwise("default")
+    fault = F.when(F.col("line").startswith("faulty"), F.lit("a faulty line"))
+    incremental_clean(spark, shards, out, led, ck, poisoned, max_files_per_trigger=5, faults=fault)
+    state = {r["shard_id"]: (r["state"], r["docs_out"], r["error"]) for r in read_ledger(spark, led).collect()}
+    assert len(state) == 9 and {s for s, r in state.items() if r[0] == "failed"} == {"src4__train__000000", "src7__train__000000"}
+    assert state["src4__train__000000"][1:] == (0, "a faulty line") and "poisoned shard" in state["src7__train__000000"][2]
+    assert all(r == ("done", 1, "") for r in state.values() if r[0] == "done")
+    assert {r["source"] for r in spark.read.parquet(out).collect()} == {f"src{i}" for i in range(9)} - {"src4", "src7"}
+    before = spark.read.parquet(led).count()
+    incremental_clean(spark, shards, out, led, ck, F.lit("default"), max_files_per_trigger=5)
+    rows = spark.read.parquet(led)
+    assert rows.count() == before + 2 and {r["state"] for r in read_ledger(spark, led).collect()} == {"done"}
+    assert spark.read.parquet(out).count() == 9
+    incremental_clean(spark, shards, out, led, ck, F.lit("default"))
+    assert spark.read.parquet(led).count() == before + 2
+
+
+def test_broken_bytes_become_replacement_characters(spark):
+    path = scratch_path(spark, "bytes")
+    raw = [b"bad \xff\xfe byte", b"cut \xe2\x82", b"\xf0\x9f\x98\x80 fine", b"\xc0\xaf over"]
+    rows = spark.createDataFrame([("a", "train", 0, i, x) for i, x in enumerate(raw)], "source string, split string, shard_idx int, doc_id long, b binary")
+    TS.write_text_shards(rows.withColumn("text", F.col("b").cast("string")), path)
+    got = [r["line"] for r in TS.read_text_shards(spark, path).orderBy("line_no").collect()]
+    assert got == [x.decode("utf-8", errors="replace") for x in raw]
+
+
+def test_headerless_files_are_read_by_several_tasks(spark):
+    from shardloom.sources import rawfiles, tokenbin
+    rows = [("train" if i % 3 else "test", i // 3 if i % 3 == 0 else i - i // 3 - 1, [(i * 7 + k) % 65536 for k in range(8)]) for i in range(400)]
+    packed = spark.createDataFrame(rows, "split string, seq_id long, tokens array<int>")
+    path = scratch_path(spark, "headerless")
+    tokenbin.write_headerless(packed, path, 3)
+    back = tokenbin.read_headerless(spark, path, 8, "*.txt", padded=True, range_bytes=200)
+    got = sorted((r["path"].split("split=")[1].split("/")[0], r["seq_id"], list(r["tokens"])) for r in back.collect())
+    assert got == sorted(rows)
+    files = rawfiles.list_raw(spark, path, "*.txt")
+    ranges = rawfiles.byte_ranges(files, 18, 200)
+    assert ranges.count() > 2 * files.count() and {r["size"] % 18 for r in ranges.collect()} == {0}
+    assert ranges.select(F.spark_partition_id()).distinct().count() > 1
+
+
+def test_checksums_of_files_read_in_chunks(spark):
+    import hashlib
+    import os
+    import tempfile
+
+    from shardloom.operators.integrity import file_checksums
+    d = tempfile.mkdtemp(prefix="sums-", dir="/tmp")
+    data = {"a b%20.bin": os.urandom(100_000), "small.bin": b"xyz"}
+    for name, content in data.items():
+        with open(os.path.join(d, name), "wb") as f:
+            f.write(content)
+    for limit in (1 << 30, 1000, 0):
+        got = {os.path.basename(r["path"]): (r["length"], r["file_checksum"]) for r in file_checksums(spark, d, "*.bin", streamed=limit).collect()}
+        assert got == {n: (len(c), hashlib.sha256(c).hexdigest()) for n, c in data.items()}
+
+
+def test_shards_follow_from_counts(spark):
+    docs = spark.createDataFrame([("a", "train", i) for i in range(10)] + [("a", "test", 0), ("b", "train", 1), ("b", "train", None)], "source string, split string, doc_id long")
+    for size in (1, 3, 5, 50):
+        numbered = {tuple(r) for r in S.assign_shards(docs, size).select("source", "split", "shard_idx", "shard_id").collect()}
+        assert sorted(map(tuple, S.shards_of(docs, size).collect())) == sorted(numbered)
+
+
 def test_text_shards_and_incremental_clean(spark):
-    from shardloom.streaming.incremental import incremental_clean, write_batch
+    from shardloom.streaming.incremental import incremental_clean, write_files
     shards = scratch_path(spark, "t-shards")
     TS.write_text_shards(X.sharded_documents(spark, SF_SMALL), shards)
     lines = TS.read_text_shards(spark, shards)
@@ -139,7 +216,7 @@ def test_text_shards_and_incremental_clean(spark):
                                                "source string, split string, shard_idx int, doc_id long, text string"), one)
     o2, l2 = scratch_path(spark, "o"), scratch_path(spark, "l")
     for _ in range(2):
-        write_batch(TS.shard_files(spark.read, one), 0, policy, o2, l2)
+        write_files(spark, one, shard_names(spark, one), 0, policy, o2, l2)
     assert sorted((r["shard_id"], r["docs_in"]) for r in spark.read.parquet(l2).collect()) == [("src0__train__000000", 0), ("src0__train__000001", 1)]
     # rerun: the checkpoint says every file is done, nothing is processed again
     incremental_clean(spark, shards, out, led, ck, policy)
