@@ -28,7 +28,7 @@ from shardloom.llm import token_cache
 CAPACITY = 1024
 END_ID = 0
 TOKEN_SLICE = 2 << 20  # bytes of text that are tokenized at once
-CACHE_PARTS = 150_000  # of the token cache: packing shares its workers with the stages before it
+CACHE_PARTS = 150_000  # of the token cache, where packing shares its workers with other stages; results do not depend on it
 FIELDS = ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"]
 SCHEMA = "doc_id bigint, start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, offset bigint"
 
@@ -74,9 +74,9 @@ class Bins:
         yield from carried
 
 
-def _pack(path: str, capacity: int, end_id: int):
+def _pack(path: str, capacity: int, end_id: int, cache_parts: int):
     def pack(batches):
-        tokens, bins = token_cache.encoder(path, CACHE_PARTS), Bins(capacity)
+        tokens, bins = token_cache.encoder(path, cache_parts), Bins(capacity)
         partition, made = TaskContext.get().partitionId(), 0
         rows: list[tuple] = []
 
@@ -114,10 +114,10 @@ def _pack(path: str, capacity: int, end_id: int):
     return pack
 
 
-def pack_documents(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
+def pack_documents(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END_ID, cache_parts: int = CACHE_PARTS) -> DataFrame:
     """Pieces (``FIELDS``) of all documents (doc_id, text); ``ids`` are little-endian unsigned 32-bit."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(_pack(path, capacity, end_id), SCHEMA)
+    return rows.mapInArrow(_pack(path, capacity, end_id, cache_parts), SCHEMA)
 
 
 def piece_digests(pieces: DataFrame) -> DataFrame:

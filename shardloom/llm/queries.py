@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from shardloom.llm import common as C
 from shardloom.llm import (bpe_backtrack, harmonic_pack, html_extract, language_id, near_dup, periodic_runs, pu_toxicity, quality_rules,
-                           rans, rff_quality, spelling, suffix_dedup, topk)
+                           rans, rff_quality, spelling, suffix_dedup, token_cache, topk)
 from shardloom.llm.token_cache import tokenizer_file
 
 WORD_VOCAB, BYTE_VOCAB = "word_bpe_49k.json", "byte_bpe_50k.json"
@@ -60,7 +60,7 @@ def op6_bpe_backtrack(spark, sf_dir):
 
 
 def op7_harmonic_pack(spark, sf_dir):
-    pieces = harmonic_pack.pack_documents(documents(spark, sf_dir), tokenizer_file(BYTE_VOCAB))
+    pieces = harmonic_pack.pack_documents(documents(spark, sf_dir), tokenizer_file(BYTE_VOCAB), cache_parts=token_cache.CACHE_PARTS)
     return harmonic_pack.piece_digests(pieces)
 
 
