@@ -112,6 +112,18 @@ def byte_slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) ->
     release_memory()
 
 
+def joined(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.RecordBatch]:
+    """Batches in a row, put together up to about ``limit`` bytes (one batch at least)."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if held and sum(b.nbytes for b in held) + batch.nbytes > limit:
+            yield pa.concat_batches(held)
+            held = []
+        held.append(batch)
+    if held:
+        yield pa.concat_batches(held)
+
+
 def binary_rows(flat: np.ndarray, offsets: np.ndarray) -> pa.Array:
     """A binary column whose row i is the bytes of ``flat[offsets[i]:offsets[i + 1]]``."""
     at = (offsets * flat.itemsize).astype(np.int32)

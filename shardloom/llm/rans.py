@@ -41,7 +41,7 @@ SCALE_BITS = 20
 CHECKPOINT = 64
 BLOCK_IDS = 1 << 20
 END_ID = 1
-TOKEN_SLICE = 4 << 20  # bytes of text that are tokenized at once
+TOKEN_SLICE = 8 << 20  # bytes of text that are tokenized at once
 LOW = np.uint64(1 << 32)
 
 
@@ -148,7 +148,7 @@ def token_ids(docs: DataFrame, path: str, size: int, end_id: int = END_ID) -> Da
     """
     def run(batches):
         tokens, total = token_cache.encoder(path), np.zeros(size, np.int64)
-        for batch in batches:
+        for batch in C.joined(batches, TOKEN_SLICE):
             for part, _, _ in C.byte_slices(batch, "text", TOKEN_SLICE):
                 ids, offsets = tokens.encode_rows(part.column("text"), end_id)
                 total += np.bincount(ids, minlength=size)

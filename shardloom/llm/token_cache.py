@@ -58,15 +58,11 @@ def assemble(texts: pa.Array, lookup: Callable[[list[str]], list[bytes]], width:
     """Ids (``width`` bytes each) of all texts in a row and the texts' offsets; ``lookup`` knows the distinct parts."""
     parts = pc.split_pattern(texts, " ")
     coded = pc.dictionary_encode(parts.flatten())
-    known = lookup(coded.dictionary.to_pylist())
-    size = np.array([len(k) // width for k in known], np.int64)
-    body = np.frombuffer(b"".join(known), f"<u{width}")
-    at = coded.indices.to_numpy()
-    n = size[at]
-    ends = np.concatenate(([0], np.cumsum(n)))
-    place = np.repeat((np.cumsum(size) - size)[at] - ends[:-1], n)
-    place += np.arange(len(place))
-    return body[place], ends[parts.offsets.to_numpy() - parts.offsets[0].as_py()]
+    known = lookup(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+    # Taking binary values puts the parts' ids one after the other in one buffer.
+    taken = pa.array(known, pa.binary()).take(coded.indices)
+    data, offsets = C.text_view(taken)
+    return data.view(f"<u{width}"), offsets[parts.offsets.to_numpy() - parts.offsets[0].as_py()] // width
 
 
 class PartEncoder:
