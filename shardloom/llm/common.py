@@ -224,5 +224,11 @@ def discard(spark: SparkSession, *tables: DataFrame) -> None:
         for folder in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
             path = spark._jvm.org.apache.hadoop.fs.Path(folder)
             path.getFileSystem(hadoop).delete(path, True)
+    collect_garbage(spark)
+
+
+def collect_garbage(spark: SparkSession) -> None:
+    """Let go of the driver's unused objects, and with them of shuffle files and broadcasts that nothing refers to."""
     gc.collect()
+    release_memory()
     spark._jvm.System.gc()

@@ -195,21 +195,38 @@ def fit_quality(docs: DataFrame, labels: DataFrame, *, target: str = "quality",
                 steps: int = 80, rate: float = 0.5, ridge: float = 1e-6) -> QualityModel:
     """Logistic regression on the labelled sample; every fourth row is kept for the calibration.
 
-    The rows are turned into features by Spark tasks; the driver receives at most ``max_rows``
-    sparse vectors (the documented bound of the fit), never texts.
+    The rows are turned into features by Spark tasks and reach one task, which fits (at most ``max_rows``
+    sparse vectors, the documented bound of the fit); the driver receives the weights only.
     """
     sample = labelled_sample(docs, labels, target, max_rows)
-    got = sample.mapInArrow(_featurise, "key bigint, y bigint, idx binary, val binary").toArrow()
-    got = got.take(pc.sort_indices(got, [("key", "ascending"), ("y", "ascending")])).combine_chunks()
-    y = got["y"].to_numpy().astype(float)
+    features = sample.mapInArrow(_featurise, "key bigint, y bigint, idx binary, val binary")
+
+    def fit(rows: pa.Table) -> pa.Table:
+        model = fit_rows(rows, steps, rate, ridge)
+        C.release_memory()
+        weights = None if model.weights is None else model.weights.astype("<f4").tobytes()
+        return pa.table({"weights": pa.array([weights], pa.binary()), "bias": [model.bias], "slope": [model.slope], "shift": [model.shift]})
+
+    # The group is the sample, which the fit bounds.
+    got = features.withColumn("fit", F.lit(0)).groupBy("fit").applyInArrow(fit, "weights binary, bias double, slope double, shift double").first()
+    if got is None or got["weights"] is None:
+        return QualityModel(None)
+    return QualityModel(np.frombuffer(got["weights"], "<f4"), got["bias"], got["slope"], got["shift"])
+
+
+def fit_rows(got: pa.Table, steps: int, rate: float, ridge: float) -> QualityModel:
+    """The fit over rows of (key, y, idx, val)."""
+    order = pc.sort_indices(got, [("key", "ascending"), ("y", "ascending")])
+    y = got["y"].take(order).to_numpy().astype(float)
     held = np.arange(len(y)) % 4 == 3
     if len(set(y[~held])) < 2 or len(set(y[held])) < 2:
         held[:] = False
     if len(set(y)) < 2:
         return QualityModel(None)
-    cols, at = (np.frombuffer(x.tobytes(), kind) if kind else x // 4 for x, kind in zip(C.text_view(got["idx"]), ("<i4", None)))
-    vals = np.frombuffer(C.text_view(got["val"])[0].tobytes(), "<f4")
+    cols, at = C.text_view(got["idx"].take(order))
+    vals, _ = C.text_view(got["val"].take(order))
     del got
+    cols, vals, at = cols.view("<i4"), vals.view("<f4"), at // 4
 
     def chunks(size: int = 256):
         for i in range(0, len(y), size):
