@@ -72,4 +72,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = C.read_table(spark, sf_dir, "documents")
     for _, stage in STAGES:
         docs = C.materialize(stage(spark, docs, sf_dir), "pipeline")
+        C.collect_garbage(spark)  # a stage's plans and results; the driver's heap shrinks
     return docs
