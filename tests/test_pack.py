@@ -75,6 +75,19 @@ def test_the_order_is_a_permutation_without_a_shuffle(spark):
         P.training_batches(gap, 1).collect()
 
 
+def test_the_query_sorts_its_batches_by_a_hash(spark):
+    """The order of the query is the sorted one of its SQL, whatever the ids are (a keyed permutation would need 0 to n - 1)."""
+    import hashlib
+    from shardloom.plans.queries import REGISTRY
+    got = [(r["seq_id"], r["ordinal"]) for r in REGISTRY["training_batches"](spark, SF_SMALL).filter("split = 'train'").collect()]
+    ids = [r["seq_id"] for r in P.sequence_numbers(X.hash_token_table(spark, SF_SMALL), X.FIXTURE_SEQ_LEN).filter("split = 'train'").collect()]
+    order = sorted(ids, key=lambda i: hashlib.md5(f"7:0:{i}".encode()).hexdigest())
+    assert sorted(got, key=lambda x: x[1]) == [(i, k) for k, i in enumerate(order[:len(order) // 8 * 8])]
+    gap = spark.createDataFrame([("train", 5), ("train", 2), ("test", 9), ("test", 4)], "split string, seq_id long")
+    rows = P.training_batches(gap, 1, order_key=F.lpad(F.col("seq_id").cast("string"), 3, "0")).collect()
+    assert sorted((r["split"], r["seq_id"], r["ordinal"]) for r in rows) == [("test", 4, 0), ("test", 9, 1), ("train", 2, 0), ("train", 5, 1)]
+
+
 def test_uint16_guard(spark):
     df = spark.createDataFrame([(0, [1, 2]), (1, [70000])], "seq_id long, tokens array<int>")
     assert [r["seq_id"] for r in P.check_uint16(df).collect()] == [1]
