@@ -12,6 +12,7 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import listing
 from ..sources.rawfiles import dealt, sha256_of
 from . import ledger as L
 
@@ -34,7 +35,9 @@ def list_files(spark: SparkSession, root: str, glob: str | None = None) -> DataF
     r = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob:
         r = r.option("pathGlobFilter", glob)
-    return r.load(root).select("path", "length", "modificationTime")
+    with listing(spark):
+        files = r.load(root)
+    return files.select("path", "length", "modificationTime")
 
 
 #: Files of this size or more are read in chunks; smaller ones are rows of ``binaryFile``.
@@ -49,7 +52,8 @@ def file_checksums(spark: SparkSession, root: str, glob: str | None = None, stre
     r = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob:
         r = r.option("pathGlobFilter", glob)
-    files = r.load(root)
+    with listing(spark):
+        files = r.load(root)
     small = files.filter(F.col("length") < streamed).select("path", "length", F.sha2(F.col("content"), 256).alias("file_checksum"))
     large = files.select("path", "length").filter(F.col("length") >= streamed)
     return small.unionByName(sha256_of(dealt(large, "path")))

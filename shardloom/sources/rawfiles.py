@@ -14,11 +14,22 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import listing
+
 RANGE_BYTES = 32 << 20
 CHUNK_BYTES = 8 << 20
 MOST_TASKS = 10_000
 
 
+def raw_folder(path: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a path with its scheme, and the path there (``file:`` paths are local or mounted ones)."""
+    scheme, _, rest = path.partition(":")
+    if scheme == "file":
+        return fs.LocalFileSystem(), "/" + rest.strip("/")
+    system, name = fs.FileSystem.from_uri(quote(path, safe="/:@"))
+    return system, name.rstrip("/")
+
+
 def open_raw(path: str) -> pa.NativeFile:
     """A file by the name that Spark gives it; ``file:`` names are local (or mounted) paths, others go by their scheme."""
     scheme, _, rest = path.partition(":")
@@ -30,8 +41,9 @@ def open_raw(path: str) -> pa.NativeFile:
 
 def list_raw(spark: SparkSession, path: str, pattern: str) -> DataFrame:
     """(path, length) of the files under a folder."""
-    return (spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(path)
-            .select("path", "length"))
+    with listing(spark):
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(path)
+    return files.select("path", "length")
 
 
 def byte_ranges(files: DataFrame, unit: int, range_bytes: int = RANGE_BYTES) -> DataFrame:

@@ -1,8 +1,10 @@
 """Line-oriented text shards.
 
 Write: one text file per shard under ``source=/split=/shard_idx=`` folders; a shard's documents go
-to one task (hash partitioned by shard, sorted by document), so its file holds them in order.
-Spark's commit protocol makes the output all-or-nothing.
+to one task (hash partitioned by shard, sorted by document), so its file holds them in order. The task
+itself writes the file under another name and renames it when it is whole: a file of shards is small and there are
+very many, and Spark's writer creates, commits and moves each by itself (the moves one after the other on the
+driver). A repeated task writes the same names again; ``_SUCCESS`` is written when all tasks are through.
 
 Read: plain line rows (CRLF, CR and LF end a line), split over tasks by file block like any text
 scan; source, split and index are partition columns, so special characters in names come back as
@@ -11,22 +13,78 @@ written. Bytes that are not UTF-8 come back as U+FFFD, as a decoder that replace
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..session import materialize
+from ..session import delete_tables, listing, materialize, whole_path
+from .rawfiles import raw_folder
 
 SHARD_SCHEMA = "value string, source string, split string, shard_idx int"
 
 
+#: Characters that Spark escapes in the folder names of partitions, besides control characters.
+_ESCAPED = set("\"#%'*/:=?\\{[]^\x7f")
+
+
+def folder_of(source: str | None, split: str | None, shard_idx: int | None) -> str:
+    """The shard's folder as Spark's partition discovery reads it."""
+    def part(name, value):
+        text = "" if value is None else str(value)
+        plain = "".join(f"%{ord(c):02X}" if c in _ESCAPED or "\x00" < c < " " else c for c in text)
+        return f"{name}={plain or '__HIVE_DEFAULT_PARTITION__'}"
+
+    return "/".join(part(n, v) for n, v in (("source", source), ("split", split), ("shard_idx", shard_idx)))
+
+
+SHARD_NAME = "shard.txt"
+
+
+def _shard_writer(root: str):
+    """Writes the files of shards that come sorted, one open at a time; a row (files) per task."""
+    def run(batches):
+        system, base = raw_folder(root)
+        now = out = at = None
+        n = 0
+
+        def close():
+            out.close()
+            system.move(f"{at}/.{SHARD_NAME}.part", f"{at}/{SHARD_NAME}")
+
+        for batch in batches:
+            keys = list(zip(*(batch.column(c).to_pylist() for c in ("source", "split", "shard_idx"))))
+            text = batch.column("text").to_pylist()
+            starts = [i for i in range(len(keys)) if i == 0 or keys[i] != keys[i - 1]]
+            for first, end in zip(starts, [*starts[1:], len(keys)]):
+                if out is None or keys[first] != now:
+                    if out is not None:
+                        close()
+                    now, at, n = keys[first], f"{base}/{folder_of(*keys[first])}", n + 1
+                    system.create_dir(at, recursive=True)
+                    out = system.open_output_stream(f"{at}/.{SHARD_NAME}.part")
+                for value in text[first:end]:
+                    out.write((value or b"") + b"\n")
+        if out is not None:
+            close()
+        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], names=["files"])
+
+    return run
+
+
 def write_text_shards(sharded_docs: DataFrame, path: str) -> None:
-    """(source, split, shard_idx, doc_id, text) -> text files, one per shard."""
-    (sharded_docs.select("source", "split", "shard_idx", "doc_id", "text")
+    """(source, split, shard_idx, doc_id, text) -> text files, one per shard; a null text is an empty line."""
+    spark = sharded_docs.sparkSession
+    root = whole_path(spark, path)
+    delete_tables(spark, [root])
+    (sharded_docs.select("source", "split", "shard_idx", "doc_id", F.col("text").cast("binary").alias("text"))
      .repartition("source", "split", "shard_idx")
      .sortWithinPartitions("source", "split", "shard_idx", "doc_id")
-     .select(F.col("text").alias("value"), "source", "split", "shard_idx")
-     .write.mode("overwrite").partitionBy("source", "split", "shard_idx").text(path))
+     .select("source", "split", "shard_idx", "text")
+     .mapInArrow(_shard_writer(root), "files bigint").agg(F.sum("files")).collect())
+    system, base = raw_folder(root)
+    system.create_dir(base, recursive=True)
+    system.open_output_stream(f"{base}/_SUCCESS").close()
 
 
 def shard_files(reader, path: str | list[str]) -> DataFrame:
@@ -52,19 +110,25 @@ def number_lines(lines: DataFrame) -> DataFrame:
 
 def read_text_shards(spark: SparkSession, path: str) -> DataFrame:
     """Non-blank lines with (shard_id, line_no)."""
-    return number_lines(shard_files(spark.read, path))
+    with listing(spark):
+        lines = shard_files(spark.read, path)
+    return number_lines(lines)
+
 
+#: Files of a micro-batch, whose names the driver holds. A batch costs some twenty jobs whatever is in it, and shard files are
+#: small: with a few files a batch the jobs, not the shards, would make up the time.
+FILES_PER_BATCH = 32_768
 
 ARRIVAL_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary, source string, split string, shard_idx int"
 
 
-def stream_arrivals(spark: SparkSession, path: str, max_files_per_trigger: int = 64) -> DataFrame:
+def stream_arrivals(spark: SparkSession, path: str, max_files_per_trigger: int = FILES_PER_BATCH) -> DataFrame:
     """(path, shard_id) of every shard file as it arrives; the files themselves are not read."""
     files = (spark.readStream.format("binaryFile").schema(ARRIVAL_SCHEMA).option("pathGlobFilter", "*.txt")
              .option("maxFilesPerTrigger", max_files_per_trigger).load(path))
     return files.select("path", T.shard_id_expr(F.col("source"), F.col("split"), F.col("shard_idx")).alias("shard_id"))
 
 
-def stream_text_shards(spark: SparkSession, path: str, max_files_per_trigger: int = 64) -> DataFrame:
+def stream_text_shards(spark: SparkSession, path: str, max_files_per_trigger: int = FILES_PER_BATCH) -> DataFrame:
     """The same scan as a file stream: each new shard file is picked up once."""
     return shard_files(spark.readStream.option("maxFilesPerTrigger", max_files_per_trigger), path)
