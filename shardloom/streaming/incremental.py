@@ -10,9 +10,9 @@ a shard that cannot be read or cleaned is left out by its name:
 * where a batch ends in an exception, its halves are tried by themselves, and so on: a bad shard among n costs
   about 2 log2(n) more jobs, and the others are done.
 
-Each batch writes the cleaned rows as one table partition per shard and one ledger row per shard
-(``done`` or ``failed`` with its message) as the ledger partition of the batch; both overwrite
-their partitions, so a replayed batch leaves the same rows. Every run starts with the shards whose last
+Each batch writes the cleaned rows and one ledger row per shard (``done`` or ``failed`` with its
+message) as the batch's partition of the table and of the ledger; both overwrite
+their partition, so a replayed batch leaves the same rows. Every run starts with the shards whose last
 state is ``failed`` and tries them again. A shard without any text has a ledger row too.
 """
 
@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 from ..operators import clean as C
 from ..operators import dedup as D
-from ..session import materialize
+from ..session import listing, materialize
 from ..sources import textshards as TS
 
 
@@ -73,24 +73,25 @@ KEPT_SCHEMA = "source string, split string, shard_idx int, shard_id string, line
 def write_files(spark: SparkSession, root: str, files: list[tuple[str, str]], batch_id: int, policy: Column, out_path: str,
                 ledger_path: str, faults: Column | None = None) -> None:
     """Cleans (path, shard_id) files and writes rows and ledger of a batch; a second call with the same batch changes nothing."""
-    def put(df: DataFrame, path: str, *by: str) -> None:
-        df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
+    def put(df: DataFrame, path: str) -> None:
+        (df.withColumn("batch_id", F.lit(batch_id).cast("long"))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path))
 
-    parts, broken = clean_files(spark, root, files, policy, faults)
+    with listing(spark):
+        parts, broken = clean_files(spark, root, files, policy, faults)
     outcome = spark.createDataFrame(broken, "shard_id string, error string")
     outcome = outcome.select("shard_id", F.lit(0).cast("long").alias("docs_in"), F.lit(0).cast("long").alias("docs_out"), F.lit("").alias("checksum"), "error")
     rows = spark.createDataFrame([], KEPT_SCHEMA)
     for kept, result in parts:
         outcome, rows = outcome.unionByName(result.select(*outcome.columns)), rows.unionByName(kept.select(*rows.columns))
-    put(rows, out_path, "source", "split", "shard_idx")
+    put(rows, out_path)
     names = spark.createDataFrame(files, "input_path string, shard_id string")
     y = names.join(outcome, "shard_id", "left")
     error = F.coalesce("error", F.lit(""))
     put(y.select(F.lit("clean").alias("stage"), "shard_id", F.when(error == "", "done").otherwise("failed").alias("state"), F.lit(out_path).alias("output_path"),
                  F.coalesce("checksum", F.lit("")).alias("checksum"), F.coalesce("docs_out", F.lit(0)).cast("long").alias("token_count"),
                  F.coalesce("docs_in", F.lit(0)).cast("long").alias("docs_in"), F.coalesce("docs_out", F.lit(0)).cast("long").alias("docs_out"),
-                 F.lit(time.time()).alias("updated_at"), error.alias("error"), "input_path", F.lit(batch_id).cast("long").alias("batch_id")),
-        ledger_path, "batch_id")
+                 F.lit(time.time()).alias("updated_at"), error.alias("error"), "input_path"), ledger_path)
 
 
 def read_ledger(spark: SparkSession, ledger_path: str) -> DataFrame:
@@ -101,7 +102,7 @@ def read_ledger(spark: SparkSession, ledger_path: str) -> DataFrame:
 
 
 def retry_failed(spark: SparkSession, root: str, out_path: str, ledger_path: str, policy: Column, faults: Column | None = None,
-                 max_files: int = 64) -> int:
+                 max_files: int = TS.FILES_PER_BATCH) -> int:
     """Cleans the shards whose last state is ``failed`` again, ``max_files`` at a time; how many there were.
 
     A pass is a batch with a negative id in the ledger, below all earlier ones.
@@ -122,7 +123,7 @@ def retry_failed(spark: SparkSession, root: str, out_path: str, ledger_path: str
 
 
 def incremental_clean(spark: SparkSession, shards_path: str, out_path: str, ledger_path: str,
-                      checkpoint: str, policy: Column, max_files_per_trigger: int = 64, faults: Column | None = None):
+                      checkpoint: str, policy: Column, max_files_per_trigger: int = TS.FILES_PER_BATCH, faults: Column | None = None):
     """Try failed shards again, then run until every available shard is cleaned; returns the finished query."""
     retry_failed(spark, shards_path, out_path, ledger_path, policy, faults, max_files_per_trigger)
 
@@ -131,26 +132,29 @@ def incremental_clean(spark: SparkSession, shards_path: str, out_path: str, ledg
         if files:
             write_files(spark, shards_path, files, batch_id, policy, out_path, ledger_path, faults)
 
-    files = TS.stream_arrivals(spark, shards_path, max_files_per_trigger)
-    q = files.writeStream.foreachBatch(batch_of).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    q.awaitTermination()
+    with listing(spark):
+        files = TS.stream_arrivals(spark, shards_path, max_files_per_trigger)
+        q = files.writeStream.foreachBatch(batch_of).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        q.awaitTermination()
     return q
 
 
 def streaming_dedup(spark: SparkSession, shards_path: str, out_path: str, checkpoint: str, policy: Column,
-                    max_files_per_trigger: int = 64):
+                    max_files_per_trigger: int = TS.FILES_PER_BATCH):
     """R2: distinct kept texts per shard over a stream of shard files, without state that grows.
 
     A shard is one file and so never spans two batches; each batch writes the distinct (shard,
     sha1) of its shards as its own partition.
     """
-    lines = TS.stream_text_shards(spark, shards_path, max_files_per_trigger).filter(T.not_blank(F.col("line")))
+    with listing(spark):
+        lines = TS.stream_text_shards(spark, shards_path, max_files_per_trigger).filter(T.not_blank(F.col("line")))
     cleaned = C.clean_lines(lines, policy).filter("kept").select("shard_id", "sha1")
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         (batch.distinct().withColumn("batch_id", F.lit(batch_id).cast("long"))
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(out_path))
 
-    q = (cleaned.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
-    q.awaitTermination()
+    with listing(spark):
+        q = cleaned.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        q.awaitTermination()
     return q

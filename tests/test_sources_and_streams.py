@@ -238,3 +238,54 @@ def test_running_aggregates_hot_group(spark):
     a = sorted(tuple(r) for r in got.select("g", "o", "mn", "ls", "ct").collect())
     b = sorted(tuple(r) for r in ref.collect())
     assert a == b
+
+
+def test_many_shards_in_a_batch_and_few_listing_tasks(spark):
+    """More shards than folders that Spark lists by itself: they are read and cleaned in one batch, and listed by few tasks."""
+    from shardloom.streaming.incremental import incremental_clean, streaming_dedup
+    shards, out, led, ck, dd, ck2 = (scratch_path(spark, n) for n in ("many", "o", "l", "c", "d", "c2"))
+    text = "This is a sentence that is long enough to pass the quality gate, with letters and spaces only, number {}."
+    docs = [("src0", "train", i, i, (text.format(i) + "\n") * 2) for i in range(150)]
+    TS.write_text_shards(spark.createDataFrame(docs, "source string, split string, shard_idx int, doc_id long, text string"), shards)
+    tracker, conf = spark.sparkContext.statusTracker(), "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(conf)
+    spark.sparkContext.setJobGroup("listing", "listing")
+    try:
+        assert TS.read_text_shards(spark, shards).count() == 300
+        tasks = [tracker.getStageInfo(s).numTasks for j in tracker.getJobIdsForGroup("listing") for s in tracker.getJobInfo(j).stageIds if tracker.getStageInfo(s)]
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+    assert max(tasks) < 150 and spark.conf.get(conf) == before
+    incremental_clean(spark, shards, out, led, ck, F.lit("default"))
+    rows = spark.read.parquet(led).collect()
+    assert len(rows) == 150 and {r["batch_id"] for r in rows} == {0} and {(r["docs_in"], r["docs_out"]) for r in rows} == {(2, 1)}
+    assert spark.read.parquet(out).count() == 150
+    streaming_dedup(spark, shards, dd, ck2, F.lit("default"))
+    assert {(r["batch_id"], r["shard_id"]) for r in spark.read.parquet(dd).collect()} == {(0, f"src0__train__{i:06d}") for i in range(150)}
+
+
+def test_shard_files_hold_the_rows_as_spark_writes_them(spark):
+    """Folders, null names, null texts and bytes as Spark's own writer has them; a second write replaces the first."""
+    rows = spark.createDataFrame([("a b:c%/[x]=?*'#", "t\u00e9", 3, 2, "two\nlines"), ("a b:c%/[x]=?*'#", "t\u00e9", 3, 1, None), ("", None, 0, 1, "x"), (None, "s", None, None, "")],
+                                 "source string, split string, shard_idx int, doc_id long, text string")
+    ours, theirs = scratch_path(spark, "ours"), scratch_path(spark, "theirs")
+    TS.write_text_shards(rows.withColumn("text", F.lit("old")), ours)
+    TS.write_text_shards(rows, ours)
+    (rows.repartition("source", "split", "shard_idx").sortWithinPartitions("source", "split", "shard_idx", "doc_id")
+     .select(F.col("text").alias("value"), "source", "split", "shard_idx").write.partitionBy("source", "split", "shard_idx").text(theirs))
+
+    def found(path):
+        root = path.replace("file:", "")
+        return sorted((os.path.relpath(d, root), open(os.path.join(d, f), "rb").read()) for d, _, names in os.walk(root) for f in names if f.endswith(".txt"))
+
+    assert found(ours) == found(theirs) and len(found(ours)) == 3
+
+
+def test_contents_of_shards_without_a_group(spark):
+    import hashlib
+    path = scratch_path(spark, "shard-docs")
+    docs = [(7, "b\n"), (3, "a"), (3, "A"), (9, None), (1, "\u00e9"), (None, "z")]
+    spark.createDataFrame([(i, t, "src1") for i, t in docs], "doc_id long, text string, source string").write.parquet(path + "/documents.parquet")
+    first, rest = "z\n\u00e9\nA\na\nb\n\n".encode(), b""
+    got = {r["shard_id"]: (r["length"], r["checksum"]) for r in X.shard_contents(spark, path).collect()}
+    assert got == {f"src1__train__{i:06d}": (len(b), hashlib.sha256(b).hexdigest()) for i, b in enumerate((first, rest))}
