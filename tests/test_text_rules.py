@@ -79,3 +79,20 @@ def test_nfkc_keeps_every_row(spark):
     df = spark.createDataFrame([(i, a) for i, (a, _) in enumerate(cases)], "i int, t string")
     got = {r["i"]: r["t"] for r in PT.nfkc_frame(df, "t").collect()}
     assert got == {i: b for i, (_, b) in enumerate(cases)}
+
+
+def test_rules_over_every_kind_of_character(spark):
+    """The Latin-1 forms of the rules agree with the definitions over Python's str."""
+    import sys
+    marks = [chr(i) for i in range(1, 256)] + [chr(i) for i in range(256, sys.maxunicode + 1) if chr(i).isspace() or chr(i).isdigit()][:400] + list("\u0142\u4e2d\u20ac\U0001f600")
+    texts = [f"a{x}{x} b @-@ [1] {y}" for x in marks for y in ("", "\u4e2d")] + ["", " ", "  a  ", "a b", "\r\n", "a\tb", "x@,@y@.@z", "[12] [Citation needed] z[", "[[3]]"]
+    got = spark.createDataFrame(list(enumerate(texts)), "i int, t string").select(
+        "i", T.normalize_text(F.col("t")).alias("n"), T.alpha_count(F.col("t")).alias("a"), T.digit_count(F.col("t")).alias("d"),
+        T.fix_wiki_artifacts(F.col("t")).alias("w"), T.remove_citations(F.col("t")).alias("c"), T.split_lines(F.col("t")).alias("s")).collect()
+    import re
+    for r in got:
+        t = texts[r["i"]]
+        assert r["n"] == " ".join(t.split()), ascii(t)
+        assert r["a"] == sum(x.isalpha() or x.isspace() for x in t) and r["d"] == sum(x.isdigit() for x in t), ascii(t)
+        assert r["w"] == t.replace("@-@", "-").replace("@,@", ",").replace("@.@", ".")
+        assert r["c"] == re.sub(r"(?i)\[[^\]]*citation[^\]]*\]", "", re.sub(r"\[[0-9]+\]", "", t)) and r["s"] == re.split("\r\n|\r|\n", t)
