@@ -5,15 +5,20 @@
    <main> or role=main only; ``chrome`` inside elements that markup names as menu, header, footer, sidebar, notice,
    advert, form or comments (element, role or a class/id word of ``CHROME_WORDS``), or that are
    hidden; else ``side``. Scripts, styles and the head give no block.
-2. Host suffix array. Of each page the stream of words outside those two zones (block borders are tokens)
+2. Host suffix array. Of each page the stream of words outside article and main (block borders are tokens)
    is searched against the streams of the same host: suffixes are sorted by their first ``RUN``
    tokens (name = host and tokens), and suffixes whose neighbours come from another page with
    a different stream mark their ``RUN`` tokens as repeated. Overlapping marks make up the maximal
    repeated runs of ``RUN`` or more tokens. Sorting and counting is a map-side combined
    aggregation on the names, so a host may hold any share of the pages; copies of a page count once.
+   The blocks inside article and main are searched as well. Each is cut into pieces at places that its words decide
+   (a suffix whose head's name is divisible by ``PIECE``; so equal runs are cut alike and every token lies in one
+   piece), and a piece is framing if at least ``WIDE`` different bodies of the host, and half of them all, hold it.
+   Sentences that some articles share, or that an advert quotes, are no framing; copies of a body count once.
 3. Decision. Repeated runs and chrome go. If a page has article blocks they are the text, else its
-   main blocks if it has any; otherwise the ``side`` blocks are, less those of which at least half the tokens lie in repeated
-   runs (a block that is mostly unique is kept whole).
+   main blocks if it has any, less the blocks of which at least half the tokens lie in framing pieces (if these hold more than
+   half of the body's tokens it is a near copy of other pages, and kept whole); otherwise the ``side`` blocks are, less those of
+   which at least half the tokens lie in repeated runs (a block that is mostly unique is kept whole).
 
 Defined results: a null or empty page has an empty text; a null url is a host of its own name (all
 such pages together); repeated rows have equal results; every row of the table has one result.
@@ -34,6 +39,8 @@ from shardloom.llm import common as C
 from shardloom.llm.language_id import address_parts
 
 RUN = 6
+#: Mean tokens of a piece of a body block, and the fewest bodies of a host that make a piece framing.
+PIECE, WIDE = 24, 4
 BODY = ("article", "main")
 
 #: Elements whose content is never text of the page.
@@ -148,22 +155,64 @@ def side_stream(blocks: list[tuple[str, str]]) -> tuple[list[str], list[int]]:
     return tokens, of
 
 
-def _stream_names(streams: list[list[str]], hosts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Names of all RUN-token suffix heads: (page, token position, name), and the stream hash of each page."""
-    flat = [t.encode() for s in streams for t in s]
+def body_stream(blocks: list[tuple[str, str]]) -> tuple[list[str], list[int]]:
+    """Tokens of the page's text zone (article, else main; a border token before each block) and the block of each."""
+    tokens, of = [], []
+    body = next((b for b in BODY if any(zone == b for zone, _ in blocks)), None)
+    for i, (zone, text) in enumerate(blocks):
+        if zone == body:
+            words = ["\n", *text.split(" ")]
+            tokens += words
+            of += [i] * len(words)
+    return tokens, of
+
+
+def _hashes(strings: list[str]) -> np.ndarray:
+    coded = [t.encode() for t in strings]
+    offsets = np.concatenate(([0], np.cumsum([len(t) for t in coded]))).astype(np.int64)
+    return C.span_hash(C.prefix_sums(np.frombuffer(b"".join(coded), np.uint8)), offsets[:-1], offsets[1:])
+
+
+def _streams(streams: list[list[str]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hash and page of each token, first token of each page, and the stream hash of each page."""
     sizes = np.array([len(s) for s in streams], np.int64)
-    offsets = np.concatenate(([0], np.cumsum([len(t) for t in flat]))).astype(np.int64)
-    word = C.span_hash(C.prefix_sums(np.frombuffer(b"".join(flat), np.uint8)), offsets[:-1], offsets[1:])
+    word = _hashes([t for s in streams for t in s])
     page = np.repeat(np.arange(len(streams)), sizes)
-    names, first = C.window_hash(word, page, RUN)
-    host_bytes = [h.encode() for h in hosts]
-    at = np.concatenate(([0], np.cumsum([len(h) for h in host_bytes]))).astype(np.int64)
-    host = C.span_hash(C.prefix_sums(np.frombuffer(b"".join(host_bytes), np.uint8)), at[:-1], at[1:])
     start = np.cumsum(sizes) - sizes
     rolled = C.mix64(word + C.mix64((np.arange(len(word)) - start[page] + 1).astype(np.uint64)))
     whole = np.zeros(len(streams), np.uint64)
     np.add.at(whole, page, rolled)
-    return page[first], first - start[page[first]], C.mix64(names + host[page[first]]), C.mix64(whole)
+    return word, page, start, C.mix64(whole)
+
+
+def _stream_names(streams: list[list[str]], hosts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Names of all RUN-token suffix heads: (page, token position, name), and the stream hash of each page."""
+    word, page, start, whole = _streams(streams)
+    names, first = C.window_hash(word, page, RUN)
+    return page[first], first - start[page[first]], C.mix64(names + _hashes(hosts)[page[first]]), whole
+
+
+def piece_starts(word: np.ndarray, block: np.ndarray) -> np.ndarray:
+    """First token of each piece: the first of its block, or one where a head of RUN tokens of the block has a name divisible by PIECE."""
+    cut = np.ones(len(block), bool)
+    cut[1:] = block[1:] != block[:-1]
+    names, first = C.window_hash(word, block, RUN)
+    cut[first[names % np.uint64(PIECE) == 0]] = True
+    return np.flatnonzero(cut)
+
+
+def _piece_names(streams: list[tuple[list[str], list[int]]], hosts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Names of all pieces of the bodies: (page, token position, name), the stream hash and the host's hash of each page."""
+    word, page, start, whole = _streams([tokens for tokens, _ in streams])
+    block = (page << 32) + np.array([i for _, of in streams for i in of], np.int64)
+    first = piece_starts(word, block)
+    # A piece is named by its tokens, at least RUN of its block.
+    border = np.flatnonzero(np.append(block[1:] != block[:-1], True)) + 1 if len(block) else np.zeros(0, np.int64)
+    last = border[np.searchsorted(border, first, side="right")]
+    end = np.maximum(np.append(first[1:], len(word)), np.minimum(first + RUN, last))
+    name = C.span_hash(C.prefix_sums(word.view(np.uint8)), 8 * first, 8 * end)
+    host = _hashes(hosts)
+    return page[first], first - start[page[first]], C.mix64(name + host[page[first]]), whole, host
 
 
 KEY = ["k1", "k2"]
@@ -172,18 +221,39 @@ KEY = ["k1", "k2"]
 def _names(batches):
     for batch in batches:
         for part, _, _ in C.byte_slices(batch, "html"):
-            streams = [side_stream(blocks_of(h))[0] for h in part.column("html").to_pylist()]
-            page, at, name, whole = _stream_names(streams, part.column("host").to_pylist())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(part.column(k).to_numpy()[page]) for k in KEY] + [pa.array(at.astype(np.int32)), pa.array(name.view(np.int64)), pa.array(whole.view(np.int64)[page])],
-                names=[*KEY, "at", "name", "stream"])
+            blocks, hosts = [blocks_of(h) for h in part.column("html").to_pylist()], part.column("host").to_pylist()
+            keys = [part.column(k).to_numpy() for k in KEY]
+            page, at, name, whole = _stream_names([side_stream(b)[0] for b in blocks], hosts)
+            yield _name_rows(keys, page, at, name, whole, pa.nulls(len(page), pa.int64()))
+            page, at, name, whole, host = _piece_names([body_stream(b) for b in blocks], hosts)
+            yield _name_rows(keys, page, -1 - at, name, whole, pa.array(host.view(np.int64)[page]))
+
+
+def _name_rows(keys, page, at, name, whole, host) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array(k[page]) for k in keys] + [pa.array(at.astype(np.int32)), pa.array(name.view(np.int64)), pa.array(whole.view(np.int64)[page]), host],
+        names=[*KEY, "at", "name", "stream", "host"])
+
+
+def body_text(blocks: list[tuple[str, str]], framing: list[int]) -> str:
+    """The text of a page with a body, given the positions of framing pieces in its body stream."""
+    tokens, of = body_stream(blocks)
+    kept = {*of}
+    if framing:
+        block = np.array(of, np.int64)
+        first = piece_starts(_hashes(tokens), block)
+        size = np.diff(np.append(first, len(of)))
+        covered = np.repeat(np.isin(first, framing), size)
+        if 2 * covered.sum() <= len(of):
+            hit, whole = np.bincount(block, weights=covered), np.bincount(block)
+            kept = {i for i in kept if 2 * hit[i] < whole[i]}
+    return "\n\n".join(text for i, (_, text) in enumerate(blocks) if i in kept)
 
 
 def main_text(blocks: list[tuple[str, str]], repeated: list[int]) -> str:
-    """The text of a page, given the positions of repeated suffix heads in its side stream."""
-    for body in BODY:
-        if any(zone == body for zone, _ in blocks):
-            return "\n\n".join(text for zone, text in blocks if zone == body)
+    """The text of a page, given the positions of repeated suffix heads in its side stream and (as -1 - position) of framing pieces in its body."""
+    if any(zone in BODY for zone, _ in blocks):
+        return body_text(blocks, [-1 - at for at in repeated if at < 0])
     _, of = side_stream(blocks)
     covered = np.zeros(len(of) + RUN, np.int64)
     for at in repeated:
@@ -211,15 +281,29 @@ def _texts(batches):
                                          names=["page_id", "url", "text", "n_chars"])
 
 
+def framing_pieces(pieces: DataFrame) -> DataFrame:
+    """The pieces that at least ``WIDE`` bodies of their host, and half of its different bodies, hold."""
+    total = pieces.select("host", "stream").distinct().groupBy("host").agg(F.count("*").alias("bodies")).filter(F.col("bodies") >= WIDE)
+    # A piece on one body only, as most are, is settled without counting.
+    shared = pieces.groupBy("name").agg(F.min("stream").alias("lo"), F.max("stream").alias("hi")).filter("lo <> hi").select("name")
+    held = C.materialize(pieces.join(shared, "name", "left_semi"), "shared-pieces")
+    count = held.select("host", "name", "stream").distinct().groupBy("host", "name").agg(F.count("*").alias("n")).filter(F.col("n") >= WIDE)
+    return held.join(count.join(total, "host").filter("2 * n >= bodies").select("name"), "name", "left_semi")
+
+
 def extract(pages: DataFrame) -> DataFrame:
     """(page_id, url, text, n_chars) of every row of ``pages`` (page_id, url, html)."""
     host, _ = address_parts(F.coalesce("url", F.lit("")))
     rows = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"), host.alias("host"))
     rows = rows.select("*", F.xxhash64("host", "html").alias("k1"), F.xxhash64(F.lit(RUN), F.col("host"), F.col("html")).alias("k2"))
-    names = C.materialize(rows.select(*KEY, "host", "html").mapInArrow(_names, "k1 bigint, k2 bigint, at int, name bigint, stream bigint"), "names")
+    names = C.materialize(rows.select(*KEY, "host", "html").mapInArrow(_names, "k1 bigint, k2 bigint, at int, name bigint, stream bigint, host bigint"), "names")
     # Neighbours in the sorted order come from different streams if the smallest and the largest stream differ.
-    again = names.groupBy("name").agg(F.min("stream").alias("lo"), F.max("stream").alias("hi")).filter("lo <> hi").select("name")
-    repeated = names.join(again, "name", "left_semi").groupBy(*KEY).agg(F.sort_array(F.collect_set("at")).alias("repeated"))
+    side = names.filter("host is null")
+    again = side.groupBy("name").agg(F.min("stream").alias("lo"), F.max("stream").alias("hi")).filter("lo <> hi").select("name")
+    repeated = C.materialize(side.join(again, "name", "left_semi").unionByName(framing_pieces(names.filter("host is not null")).select(*names.columns))
+                             .groupBy(*KEY).agg(F.sort_array(F.collect_set("at")).alias("repeated")), "repeated")
+    C.discard(rows.sparkSession, names)  # its shuffles go before the pages are shuffled
     shut = rows.select("page_id", "url", *KEY, "html").mapInArrow(_shut, "page_id bigint, url string, k1 bigint, k2 bigint, body binary")
-    ready = shut.join(repeated, KEY, "left").select("page_id", "url", "body", F.coalesce("repeated", F.array().cast("array<int>")).alias("repeated"))
+    # Positions grow with the pages: their join is the same at any size, no broadcast of a table that happens to be small.
+    ready = shut.join(repeated.hint("merge"), KEY, "left").select("page_id", "url", "body", F.coalesce("repeated", F.array().cast("array<int>")).alias("repeated"))
     return ready.mapInArrow(_texts, "page_id bigint, url string, text string, n_chars bigint")

@@ -72,6 +72,28 @@ def test_repeated_runs_of_a_host_go(spark):
     assert H.extract(table.limit(0)).count() == 0
 
 
+def test_host_search_decides_inside_articles(spark):
+    rng = random.Random(4)
+    own = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    frame = "read all about the many friends of this house and write to us today with your own story of it"
+    quoted, bodies = own(12), [[own(60), own(50)] for _ in range(8)]
+    page = lambda title, paragraphs, ad: f"<div class=ad>{ad}</div><article><h1>{title}</h1>" + "".join(f"<p>{p}</p>" for p in paragraphs) + "</article>"
+    rows = [(i, "http://h.example/a", page(f"t{i}", [frame, *b], quoted)) for i, b in enumerate(bodies)]
+    rows.append((20, "http://h.example/b", page("t20", [quoted, bodies[0][0]], own(9))))  # shared with two pages' texts and all adverts: kept
+    rows += [(30 + i, "http://few.example/", page("t", [frame, b[0]], "")) for i, b in enumerate(bodies[:3])]  # too few pages to tell
+    rows += [(40 + i, "http://near.example/", page(f"t{i}", bodies[7], "")) for i in range(6)]  # near copies: kept whole
+    rows += [(50 + i, "http://copies.example/", page("t", [frame, bodies[1][0]], own(5))) for i in range(6)]  # one body with other adverts
+    got = {r["page_id"]: r["text"].split("\n\n") for r in H.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    assert len(got) == len(rows)
+    for i, b in enumerate(bodies):
+        assert got[i] == [f"t{i}", *b]
+    assert got[20] == ["t20", quoted, bodies[0][0]]
+    for i in range(3):
+        assert got[30 + i] == ["t", frame, bodies[i][0]]
+    for i in range(6):
+        assert got[40 + i] == [f"t{i}", *bodies[7]] and got[50 + i] == ["t", frame, bodies[1][0]]
+
+
 WORDS = {"en": "the and that with from this have were which their".split(), "de": "und der die das nicht mit eine wird auch über".split(),
          "fr": "les des une est dans pour que sur avec être".split()}
 
