@@ -47,6 +47,14 @@ def test_backtracking_equals_library(library, monkeypatch):
         assert own.decode(ids).decode() == library[WORD_VOCAB].decode(e.ids, skip_special_tokens=False)
 
 
+def test_refused_tokens_have_their_next_shorter_one():
+    own = bpe_backtrack.Backtracker(tokenizer_file(WORD_VOCAB))
+    for form, token in list(own.usable.items())[::97]:
+        heads = [own.usable[form[:n]] for n in range(len(form) - 1, 0, -1) if form[:n] in own.usable]
+        assert own.shorter[token] == (heads[0] if heads else None)
+        assert own.opens[form] == token and own.opens[form[:-1]] == own.shorter[token]
+
+
 def test_backtracking_equals_plain_merging():
     """A vocabulary in which longest matches are often wrong."""
     letters = bpe_backtrack.byte_letters()
