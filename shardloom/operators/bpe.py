@@ -423,7 +423,39 @@ def encode_word(ids: list[int], ranks: dict[tuple[int, int], tuple[int, int]]) -
 
 
 _WORKER_CACHE: dict = {}
-CACHE_ENTRIES = 1_000_000       # per Python worker; cleared when full (memory bound, not a data cap)
+CACHE_ENTRIES = 200_000         # per Python worker (memory bound, not a data cap)
+CACHE_LENGTH = 64               # longer pre-tokens are encoded each time
+
+
+class PretokenCache:
+    """Ids of pre-tokens as 32-bit bytes; of at most ``entries`` the ones in use stay."""
+
+    def __init__(self, ranks: dict[tuple[int, int], tuple[int, int]], byte_ids: dict[int, int], entries: int = CACHE_ENTRIES):
+        self.ranks, self.byte_ids, self.half = ranks, byte_ids, entries // 2
+        self.recent: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def _learn(self, pretoken: str) -> bytes:
+        ids = self.older.get(pretoken)
+        if ids is None:
+            get = self.byte_ids.get
+            ids = np.array(encode_word([get(b, UNK_ID) for b in pretoken.encode("utf-8")], self.ranks), _SYMBOL).tobytes()
+        if len(pretoken) <= CACHE_LENGTH:
+            if len(self.recent) >= self.half:
+                self.older, self.recent = self.recent, {}
+            self.recent[pretoken] = ids
+        return ids
+
+    def line(self, pretokens) -> np.ndarray:
+        known = self.recent.get
+        out = []
+        for p in pretokens:
+            ids = known(p)
+            if ids is None:
+                ids = self._learn(p)
+                known = self.recent.get
+            out.append(ids)
+        return np.frombuffer(b"".join(out), _SYMBOL)
 
 
 def line_encoder_udf(spark: SparkSession, model: BpeModel):
@@ -439,23 +471,11 @@ def line_encoder_udf(spark: SparkSession, model: BpeModel):
 
     @F.pandas_udf(Ty.ArrayType(Ty.IntegerType()))
     def encode_lines(s: pd.Series) -> pd.Series:
-        rk, byte_ids = bc.value
         if key not in _WORKER_CACHE:              # one model at a time: older caches go
             _WORKER_CACHE.clear()
-        cache = _WORKER_CACHE.setdefault(key, {})
-        out = []
-        for pretokens in s:
-            ids: list[int] = []
-            for p in pretokens:
-                e = cache.get(p)
-                if e is None:
-                    if len(cache) >= CACHE_ENTRIES:
-                        cache.clear()
-                    e = encode_word([byte_ids.get(b, UNK_ID) for b in p.encode("utf-8")], rk)
-                    cache[p] = e
-                ids.extend(e)
-            out.append(ids)
-        return pd.Series(out)
+            _WORKER_CACHE[key] = PretokenCache(*bc.value)
+        line = _WORKER_CACHE[key].line
+        return pd.Series([line(pretokens) for pretokens in s], dtype=object)
 
     return encode_lines
 

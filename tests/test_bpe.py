@@ -199,3 +199,13 @@ def test_encode_word_of_a_long_run_is_fast_and_exact():
     t = time.time()
     B.encode_word([rng.randrange(3) for _ in range(80000)], ranks)
     assert time.time() - t < 5
+
+
+def test_pretoken_cache_is_bounded_and_compact():
+    ranks, ids = {(4 + 97, 4 + 98): (0, 300)}, {i: i + 4 for i in range(256)}
+    cache = B.PretokenCache(ranks, ids, entries=10)
+    words = [f"ab{i % 40}" for i in range(200)] + ["ab" * 100] * 2
+    got = cache.line(words).tolist()
+    assert got == [x for w in words for x in B.encode_word([ids[b] for b in w.encode()], ranks)]
+    assert len(cache.recent) + len(cache.older) <= 10 and "ab" * 100 not in cache.recent
+    assert all(isinstance(v, bytes) for v in cache.recent.values()) and cache.line([]).tolist() == []
