@@ -302,7 +302,8 @@ def mixed_contexts(texts: DataFrame, marked: DataFrame) -> DataFrame:
              .groupBy(*KEY).agg(F.collect_set(F.struct("place", "bucket", F.pmod("segment", blocks).cast("int").alias("block"),
                                                        blocks.alias("blocks"), (F.col("n") > 1).alias("whole"))).alias("mixed")))
     # Copies of a text have one key: one row of them is enough (the aggregation starts on the map side).
-    return (squeezed(texts).dropDuplicates(KEY).join(mixed, KEY)
+    # A merge join at any size: after a broadcast join one task would hold two Python workers.
+    return (squeezed(texts).dropDuplicates(KEY).join(mixed.hint("merge"), KEY)
             .mapInArrow(_contexts, "k1 bigint, k2 bigint, place bigint, bucket bigint, block int, blocks int, whole boolean, context binary"))
 
 
@@ -356,7 +357,7 @@ def cut_repeats(docs: DataFrame, text: str = "text") -> DataFrame:
     found = repeated_windows(texts)
     shut = whole.select("row", *text_key(), "text").mapInArrow(_squeeze_rows, _schema(whole.schema["row"].dataType, "k1 bigint, k2 bigint, body binary"))
     none = F.array().cast("array<struct<lo:bigint,hi:bigint>>")
-    ready = shut.join(found, KEY, "left").select("row", "body", F.coalesce("found", none).alias("found"))
+    ready = shut.join(found.hint("merge"), KEY, "left")  # as above: compressing and cutting are two stages.select("row", "body", F.coalesce("found", none).alias("found"))
     cut = ready.mapInArrow(_cut(["row"]), _schema(whole.schema["row"].dataType, "n_bytes bigint, n_removed bigint, n_spans bigint, kept_bytes binary"))
     return cut.select(*[F.col(f"row.`{c}`").alias(c) for c in riders], *RESULT)
 

@@ -1,5 +1,6 @@
 import hashlib
 import random
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -180,3 +181,14 @@ def test_registers_that_decide_on_a_pair_agree_with_the_plain_jaccard():
     assert len(set(zip(keys.tolist(), rows.tolist()))) == len(keys) > 2 * near_dup.BANDS
     # Both sketches are banded, the weighted one as it is.
     assert set(near_dup.band_keys(heavy[None, :])[0].tolist()) <= set(keys[rows == 1].tolist())
+
+
+def test_compressing_and_cutting_are_two_stages(spark):
+    """Two Python steps in one stage are two workers a task; small tables are no exception."""
+    rng = random.Random(8)
+    passage = prose(rng, 80)
+    rows = [(i, prose(rng, 40) + passage + prose(rng, 40)) for i in range(6)]
+    cut = suffix_dedup.cut_repeats(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    plan = cut._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"SortMergeJoin \[k1#\d+L, k2#\d+L\], \[[^\]]*\], LeftOuter", plan)  # the texts and what was found in them
+    assert all(r["n_spans"] == 1 and r["n_removed"] >= len(passage) for r in cut.collect())
