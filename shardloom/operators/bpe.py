@@ -45,6 +45,7 @@ VOCAB_SIZE = 32_000
 MIN_FREQUENCY = 2
 WINDOW = 16_384               # hot pairs of a round (a window, not a cap: the next round
                               # takes the best of the updated counts)
+WORD_BYTES = 4 << 20          # of words that a task works on at once
 SEGMENT_SYMBOLS = 1_500_000   # symbols of distinct hot segments that a round brings to the driver
 
 
@@ -57,6 +58,19 @@ def training_corpus(lines: DataFrame) -> DataFrame:
     return lines
 
 
+def _joined(batches, limit: int):
+    """Batches in a row, put together up to about ``limit`` bytes: Arrow batches may be as short as the session says."""
+    held, size = [], 0
+    for batch in batches:
+        if held and size + batch.nbytes > limit:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+        held.append(batch)
+        size += batch.nbytes
+    if held:
+        yield pa.concat_batches(held)
+
+
 def pretoken_freq(lines: DataFrame, text_col: str = "text", with_newline: bool = True,
                   normalize: bool = True) -> DataFrame:
     """(pretoken, freq) over the corpus. Each line is one training line; with
@@ -69,9 +83,15 @@ def pretoken_freq(lines: DataFrame, text_col: str = "text", with_newline: bool =
             .groupBy("pretoken").agg(F.count(F.lit(1)).alias("freq")))
 
 
+def _byte_values(batches):
+    for batch in batches:
+        body = b"".join(batch.column(0).drop_null().to_pylist())
+        yield pa.RecordBatch.from_arrays([pa.array(np.unique(np.frombuffer(body, np.uint8)).astype(np.int32))], names=["byte"])
+
+
 def alphabet(freq: DataFrame) -> DataFrame:
     """Bytes seen in the corpus, ordered by byte-level char code point; ids after specials."""
-    b = freq.select(F.explode(F.array_distinct(PT.utf8_bytes(F.col("pretoken")))).alias("byte")).distinct()
+    b = freq.select(F.encode("pretoken", "UTF-8")).mapInArrow(_byte_values, "byte int").distinct()
     b = b.withColumn("char_code", PT.byte_char_code_expr(F.col("byte")))
     # At most 256 rows: a single-partition window is fine here.
     w = Window.orderBy("char_code")
@@ -145,16 +165,16 @@ def symbol_words(freq: DataFrame, byte_ids: dict[int, int]) -> DataFrame:
 
 
 def symbol_pair_counts(words: DataFrame) -> DataFrame:
-    """T3 on the training state: (pair, count), added up by batch before they are shuffled."""
+    """T3 on the training state: (pair, count), added up by some MB of words before they are shuffled."""
     def run(batches):
-        for batch in batches:
+        for batch in _joined(batches, WORD_BYTES):
             keys, word = _pair_keys(*_flat_words(batch.column("w")))
-            there = keys >= 0
-            pairs, of = np.unique(keys[there], return_inverse=True)
-            weight = batch.column("freq").to_numpy()[word[there]]
-            count = np.zeros(len(pairs), np.int64)
-            np.add.at(count, of, weight)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs), pa.array(count)], names=["pair", "count"])
+            there = np.flatnonzero(keys >= 0)
+            there = there[np.argsort(keys[there])]
+            keys, weight = keys[there], batch.column("freq").to_numpy()[word[there]]
+            first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else keys
+            count = np.add.reduceat(weight, first) if len(keys) else keys
+            yield pa.RecordBatch.from_arrays([pa.array(keys[first]), pa.array(count)], names=["pair", "count"])
 
     return words.mapInArrow(run, "pair bigint, count bigint").groupBy("pair").agg(F.sum("count").alias("count"))
 
@@ -164,7 +184,7 @@ def hot_segments(words: DataFrame, hot: list[int]) -> DataFrame:
     shared = words.sparkSession.sparkContext.broadcast(np.sort(np.array(hot, np.int64)))      # at most WINDOW pairs
 
     def run(batches):
-        for batch in batches:
+        for batch in _joined(batches, WORD_BYTES):
             flat, offsets = _flat_words(batch.column("w"))
             keys, word = _pair_keys(flat, offsets)
             is_hot = np.append(_find(keys, shared.value) >= 0, False)
@@ -228,7 +248,7 @@ def merged_words(words: DataFrame, merges: list[tuple[int, int, int]], reused: b
     shared = words.sparkSession.sparkContext.broadcast(steps)                      # vocabulary-bounded
 
     def run(batches):
-        for batch in batches:
+        for batch in _joined(batches, WORD_BYTES):
             flat, offsets = _flat_words(batch.column("w"))
             for step in shared.value:
                 flat, offsets = merge_symbols(flat, offsets, step)
