@@ -31,6 +31,9 @@ def worker_state(key: str, make):
     """State that a Python worker keeps between tasks (a vocabulary, its caches); one operator's at a time."""
     if key not in _STATE:
         _STATE.clear()
+        _POWERS.clear()  # what hashing has left; made again where it is needed
+        gc.collect()
+        release_memory()
         _STATE[key] = make()
     return _STATE[key]
 
@@ -124,6 +127,16 @@ def joined(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.RecordB
         yield pa.concat_batches(held)
 
 
+def tidy(run):
+    """``run`` over a task's batches, which hands its freed memory back when it is done: its worker may stay idle beside others."""
+    def tidied(batches):
+        try:
+            yield from run(batches)
+        finally:
+            release_memory()
+    return tidied
+
+
 def binary_rows(flat: np.ndarray, offsets: np.ndarray) -> pa.Array:
     """A binary column whose row i is the bytes of ``flat[offsets[i]:offsets[i + 1]]``."""
     at = (offsets * flat.itemsize).astype(np.int32)

@@ -255,14 +255,14 @@ def _squeeze(batches):
 
 
 def squeezed(texts: DataFrame) -> DataFrame:
-    return texts.select(*KEY, "text").mapInArrow(_squeeze, "k1 bigint, k2 bigint, body binary")
+    return texts.select(*KEY, "text").mapInArrow(C.tidy(_squeeze), "k1 bigint, k2 bigint, body binary")
 
 
 def repeated_windows(texts: DataFrame) -> DataFrame:
     """(k1, k2, found) of the texts (k1, k2, text) with something repeated; found: first and last window starts."""
     marked = marked_segments(texts)
     compared = C.materialize(mixed_contexts(texts, marked).repartition("bucket", "block").sortWithinPartitions("bucket", "block")
-                             .mapInArrow(_compare, "k1 bigint, k2 bigint, lo bigint, hi bigint, name bigint, open boolean"), "compared")
+                             .mapInArrow(C.tidy(_compare), "k1 bigint, k2 bigint, lo bigint, hi bigint, name bigint, open boolean"), "compared")
     across = compared.filter("name is not null")
     again = across.groupBy("name").agg(F.count("*").alias("n")).filter("n > 1").select("name")
     whole = marked.filter("n > 1").select(*KEY, F.expr("shiftright(place, 24)").alias("lo"),
@@ -304,7 +304,7 @@ def mixed_contexts(texts: DataFrame, marked: DataFrame) -> DataFrame:
     # Copies of a text have one key: one row of them is enough (the aggregation starts on the map side).
     # A merge join at any size: after a broadcast join one task would hold two Python workers.
     return (squeezed(texts).dropDuplicates(KEY).join(mixed.hint("merge"), KEY)
-            .mapInArrow(_contexts, "k1 bigint, k2 bigint, place bigint, bucket bigint, block int, blocks int, whole boolean, context binary"))
+            .mapInArrow(C.tidy(_contexts), "k1 bigint, k2 bigint, place bigint, bucket bigint, block int, blocks int, whole boolean, context binary"))
 
 
 def merged(lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
@@ -355,10 +355,11 @@ def cut_repeats(docs: DataFrame, text: str = "text") -> DataFrame:
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in riders]).alias("row"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
     texts = whole.select(*text_key(), "text")
     found = repeated_windows(texts)
-    shut = whole.select("row", *text_key(), "text").mapInArrow(_squeeze_rows, _schema(whole.schema["row"].dataType, "k1 bigint, k2 bigint, body binary"))
+    shut = whole.select("row", *text_key(), "text").mapInArrow(C.tidy(_squeeze_rows), _schema(whole.schema["row"].dataType, "k1 bigint, k2 bigint, body binary"))
     none = F.array().cast("array<struct<lo:bigint,hi:bigint>>")
-    ready = shut.join(found.hint("merge"), KEY, "left")  # as above: compressing and cutting are two stages.select("row", "body", F.coalesce("found", none).alias("found"))
-    cut = ready.mapInArrow(_cut(["row"]), _schema(whole.schema["row"].dataType, "n_bytes bigint, n_removed bigint, n_spans bigint, kept_bytes binary"))
+    # A merge join, as above: compressing and cutting are two stages.
+    ready = shut.join(found.hint("merge"), KEY, "left").select("row", "body", F.coalesce("found", none).alias("found"))
+    cut = ready.mapInArrow(C.tidy(_cut(["row"])), _schema(whole.schema["row"].dataType, "n_bytes bigint, n_removed bigint, n_spans bigint, kept_bytes binary"))
     return cut.select(*[F.col(f"row.`{c}`").alias(c) for c in riders], *RESULT)
 
 
