@@ -27,8 +27,9 @@ from shardloom.llm import token_cache
 
 CAPACITY = 1024
 END_ID = 0
+# Where packing shares its workers with other stages; results do not depend on either.
 TOKEN_SLICE = 2 << 20  # bytes of text that are tokenized at once
-CACHE_PARTS = 150_000  # of the token cache, where packing shares its workers with other stages; results do not depend on it
+CACHE_PARTS = 150_000  # of the token cache
 FIELDS = ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"]
 SCHEMA = "doc_id bigint, start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, offset bigint"
 
@@ -74,7 +75,7 @@ class Bins:
         yield from carried
 
 
-def _pack(path: str, capacity: int, end_id: int, cache_parts: int):
+def _pack(path: str, capacity: int, end_id: int, cache_parts: int, token_slice: int):
     def pack(batches):
         tokens, bins = token_cache.encoder(path, cache_parts), Bins(capacity)
         partition, made = TaskContext.get().partitionId(), 0
@@ -93,8 +94,8 @@ def _pack(path: str, capacity: int, end_id: int, cache_parts: int):
             rows.clear()
             return pa.RecordBatch.from_arrays([pa.array(c, pa.binary() if f == "ids" else pa.int64()) for c, f in zip(columns, FIELDS)], names=FIELDS)
 
-        for batch in batches:
-            for part, _, _ in C.byte_slices(batch, "text", TOKEN_SLICE):
+        for batch in C.joined(batches, token_slice):
+            for part, _, _ in C.byte_slices(batch, "text", token_slice):
                 flat, offsets = tokens.encode_rows(part.column("text"), end_id)
                 body, at = flat.astype("<u4").tobytes(), offsets.tolist()
                 for doc, first, last in zip(part.column("doc_id").to_pylist(), at, at[1:]):
@@ -114,10 +115,11 @@ def _pack(path: str, capacity: int, end_id: int, cache_parts: int):
     return pack
 
 
-def pack_documents(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END_ID, cache_parts: int = CACHE_PARTS) -> DataFrame:
+def pack_documents(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END_ID, cache_parts: int = CACHE_PARTS,
+                   token_slice: int = TOKEN_SLICE) -> DataFrame:
     """Pieces (``FIELDS``) of all documents (doc_id, text); ``ids`` are little-endian unsigned 32-bit."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(_pack(path, capacity, end_id, cache_parts), SCHEMA)
+    return rows.mapInArrow(_pack(path, capacity, end_id, cache_parts, token_slice), SCHEMA)
 
 
 def piece_digests(pieces: DataFrame) -> DataFrame:

@@ -37,6 +37,24 @@ def test_part_cache_equals_library(library, name, monkeypatch):
     assert [np.frombuffer(x, "<u2").tolist() for x in got] == [e.ids for e in library[name].encode_batch(some, add_special_tokens=False)]
 
 
+@pytest.mark.parametrize("name", [WORD_VOCAB, BYTE_VOCAB])
+def test_cache_holds_words_without_their_punctuation(library, name):
+    own, tails = token_cache.PartEncoder(tokenizer_file(name)), ["", ".", ",", "***", "?!", "'", ").", "_", "\"]", "%%%", "<"]
+    for word in ("merged", "größe", "élan"):
+        some = [f"a {word}{t}" for t in tails] + [f"{word}{t} b\n{word}{t}" for t in tails]
+        assert [np.frombuffer(x, "<u2").tolist() for x in own.encode(some)] == [e.ids for e in library[name].encode_batch(some, add_special_tokens=False)]
+        assert len([p for p in own.known if word in p]) <= 3          # after a space, opening a line, opening a text
+
+
+def test_odd_parts_equal_library(library):
+    rng = random.Random(8)
+    bits = ["ab", "É", "µ", "ß", "×", "÷", "ª", "Ω", "中", "\u0301", "1", "²", "'", "s", ".", "-", "_", "“", "…", "€", "\n", " ", "\x01", "\x00"]
+    some = ["".join(rng.choice(bits) for _ in range(rng.randint(1, 9))) for _ in range(20000)]
+    for name in (WORD_VOCAB, BYTE_VOCAB):
+        got = token_cache.PartEncoder(tokenizer_file(name)).encode(some)
+        assert [np.frombuffer(x, "<u2").tolist() for x in got] == [e.ids for e in library[name].encode_batch(some, add_special_tokens=False)]
+
+
 def test_backtracking_equals_library(library, monkeypatch):
     for limit in ("WORDS", "PARTS", "PAIRS"):
         monkeypatch.setattr(bpe_backtrack, limit, 200)
@@ -156,6 +174,16 @@ def test_packing(spark, library):
     assert [r["ids_crc32"] for r in digest] == [zlib.crc32(r["ids"]) for r in got]
 
 
+def test_packing_tokenizes_batches_together(monkeypatch):
+    batches = [harmonic_pack.pa.RecordBatch.from_pydict({"doc_id": [i, i + 1], "text": [f"one two {i}", "three"]}) for i in range(0, 40, 2)]
+    calls, encode = [], token_cache.PartEncoder.encode_rows
+    monkeypatch.setattr(token_cache.PartEncoder, "encode_rows", lambda self, texts, end: calls.append(len(texts)) or encode(self, texts, end))
+    monkeypatch.setattr(harmonic_pack.TaskContext, "get", lambda: type("Task", (), {"partitionId": lambda self: 0})())
+    packed = [[x.to_pylist() for x in harmonic_pack._pack(tokenizer_file(BYTE_VOCAB), 1024, 0, 1000, size)(iter(batches))] for size in (1 << 20, 1)]
+    assert calls[0] == 40 and len(calls) == 1 + 40
+    assert sum(packed[0], []) == sum(packed[1], [])
+
+
 def test_encode_and_decode_documents(spark, library):
     some, docs = rows_for(spark)
     path = tokenizer_file(WORD_VOCAB)
