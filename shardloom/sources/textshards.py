@@ -6,20 +6,23 @@ itself writes the file under another name and renames it when it is whole: a fil
 very many, and Spark's writer creates, commits and moves each by itself (the moves one after the other on the
 driver). A repeated task writes the same names again; ``_SUCCESS`` is written when all tasks are through.
 
-Read: plain line rows (CRLF, CR and LF end a line), split over tasks by file block like any text
-scan; source, split and index are partition columns, so special characters in names come back as
-written. Bytes that are not UTF-8 come back as U+FFFD, as a decoder that replaces errors gives them. A line's number is its place in its block plus the lines of the file's earlier blocks.
+Read: line rows (CRLF, CR and LF end a line). Files are listed by tasks and read by byte ranges in tasks: Spark's
+own scan of files keeps each file's status, folder and place on the driver, and shard files are very many. Source, split and
+index come from the folder, so special characters in names come back as
+written. Bytes that are not UTF-8 come back as U+FFFD, as a decoder that replaces errors gives them. A line's number is its place in its range plus the lines of the file's earlier ranges.
 """
 
 from __future__ import annotations
 
+import re
+
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..session import delete_tables, listing, materialize, whole_path
-from .rawfiles import raw_folder
+from ..session import delete_tables, materialize, whole_path
+from .rawfiles import MOST_TASKS, below, list_tree, raw_folder
 
 SHARD_SCHEMA = "value string, source string, split string, shard_idx int"
 
@@ -88,7 +91,7 @@ def write_text_shards(sharded_docs: DataFrame, path: str) -> None:
 
 
 def shard_files(reader, path: str | list[str]) -> DataFrame:
-    """All lines (blank ones too) of shard files, with the file and block each comes from."""
+    """All lines (blank ones too) of shard files, with the file and block each comes from, by Spark's own scan: the driver holds some KB a file."""
     lines = reader.schema(SHARD_SCHEMA).format("text").option("pathGlobFilter", "*.txt").load(path)
     return lines.select("source", "split", "shard_idx", T.shard_id_expr(F.col("source"), F.col("split"), F.col("shard_idx")).alias("shard_id"),
                         F.make_valid_utf8("value").alias("line"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
@@ -108,11 +111,126 @@ def number_lines(lines: DataFrame) -> DataFrame:
     return out.filter(T.not_blank(F.col("line"))).select("source", "split", "shard_idx", "shard_id", "line_no", "line")
 
 
+def shard_of_folder(path: str) -> tuple[str | None, str | None, int | None]:
+    """(source, split, shard_idx) of a file in a folder that ``folder_of`` names."""
+    parts = dict(x.split("=", 1) for x in path.split("/")[:-1] if "=" in x)
+
+    def value(name):
+        text = parts.get(name, "__HIVE_DEFAULT_PARTITION__")
+        return None if text == "__HIVE_DEFAULT_PARTITION__" else re.sub("%([0-9A-Fa-f]{2})", lambda m: chr(int(m[1], 16)), text)
+
+    idx = value("shard_idx")
+    return value("source"), value("split"), None if idx is None else int(idx)
+
+
+#: Bytes of a range of a file; bytes of files that a task reads, where opening one counts as ``OPEN_BYTES``; bytes of lines that it hands on at once.
+LINE_RANGE, TASK_BYTES, OPEN_BYTES, _HANDED = 8 << 20, 32 << 20, 16 << 10, 4 << 20
+_TAIL = 64 << 10
+
+
+def _range_lines(file, start: int, size: int) -> list[bytes]:
+    """The lines that begin in a range, without their ends; a byte order mark at the file's start is none of the text."""
+    back = 1 if start else 0
+    file.seek(start - back)
+    data = file.read(size + back)
+    if back:                                    # the line that runs into the range belongs to an earlier one
+        if data[:1] == b"\n" or (data[:1] == b"\r" and data[1:2] != b"\n"):
+            data = data[1:]
+        elif data[:2] == b"\r\n":
+            data = data[2:]
+        else:
+            end = re.search(b"\r\n|\r|\n", data)
+            data = data[end.end():] if end else b""
+    if data and data[-1:] not in (b"\n", b"\r"):      # the last line goes on behind the range
+        rest = [data]
+        while more := file.read(_TAIL):
+            end = re.search(b"[\r\n]", more)
+            rest.append(more[:end.start()] + b"\n" if end else more)
+            if end:
+                break
+        data = b"".join(rest)
+    if not start and data[:3] == b"\xef\xbb\xbf":
+        data = data[3:]
+    return data.splitlines()
+
+
+def _range_counter(root: str):
+    """(path, start, n) of ranges (path, start, size): how many lines begin there."""
+    def run(batches):
+        system, base = raw_folder(root)
+        for batch in batches:
+            n = []
+            for path, start, size in zip(*(batch.column(c).to_pylist() for c in ("path", "start", "size"))):
+                with system.open_input_file(below(path, root, base)) as file:
+                    n.append(len(_range_lines(file, start, size)))
+            yield pa.RecordBatch.from_arrays([batch.column("path"), batch.column("start"), pa.array(n, pa.int64())], names=["path", "start", "n"])
+
+    return run
+
+
+_LINES = pa.schema([("source", pa.string()), ("split", pa.string()), ("shard_idx", pa.int32()), ("line_no", pa.int64()), ("line", pa.binary())])
+
+
+def _range_reader(root: str):
+    """The lines of ranges (path, start, size, before), numbered from ``before``."""
+    def run(batches):
+        system, base = raw_folder(root)
+        rows, held = [], 0
+
+        def table():
+            columns = zip(*rows) if rows else [[]] * len(_LINES)
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _LINES)], schema=_LINES)
+
+        for batch in batches:
+            for path, start, size, before in zip(*(batch.column(c).to_pylist() for c in ("path", "start", "size", "before"))):
+                at = below(path, root, base)
+                key = shard_of_folder(at[len(base):])
+                with system.open_input_file(at) as file:
+                    lines = _range_lines(file, start, size)
+                for n, line in enumerate(lines, before):
+                    rows.append((*key, n, line))
+                    held += len(line) + 100
+                    if held > _HANDED:
+                        yield table()
+                        rows, held = [], 0
+        yield table()
+
+    return run
+
+
+def shard_lines(files: DataFrame, root: str) -> DataFrame:
+    """Non-blank lines of shard files (path, length) under ``root`` with ``line_no``, the place in the file (blank lines count).
+
+    ``files`` is a written table. A file is read in ranges of ``LINE_RANGE`` bytes; only where one has several are
+    their lines counted first. Lines are not shuffled.
+    """
+    spark = files.sparkSession
+    n, length, longest = files.agg(F.count("*"), F.coalesce(F.sum("length"), F.lit(0)), F.coalesce(F.max("length"), F.lit(0))).first()
+    step = LINE_RANGE
+    ranges = (files.filter("length > 0").withColumn("start", F.explode(F.sequence(F.lit(0).cast("long"), F.col("length") - 1, F.lit(step).cast("long"))))
+              .select("path", "start", F.least(F.lit(step).cast("long"), F.col("length") - F.col("start")).alias("size"), (F.col("length") > step).alias("cut")))
+
+    def dealt(rows: DataFrame) -> DataFrame:
+        least = min(n + length // step, spark.sparkContext.defaultParallelism)
+        return rows.repartition(int(min(max(least, (length + n * OPEN_BYTES) // TASK_BYTES, 1), MOST_TASKS)), "path", "start")
+
+    if longest > step:
+        counts = materialize(dealt(ranges.filter("cut")).mapInArrow(_range_counter(root), "path string, start bigint, n bigint"), "counts")
+        w = Window.partitionBy("path").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+        before = counts.select("path", "start", F.coalesce(F.sum("n").over(w), F.lit(0)).alias("before"))
+        ranges = ranges.join(before, ["path", "start"], "left").withColumn("before", F.coalesce("before", F.lit(0)))
+    else:
+        ranges = ranges.withColumn("before", F.lit(0).cast("long"))
+    schema = "source string, split string, shard_idx int, line_no bigint, line binary"
+    lines = dealt(ranges).select("path", "start", "size", "before").mapInArrow(_range_reader(root), schema)
+    return (lines.withColumn("line", F.make_valid_utf8(F.col("line").cast("string"))).filter(T.not_blank(F.col("line")))
+            .select("source", "split", "shard_idx", T.shard_id_expr(F.col("source"), F.col("split"), F.col("shard_idx")).alias("shard_id"), "line_no", "line"))
+
+
 def read_text_shards(spark: SparkSession, path: str) -> DataFrame:
     """Non-blank lines with (shard_id, line_no)."""
-    with listing(spark):
-        lines = shard_files(spark.read, path)
-    return number_lines(lines)
+    root = whole_path(spark, path)
+    return shard_lines(list_tree(spark, root, ".txt"), root)
 
 
 #: Files of a micro-batch, whose names the driver holds. A batch costs some twenty jobs whatever is in it, and shard files are
