@@ -17,12 +17,14 @@ from __future__ import annotations
 import re
 
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..operators.ordinal import global_ordinal
 from ..session import delete_tables, materialize, whole_path
-from .rawfiles import MOST_TASKS, below, list_tree, raw_folder
+from .rawfiles import MOST_TASKS, below, list_tree, raw_folder, sizes_of
 
 SHARD_SCHEMA = "value string, source string, split string, shard_idx int"
 
@@ -233,20 +235,70 @@ def read_text_shards(spark: SparkSession, path: str) -> DataFrame:
     return shard_lines(list_tree(spark, root, ".txt"), root)
 
 
+def read_named_shards(spark: SparkSession, path: str, files: list[str]) -> DataFrame:
+    """S5 of the shard files of these names under the folder, a bounded number of them."""
+    root = whole_path(spark, path)
+    names = spark.createDataFrame([(f,) for f in files], "path string")
+    return shard_lines(materialize(sizes_of(names, root), "sizes"), root)
+
+
 #: Files of a micro-batch, whose names the driver holds. A batch costs some twenty jobs whatever is in it, and shard files are
 #: small: with a few files a batch the jobs, not the shards, would make up the time.
 FILES_PER_BATCH = 32_768
 
-ARRIVAL_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary, source string, split string, shard_idx int"
+FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary, source string, split string, shard_idx int"
 
 
-def stream_arrivals(spark: SparkSession, path: str, max_files_per_trigger: int = FILES_PER_BATCH) -> DataFrame:
+def stream_files(spark: SparkSession, path: str, max_files_per_trigger: int = FILES_PER_BATCH) -> DataFrame:
     """(path, shard_id) of every shard file as it arrives; the files themselves are not read."""
-    files = (spark.readStream.format("binaryFile").schema(ARRIVAL_SCHEMA).option("pathGlobFilter", "*.txt")
+    files = (spark.readStream.format("binaryFile").schema(FILE_SCHEMA).option("pathGlobFilter", "*.txt")
              .option("maxFilesPerTrigger", max_files_per_trigger).load(path))
     return files.select("path", T.shard_id_expr(F.col("source"), F.col("split"), F.col("shard_idx")).alias("shard_id"))
 
 
-def stream_text_shards(spark: SparkSession, path: str, max_files_per_trigger: int = FILES_PER_BATCH) -> DataFrame:
-    """The same scan as a file stream: each new shard file is picked up once."""
-    return shard_files(spark.readStream.option("maxFilesPerTrigger", max_files_per_trigger), path)
+ARRIVAL_SCHEMA = "path string, shard_id string, arrival bigint"
+
+
+def _shard_names(root: str):
+    """(path, source, split, shard_idx) of files (path) under ``root``."""
+    def run(batches):
+        for batch in batches:
+            paths = batch.column("path").to_pylist()
+            keys = [shard_of_folder(p[len(root):]) for p in paths]
+            yield pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), *(pa.array([k[i] for k in keys], t) for i, t in enumerate((pa.string(), pa.string(), pa.int32())))],
+                                             names=["path", "source", "split", "shard_idx"])
+
+    return run
+
+
+def _planned(spark: SparkSession, checkpoint: str) -> DataFrame | None:
+    """Names (path) that the lists of a checkpoint have; in one of before there were lists, those in the stream's own log."""
+    try:
+        names = spark.read.schema(ARRIVAL_SCHEMA).parquet(f"{checkpoint}/arrivals").select("path")
+    except AnalysisException:                   # no list yet
+        names = None
+    try:
+        log = spark.read.text(f"{checkpoint}/sources/0").select(F.get_json_object("value", "$.path").alias("path")).filter("path like '%.txt'")
+    except AnalysisException:                   # no stream yet
+        return names
+    plain = F.regexp_replace(F.url_decode(F.replace("path", F.lit("+"), F.lit("%2B"))), "^file:/+", "file:/")
+    log = log.select(plain.alias("path"))
+    return log if names is None else names.unionByName(log)
+
+
+def stream_arrivals(spark: SparkSession, path: str, checkpoint: str, max_files: int = FILES_PER_BATCH) -> DataFrame:
+    """(path, shard_id) of every shard file that the checkpoint's stream has not had, ``max_files`` a micro-batch; the files themselves are not read.
+
+    The names are listed by tasks and written in the checkpoint as lists of ``max_files`` names; the stream is one of lists, so
+    that its source, which holds all names of its files on the driver, holds one for each batch. A list that is written is
+    a batch to come whatever happens to the run.
+    """
+    root = whole_path(spark, path)
+    names = list_tree(spark, root, ".txt").select("path").mapInArrow(_shard_names(root), "path string, source string, split string, shard_idx int")
+    new = names.select("path", T.shard_id_expr(F.col("source"), F.col("split"), F.col("shard_idx")).alias("shard_id"))
+    planned = _planned(spark, checkpoint)
+    if planned is not None:
+        new = new.join(planned, "path", "left_anti")
+    lists = global_ordinal(new, [], ["shard_id", "path"], "_at").withColumn("arrival", F.floor(F.col("_at") / max_files))
+    lists.drop("_at").repartition("arrival").write.mode("append").partitionBy("arrival").parquet(f"{checkpoint}/arrivals")
+    return spark.readStream.schema(ARRIVAL_SCHEMA).option("maxFilesPerTrigger", 1).parquet(f"{checkpoint}/arrivals").select("path", "shard_id")

@@ -24,7 +24,6 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import text as T
 from ..operators import clean as C
 from ..operators import dedup as D
 from ..session import listing, materialize
@@ -133,7 +132,7 @@ def incremental_clean(spark: SparkSession, shards_path: str, out_path: str, ledg
             write_files(spark, shards_path, files, batch_id, policy, out_path, ledger_path, faults)
 
     with listing(spark):
-        files = TS.stream_arrivals(spark, shards_path, max_files_per_trigger)
+        files = TS.stream_files(spark, shards_path, max_files_per_trigger)
         q = files.writeStream.foreachBatch(batch_of).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
         q.awaitTermination()
     return q
@@ -146,15 +145,13 @@ def streaming_dedup(spark: SparkSession, shards_path: str, out_path: str, checkp
     A shard is one file and so never spans two batches; each batch writes the distinct (shard,
     sha1) of its shards as its own partition.
     """
-    with listing(spark):
-        lines = TS.stream_text_shards(spark, shards_path, max_files_per_trigger).filter(T.not_blank(F.col("line")))
-    cleaned = C.clean_lines(lines, policy).filter("kept").select("shard_id", "sha1")
-
     def sink(batch: DataFrame, batch_id: int) -> None:
-        (batch.distinct().withColumn("batch_id", F.lit(batch_id).cast("long"))
+        files = [r[0] for r in batch.select("path").collect()]      # at most max_files_per_trigger
+        cleaned = C.clean_lines(TS.read_named_shards(spark, shards_path, files), policy).filter("kept").select("shard_id", "sha1")
+        (cleaned.distinct().withColumn("batch_id", F.lit(batch_id).cast("long"))
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(out_path))
 
-    with listing(spark):
-        q = cleaned.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-        q.awaitTermination()
+    files = TS.stream_arrivals(spark, shards_path, checkpoint, max_files_per_trigger)
+    q = files.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    q.awaitTermination()
     return q
