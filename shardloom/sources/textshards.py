@@ -99,20 +99,6 @@ def shard_files(reader, path: str | list[str]) -> DataFrame:
                         F.make_valid_utf8("value").alias("line"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
 
 
-def number_lines(lines: DataFrame) -> DataFrame:
-    """Non-blank lines of ``shard_files`` with ``line_no``, the place in the file (blank lines count).
-
-    The lines are written once with their order; the counts of a file's blocks (one row per block)
-    are summed up and joined back.
-    """
-    placed = materialize(lines.withColumn("_mid", F.monotonically_increasing_id()), "lines")
-    blocks = placed.groupBy("file", "block").agg(F.min("_mid").alias("_first"), F.count("*").alias("_n"))
-    w = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = blocks.select("file", "block", "_first", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_before"))
-    out = placed.join(blocks, ["file", "block"]).withColumn("line_no", F.col("_before") + F.col("_mid") - F.col("_first"))
-    return out.filter(T.not_blank(F.col("line"))).select("source", "split", "shard_idx", "shard_id", "line_no", "line")
-
-
 def shard_of_folder(path: str) -> tuple[str | None, str | None, int | None]:
     """(source, split, shard_idx) of a file in a folder that ``folder_of`` names."""
     parts = dict(x.split("=", 1) for x in path.split("/")[:-1] if "=" in x)
@@ -246,16 +232,6 @@ def read_named_shards(spark: SparkSession, path: str, files: list[str]) -> DataF
 #: small: with a few files a batch the jobs, not the shards, would make up the time.
 FILES_PER_BATCH = 32_768
 
-FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary, source string, split string, shard_idx int"
-
-
-def stream_files(spark: SparkSession, path: str, max_files_per_trigger: int = FILES_PER_BATCH) -> DataFrame:
-    """(path, shard_id) of every shard file as it arrives; the files themselves are not read."""
-    files = (spark.readStream.format("binaryFile").schema(FILE_SCHEMA).option("pathGlobFilter", "*.txt")
-             .option("maxFilesPerTrigger", max_files_per_trigger).load(path))
-    return files.select("path", T.shard_id_expr(F.col("source"), F.col("split"), F.col("shard_idx")).alias("shard_id"))
-
-
 ARRIVAL_SCHEMA = "path string, shard_id string, arrival bigint"
 
 

@@ -1,9 +1,9 @@
 """Incremental, resumable cleaning over arriving shard files.
 
-``readStream`` over the shard folder with ``trigger(availableNow=True)`` takes every file not yet
+``readStream`` over lists of the shard folder's files (``stream_arrivals``) with ``trigger(availableNow=True)`` takes every file not yet
 recorded in the stream checkpoint, then stops: rerunning skips finished shards (the checkpoint
 is the resume state), and a shard is one file, so it is always complete inside one micro-batch.
-The stream carries the files' names only; ``foreachBatch`` reads the files of its batch, so that
+The stream carries the files' names only, and the driver holds those of one batch; ``foreachBatch`` reads the files of its batch, so that
 a shard that cannot be read or cleaned is left out by its name:
 
 * a line for which ``faults`` gives a message fails its shard, without an exception;
@@ -26,14 +26,14 @@ from pyspark.sql import functions as F
 
 from ..operators import clean as C
 from ..operators import dedup as D
-from ..session import listing, materialize
+from ..session import materialize
 from ..sources import textshards as TS
 
 
 def clean_batch(lines: DataFrame, policy: Column, faults: Column | None = None) -> tuple[DataFrame, DataFrame]:
-    """Kept first lines of the shards of ``lines`` (from ``shard_files``), and (shard_id, docs_in, docs_out, checksum, error)
+    """Kept first lines of the shards of ``lines`` (from ``shard_lines``), and (shard_id, docs_in, docs_out, checksum, error)
     of every shard that has a line. ``faults`` is a message for a line that fails its shard (null: none)."""
-    numbered = TS.number_lines(lines).withColumnRenamed("line_no", "line_idx")
+    numbered = lines.withColumnRenamed("line_no", "line_idx")
     fault = F.lit(None).cast("string") if faults is None else faults
     cleaned = materialize(C.clean_lines(numbered.withColumn("fault", fault), policy), "cleaned")
     errors = materialize(cleaned.filter("fault is not null").groupBy("shard_id").agg(F.min("fault").alias("error")), "faults")
@@ -56,8 +56,7 @@ def clean_files(spark: SparkSession, root: str, files: list[tuple[str, str]], po
                 faults: Column | None = None) -> tuple[list[tuple[DataFrame, DataFrame]], list[tuple[str, str]]]:
     """Results of ``clean_batch`` for (path, shard_id) files, and (shard_id, message) of the files that no job gets through."""
     try:
-        lines = TS.shard_files(spark.read.option("basePath", root), [p for p, _ in files])
-        return [clean_batch(lines, policy, faults)], []
+        return [clean_batch(TS.read_named_shards(spark, root, [p for p, _ in files]), policy, faults)], []
     except Exception as error:  # whatever a shard's content or file makes a task raise
         if len(files) == 1:
             return [], [(files[0][1], _reason(error))]
@@ -76,8 +75,7 @@ def write_files(spark: SparkSession, root: str, files: list[tuple[str, str]], ba
         (df.withColumn("batch_id", F.lit(batch_id).cast("long"))
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path))
 
-    with listing(spark):
-        parts, broken = clean_files(spark, root, files, policy, faults)
+    parts, broken = clean_files(spark, root, files, policy, faults)
     outcome = spark.createDataFrame(broken, "shard_id string, error string")
     outcome = outcome.select("shard_id", F.lit(0).cast("long").alias("docs_in"), F.lit(0).cast("long").alias("docs_out"), F.lit("").alias("checksum"), "error")
     rows = spark.createDataFrame([], KEPT_SCHEMA)
@@ -131,10 +129,9 @@ def incremental_clean(spark: SparkSession, shards_path: str, out_path: str, ledg
         if files:
             write_files(spark, shards_path, files, batch_id, policy, out_path, ledger_path, faults)
 
-    with listing(spark):
-        files = TS.stream_files(spark, shards_path, max_files_per_trigger)
-        q = files.writeStream.foreachBatch(batch_of).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-        q.awaitTermination()
+    files = TS.stream_arrivals(spark, shards_path, checkpoint, max_files_per_trigger)
+    q = files.writeStream.foreachBatch(batch_of).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    q.awaitTermination()
     return q
 
 
